@@ -165,11 +165,15 @@ def extract_entities(df: DataFrame, vocab: DataFrame, key: str, text: str) -> Da
 
 def extract_levels(text: ColumnOrName, levels: list[str] | None = None) -> Column:
     """P-11: the levels of the closed list that a text names, else ``Else``. No shuffle."""
-    padded = F.concat(F.lit(" "), F.array_join(words(text), " "), F.lit(" "))
+
+    def padded(c: Column) -> Column:
+        return F.concat(F.lit(" "), F.array_join(words(c), " "), F.lit(" "))
+
+    body = padded(col_of(text))
     found = F.array_compact(
         F.array(
             *[
-                F.when(F.contains(padded, F.lit(f" {level.lower()} ")), F.lit(level))
+                F.when(F.contains(body, padded(F.lit(level))), F.lit(level))
                 for level in (levels or SENIORITY_LEVELS)
             ]
         )

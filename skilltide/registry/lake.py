@@ -1 +1,196 @@
+"""L-1..L-3 and J-1..J-4: loads and whole runs, written to a scratch folder and read back."""
 
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from skilltide.operators import model as m
+from skilltide.operators.vocab import with_keys
+from skilltide.plans import lake
+from skilltide.registry import shapes
+from skilltide.registry.core import query, shape, with_shapes
+from skilltide.registry.model import DIM_POSITION_SQL, LEVELS_SQL, bridge_sql, dim_sql
+from skilltide.registry.normalize import SILVER
+from skilltide.registry.parse import term_vocab
+from skilltide.schemas import WAREHOUSE
+from skilltide.session import scratch_dir
+from skilltide.sources.files import read_layer
+from skilltide.sources.warehouse import load_table, read_table, register_tables
+
+MONTH = "2000-03-01"
+_IN_MONTH = "posted_date >= '2000-03-01' AND posted_date < '2000-04-01'"
+
+
+def _month_sql(body: str) -> str:
+    """``body`` over the postings of the month."""
+    rows = f"month_rows AS (SELECT * FROM posting_rows WHERE {_IN_MONTH})"
+    body = body.replace("posting_rows", "month_rows")
+    body = body[5:] if body.startswith("WITH ") else f"result AS ({body}) SELECT * FROM result"
+    return with_shapes("posting_rows", f"WITH {rows}, {body}")
+
+
+def _loaded(spark, sf_dir, table: str) -> DataFrame:
+    """The month of one gold table after two loads of it and one of another month."""
+    root = scratch_dir(spark, "warehouse")
+    postings = shapes.postings(spark, sf_dir)
+    for month, following in ((MONTH, "2000-04-01"), ("2000-04-01", "2000-05-01"), (MONTH, "2000-04-01")):
+        silver = postings.filter((F.col("posted_date") >= month) & (F.col("posted_date") < following))
+        load_table(m.gold_tables(silver)[table], root, table, month)
+    return read_table(spark, root, table, MONTH).select(*WAREHOUSE[table].columns)
+
+
+_FACT_SQL = f"WITH {LEVELS_SQL.strip()} SELECT * FROM fact"
+
+
+@query("l1_load_table", _month_sql(dim_sql("major")))
+def l1(spark, sf_dir):
+    return _loaded(spark, sf_dir, "major_table")
+
+
+@query(
+    "l2_read_table",
+    with_shapes("skills", "SELECT id, name FROM skills"),
+)
+def l2(spark, sf_dir):
+    root = scratch_dir(spark, "warehouse")
+    load_table(shape(spark, sf_dir, "skills"), root, "tech_skill_table")
+    missing = read_table(spark, root, "soft_skill_table").select("id", "name")
+    return read_table(spark, root, "tech_skill_table").unionByName(missing)
+
+
+@query(
+    "l3_contracts",
+    with_shapes(
+        "posting_rows",
+        "SELECT 'job_position_table' AS name, count(*) AS n FROM (" + DIM_POSITION_SQL + ")",
+    ),
+)
+def l3(spark, sf_dir):
+    root = scratch_dir(spark, "warehouse")
+    load_table(m.dim_position(shapes.postings(spark, sf_dir)), root, "job_position_table")
+    schema = root.rsplit("/", 1)[-1].replace("-", "_")
+    register_tables(spark, root, schema)
+    rows = spark.table(f"{schema}.job_position_table")
+    out = rows.agg(F.count("*").alias("n")).select(F.lit("job_position_table").alias("name"), "n")
+    return out
+
+
+def _register_loads() -> None:
+    loads = {
+        "job_description_table": _FACT_SQL,
+        "tech_skill_table": dim_sql("tech_stack"),
+        "job_tech_skill_mapping": bridge_sql("tech_stack", "tech_skill_id"),
+        "soft_skill_table": dim_sql("soft_skills"),
+        "job_soft_skill_mapping": bridge_sql("soft_skills", "soft_skill_id"),
+        "major_table": dim_sql("major"),
+        "job_major_mapping": bridge_sql("major", "major_id"),
+        "job_position_table": DIM_POSITION_SQL,
+    }
+    for letter, (name, sql) in zip("abcdefgh", loads.items()):
+
+        def run(spark, sf_dir, name=name):
+            return _loaded(spark, sf_dir, name)
+
+        query(f"l3{letter}_load_{name}", _month_sql(sql))(run)
+
+
+_register_loads()
+
+
+def _counts(frames: dict[str, DataFrame]) -> DataFrame:
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+            for name, df in frames.items()
+        ],
+    )
+
+
+def _lake_counts_sql(where: str) -> str:
+    """Row counts of the layers, dimensions being distinct per month."""
+
+    def pairs(column: str) -> str:
+        return (
+            f"(SELECT substr(posted_date, 1, 7) AS month, unnest(string_split({column}, ';')) AS name"
+            f" FROM silver WHERE {column} <> '')"
+        )
+
+    parts = ["SELECT 'silver' AS name, count(*) AS n FROM silver"]
+    for column, dim, bridge in (
+        ("tech_stack", "tech_skill_table", "job_tech_skill_mapping"),
+        ("soft_skills", "soft_skill_table", "job_soft_skill_mapping"),
+        ("major", "major_table", "job_major_mapping"),
+    ):
+        parts.append(f"SELECT '{dim}', count(*) FROM (SELECT DISTINCT month, name FROM {pairs(column)})")
+        parts.append(f"SELECT '{bridge}', count(*) FROM {pairs(column)}")
+    parts.append(
+        "SELECT 'job_position_table', count(*) FROM (SELECT DISTINCT substr(posted_date, 1, 7), job_position"
+        " FROM silver WHERE job_position IS NOT NULL)"
+    )
+    parts.append(
+        "SELECT 'job_description_table', CAST(sum(CASE WHEN coalesce(levels, '') = '' THEN 1"
+        " ELSE len(string_split(levels, ';')) END) AS BIGINT) FROM chosen"
+    )
+    silver = SILVER.strip().replace("posting_rows", "chosen")
+    return with_shapes(
+        "posting_rows vocab",
+        f"WITH chosen AS (SELECT * FROM posting_rows WHERE {where}), {silver} " + " UNION ALL ".join(parts),
+    )
+
+
+def _lake_counts(spark, root, month=None) -> DataFrame:
+    frames = {"silver": read_layer(spark, root, "silver", "job_descriptions", month)}
+    frames |= {t: read_layer(spark, root, "gold", t, month) for t in WAREHOUSE}
+    return _counts(frames)
+
+
+@query("j1_run_datalake", _lake_counts_sql(_IN_MONTH))
+def j1(spark, sf_dir):
+    root = scratch_dir(spark, "lake")
+    postings, vocab = shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir)
+    lake.run_datalake(postings, vocab, root, MONTH, threshold=None)
+    return _lake_counts(spark, root, MONTH)
+
+
+@query("j1_run_datalake_fuzzy")
+def j1_fuzzy(spark, sf_dir):
+    root = scratch_dir(spark, "lake")
+    lake.run_datalake(shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir), root, MONTH)
+    return read_layer(spark, root, "silver", "job_descriptions", MONTH)
+
+
+@query("j2_run_warehouse", _lake_counts_sql(_IN_MONTH) + " EXCEPT SELECT 'silver', count(*) FROM silver")
+def j2(spark, sf_dir):
+    root = scratch_dir(spark, "lake")
+    postings, vocab = shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir)
+    lake.run_datalake(postings, vocab, f"{root}/lake", MONTH, threshold=None)
+    lake.run_warehouse(spark, f"{root}/lake", f"{root}/warehouse", MONTH)
+    return _counts({t: read_table(spark, f"{root}/warehouse", t, MONTH) for t in WAREHOUSE})
+
+
+@query("j3_run_parse")
+def j3(spark, sf_dir):
+    fields = {"one": "tech_stack", "two": "soft_skills", "three": "job_position"}
+    names = F.create_map(*[F.lit(x) for pair in fields.items() for x in pair])
+    terms = term_vocab(spark, sf_dir).select(
+        F.element_at(names, F.col("category")).alias("category"),
+        "value",
+        F.xxhash64("value").alias("ord"),
+    )
+    raw, parsed = shape(spark, sf_dir, "raw"), shape(spark, sf_dir, "parsed")
+    return lake.run_parse(raw, parsed, with_keys(terms), "2001-08-01")
+
+
+@query(
+    "j4_backfill",
+    _lake_counts_sql("posted_date >= '1999-05-01' AND posted_date < '2000-09-01'"),
+)
+def j4(spark, sf_dir):
+    root = scratch_dir(spark, "lake")
+    postings, vocab = shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir)
+    lake.backfill(postings, vocab, root, "1999-05-01", "2000-08-01", threshold=None)
+    return _lake_counts(spark, root)
