@@ -80,7 +80,7 @@ def clean_key(c: ColumnOrName) -> Column:
 
 def tokens(c: ColumnOrName) -> Column:
     """X-13: distinct folded alphanumeric tokens of a title."""
-    return F.array_distinct(F.filter(F.split(fold(c), NON_ALNUM), lambda t: F.length(t) > 0))
+    return F.array_distinct(F.array_remove(F.split(fold(c), NON_ALNUM), ""))
 
 
 def all_terms_match(doc_tokens: ColumnOrName, query_tokens: ColumnOrName) -> Column:
@@ -96,7 +96,7 @@ def space_tokens(c: ColumnOrName) -> Column:
 
 def trigrams(c: ColumnOrName) -> Column:
     """X-15: distinct trigrams of the lower-case words, padded two left and one right."""
-    words = F.filter(F.split(F.lower(col_of(c)), NON_ALNUM), lambda w: F.length(w) > 0)
+    words = F.array_remove(F.split(F.lower(col_of(c)), NON_ALNUM), "")
 
     def of_word(word: Column) -> Column:
         padded = F.concat(F.lit("  "), word, F.lit(" "))

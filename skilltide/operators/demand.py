@@ -1,8 +1,8 @@
 """Q-1..Q-18: which skills the postings that match a request ask for.
 
-A request is a row. Titles are matched once per distinct title, through equi-joins on tokens
-and trigrams; the postings meet the few chosen titles afterwards. One request and many
-requests share the plan.
+A request is a row. Titles are matched once per distinct title: in place for one request,
+through equi-joins on tokens and trigrams for many. The postings meet the few chosen titles
+afterwards, and the pairs meet the matched postings.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from skilltide.functions.text import (
     trigrams,
 )
 from skilltide.schemas import KEYWORD_ALIAS, REQUEST
-from skilltide.session import broadcast_if_small, checkpoint
+from skilltide.session import saved
 
 WINDOW_MONTHS = 6
 MAX_PAGE = 100
@@ -149,7 +149,7 @@ def _match_terms(titles: DataFrame, asked: DataFrame) -> DataFrame:
     """Titles that hold all terms. Each request is joined on its rarest term only, then the
     others are checked on the title's own token list."""
     index = titles.select("job_title", tokens("job_title").alias("title_tokens")).withColumn(
-        "term", F.explode("title_tokens")
+        "term", F.explode_outer("title_tokens")
     )
     weight = index.groupBy("term").agg(F.count("*").alias("n"))
     anchors = (
@@ -172,13 +172,13 @@ def match_fuzzy_title(titles: DataFrame, requests: DataFrame) -> DataFrame:
     """Q-6: (job_title, request_id) where some blank-separated title token is similar to the
     raw input. Shared trigrams are counted per distinct token, not per title."""
     words = titles.select(
-        "job_title", F.explode(F.array_distinct(space_tokens(fold("job_title")))).alias("word")
+        "job_title", F.explode_outer(F.array_distinct(space_tokens(fold("job_title")))).alias("word")
     )
     grams = (
         words.select("word")
         .distinct()
         .withColumn("grams", trigrams("word"))
-        .select("word", F.size("grams").alias("n_word"), F.explode("grams").alias("gram"))
+        .select("word", F.size("grams").alias("n_word"), F.explode_outer("grams").alias("gram"))
     )
     asked = requests.withColumn("grams", trigrams("job_title")).select(
         "request_id", F.size("grams").alias("n_asked"), F.explode("grams").alias("gram")
@@ -234,22 +234,55 @@ def chosen_titles(
     return asked.join(reached, ["request_id", "tier"])
 
 
-def matched_jobs(
-    jobs: DataFrame, requests: DataFrame, alias: DataFrame, as_of: dt.date | str
-) -> DataFrame:
-    """Q-7: distinct (request_id, id, tier) of the first tier that is reached.
+def _jobs_of(jobs: DataFrame, chosen: DataFrame, passes: Column) -> DataFrame:
+    """Saved distinct (request_id, id, tier) of the postings with a chosen title.
 
-    The chosen titles are saved and counted: while they are few the postings are filtered by a
-    broadcast join, beyond that they are shuffled by title, where hot titles are split.
+    The chosen titles were saved: while they are few the postings are filtered by a broadcast
+    join, beyond that they are shuffled by title, where hot titles are split.
     """
-    chosen = checkpoint(chosen_titles(jobs, requests, alias, as_of))
-    return (
+    matched = (
         jobs.select("id", "job_title", "location", "seniority_level", "posted_date")
-        .join(broadcast_if_small(chosen), "job_title")
-        .filter(_passes("posted_date"))
+        .join(chosen, "job_title")
+        .filter(passes)
         .select("request_id", "id", "tier")
         .distinct()
     )
+    return saved(matched, "matched")
+
+
+def matched_jobs(
+    jobs: DataFrame, requests: DataFrame, alias: DataFrame, as_of: dt.date | str
+) -> DataFrame:
+    """Q-7: distinct (request_id, id, tier) of the first tier that is reached."""
+    chosen = saved(chosen_titles(jobs, requests, alias, as_of), "chosen")
+    return _jobs_of(jobs, chosen, _passes("posted_date"))
+
+
+def matched_jobs_of(
+    jobs: DataFrame, request: Request, alias: DataFrame, as_of: dt.date | str
+) -> DataFrame:
+    """Q-7 for one request: its values are literals, so the filters reach the scan and a
+    distinct title is tested in place. Trigrams are compared for titles that miss tiers 1, 2."""
+    filtered = filter_jobs(jobs, request, as_of)
+    typed = F.lit(request.job_title)
+    asked_words = F.array_append(space_tokens(fold(typed)), fold(typed))
+    hits = alias.filter(F.array_contains(asked_words, fold("keyword")))
+    alias_word = hits.agg(F.min("job_word").alias("job_word")).scalar()
+    own, words = tokens("job_title"), space_tokens(fold("job_title"))
+    tier = (
+        F.when(all_terms_match(own, tokens(alias_word)), F.lit(1))
+        .when(all_terms_match(own, tokens(typed)), F.lit(2))
+        .when(F.exists(words, lambda w: similar(w, typed)), F.lit(3))
+    )
+    # Generated rather than selected, so the filter reads the tier and does not repeat it.
+    row = F.inline_outer(F.array(F.struct(tier.alias("tier"))))
+    titles = filtered.select("job_title").distinct().select("job_title", row)
+    reached = saved(titles.filter(F.col("tier").isNotNull()), "titles")
+    best = reached.agg(F.min("tier").alias("tier")).scalar()
+    chosen = reached.filter(F.col("tier") == best).withColumn(
+        "request_id", F.lit(request.request_id).cast("bigint")
+    )
+    return _jobs_of(filtered, chosen, F.lit(True))
 
 
 # Counts and percentages ----------------------------------------------------------------------
@@ -261,11 +294,15 @@ def total_jobs(matched: DataFrame) -> DataFrame:
 
 
 def skill_stats(matched: DataFrame, job_skills: DataFrame, skills: DataFrame) -> DataFrame:
-    """Q-9: postings per request and skill. Pairs are counted by skill id before names are
-    looked up, so a skill most postings ask for is one row per task in the shuffle."""
+    """Q-9: postings per request and skill.
+
+    While the matched postings (saved by Q-7) are few, the pairs are read in place, without a
+    shuffle. They are counted by skill id before names are looked up, so a skill most postings
+    ask for is one row per task.
+    """
+    ids = matched.select("request_id", F.col("id").alias("job_id"))
     counted = (
-        matched.select("request_id", F.col("id").alias("job_id"))
-        .join(job_skills, "job_id")
+        job_skills.join(ids, "job_id")
         .groupBy("request_id", "skill_id")
         .agg(F.count("*").alias("n"))
     )
@@ -365,20 +402,20 @@ def by_type(page: DataFrame, skill_type: str | None = None) -> DataFrame:
 # Whole queries -------------------------------------------------------------------------------
 
 
-def demand(serving: Serving, requests: DataFrame, as_of: dt.date | str) -> DataFrame:
-    """Q-2..Q-10: all skills with their percentages, per request."""
-    matched = matched_jobs(serving.jobs, requests, serving.alias, as_of)
+def _freq(serving: Serving, matched: DataFrame) -> DataFrame:
     stats = skill_stats(matched, serving.job_skills, serving.skills)
     return skill_freq(stats, total_jobs(matched))
 
 
+def demand(serving: Serving, requests: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """Q-2..Q-10: all skills with their percentages, per request."""
+    return _freq(serving, matched_jobs(serving.jobs, requests, serving.alias, as_of))
+
+
 def skill_demand(serving: Serving, request: Request, as_of: dt.date | str) -> DataFrame:
-    """Q-16: one request. Its filters are literals, so they prune the scan of the postings."""
-    requests = requests_frame(serving.jobs.sparkSession, [request])
-    pruned = Serving(
-        filter_jobs(serving.jobs, request, as_of), serving.skills, serving.job_skills, serving.alias
-    )
-    return skill_page(demand(pruned, requests, as_of), request)
+    """Q-16: one request."""
+    matched = matched_jobs_of(serving.jobs, request, serving.alias, as_of)
+    return skill_page(_freq(serving, matched), request)
 
 
 def skill_demand_batch(serving: Serving, requests: DataFrame, as_of: dt.date | str) -> DataFrame:

@@ -11,7 +11,7 @@ from skilltide.functions._cols import ColumnOrName, col_of
 from skilltide.functions.parsing import dedupe_list, json_list_items
 from skilltide.functions.text import fold
 from skilltide.schemas import SENIORITY_LEVELS
-from skilltide.session import BROADCAST_ROWS, broadcast_if_small, is_small
+from skilltide.session import BROADCAST_ROWS, is_small
 
 OVERSIZE_TEXT = "Document too large to process"
 METADATA = ("job_title", "company_name", "location", "posted_date", "url")
@@ -129,7 +129,7 @@ def parse_progress(raw: DataFrame, parsed: DataFrame, batch_size: int) -> DataFr
 
 def words(c: ColumnOrName) -> Column:
     """Folded tokens of a text in order."""
-    return F.filter(F.split(fold(c), _TOKEN_BREAK), lambda t: F.length(t) > 0)
+    return F.array_remove(F.split(fold(c), _TOKEN_BREAK), "")
 
 
 def _ngrams(tokens: Column, n: int) -> Column:
@@ -140,11 +140,35 @@ def _ngrams(tokens: Column, n: int) -> Column:
     return F.coalesce(grams, F.array().cast("array<string>"))
 
 
+def _grams_at_first_words(texts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """(key, term) candidates of a broadcast vocabulary: at each word that starts a term, the
+    n-grams of the lengths such terms have. Nothing else leaves the scan's stage.
+
+    The outer explode keeps Catalyst from filtering texts by the size of their word list first,
+    which would split every text twice; the join drops the null word of an empty text.
+    """
+    first = F.substring_index("term", " ", 1)
+    starts = terms.select(first.alias("first"), "n").distinct()
+    gram = F.array_join(F.slice("_words", F.col("_at") + 1, F.col("n")), " ")
+    return (
+        texts.select(key, "_words", F.posexplode_outer("_words").alias("_at", "first"))
+        .join(F.broadcast(starts), "first")
+        .select(key, gram.alias("term"))
+    )
+
+
+def _all_grams(texts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """(key, term) candidates of any vocabulary: the distinct n-grams of all its lengths."""
+    lengths = [row["n"] for row in terms.select("n").distinct().collect()]  # a few small numbers
+    grams = F.concat(*[_ngrams(F.col("_words"), n) for n in sorted(lengths) or [1]])
+    return texts.select(key, F.explode_outer(F.array_distinct(grams)).alias("term"))
+
+
 def extract_entities(df: DataFrame, vocab: DataFrame, key: str, text: str) -> DataFrame:
     """P-10: the vocabulary terms in each text, per category, on whole-token boundaries.
 
-    The n-grams of a text, for the term lengths that occur, meet the terms in an equi-join.
-    A vocabulary whose size was checked is broadcast, so only hits are shuffled.
+    N-grams of a text meet the terms in an equi-join. A vocabulary whose size was checked is
+    broadcast, so only hits are shuffled; a larger one is joined by a shuffle of short strings.
     """
     terms = (
         vocab.withColumn("_tokens", words("value"))
@@ -152,14 +176,13 @@ def extract_entities(df: DataFrame, vocab: DataFrame, key: str, text: str) -> Da
         .groupBy("category", F.array_join("_tokens", " ").alias("term"))
         .agg(F.max_by("value", "ord").alias("value"), F.max(F.size("_tokens")).alias("n"))
     )
-    lengths = [row["n"] for row in terms.select("n").distinct().collect()]  # a few small numbers
-    tokens = F.col("_words")
-    grams = F.array_distinct(F.concat(*[_ngrams(tokens, n) for n in sorted(lengths) or [1]]))
-    hits = (
-        df.select(key, words(text).alias("_words"))
-        .select(key, F.explode(grams).alias("term"))
-        .join(broadcast_if_small(terms.select("category", "term", "value")), "term")
-    )
+    texts = df.select(key, words(text).alias("_words"))
+    if is_small(vocab):
+        terms = F.broadcast(terms)
+        grams = _grams_at_first_words(texts, terms, key)
+    else:
+        grams = _all_grams(texts, terms, key)
+    hits = grams.join(terms.drop("n"), "term")
     return hits.groupBy(key, "category").agg(F.array_sort(F.collect_set("value")).alias("terms"))
 
 

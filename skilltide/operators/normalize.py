@@ -1,8 +1,8 @@
 """N-2..N-12, N-15, N-16: field values onto the vocabulary, by distinct value.
 
 Every distinct raw value is resolved once (exact, cleaned key, fuzzy, else new). The resolved
-mapping is saved and counted, so the posting rows meet it in a broadcast join while it is
-small and in a shuffle join beyond.
+mapping is saved, so its size is known: the posting rows meet it in a broadcast join while it
+is small and in a shuffle join beyond, where adaptive execution splits hot values.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from skilltide.functions.fuzzy import best_in_chunk
 from skilltide.functions.text import clean_key, strip
 from skilltide.operators.vocab import key_table
-from skilltide.session import broadcast_if_small, checkpoint, is_small
+from skilltide.session import broadcast_if_small, is_small, saved
 
 THRESHOLD = 50
 CHUNK = 1_000  # vocabulary keys one comparison row carries
@@ -89,7 +89,7 @@ def resolve_values(
     )
     candidates = [F.col("exact"), F.col("by_key")]
     if threshold is not None:
-        tiers = checkpoint(tiers)
+        tiers = saved(tiers, "tiers")
         open_values = tiers.filter(F.coalesce(*candidates).isNull())
         fuzzy = match_fuzzy(open_values, vocab, threshold).drop("score")
         matched = tiers.filter(F.coalesce(*candidates).isNotNull()).withColumn(
@@ -115,8 +115,10 @@ def _struct_items(field: str, is_list: bool) -> Column:
 
 
 def _items(df: DataFrame, scalars: tuple[str, ...], lists: tuple[str, ...], key: str) -> DataFrame:
+    """Items of all fields. The outer explode spares a filter that would build them twice; the
+    null item of a row without items has no field and meets nothing."""
     columns = [_struct_items(f, False) for f in scalars] + [_struct_items(f, True) for f in lists]
-    return df.select(key, F.explode(F.concat(*columns)).alias("i")).select(
+    return df.select(key, F.explode_outer(F.concat(*columns)).alias("i")).select(
         key, "i.field", "i.pos", "i.raw"
     )
 
@@ -133,7 +135,7 @@ def field_mapping(
     items = _items(df, scalars, lists, key)
     values = items.select(F.col("field").alias("category"), "raw")
     wanted = vocab.filter(F.col("category").isin(*scalars, *lists))
-    return checkpoint(resolve_values(values, wanted, threshold))
+    return saved(resolve_values(values, wanted, threshold), "mapping")
 
 
 def apply_mapping(
@@ -155,13 +157,13 @@ def apply_mapping(
         )
         out = (
             out.withColumn("_raw", strip(field))
-            .join(broadcast_if_small(lookup), "_raw", "left")
+            .join(lookup, "_raw", "left")
             .drop("_raw")
         )
     if not lists:
         return out
     lookup = mapping.select(F.col("category").alias("field"), "raw", "value")
-    items = _items(df, (), lists, key).join(broadcast_if_small(lookup), ["field", "raw"])
+    items = _items(df, (), lists, key).join(lookup, ["field", "raw"])
     grouped = items.groupBy(key).agg(
         *[
             F.array_sort(F.collect_list(F.when(F.col("field") == f, F.struct("pos", "value")))).alias(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skilltide.session import checkpoint
+from skilltide.session import saved
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row of a partition in the low 33 bits
 
@@ -19,7 +19,9 @@ def global_position(df: DataFrame, order: list[str | Column], name: str = "posit
     keys and join wide columns back.
     """
     mid = F.col("_mid")
-    placed = checkpoint(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()))
+    placed = saved(
+        df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()), "positions"
+    )
     placed = placed.withColumns(
         {
             "_part": F.shiftright(mid, _ROW_BITS),

@@ -53,12 +53,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so both readers of it see the same rows."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Its readers see the same rows, a lost executor costs none of the work before it, and its
+    size is known: Catalyst broadcasts it in a join below the session's threshold only.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:

@@ -33,7 +33,8 @@ CARD_FIELDS = {
 
 def _items(df: DataFrame, column: str, schema) -> DataFrame:
     parsed = F.from_json(col_of(column), schema)
-    return df.select(F.explode(parsed["data"]).alias("item"))
+    # A plain explode would parse each answer twice, once to filter empty ones.
+    return df.select(F.explode_outer(parsed["data"]).alias("item")).filter("item IS NOT NULL")
 
 
 def _text(c: Column) -> Column:
@@ -91,10 +92,14 @@ def from_listing_html(
     fields: dict[str, str] | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """I-12: one row per card; a card without one of the fields is dropped."""
+    """I-12: one row per card; a card without one of the fields is dropped.
+
+    So is the null card of a page without cards: a plain explode would search each page twice,
+    once to filter it.
+    """
     patterns = fields or CARD_FIELDS
     cards = df.select(
-        *keep, F.explode(F.regexp_extract_all(html, F.lit(card), 1)).alias("_card")
+        *keep, F.explode_outer(F.regexp_extract_all(html, F.lit(card), 1)).alias("_card")
     )
     found = F.lit(True)
     for pattern in patterns.values():
