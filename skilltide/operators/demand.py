@@ -8,7 +8,7 @@ afterwards, and the pairs meet the matched postings.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,7 +28,7 @@ from skilltide.functions.text import (
     trigrams,
 )
 from skilltide.schemas import KEYWORD_ALIAS, REQUEST
-from skilltide.session import saved
+from skilltide.session import broadcaster, saved
 
 WINDOW_MONTHS = 6
 MAX_PAGE = 100
@@ -51,6 +51,8 @@ class Request:
     def __post_init__(self):
         if not 1 <= self.limit <= MAX_PAGE:
             raise ValueError(f"limit must be between 1 and {MAX_PAGE}")
+        if self.updated_after is not None:
+            dt.date.fromisoformat(self.updated_after)
 
 
 @dataclass(frozen=True)
@@ -134,27 +136,41 @@ def _passes(date_column: str) -> Column:
 # Title match ---------------------------------------------------------------------------------
 
 
-def match_alias_title(titles: DataFrame, requests: DataFrame, alias: DataFrame) -> DataFrame:
-    """Q-4: (job_title, request_id) where the title has all tokens of the alias word."""
-    words = match_alias(requests, alias)
-    return _match_terms(titles, words.select("request_id", tokens("job_word").alias("terms")))
+Hint = Callable[[DataFrame], DataFrame]
 
 
-def match_direct(titles: DataFrame, requests: DataFrame) -> DataFrame:
+def match_alias_title(
+    titles: DataFrame, requests: DataFrame, alias: DataFrame, few: Hint | None = None
+) -> DataFrame:
+    """Q-4: (job_title, request_id) where the title has all tokens of the alias word.
+
+    ``few`` is the hint for request-sized sides; by default the requests are counted for it.
+    """
+    words = match_alias(requests, alias).select("request_id", tokens("job_word").alias("terms"))
+    return _match_terms(titles, words, few or broadcaster(requests))
+
+
+def match_direct(titles: DataFrame, requests: DataFrame, few: Hint | None = None) -> DataFrame:
     """Q-5: (job_title, request_id) where the title has all tokens of the raw input."""
-    return _match_terms(titles, requests.select("request_id", tokens("job_title").alias("terms")))
+    words = requests.select("request_id", tokens("job_title").alias("terms"))
+    return _match_terms(titles, words, few or broadcaster(requests))
 
 
-def _match_terms(titles: DataFrame, asked: DataFrame) -> DataFrame:
+def _match_terms(titles: DataFrame, asked: DataFrame, few: Hint) -> DataFrame:
     """Titles that hold all terms. Each request is joined on its rarest term only, then the
     others are checked on the title's own token list."""
     index = titles.select("job_title", tokens("job_title").alias("title_tokens")).withColumn(
         "term", F.explode_outer("title_tokens")
     )
-    weight = index.groupBy("term").agg(F.count("*").alias("n"))
+    terms = asked.select("request_id", "terms", F.explode("terms").alias("term"))
+    weight = (
+        index.select("term")
+        .join(few(terms.select("term")), "term", "left_semi")
+        .groupBy("term")
+        .agg(F.count("*").alias("n"))
+    )
     anchors = (
-        asked.select("request_id", "terms", F.explode("terms").alias("term"))
-        .join(weight, "term")
+        weight.join(few(terms), "term")
         .groupBy("request_id")
         .agg(
             F.min_by("term", F.struct("n", "term")).alias("term"),
@@ -162,13 +178,15 @@ def _match_terms(titles: DataFrame, asked: DataFrame) -> DataFrame:
         )
     )
     return (
-        index.join(anchors, "term")
+        index.join(few(anchors), "term")
         .filter(all_terms_match("title_tokens", "terms"))
         .select("job_title", "request_id")
     )
 
 
-def match_fuzzy_title(titles: DataFrame, requests: DataFrame) -> DataFrame:
+def match_fuzzy_title(
+    titles: DataFrame, requests: DataFrame, few: Hint | None = None
+) -> DataFrame:
     """Q-6: (job_title, request_id) where some blank-separated title token is similar to the
     raw input. Shared trigrams are counted per distinct token, not per title."""
     words = titles.select(
@@ -183,26 +201,27 @@ def match_fuzzy_title(titles: DataFrame, requests: DataFrame) -> DataFrame:
     asked = requests.withColumn("grams", trigrams("job_title")).select(
         "request_id", F.size("grams").alias("n_asked"), F.explode("grams").alias("gram")
     )
-    shared = F.count("*")
-    similar = (
-        grams.join(asked, "gram")
+    few = few or broadcaster(requests)
+    shared = F.col("shared")
+    similar_words = (
+        grams.join(few(asked), "gram")
         .groupBy("request_id", "word", "n_word", "n_asked")
-        .agg(shared.alias("shared"))
-        .filter(
-            F.col("shared") / (F.col("n_word") + F.col("n_asked") - F.col("shared"))
-            > MIN_SIMILARITY
-        )
+        .agg(F.count("*").alias("shared"))
+        .filter(shared / (F.col("n_word") + F.col("n_asked") - shared) > MIN_SIMILARITY)
         .select("request_id", "word")
     )
-    return words.join(similar, "word").select("job_title", "request_id").distinct()
+    return words.join(similar_words, "word").select("job_title", "request_id").distinct()
 
 
-def title_tiers(titles: DataFrame, requests: DataFrame, alias: DataFrame) -> DataFrame:
+def title_tiers(
+    titles: DataFrame, requests: DataFrame, alias: DataFrame, few: Hint | None = None
+) -> DataFrame:
     """(job_title, request_id, tier): the first tier that holds for each distinct title."""
+    few = few or broadcaster(requests)
     hits = [
-        match_alias_title(titles, requests, alias).withColumn("tier", F.lit(1)),
-        match_direct(titles, requests).withColumn("tier", F.lit(2)),
-        match_fuzzy_title(titles, requests).withColumn("tier", F.lit(3)),
+        match_alias_title(titles, requests, alias, few).withColumn("tier", F.lit(1)),
+        match_direct(titles, requests, few).withColumn("tier", F.lit(2)),
+        match_fuzzy_title(titles, requests, few).withColumn("tier", F.lit(3)),
     ]
     union = hits[0].unionByName(hits[1]).unionByName(hits[2])
     return union.groupBy("job_title", "request_id").agg(F.min("tier").alias("tier"))
@@ -215,23 +234,26 @@ def chosen_titles(
     request's filters.
 
     Whether a tier is reached is asked of the distinct (title, place, level) with their newest
-    date, since a posting passes the date filter exactly when the newest of its kind does.
+    date, since a posting passes the date filter exactly when the newest of its kind does. Title
+    matching reads the same table, so the postings are scanned once here.
     """
-    filters = requests.select(
-        "request_id", "locations", "levels", cutoff_date("updated_after", as_of).alias("cutoff")
-    )
     kinds = jobs.groupBy("job_title", "location", "seniority_level").agg(
         F.max("posted_date").alias("newest")
     )
-    tiers = title_tiers(kinds.select("job_title").distinct(), requests, alias)
-    asked = tiers.join(filters, "request_id")
+    kinds, requests = saved(kinds, "kinds"), saved(requests, "requests")
+    few = broadcaster(requests)
+    filters = requests.select(
+        "request_id", "locations", "levels", cutoff_date("updated_after", as_of).alias("cutoff")
+    )
+    tiers = title_tiers(kinds.select("job_title").distinct(), requests, alias, few)
+    asked = tiers.join(few(filters), "request_id")
     reached = (
         kinds.join(asked, "job_title")
         .filter(_passes("newest"))
         .groupBy("request_id")
         .agg(F.min("tier").alias("tier"))
     )
-    return asked.join(reached, ["request_id", "tier"])
+    return asked.join(few(reached), ["request_id", "tier"])
 
 
 def _jobs_of(jobs: DataFrame, chosen: DataFrame, passes: Column) -> DataFrame:

@@ -147,7 +147,7 @@ def with_metrics(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def metrics_of(df: DataFrame, observation: Observation, partition: str) -> dict[str, object]:
     """M-7: the run record, after an action on the observed frame."""
-    rows = observation.get["row_count"]
+    rows = observation.get.get("row_count", 0)  # nothing is observed when a plan is empty
     return {
         "row_count": rows,
         "column_count": len(df.columns),
@@ -171,7 +171,7 @@ def serving_tables(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "job_title",
         "location",
         "seniority_level",
-        F.to_date("posted_date").alias("posted_date"),
+        F.col("posted_date").try_cast("date").alias("posted_date"),
         "update_date",
         tokens("job_title").alias("title_tokens"),
     )

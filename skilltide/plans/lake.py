@@ -61,9 +61,11 @@ def run_parse(
 
 
 def bronze(parsed: DataFrame, first: dt.date | str, last: dt.date | str | None = None) -> DataFrame:
-    """Parsed postings of a month (or months) with their month."""
+    """Parsed postings of a month (or months) with their month. A day that does not exist
+    still has a month, as dates are compared as text here."""
     rows = bronze_slice(parsed, first, "posted_date", last)
-    return rows.withColumn("month", F.trunc(F.col("posted_date").cast("date"), "month"))
+    month = F.concat(F.substring("posted_date", 1, 7), F.lit("-01"))
+    return rows.withColumn("month", month.try_cast("date"))
 
 
 def _run(

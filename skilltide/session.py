@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,3 +74,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     """Broadcast a side after counting it. A larger side keeps its shuffle join, where adaptive
     execution splits hot keys."""
     return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def broadcaster(df: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """The broadcast hint for sides that have at most a few rows per row of ``df``, when ``df``
+    was counted to be small; otherwise no hint."""
+    return F.broadcast if is_small(df, BROADCAST_ROWS // 10) else lambda side: side
