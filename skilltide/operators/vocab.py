@@ -53,13 +53,8 @@ def evolve_vocab(
     others stay as they are; frozen categories gain none."""
     entries = vocab.select("category", "value", "ord")
     added = added.filter(F.col("category").isin(*evolving)).select("category", "value")
-    grown = added.select("category").distinct()
-    members = (
-        entries.join(grown, "category", "left_semi")
-        .select("category", "value")
-        .unionByName(added)
-        .distinct()
-    )
+    grown = [row["category"] for row in added.select("category").distinct().collect()]
+    grows = F.col("category").isin(*grown)  # at most the evolving categories
+    members = entries.filter(grows).select("category", "value").unionByName(added).distinct()
     ranked = global_position(members, ["category", "value"], "ord")
-    kept = entries.join(grown, "category", "left_anti")
-    return with_keys(kept.unionByName(ranked.select("category", "value", "ord")))
+    return with_keys(entries.filter(~grows).unionByName(ranked.select("category", "value", "ord")))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skilltide.operators.extract import (
@@ -19,7 +19,7 @@ from skilltide.operators.extract import (
     unparsed,
 )
 from skilltide.operators.ingest import bronze_slice
-from skilltide.operators.model import gold_tables, metrics_of, with_metrics
+from skilltide.operators.model import gold_tables, metrics_of
 from skilltide.operators.normalize import THRESHOLD, field_mapping, silver_postings
 from skilltide.operators.vocab import evolve_vocab, new_values
 from skilltide.schemas import PARSED_POSTING, WAREHOUSE
@@ -81,11 +81,11 @@ def _run(
     metrics: dict[str, dict[str, object]] = {}
 
     def keep(df: DataFrame, layer: str, table: str) -> DataFrame:
-        observed, observation = with_metrics(df, f"{layer}.{table}")
-        write_layer(observed, root, layer, table)
+        observation = Observation(f"{layer}.{table}")
+        path = write_layer(df, root, layer, table, observation)
         metrics[f"{layer}.{table}"] = metrics_of(df, observation, partition)
         # The folder has no schema of its own while nothing was ever written to it.
-        stored = spark.read.schema(df.schema).parquet(f"{root.rstrip('/')}/{layer}/{table}")
+        stored = spark.read.schema(df.schema).parquet(path)
         lo = F.lit(str(first)).cast("date")
         hi = F.lit(str(last or first)).cast("date")
         return stored.filter(F.col("month").between(F.trunc(lo, "month"), hi))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,15 +52,20 @@ def layer_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
-def write_layer(df: DataFrame, root: str, layer: str, table: str) -> str:
+def write_layer(
+    df: DataFrame, root: str, layer: str, table: str, observation: Observation | None = None
+) -> str:
     """I-8: replace the months present in ``df`` (column ``month``), keep the others.
 
-    The rebalance hint sizes the files and splits a month that outgrows one task.
+    The rebalance hint sizes the files and splits a month that outgrows one task. Rows are
+    observed after it, where a stage found empty is still counted.
     """
     path = layer_path(root, layer, table)
+    out = df.hint("rebalance", "month")
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("row_count"))
     (
-        df.hint("rebalance", "month")
-        .write.mode("overwrite")
+        out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("month")
         .parquet(path)
