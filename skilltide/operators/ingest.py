@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skilltide.functions.postings import as_date
 from skilltide.functions.text import strip
 from skilltide.operators.positions import global_position
+from skilltide.session import is_small
 
 
 def count_where(df: DataFrame, condition: Column | str) -> DataFrame:
@@ -28,11 +29,18 @@ def first_per_key(df: DataFrame, key: list[str], order_by: list[str]) -> DataFra
 def insert_if_absent(
     new: DataFrame, target: DataFrame | None, key: str, order_by: list[str]
 ) -> DataFrame:
-    """I-3: the rows of ``new`` to append, first write wins in the batch and over the target."""
+    """I-3: the rows of ``new`` to append, first write wins in the batch and over the target.
+
+    For a small batch the target's keys are first reduced to the ones in question, by a
+    broadcast while they are read, so a large target is not shuffled.
+    """
     winners = first_per_key(new, [key], order_by)
     if target is None:
         return winners
-    return winners.join(target.select(key), key, "left_anti")
+    stored = target.select(key)
+    if is_small(new):
+        stored = stored.join(F.broadcast(new.select(key)), key, "left_semi")
+    return winners.join(stored, key, "left_anti")
 
 
 def months(spark: SparkSession, start: dt.date | str, as_of: dt.date | str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skilltide.functions.postings import surrogate_key
 from skilltide.functions.text import tokens
+from skilltide.session import broadcast_if_small
 
 FACT_COLUMNS = (
     "job_title", "company_name", "posted_date", "url", "update_date", "salary", "location",
@@ -33,17 +34,15 @@ def with_position_id(
 ) -> DataFrame:
     """M-2: the id of each posting's position; no dimension gives null ids.
 
-    The dimension meets the distinct position names first, so a popular position is one row
-    there; the wide fact is joined on its own key only.
+    The dimension is broadcast when its count allows. ``job_table`` needs no join at all.
     """
     if dim is None:
         return fact.withColumn("position_id", F.lit(None).cast("string"))
-    names = silver.select(F.col("job_position").alias("name")).filter("name IS NOT NULL").distinct()
-    ids = names.join(dim.select("name", F.col("id").alias("position_id")), "name", "left")
+    ids = dim.select(F.col("name").alias("job_position"), F.col("id").alias("position_id"))
     positions = (
         silver.filter(F.col("job_position").isNotNull())
-        .select(F.col("_id").alias("id"), F.col("job_position").alias("name"))
-        .join(ids, "name", "left")
+        .select(F.col("_id").alias("id"), "job_position")
+        .join(broadcast_if_small(ids), "job_position", "left")
         .select("id", "position_id")
     )
     return fact.join(positions, "id", "left")
@@ -108,7 +107,8 @@ def bridge(
     if dim is None:
         out = pairs.withColumn(member_id, surrogate_key("name"))
     else:
-        out = pairs.join(dim.select("name", F.col("id").alias(member_id)), "name")
+        ids = dim.select("name", F.col("id").alias(member_id))
+        out = pairs.join(broadcast_if_small(ids), "name")
     out = out.select("job_id", *_months(silver), member_id)
     return out.distinct() if distinct else out
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from skilltide.functions.fuzzy import best_in_chunk
 from skilltide.functions.text import clean_key, strip
 from skilltide.operators.vocab import key_table
-from skilltide.session import broadcast_if_small, is_small, saved
+from skilltide.session import is_small, saved
 
 THRESHOLD = 50
 CHUNK = 1_000  # vocabulary keys one comparison row carries
@@ -24,19 +24,28 @@ SCALAR_FIELDS = ("location", "job_position")
 LIST_FIELDS = ("major", "soft_skills", "tech_stack")
 
 
-def match_exact(values: DataFrame, vocab: DataFrame) -> DataFrame:
-    """N-2: adds ``exact``, the value itself when the vocabulary has it."""
+def match_exact(values: DataFrame, vocab: DataFrame, small: bool | None = None) -> DataFrame:
+    """N-2: adds ``exact``, the value itself when the vocabulary has it.
+
+    ``small`` says whether the vocabulary may be broadcast; by default it is counted.
+    """
     known = vocab.select("category", F.col("value").alias("raw"), F.col("value").alias("exact"))
-    return values.join(broadcast_if_small(known.distinct()), ["category", "raw"], "left")
+    return values.join(_hinted(known.distinct(), vocab, small), ["category", "raw"], "left")
 
 
-def match_key(values: DataFrame, vocab: DataFrame) -> DataFrame:
+def match_key(values: DataFrame, vocab: DataFrame, small: bool | None = None) -> DataFrame:
     """N-3: adds ``by_key``, the last vocabulary value with the same cleaned key."""
     keys = key_table(vocab).select("category", "key", F.col("target").alias("by_key"))
-    return values.join(broadcast_if_small(keys), ["category", "key"], "left")
+    return values.join(_hinted(keys, vocab, small), ["category", "key"], "left")
+
 
+def _hinted(side: DataFrame, vocab: DataFrame, small: bool | None) -> DataFrame:
+    return F.broadcast(side) if (is_small(vocab) if small is None else small) else side
 
-def match_fuzzy(values: DataFrame, vocab: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+
+def match_fuzzy(
+    values: DataFrame, vocab: DataFrame, threshold: int = THRESHOLD, small: bool | None = None
+) -> DataFrame:
     """N-4: (category, key, fuzzy, score) for the distinct keys that reach the threshold.
 
     Each key is compared with whole chunks of the vocabulary and keeps one candidate per
@@ -54,7 +63,7 @@ def match_fuzzy(values: DataFrame, vocab: DataFrame, threshold: int = THRESHOLD)
         .agg(F.array_sort(F.collect_list(place)).alias("entries"))
     )
     keys = values.select("category", "key").filter(F.col("key") != "").distinct()
-    if is_small(vocab):
+    if is_small(vocab) if small is None else small:
         pairs = keys.repartition(tasks, "key").join(F.broadcast(chunks), "category")
     else:
         salted = chunks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
@@ -84,14 +93,14 @@ def resolve_values(
     """
     raw = strip("raw")
     distinct = values.select("category", raw.alias("raw")).filter(F.col("raw") != "").distinct()
-    tiers = match_key(
-        match_exact(distinct.withColumn("key", clean_key("raw")), vocab), vocab
-    )
+    small = is_small(vocab)
+    keyed = distinct.withColumn("key", clean_key("raw"))
+    tiers = match_key(match_exact(keyed, vocab, small), vocab, small)
     candidates = [F.col("exact"), F.col("by_key")]
     if threshold is not None:
         tiers = saved(tiers, "tiers")
         open_values = tiers.filter(F.coalesce(*candidates).isNull())
-        fuzzy = match_fuzzy(open_values, vocab, threshold).drop("score")
+        fuzzy = match_fuzzy(open_values, vocab, threshold, small).drop("score")
         matched = tiers.filter(F.coalesce(*candidates).isNotNull()).withColumn(
             "fuzzy", F.lit(None).cast("string")
         )

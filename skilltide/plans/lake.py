@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skilltide.operators.extract import (
+    LIST_FIELDS,
+    METADATA,
     extract_entities,
     guard_size,
-    merge_parsed,
     model_input,
     unparsed,
 )
@@ -26,9 +27,6 @@ from skilltide.schemas import PARSED_POSTING, WAREHOUSE
 from skilltide.sources.files import read_layer, write_layer
 from skilltide.sources.warehouse import load_table
 
-ENTITY_FIELDS = ("tech_stack", "soft_skills", "major", "seniority_level")
-
-
 def run_parse(
     raw: DataFrame,
     parsed: DataFrame,
@@ -39,25 +37,25 @@ def run_parse(
 ) -> DataFrame:
     """J-3: parsed postings of the raw ones not parsed yet, by vocabulary extraction.
 
-    The position is the first vocabulary position named in the text.
+    The position is the first vocabulary position named in the text. Texts end at the
+    extraction; only hits and metadata meet again.
     """
     todo = guard_size(unparsed(raw, parsed, limit), max_bytes)
     texts = todo.select("_id", model_input("job_title", "full_text_jd").alias("text"))
     found = extract_entities(texts, vocab, "_id", "text")
-    fields = F.to_json(F.map_from_entries(F.collect_list(F.struct("category", "terms"))))
-    bodies = (
-        found.filter(F.col("category").isin(*ENTITY_FIELDS))
-        .groupBy("_id")
-        .agg(fields.alias("body"))
+
+    def terms_of(category: str) -> Column:
+        return F.first(F.when(F.col("category") == category, F.col("terms")), ignorenulls=True)
+
+    fields = found.groupBy("_id").agg(
+        *[terms_of(name).alias(name) for name in LIST_FIELDS],
+        F.get(terms_of("job_position"), F.lit(0)).alias("job_position"),
     )
-    positions = found.filter("category = 'job_position'").select(
-        "_id", F.get("terms", F.lit(0)).alias("_position")
+    metadata = todo.select("_id", *[F.coalesce(c, F.lit("")).alias(c) for c in METADATA])
+    stamped = metadata.join(fields, "_id", "left").withColumns(
+        {"update_date": F.lit(str(at)), "salary": F.lit(None).cast("string")}
     )
-    ids = todo.select("_id").join(bodies, "_id", "left").join(positions, "_id", "left")
-    body = ids.select("_id", "_position", F.coalesce("body", F.lit("{}")).alias("body"))
-    merged = merge_parsed(todo, body, at).drop("job_position")
-    out = merged.join(body.select("_id", F.col("_position").alias("job_position")), "_id")
-    return out.select(*PARSED_POSTING.names)
+    return stamped.select(*PARSED_POSTING.names)
 
 
 def bronze(parsed: DataFrame, first: dt.date | str, last: dt.date | str | None = None) -> DataFrame:

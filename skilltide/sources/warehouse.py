@@ -79,3 +79,16 @@ def load_jdbc(
         url, table, mode="overwrite" if month is None else "append", properties=properties or {}
     )
     return True
+
+
+def save_serving(tables: dict[str, DataFrame], schema: str, root: str, buckets: int) -> None:
+    """Keep the serving tables as catalog tables, jobs and pairs bucketed by the job, so the
+    joins between them need no shuffle."""
+    spark = tables["jobs"].sparkSession
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    bucketed = {"jobs": "id", "job_skills": "job_id"}
+    for name, df in tables.items():
+        writer = df.write.mode("overwrite").option("path", f"{root.rstrip('/')}/{name}")
+        if name in bucketed:
+            writer = writer.bucketBy(buckets, bucketed[name]).sortBy(bucketed[name])
+        writer.saveAsTable(f"{schema}.{name}")

@@ -9,6 +9,7 @@ from skilltide.operators import normalize as n
 from skilltide.registry import REGISTRY, shapes
 from skilltide.registry.core import AS_OF, table
 from skilltide.session import saved
+from skilltide.sources.warehouse import save_serving
 
 FUZZY = {"n4_match_fuzzy", "x18_token_set_ratio"}
 WRITES = ("i8", "i9", "i22", "j", "l", "m7")
@@ -64,3 +65,26 @@ def test_pairs_are_not_shuffled_for_few_matched_jobs(spark, sf_dir):
     text = plan(q.skill_stats(matched, pairs, saved(s.skills, "skills")))
     join = text.index("BroadcastHashJoin [job_id")
     assert "Exchange hashpartitioning(job_id" not in text and join > 0
+
+
+def test_bucketed_serving_tables_join_without_a_shuffle(spark, sf_dir, tmp_path):
+    s = shapes.serving(spark, sf_dir)
+    tables = {"jobs": s.jobs, "skills": s.skills, "job_skills": s.job_skills}
+    save_serving(tables, "serving_test", str(tmp_path), 4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        jobs, pairs = spark.table("serving_test.jobs"), spark.table("serving_test.job_skills")
+        assert "Exchange" not in plan(jobs.join(pairs, jobs["id"] == pairs["job_id"]))
+        assert jobs.count() == s.jobs.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql("DROP SCHEMA serving_test CASCADE")
+
+
+def test_large_target_is_not_shuffled_for_a_small_batch(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    target = saved(events.filter("event_id > 10"), "target")
+    text = plan(i.insert_if_absent(events, target, "event_id", ["ts"]))
+    scan = text[text.index("LeftSemi") :]
+    assert "LeftSemi" in text and "Exchange hashpartitioning" not in scan
