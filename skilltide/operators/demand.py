@@ -146,23 +146,33 @@ def match_alias_title(
 
     ``few`` is the hint for request-sized sides; by default the requests are counted for it.
     """
-    words = match_alias(requests, alias).select("request_id", tokens("job_word").alias("terms"))
-    return _match_terms(titles, words, few or broadcaster(requests))
+    asked = _alias_terms(requests, alias)
+    return _match_terms(titles, asked, few or broadcaster(requests)).drop("tier")
 
 
 def match_direct(titles: DataFrame, requests: DataFrame, few: Hint | None = None) -> DataFrame:
     """Q-5: (job_title, request_id) where the title has all tokens of the raw input."""
-    words = requests.select("request_id", tokens("job_title").alias("terms"))
-    return _match_terms(titles, words, few or broadcaster(requests))
+    asked = _direct_terms(requests)
+    return _match_terms(titles, asked, few or broadcaster(requests)).drop("tier")
+
+
+def _alias_terms(requests: DataFrame, alias: DataFrame) -> DataFrame:
+    return match_alias(requests, alias).select(
+        "request_id", F.lit(1).alias("tier"), tokens("job_word").alias("terms")
+    )
+
+
+def _direct_terms(requests: DataFrame) -> DataFrame:
+    return requests.select("request_id", F.lit(2).alias("tier"), tokens("job_title").alias("terms"))
 
 
 def _match_terms(titles: DataFrame, asked: DataFrame, few: Hint) -> DataFrame:
-    """Titles that hold all terms. Each request is joined on its rarest term only, then the
-    others are checked on the title's own token list."""
+    """(job_title, request_id, tier) of the titles that hold all terms. Each row of ``asked`` is
+    joined on its rarest term only, then the others are checked on the title's own token list."""
     index = titles.select("job_title", tokens("job_title").alias("title_tokens")).withColumn(
         "term", F.explode_outer("title_tokens")
     )
-    terms = asked.select("request_id", "terms", F.explode("terms").alias("term"))
+    terms = asked.withColumn("term", F.explode("terms"))
     weight = (
         index.select("term")
         .join(few(terms.select("term")), "term", "left_semi")
@@ -171,7 +181,7 @@ def _match_terms(titles: DataFrame, asked: DataFrame, few: Hint) -> DataFrame:
     )
     anchors = (
         weight.join(few(terms), "term")
-        .groupBy("request_id")
+        .groupBy("request_id", "tier")
         .agg(
             F.min_by("term", F.struct("n", "term")).alias("term"),
             F.first("terms").alias("terms"),
@@ -180,7 +190,7 @@ def _match_terms(titles: DataFrame, asked: DataFrame, few: Hint) -> DataFrame:
     return (
         index.join(few(anchors), "term")
         .filter(all_terms_match("title_tokens", "terms"))
-        .select("job_title", "request_id")
+        .select("job_title", "request_id", "tier")
     )
 
 
@@ -218,12 +228,10 @@ def title_tiers(
 ) -> DataFrame:
     """(job_title, request_id, tier): the first tier that holds for each distinct title."""
     few = few or broadcaster(requests)
-    hits = [
-        match_alias_title(titles, requests, alias, few).withColumn("tier", F.lit(1)),
-        match_direct(titles, requests, few).withColumn("tier", F.lit(2)),
-        match_fuzzy_title(titles, requests, few).withColumn("tier", F.lit(3)),
-    ]
-    union = hits[0].unionByName(hits[1]).unionByName(hits[2])
+    asked = _alias_terms(requests, alias).unionByName(_direct_terms(requests))
+    exact = _match_terms(titles, asked, few)
+    fuzzy = match_fuzzy_title(titles, requests, few).withColumn("tier", F.lit(3))
+    union = exact.unionByName(fuzzy)
     return union.groupBy("job_title", "request_id").agg(F.min("tier").alias("tier"))
 
 

@@ -7,6 +7,8 @@ costs more than the layer at hand.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +26,11 @@ from skilltide.operators.model import gold_tables, metrics_of
 from skilltide.operators.normalize import THRESHOLD, field_mapping, silver_postings
 from skilltide.operators.vocab import evolve_vocab, new_values
 from skilltide.schemas import PARSED_POSTING, WAREHOUSE
+from skilltide.session import saved
 from skilltide.sources.files import read_layer, write_layer
 from skilltide.sources.warehouse import load_table
 
+
 def run_parse(
     raw: DataFrame,
     parsed: DataFrame,
@@ -40,7 +44,12 @@ def run_parse(
     The position is the first vocabulary position named in the text. Texts end at the
     extraction; only hits and metadata meet again.
     """
-    todo = guard_size(unparsed(raw, parsed, limit), max_bytes)
+    todo = unparsed(raw, parsed)
+    if limit is not None:
+        # A limit may pick other rows each time it is read, so the batch is kept.
+        batch = saved(unparsed(raw.select("_id"), parsed, limit), "batch")
+        todo = raw.join(batch, "_id", "left_semi")
+    todo = guard_size(todo, max_bytes)
     texts = todo.select("_id", model_input("job_title", "full_text_jd").alias("text"))
     found = extract_entities(texts, vocab, "_id", "text")
 
@@ -66,6 +75,12 @@ def bronze(parsed: DataFrame, first: dt.date | str, last: dt.date | str | None =
     return rows.withColumn("month", month.try_cast("date"))
 
 
+def _at_once(writes: list[Callable[[], object]]) -> list[object]:
+    """Independent small writes side by side, so their tasks share the cluster."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return list(pool.map(lambda write: write(), writes))
+
+
 def _run(
     parsed: DataFrame,
     vocab: DataFrame,
@@ -91,8 +106,8 @@ def _run(
     bronze_rows = keep(bronze(parsed, first, last), "bronze", "job_descriptions")
     mapping = field_mapping(bronze_rows, vocab, threshold=threshold)
     silver = keep(silver_postings(bronze_rows, mapping), "silver", "job_descriptions")
-    for table, df in gold_tables(silver).items():
-        keep(df, "gold", table)
+    gold = gold_tables(silver)
+    _at_once([lambda t=t, df=df: keep(df, "gold", t) for t, df in gold.items()])
     added = new_values(mapping)
     evolve_vocab(vocab, added).write.mode("overwrite").parquet(f"{root.rstrip('/')}/vocab/{partition}")
     return metrics
@@ -125,9 +140,9 @@ def run_warehouse(
     spark: SparkSession, lake: str, warehouse: str, month: dt.date | str
 ) -> dict[str, bool]:
     """J-2: load one month of the eight gold tables; says which had rows."""
-    return {
-        table: load_table(
-            read_layer(spark, lake, "gold", table, month).drop("month"), warehouse, table, month
-        )
-        for table in WAREHOUSE
-    }
+
+    def load(table: str) -> bool:
+        rows = read_layer(spark, lake, "gold", table, month).drop("month")
+        return load_table(rows, warehouse, table, month)
+
+    return dict(zip(WAREHOUSE, _at_once([lambda t=t: load(t) for t in WAREHOUSE])))

@@ -259,3 +259,5 @@ def test_run_parse(spark):
     assert set(got) == {"1", "2"}
     assert got["1"]["tech_stack"] == ["Java"] and got["1"]["job_position"] == "Backend Developer"
     assert got["1"]["seniority_level"] == ["Senior"] and got["2"]["tech_stack"] is None
+    one = lake.run_parse(raw, raw.filter("_id = '3'"), vocab, "2025-02-02", limit=1).collect()
+    assert len(one) == 1 and str(one[0]) == str(got[one[0]["_id"]])
