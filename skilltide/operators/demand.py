@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skilltide.functions._cols import ColumnOrName, col_of
-from skilltide.functions.postings import as_date, months_ago
+from skilltide.functions.postings import months_ago
 from skilltide.functions.text import (
     all_terms_match,
     contains_either_way,
@@ -199,9 +199,8 @@ def match_fuzzy_title(
 ) -> DataFrame:
     """Q-6: (job_title, request_id) where some blank-separated title token is similar to the
     raw input. Shared trigrams are counted per distinct token, not per title."""
-    words = titles.select(
-        "job_title", F.explode_outer(F.array_distinct(space_tokens(fold("job_title")))).alias("word")
-    )
+    split = F.array_distinct(space_tokens(fold("job_title")))
+    words = titles.select("job_title", F.explode_outer(split).alias("word"))
     grams = (
         words.select("word")
         .distinct()
@@ -336,9 +335,7 @@ def skill_stats(matched: DataFrame, job_skills: DataFrame, skills: DataFrame) ->
         .groupBy("request_id", "skill_id")
         .agg(F.count("*").alias("n"))
     )
-    named = skills.select(
-        F.col("id").alias("skill_id"), F.col("name").alias("skill_name"), F.col("type").alias("skill_type")
-    )
+    named = _named(skills)
     return (
         counted.join(named, "skill_id")
         .groupBy("request_id", "skill_name", "skill_type")
@@ -353,6 +350,14 @@ def skill_freq(stats: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
+def _named(skills: DataFrame) -> DataFrame:
+    return skills.select(
+        F.col("id").alias("skill_id"),
+        F.col("name").alias("skill_name"),
+        F.col("type").alias("skill_type"),
+    )
+
+
 # Pages ---------------------------------------------------------------------------------------
 
 PAGE_COLUMNS = (
@@ -374,7 +379,8 @@ def _page_row(df: DataFrame) -> DataFrame:
 
 def skill_page(freq: DataFrame, request: Request) -> DataFrame:
     """Q-11 for one request: a top-k."""
-    after = _after_cursor(F.lit(request.last_freq).cast("double"), F.lit(request.last_name).cast("string"))
+    last_freq, last_name = F.lit(request.last_freq), F.lit(request.last_name)
+    after = _after_cursor(last_freq.cast("double"), last_name.cast("string"))
     return _page_row(
         freq.filter(after)
         .orderBy(F.desc("frequency_percent"), F.asc("skill_name"))
@@ -467,9 +473,7 @@ def skill_frequency_stats(jobs: DataFrame, job_skills: DataFrame, skills: DataFr
         .groupBy(*group, "skill_id")
         .agg(F.count("*").alias("skill_count"))
     )
-    named = skills.select(
-        F.col("id").alias("skill_id"), F.col("name").alias("skill_name"), F.col("type").alias("skill_type")
-    )
+    named = _named(skills)
     return (
         counted.join(named, "skill_id")
         .join(totals, group)

@@ -44,7 +44,8 @@ def guard_size(df: DataFrame, max_bytes: int, text: str = "full_text_jd") -> Dat
         {
             text: F.when(too_large, F.lit(OVERSIZE_TEXT)).otherwise(F.col(text)),
             "error": F.when(
-                too_large, F.concat(F.lit(f"{OVERSIZE_TEXT}: "), size.cast("string"), F.lit(" bytes"))
+                too_large,
+                F.concat(F.lit(f"{OVERSIZE_TEXT}: "), size.cast("string"), F.lit(" bytes")),
             ),
         }
     )

@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skilltide.functions.postings import as_date
+from skilltide.functions.postings import as_date, posting_hash, source_id_path
 from skilltide.functions.text import strip
 from skilltide.operators.positions import global_position
+from skilltide.schemas import RAW_POSTING
 from skilltide.session import is_small
 
 
@@ -79,6 +80,36 @@ def conform(df: DataFrame, mapping: dict[str, str | Column]) -> DataFrame:
     )
 
 
+def from_alt_posting(df: DataFrame, source: str) -> DataFrame:
+    """I-16: the second raw shape as the first, hashed like it. A date it lacks is ''."""
+    posted = F.col("date_post")
+    return conform(
+        df,
+        {
+            "hash": posting_hash("company_name", "title", posted),
+            "source": F.lit(source),
+            "source_id": source_id_path("url"),
+            "url": "url",
+            "job_title": "title",
+            "company_name": "company_name",
+            "posted_date": posted,
+            "full_text_jd": "requirements",
+        },
+    )
+
+
+def raw_postings(
+    listing: DataFrame, texts: DataFrame, at: dt.datetime | str, legacy_order: bool = False
+) -> DataFrame:
+    """Listing rows with the text of their page (url, full_text_jd) as raw postings: invalid
+    ones dropped, hash and update time added."""
+    rows = valid_postings(listing.join(texts.select("url", "full_text_jd"), "url"))
+    hashed = rows.withColumn(
+        "hash", posting_hash("company_name", "job_title", "posted_date", legacy_order)
+    )
+    return stamp_update(hashed, at).select(*RAW_POSTING.names)
+
+
 def union_sources(*frames: DataFrame) -> DataFrame:
     """I-16: union by name, a column one source lacks is null."""
     out = frames[0]

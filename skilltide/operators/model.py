@@ -183,12 +183,8 @@ def serving_tables(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
         .groupBy("id", "name")
         .agg(F.max("type").alias("type"))  # 'tech' sorts after 'soft'
     )
-    pairs = (
-        gold["job_tech_skill_mapping"]
-        .select("job_id", F.col("tech_skill_id").alias("skill_id"))
-        .unionByName(
-            gold["job_soft_skill_mapping"].select("job_id", F.col("soft_skill_id").alias("skill_id"))
-        )
-        .distinct()
-    )
+    tech_id, soft_id = F.col("tech_skill_id"), F.col("soft_skill_id")
+    tech_pairs = gold["job_tech_skill_mapping"].select("job_id", tech_id.alias("skill_id"))
+    soft_pairs = gold["job_soft_skill_mapping"].select("job_id", soft_id.alias("skill_id"))
+    pairs = tech_pairs.unionByName(soft_pairs).distinct()
     return {"jobs": jobs, "skills": skills, "job_skills": pairs}

@@ -173,14 +173,11 @@ def apply_mapping(
         return out
     lookup = mapping.select(F.col("category").alias("field"), "raw", "value")
     items = _items(df, (), lists, key).join(lookup, ["field", "raw"])
-    grouped = items.groupBy(key).agg(
-        *[
-            F.array_sort(F.collect_list(F.when(F.col("field") == f, F.struct("pos", "value")))).alias(
-                f"_{f}"
-            )
-            for f in lists
-        ]
-    )
+
+    def items_of(name: str) -> Column:
+        return F.collect_list(F.when(F.col("field") == name, F.struct("pos", "value")))
+
+    grouped = items.groupBy(key).agg(*[F.array_sort(items_of(f)).alias(f"_{f}") for f in lists])
     out = out.join(grouped, key, "left")
     for field in lists:
         kept = F.transform(F.col(f"_{field}"), lambda p: p["value"])
@@ -193,7 +190,11 @@ def apply_mapping(
 
 
 def normalize_scalar(
-    df: DataFrame, column: str, vocab: DataFrame, threshold: int | None = THRESHOLD, key: str = "_id"
+    df: DataFrame,
+    column: str,
+    vocab: DataFrame,
+    threshold: int | None = THRESHOLD,
+    key: str = "_id",
 ) -> DataFrame:
     """N-6: the column's category has the column's name."""
     mapping = field_mapping(df, vocab, (column,), (), threshold, key)
@@ -201,14 +202,20 @@ def normalize_scalar(
 
 
 def normalize_list(
-    df: DataFrame, column: str, vocab: DataFrame, threshold: int | None = THRESHOLD, key: str = "_id"
+    df: DataFrame,
+    column: str,
+    vocab: DataFrame,
+    threshold: int | None = THRESHOLD,
+    key: str = "_id",
 ) -> DataFrame:
     """N-7"""
     mapping = field_mapping(df, vocab, (), (column,), threshold, key)
     return apply_mapping(df, mapping, (), (column,), key)
 
 
-def silver_location(df: DataFrame, vocab: DataFrame, threshold: int | None = THRESHOLD) -> DataFrame:
+def silver_location(
+    df: DataFrame, vocab: DataFrame, threshold: int | None = THRESHOLD
+) -> DataFrame:
     """N-8"""
     return normalize_scalar(df, "location", vocab, threshold).drop("location")
 

@@ -15,9 +15,8 @@ EVOLVING = ("tech_stack", "soft_skills", "job_position")
 
 def with_keys(entries: DataFrame) -> DataFrame:
     """Vocabulary rows (category, value, ord) with their cleaned key."""
-    return entries.select(
-        "category", "value", F.col("ord").cast("bigint").alias("ord"), clean_key("value").alias("key")
-    )
+    order = F.col("ord").cast("bigint").alias("ord")
+    return entries.select("category", "value", order, clean_key("value").alias("key"))
 
 
 def load_vocab(spark: SparkSession, path: str) -> DataFrame:

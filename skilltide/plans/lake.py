@@ -27,7 +27,7 @@ from skilltide.operators.normalize import THRESHOLD, field_mapping, silver_posti
 from skilltide.operators.vocab import evolve_vocab, new_values
 from skilltide.schemas import PARSED_POSTING, WAREHOUSE
 from skilltide.session import saved
-from skilltide.sources.files import read_layer, write_layer
+from skilltide.sources.files import layer_path, read_layer, write_layer
 from skilltide.sources.warehouse import load_table
 
 
@@ -109,7 +109,8 @@ def _run(
     gold = gold_tables(silver)
     _at_once([lambda t=t, df=df: keep(df, "gold", t) for t, df in gold.items()])
     added = new_values(mapping)
-    evolve_vocab(vocab, added).write.mode("overwrite").parquet(f"{root.rstrip('/')}/vocab/{partition}")
+    following = layer_path(root, "vocab", partition)
+    evolve_vocab(vocab, added).write.mode("overwrite").parquet(following)
     return metrics
 
 

@@ -159,8 +159,9 @@ def from_job_html(df: DataFrame, html: str = "html", keep: tuple[str, ...] = ("u
     content = "job-detail__info--section-content-"
 
     def company(item: str) -> Column:
-        block = rf'(?s)<div[^>]*class="{info}{item}"[^>]*>.*?<div[^>]*class="company-value"[^>]*>(.*?)</div>'
-        return inner_text(F.regexp_extract(col_of(html), block, 1))
+        block = rf'(?s)<div[^>]*class="{info}{item}"[^>]*>.*?'
+        value = r'<div[^>]*class="company-value"[^>]*>(.*?)</div>'
+        return inner_text(F.regexp_extract(col_of(html), block + value, 1))
 
     return df.select(
         *keep,

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from skilltide.operators import checks
 from skilltide.operators import extract as e
@@ -12,7 +11,7 @@ from skilltide.operators import model as m
 from skilltide.operators import vocab as v
 from skilltide.operators.positions import global_position
 from skilltide.plans import lake
-from skilltide.schemas import PARSED_POSTING, RAW_POSTING, WAREHOUSE
+from skilltide.schemas import PARSED_POSTING, RAW_POSTING, RAW_POSTING_ALT, WAREHOUSE
 from skilltide.sources import files, listings
 from skilltide.sources.warehouse import load_table, read_table
 from skilltide.streaming.ingest import ingest_stream
@@ -64,6 +63,20 @@ def test_valid_postings_and_rejects(spark):
     assert df.filter(~i.posting_is_valid()).count() == 4
 
 
+def test_land_listing_and_second_shape(spark):
+    body = ('{"data": [{"id": 1, "title": "Dev", "company": {"display_name": "Acme"}, "detail_url": "https://j/1",'
+            ' "refreshed": {"date": "2025-01-02 x"}, "addresses": {"sort_addresses": "A, Ha Noi"}},'
+            ' {"id": 2, "title": "No company", "detail_url": "https://j/2"}]}')
+    listing = listings.from_listing_a(spark.createDataFrame([(body,)], "body STRING"), source="a")
+    texts = spark.createDataFrame([("https://j/1", "text"), ("https://j/2", "text")], "url STRING, full_text_jd STRING")
+    landed = i.raw_postings(listing, texts, "2025-01-03 00:00:00")
+    other = spark.createDataFrame([("https://k/dev-9?x", "Dev", "2025-01-02", "Acme", "f", "s", "e", "req")], RAW_POSTING_ALT)
+    both = i.union_sources(landed, i.from_alt_posting(other, "e"))
+    got = both.select("source", "source_id", "location", "full_text_jd", "hash").collect()
+    assert [tuple(r)[:4] for r in got] == [("a", "1", "Ha Noi", "text"), ("e", "9", None, "req")]
+    assert i.insert_if_absent(both, None, "hash", ["source"]).count() == 1
+
+
 def test_listing_b_without_places(spark):
     body = ('{"data": [{"jobTitle": "t", "companyName": "c", "jobUrl": "", "alias": "dev-", "jobId": 7,'
             ' "approvedOn": "2025-01-02T00:00:00"},'
