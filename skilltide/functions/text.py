@@ -53,17 +53,25 @@ def strip(c: ColumnOrName) -> Column:
 def fold(c: ColumnOrName) -> Column:
     """X-8: lower case without accents. Marks left over by decomposed input are deleted,
     because ``translate`` drops the characters that have no counterpart."""
+    lower = F.lower(col_of(c))
     source = _ACCENTED + "".join(FOLD_SINGLE) + _MARKS
     target = _PLAIN + "".join(FOLD_SINGLE.values())
-    out = F.translate(F.lower(col_of(c)), source, target)
+    out = F.translate(lower, source, target)
     for char, plain in FOLD_DOUBLE.items():
         out = F.replace(out, F.lit(char), F.lit(plain))
-    return out
+    return F.when(_is_ascii(lower), lower).otherwise(out)
+
+
+def _is_ascii(c: Column) -> Column:
+    """As many bytes as characters: a cheap test that spares plain text the character table."""
+    return F.octet_length(c) == F.char_length(c)
 
 
 def client_fold(c: ColumnOrName) -> Column:
     """X-9: strip decomposable accents, lower, collapse white space, trim."""
-    plain = F.translate(F.lower(col_of(c)), _ACCENTED + _MARKS, _PLAIN)
+    lower = F.lower(col_of(c))
+    folded = F.translate(lower, _ACCENTED + _MARKS, _PLAIN)
+    plain = F.when(_is_ascii(lower), lower).otherwise(folded)
     return strip(F.regexp_replace(plain, f"[{_WS_CLASS}]+", " "))
 
 

@@ -13,7 +13,9 @@ from skilltide.functions.text import fold
 from skilltide.schemas import SENIORITY_LEVELS
 from skilltide.session import BROADCAST_ROWS, is_small
 
+# Fixed value: the text that stands for an oversized one.
 OVERSIZE_TEXT = "Document too large to process"
+
 METADATA = ("job_title", "company_name", "location", "posted_date", "url")
 TEXT_FIELDS = ("salary", "job_position")
 LIST_FIELDS = ("seniority_level", "tech_stack", "soft_skills", "major")
@@ -67,7 +69,7 @@ def render_prompt(df: DataFrame, vocab: DataFrame, output_format: str, text: str
         raise ValueError(f"a prompt cannot hold more than {BROADCAST_ROWS} vocabulary terms")
 
     def terms(category: str) -> Column:
-        rows = F.array_sort(
+        rows = F.sort_array(
             F.collect_list(F.when(F.col("category") == category, F.struct("ord", "value")))
         )
         return F.array_join(F.transform(rows, lambda r: r["value"]), ", ")
@@ -184,7 +186,7 @@ def extract_entities(df: DataFrame, vocab: DataFrame, key: str, text: str) -> Da
     else:
         grams = _all_grams(texts, terms, key)
     hits = grams.join(terms.drop("n"), "term")
-    return hits.groupBy(key, "category").agg(F.array_sort(F.collect_set("value")).alias("terms"))
+    return hits.groupBy(key, "category").agg(F.sort_array(F.collect_set("value")).alias("terms"))
 
 
 def extract_levels(text: ColumnOrName, levels: list[str] | None = None) -> Column:

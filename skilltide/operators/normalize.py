@@ -60,7 +60,7 @@ def match_fuzzy(
     chunks = (
         key_table(vocab)
         .groupBy("category", F.floor(F.col("first_ord") / CHUNK).alias("chunk"))
-        .agg(F.array_sort(F.collect_list(place)).alias("entries"))
+        .agg(F.sort_array(F.collect_list(place)).alias("entries"))
     )
     keys = values.select("category", "key").filter(F.col("key") != "").distinct()
     if is_small(vocab) if small is None else small:
@@ -112,23 +112,15 @@ def resolve_values(
     )
 
 
-def _struct_items(field: str, is_list: bool) -> Column:
-    """The (field, pos, raw) items of one column, blanks dropped."""
-    as_list = F.col(field) if is_list else F.array(F.col(field))
-    items = F.transform(
-        as_list,
-        lambda v, i: F.struct(F.lit(field).alias("field"), i.alias("pos"), strip(v).alias("raw")),
-    )
-    kept = F.filter(items, lambda item: F.coalesce(item["raw"], F.lit("")) != "")
-    return F.coalesce(kept, F.array().cast("array<struct<field:string,pos:int,raw:string>>"))
-
-
 def _items(df: DataFrame, scalars: tuple[str, ...], lists: tuple[str, ...], key: str) -> DataFrame:
-    """Items of all fields. The outer explode spares a filter that would build them twice; the
-    null item of a row without items has no field and meets nothing."""
-    columns = [_struct_items(f, False) for f in scalars] + [_struct_items(f, True) for f in lists]
-    return df.select(key, F.explode_outer(F.concat(*columns)).alias("i")).select(
-        key, "i.field", "i.pos", "i.raw"
+    """(key, field, pos, raw) of all fields, trimmed, blanks dropped."""
+    columns = [(f, F.array(F.col(f))) for f in scalars] + [(f, F.col(f)) for f in lists]
+    fields = [F.struct(F.lit(f).alias("field"), c.alias("items")) for f, c in columns]
+    return (
+        df.select(key, F.inline(F.array(*fields)))
+        .select(key, "field", F.posexplode("items").alias("pos", "raw"))
+        .withColumn("raw", strip("raw"))
+        .filter(F.col("raw") != "")
     )
 
 
@@ -177,7 +169,7 @@ def apply_mapping(
     def items_of(name: str) -> Column:
         return F.collect_list(F.when(F.col("field") == name, F.struct("pos", "value")))
 
-    grouped = items.groupBy(key).agg(*[F.array_sort(items_of(f)).alias(f"_{f}") for f in lists])
+    grouped = items.groupBy(key).agg(*[F.sort_array(items_of(f)).alias(f"_{f}") for f in lists])
     out = out.join(grouped, key, "left")
     for field in lists:
         kept = F.transform(F.col(f"_{field}"), lambda p: p["value"])

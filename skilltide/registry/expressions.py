@@ -219,7 +219,7 @@ _DOC_TOKENS = TOKENS.format(FOLD.format("text"))
 )
 def x13(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
-        "doc_id", F.array_join(F.array_sort(t.tokens("text")), " ").alias("tokens")
+        "doc_id", F.array_join(F.sort_array(t.tokens("text")), " ").alias("tokens")
     )
 
 
@@ -255,7 +255,7 @@ def x14(spark, sf_dir):
 )
 def x15(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", F.array_join(F.array_sort(t.trigrams("text")), "|").alias("grams")
+        "conv_id", "turn", F.array_join(F.sort_array(t.trigrams("text")), "|").alias("grams")
     )
 
 

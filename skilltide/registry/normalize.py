@@ -80,7 +80,7 @@ def _text(column):
 )
 def n1(spark, sf_dir):
     path = scratch_dir(spark, "vocab")
-    entries = F.array_sort(F.collect_list(F.struct("ord", "value")))
+    entries = F.sort_array(F.collect_list(F.struct("ord", "value")))
     lists = shape(spark, sf_dir, "vocab").groupBy("category").agg(entries.alias("e"))
     whole = F.map_from_entries(
         F.collect_list(F.struct("category", F.transform("e", lambda x: x["value"])))

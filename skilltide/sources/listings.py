@@ -30,6 +30,19 @@ CARD_FIELDS = {
     "url": r'(?s)<a[^>]*class="[^"]*base-card__full-link[^"]*"[^>]*href="([^"]*)"',
 }
 
+# Marker, classes and labels on a job page of the fifth source.
+JOB_PAGE = {
+    "title_marker": "làm việc tại",
+    "company_class": "company-name",
+    "company_item_class": "job-detail__company--information-item company-",
+    "company_value_class": "company-value",
+    "label_class": "job-detail__info--section-content-title",
+    "value_class": "job-detail__info--section-content-value",
+    "experience_label": "kinh nghiệm",
+    "section_class": "job-description__item",
+    "requirements_label": "yêu cầu ứng viên",
+}
+
 
 def _items(df: DataFrame, column: str, schema) -> DataFrame:
     parsed = F.from_json(col_of(column), schema)
@@ -155,27 +168,28 @@ def section_text(html: ColumnOrName, section: str, heading: str, label: str) ->
 
 def from_job_html(df: DataFrame, html: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """I-13: fields of a job page of the fifth source."""
-    info = "job-detail__company--information-item company-"
-    content = "job-detail__info--section-content-"
+    page = JOB_PAGE
 
     def company(item: str) -> Column:
-        block = rf'(?s)<div[^>]*class="{info}{item}"[^>]*>.*?'
-        value = r'<div[^>]*class="company-value"[^>]*>(.*?)</div>'
+        block = rf'(?s)<div[^>]*class="{page["company_item_class"]}{item}"[^>]*>.*?'
+        value = rf'<div[^>]*class="{page["company_value_class"]}"[^>]*>(.*?)</div>'
         return inner_text(F.regexp_extract(col_of(html), block + value, 1))
 
+    experience = labelled_value(
+        html, page["label_class"], page["value_class"], page["experience_label"]
+    )
+    requirements = section_text(
+        html,
+        rf'(?s)<div[^>]*class="{page["section_class"]}"[^>]*>(.*?</div>)',
+        r"(?s)<h3[^>]*>(.*?)</h3>",
+        page["requirements_label"],
+    )
     return df.select(
         *keep,
-        page_title(html, "làm việc tại").alias("title"),
-        block_text(html, "div", "company-name").alias("company_name"),
+        page_title(html, page["title_marker"]).alias("title"),
+        block_text(html, "div", page["company_class"]).alias("company_name"),
         company("field").alias("company_field"),
         company("scale").alias("company_scope"),
-        labelled_value(html, f"{content}title", f"{content}value", "kinh nghiệm").alias(
-            "experience"
-        ),
-        section_text(
-            html,
-            r'(?s)<div[^>]*class="job-description__item"[^>]*>(.*?</div>)',
-            r"(?s)<h3[^>]*>(.*?)</h3>",
-            "yêu cầu ứng viên",
-        ).alias("requirements"),
+        experience.alias("experience"),
+        requirements.alias("requirements"),
     )
