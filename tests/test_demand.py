@@ -104,6 +104,20 @@ def test_batch_equals_single_requests(spark, serving):
     assert meta[5] == 0 and meta[3] == 2
 
 
+def test_shuffle_joins_give_the_same(spark, serving, monkeypatch):
+    requests = q.requests_frame(
+        spark, [q.Request(t, request_id=n) for n, t in enumerate(("java", "de", "javaa", "zzz"))]
+    )
+    expected = sorted(map(str, q.skill_demand_batch(serving, requests, AS_OF).collect()))
+    monkeypatch.setattr(q, "broadcaster", lambda df: lambda side: side)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(str, q.skill_demand_batch(serving, requests, AS_OF).collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_whole_keyword_alias(spark, serving):
     asked = q.requests_frame(spark, [q.Request("Dev Ops", request_id=1), q.Request("my dev ops", request_id=2)])
     got = {r["request_id"]: r["job_word"] for r in q.match_alias(asked, serving.alias).collect()}

@@ -21,7 +21,9 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_insert_twice_is_insert_once(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_insert_twice_is_insert_once(spark, monkeypatch, small):
+    monkeypatch.setattr(i, "is_small", lambda df: small)
     new = spark.createDataFrame([("h1", 2, "b"), ("h1", 1, "a"), ("h2", 3, "c")], "hash STRING, n INT, x STRING")
     first = i.insert_if_absent(new, None, "hash", ["n"])
     assert rows(first) == [("h1", 1, "a"), ("h2", 3, "c")]
