@@ -102,19 +102,23 @@ _BEST = T.StructType(
 
 
 def best_in_chunk(threshold: int):
-    """UDF (key, chunk id, candidate keys) -> (score, index of the first best candidate)."""
+    """UDF (key, chunk name, candidate keys) -> (score, index of the first best candidate).
+
+    Rows with the same chunk name must have the same candidates: they are prepared once.
+    """
 
     @F.pandas_udf(_BEST)
-    def scorer(keys: pd.Series, chunk_ids: pd.Series, candidates: pd.Series) -> pd.DataFrame:
-        prepared: dict[int, list[Prepared]] = {}
+    def scorer(keys: pd.Series, chunks: pd.Series, candidates: pd.Series) -> pd.DataFrame:
+        prepared: dict[str, list[Prepared]] = {}
         scores, positions = [], []
-        for key, chunk_id, options in zip(keys, chunk_ids, candidates):
-            if chunk_id not in prepared:
-                prepared.clear()
-                prepared[chunk_id] = [Prepared(o) for o in options]
+        for key, chunk, options in zip(keys, chunks, candidates):
+            if chunk not in prepared:
+                if len(prepared) == 16:
+                    prepared.clear()
+                prepared[chunk] = [Prepared(o) for o in options]
             value = Prepared(key)
             best, position = -1, -1
-            for i, option in enumerate(prepared[chunk_id]):
+            for i, option in enumerate(prepared[chunk]):
                 score = token_set_score(value, option, max(threshold, best + 1))
                 if score > best:
                     best, position = score, i

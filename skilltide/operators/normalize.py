@@ -69,8 +69,9 @@ def match_fuzzy(
         salted = chunks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
         spread = keys.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(tasks)).cast("int"))
         pairs = spread.join(salted, ["category", "salt"])
+    name = F.concat_ws("/", pairs["category"], pairs["chunk"].cast("string"))
     best = best_in_chunk(threshold)(
-        pairs["key"], pairs["chunk"], F.transform(pairs["entries"], lambda e: e["key"])
+        pairs["key"], name, F.transform(pairs["entries"], lambda e: e["key"])
     )
     scored = (
         pairs.withColumn("best", best)

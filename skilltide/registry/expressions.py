@@ -8,7 +8,7 @@ from skilltide.functions import postings as p
 from skilltide.functions import text as t
 from skilltide.functions.fuzzy import token_set_ratio
 from skilltide.registry.core import AS_OF, query, table
-from skilltide.sources.listings import inner_text
+from skilltide.registry.fuzzy import PAIR_SCORES, recursive
 
 # The comparison SQL's accent folding and trimming.
 FOLD = (
@@ -283,12 +283,22 @@ def x17(spark, sf_dir):
     )
 
 
-@query("x18_token_set_ratio")
+@query(
+    "x18_token_set_ratio",
+    recursive(
+        f"""WITH pairs AS (
+              SELECT p_partkey, concat(p_name, ' ', p_type) AS l,
+                     concat(p_brand, '-', p_type, ' ', split_part(p_name, ' ', 2), 's') AS r FROM part),
+            score_pairs AS (SELECT l, r FROM pairs), {PAIR_SCORES.strip()}
+            SELECT p_partkey, score FROM pairs JOIN pair_scores USING (l, r)"""
+    ),
+)
 def x18(spark, sf_dir):
-    heads = _headlines(spark, sf_dir).select(
-        "page_id", inner_text("title").alias("a"), inner_text("lead").alias("b")
-    )
-    return heads.select("page_id", token_set_ratio(F.col("a"), F.col("b")).alias("score"))
+    left = F.concat("p_name", F.lit(" "), "p_type")
+    noun = F.split_part("p_name", F.lit(" "), F.lit(2))
+    right = F.concat("p_brand", F.lit("-"), "p_type", F.lit(" "), noun, F.lit("s"))
+    parts = table(spark, sf_dir, "part")
+    return parts.select("p_partkey", token_set_ratio(left, right).alias("score"))
 
 
 @query(

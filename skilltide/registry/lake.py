@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skilltide.operators import model as m
-from skilltide.operators.vocab import with_keys
 from skilltide.plans import lake
 from skilltide.registry import shapes
 from skilltide.registry.core import query, shape, with_shapes
 from skilltide.registry.model import DIM_POSITION_SQL, LEVELS_SQL, bridge_sql, dim_sql
-from skilltide.registry.normalize import SILVER
-from skilltide.registry.parse import term_vocab
+from skilltide.registry.fuzzy import recursive
+from skilltide.registry.normalize import FUZZY_SILVER, SILVER, silver_text
+from skilltide.registry.parse import DOC_WORDS, PHRASES, term_vocab
 from skilltide.schemas import WAREHOUSE
 from skilltide.session import scratch_dir
 from skilltide.sources.files import read_layer
@@ -24,12 +24,12 @@ MONTH = "2000-03-01"
 _IN_MONTH = "posted_date >= '2000-03-01' AND posted_date < '2000-04-01'"
 
 
-def _month_sql(body: str) -> str:
+def _month_sql(body: str, names: str = "posting_rows") -> str:
     """``body`` over the postings of the month."""
     rows = f"month_rows AS (SELECT * FROM posting_rows WHERE {_IN_MONTH})"
     body = body.replace("posting_rows", "month_rows")
     body = body[5:] if body.startswith("WITH ") else f"result AS ({body}) SELECT * FROM result"
-    return with_shapes("posting_rows", f"WITH {rows}, {body}")
+    return with_shapes(names, f"WITH {rows}, {body}")
 
 
 def _loaded(spark, sf_dir, table: str) -> DataFrame:
@@ -156,11 +156,14 @@ def j1(spark, sf_dir):
     return _lake_counts(spark, root, MONTH)
 
 
-@query("j1_run_datalake_fuzzy")
+@query(
+    "j1_run_datalake_fuzzy",
+    recursive(_month_sql(f"WITH {FUZZY_SILVER} SELECT * FROM silver", "posting_rows vocab")),
+)
 def j1_fuzzy(spark, sf_dir):
     root = scratch_dir(spark, "lake")
     lake.run_datalake(shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir), root, MONTH)
-    return read_layer(spark, root, "silver", "job_descriptions", MONTH)
+    return silver_text(read_layer(spark, root, "silver", "job_descriptions", MONTH))
 
 
 @query("j2_run_warehouse", _lake_counts_sql(_IN_MONTH) + " EXCEPT SELECT 'silver', count(*) FROM silver")
@@ -172,17 +175,41 @@ def j2(spark, sf_dir):
     return _counts({t: read_table(spark, f"{root}/warehouse", t, MONTH) for t in WAREHOUSE})
 
 
-@query("j3_run_parse")
+@query(
+    "j3_run_parse",
+    with_shapes(
+        "raw parsed",
+        f"""WITH {PHRASES.strip()},
+        todo AS (
+          SELECT *, CASE WHEN job_title <> '' THEN concat(job_title, chr(10), chr(10), full_text_jd)
+                    ELSE full_text_jd END AS text
+          FROM raw WHERE _id NOT IN (SELECT _id FROM parsed)),
+        words AS (SELECT _id, {DOC_WORDS} AS words FROM todo),
+        hits AS (
+          SELECT DISTINCT _id, category, value FROM words
+          JOIN terms ON contains(words, concat(' ', term, ' '))),
+        found AS (
+          SELECT _id, string_agg(CASE category WHEN 'one' THEN value END, '|' ORDER BY value) AS tech_stack,
+                 string_agg(CASE category WHEN 'two' THEN value END, '|' ORDER BY value) AS soft_skills,
+                 min(CASE category WHEN 'three' THEN value END) AS job_position
+          FROM hits GROUP BY _id)
+        SELECT t._id, t.job_title, t.company_name, t.location, t.posted_date, t.url,
+               f.tech_stack, f.soft_skills, f.job_position
+        FROM todo t LEFT JOIN found f USING (_id)""",
+    ),
+)
 def j3(spark, sf_dir):
     fields = {"one": "tech_stack", "two": "soft_skills", "three": "job_position"}
     names = F.create_map(*[F.lit(x) for pair in fields.items() for x in pair])
-    terms = term_vocab(spark, sf_dir).select(
-        F.element_at(names, F.col("category")).alias("category"),
-        "value",
-        F.xxhash64("value").alias("ord"),
+    category = F.element_at(names, F.col("category")).alias("category")
+    terms = term_vocab(spark, sf_dir).select(category, "value", F.col("value").alias("ord"))
+    done = lake.run_parse(
+        shape(spark, sf_dir, "raw"), shape(spark, sf_dir, "parsed"), terms, "2001-08-01"
+    )
+    return done.select(
+        "_id", "job_title", "company_name", "location", "posted_date", "url", "job_position",
+        *[F.array_join(c, "|").alias(c) for c in ("tech_stack", "soft_skills")],
     )
-    raw, parsed = shape(spark, sf_dir, "raw"), shape(spark, sf_dir, "parsed")
-    return lake.run_parse(raw, parsed, with_keys(terms), "2001-08-01")
 
 
 @query(

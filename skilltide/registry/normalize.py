@@ -9,29 +9,37 @@ from skilltide.operators import normalize as n
 from skilltide.operators import vocab as v
 from skilltide.registry import shapes
 from skilltide.registry.core import query, shape, with_shapes
+from skilltide.registry.fuzzy import BEST_TERMS, recursive
 from skilltide.session import scratch_dir
 
 KEY = r"trim(regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}_\s]', '', 'g'))"
 
-# The tiers without the fuzzy one, for each distinct raw value of ``vals (category, raw)``.
-MAPPING = f"""
+# The tiers for each distinct raw value of ``vals (category, raw)``.
+_KEYS = f"""
   vocab_keys AS (
     SELECT category, {KEY.format('value')} AS key, arg_max(value, ord) AS target, min(ord) AS first_ord
     FROM vocab GROUP BY 1, 2),
   keyed AS (
     SELECT DISTINCT category, trim(raw) AS raw, {KEY.format('trim(raw)')} AS key
-    FROM vals WHERE trim(raw) <> ''),
+    FROM vals WHERE trim(raw) <> '')
+"""
+_TIERS = """
   mapping AS (
     SELECT d.category, d.raw, e.value AS exact, k.target AS by_key,
-           coalesce(e.value, k.target, d.raw) AS value, (e.value IS NULL AND k.target IS NULL) AS is_new
+           coalesce(e.value, k.target, f.fuzzy, d.raw) AS value,
+           coalesce(e.value, k.target, f.fuzzy) IS NULL AS is_new
     FROM keyed d
     LEFT JOIN (SELECT DISTINCT category, value FROM vocab) e ON e.category = d.category AND e.value = d.raw
-    LEFT JOIN vocab_keys k ON k.category = d.category AND k.key = d.key)
+    LEFT JOIN vocab_keys k ON k.category = d.category AND k.key = d.key
+    LEFT JOIN fuzzy f ON f.category = d.category AND f.key = d.key)
 """
+_NO_FUZZY = "fuzzy AS (SELECT category, key, NULL AS fuzzy FROM keyed WHERE false)"
+MAPPING = f"{_KEYS.strip()}, {_NO_FUZZY}, {_TIERS.strip()}"
+FUZZY_MAPPING = f"{_KEYS.strip()}, {BEST_TERMS.strip()}, {_TIERS.strip()}"
 _ITEM_VALS = "vals AS (SELECT category, raw FROM items)"
 
 # The five fields of the postings as (posting, field, position, raw) and back as texts.
-FIELDS = f"""
+_FIELDS = """
   listed AS (
     SELECT _id, 'tech_stack' AS category, string_split(tech, ';') AS l FROM posting_rows WHERE tech <> ''
     UNION ALL SELECT _id, 'soft_skills', string_split(soft, ';') FROM posting_rows WHERE soft <> ''
@@ -41,19 +49,21 @@ FIELDS = f"""
   field_items AS (
     SELECT _id, category, unnest(l) AS raw, generate_subscripts(l, 1) AS pos FROM listed),
   vals AS (SELECT category, raw FROM field_items),
-  {MAPPING.strip()},
+  MAPPING_TIERS,
   fields AS (
     SELECT i._id, i.category, string_agg(m.value, ';' ORDER BY i.pos) AS value
     FROM field_items i JOIN mapping m ON m.category = i.category AND m.raw = trim(i.raw)
     GROUP BY i._id, i.category)
 """
+FIELDS = _FIELDS.replace("MAPPING_TIERS", MAPPING)
+FUZZY_FIELDS = _FIELDS.replace("MAPPING_TIERS", FUZZY_MAPPING)
 
 
-def _field_sql(category: str, given: str, empty: str) -> str:
+def _field_sql(category: str, given: str, empty: str, fields: str = FIELDS) -> str:
     """``given`` is the raw column; a list that is not null is at least empty."""
     return with_shapes(
         "posting_rows vocab",
-        f"""WITH {FIELDS.strip()}
+        f"""WITH {fields.strip()}
         SELECT p._id, CASE WHEN p.{given} IS NOT NULL THEN coalesce(f.value, {empty}) END AS value
         FROM posting_rows p LEFT JOIN fields f ON f._id = p._id AND f.category = '{category}'""",
     )
@@ -107,7 +117,15 @@ def n3(spark, sf_dir):
     return matched.select("category", "raw", "by_key")
 
 
-@query("n4_match_fuzzy")
+@query(
+    "n4_match_fuzzy",
+    recursive(
+        with_shapes(
+            "items vocab",
+            f"WITH {_ITEM_VALS}, {FUZZY_MAPPING} SELECT category, key, fuzzy, score FROM fuzzy",
+        )
+    ),
+)
 def n4(spark, sf_dir):
     return n.match_fuzzy(_raw_items(spark, sf_dir), shapes.vocab(spark, sf_dir))
 
@@ -125,6 +143,21 @@ def n5(spark, sf_dir):
     return resolved.withColumn("is_new", F.col("is_new").cast("int"))
 
 
+@query(
+    "n5_normalize_values_fuzzy",
+    recursive(
+        with_shapes(
+            "posting_rows vocab",
+            f"""WITH {FUZZY_FIELDS.strip()}
+            SELECT category, raw, value, CAST(is_new AS INT) AS is_new FROM mapping""",
+        )
+    ),
+)
+def n5_fuzzy(spark, sf_dir):
+    mapping = n.field_mapping(shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir))
+    return mapping.withColumn("is_new", F.col("is_new").cast("int"))
+
+
 @query("n6_normalize_scalar", _field_sql("location", "location", "NULL"))
 def n6(spark, sf_dir):
     done = n.normalize_scalar(shapes.postings(spark, sf_dir), "location", shapes.vocab(spark, sf_dir), None)
@@ -161,7 +194,10 @@ def n11(spark, sf_dir):
     return done.select("_id", _text("normalized_tech_stack"))
 
 
-@query("n11_silver_tech_stack_fuzzy")
+@query(
+    "n11_silver_tech_stack_fuzzy",
+    recursive(_field_sql("tech_stack", "tech", "''", FUZZY_FIELDS)),
+)
 def n11_fuzzy(spark, sf_dir):
     done = n.silver_tech_stack(shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir))
     return done.select("_id", _text("normalized_tech_stack"))
@@ -216,8 +252,7 @@ def n14(spark, sf_dir):
     return v.new_values(mapping)
 
 
-SILVER = f"""
-  {FIELDS.strip()},
+_SILVER = """
   silver AS (
     SELECT p._id, p.job_title, p.posted_date,
            max(CASE f.category WHEN 'location' THEN f.value END) AS location,
@@ -231,10 +266,12 @@ SILVER = f"""
     FROM posting_rows p LEFT JOIN fields f ON f._id = p._id
     GROUP BY p._id, p.job_title, p.posted_date)
 """
+SILVER = f"{FIELDS.strip()}, {_SILVER.strip()}"
+FUZZY_SILVER = f"{FUZZY_FIELDS.strip()}, {_SILVER.strip()}"
 _SILVER_SQL = with_shapes("posting_rows vocab", f"WITH {SILVER.strip()} SELECT * FROM silver")
 
 
-def _silver_text(df):
+def silver_text(df):
     return df.select(
         "_id", "job_title", "posted_date", "location", "job_position",
         *[F.array_join(c, ";").alias(c) for c in n.LIST_FIELDS],
@@ -247,11 +284,11 @@ def n15(spark, sf_dir):
     mapping = n.field_mapping(bronze, known, threshold=None)
     sides = [n.apply_mapping(bronze, mapping, (f,), ()) for f in n.SCALAR_FIELDS]
     sides += [n.apply_mapping(bronze, mapping, (), (f,)) for f in n.LIST_FIELDS]
-    return _silver_text(n.promote_normalized(n.silver_combine(bronze, *sides)))
+    return silver_text(n.promote_normalized(n.silver_combine(bronze, *sides)))
 
 
 @query("n16_promote_normalized", _SILVER_SQL)
 def n16(spark, sf_dir):
     bronze = shapes.postings(spark, sf_dir)
     mapping = n.field_mapping(bronze, shapes.vocab(spark, sf_dir), threshold=None)
-    return _silver_text(n.silver_postings(bronze, mapping))
+    return silver_text(n.silver_postings(bronze, mapping))

@@ -170,7 +170,7 @@ def p9(spark, sf_dir):
 
 
 # Terms: the comma- or stop-separated phrases of the benchmark texts of up to three words.
-_PHRASE_SQL = f"""
+PHRASES = f"""
   phrases AS (
     SELECT item_id, trim(unnest(string_split_regex(text, '[.,\\n]+'))) AS value FROM benchmark),
   counted AS (
@@ -180,7 +180,7 @@ _PHRASE_SQL = f"""
     SELECT ['one', 'two', 'three'][len(w)] AS category, array_to_string(w, ' ') AS term, max(value) AS value
     FROM counted WHERE len(w) BETWEEN 1 AND 3 GROUP BY ALL)
 """
-_DOC_WORDS_SQL = (
+DOC_WORDS = (
     "concat(' ', array_to_string(list_filter(string_split_regex("
     + FOLD.format("text")
     + ", '[^\\p{L}\\p{N}_+#]+'), lambda w: length(w) > 0), ' '), ' ')"
@@ -201,7 +201,7 @@ def term_vocab(spark, sf_dir):
 @query(
     "p10_extract_entities",
     f"""
-    WITH {_PHRASE_SQL}, words AS (SELECT doc_id, {_DOC_WORDS_SQL} AS words FROM documents)
+    WITH {PHRASES}, words AS (SELECT doc_id, {DOC_WORDS} AS words FROM documents)
     SELECT doc_id, category, string_agg(value, '|' ORDER BY value) AS terms FROM (
       SELECT DISTINCT doc_id, category, value FROM words JOIN terms ON contains(words, concat(' ', term, ' ')))
     GROUP BY doc_id, category
@@ -222,7 +222,7 @@ _LEVELS = ["Of the", "De la", "Und", "The", "Que la"]
     SELECT doc_id, CASE WHEN found = '' THEN 'Else' ELSE found END AS levels FROM (
       SELECT doc_id, array_to_string(list_filter({_LEVELS},
                lambda l: contains(words, concat(' ', lower(l), ' '))), '|') AS found
-      FROM (SELECT doc_id, {_DOC_WORDS_SQL} AS words FROM documents))
+      FROM (SELECT doc_id, {DOC_WORDS} AS words FROM documents))
     """,
 )
 def p11(spark, sf_dir):

@@ -69,9 +69,11 @@ FUZZY = ["spring", "java ee", "postgres", "node", "qqqq", "boot spring java", "c
 def test_fuzzy_equals_brute_force(spark, vocab, monkeypatch, chunk, small):
     monkeypatch.setattr(n, "CHUNK", chunk)
     monkeypatch.setattr(n, "is_small", lambda df, *a: small)
-    df = spark.createDataFrame([("tech_stack", k) for k in FUZZY], "category STRING, key STRING")
-    got = {r["key"]: r["fuzzy"] for r in n.match_fuzzy(df, vocab, 50).collect()}
-    expected = {k: brute_best(k, "tech_stack", 50) for k in FUZZY}
+    keys = [(category, k) for k in FUZZY for category in TERMS]  # categories share tasks
+    df = spark.createDataFrame(keys, "category STRING, key STRING").coalesce(1)
+    found = n.match_fuzzy(df, vocab, 50).collect()
+    got = {(r["category"], r["key"]): r["fuzzy"] for r in found}
+    expected = {(c, k): brute_best(k, c, 50) for c, k in keys}
     assert got == {k: t for k, t in expected.items() if t is not None}
     assert None in expected.values()
 
