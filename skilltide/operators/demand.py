@@ -485,9 +485,14 @@ def skill_frequency_stats(jobs: DataFrame, job_skills: DataFrame, skills: DataFr
 # Options -------------------------------------------------------------------------------------
 
 
-def distinct_levels(jobs: DataFrame) -> DataFrame:
-    """Q-12"""
-    return jobs.select("seniority_level").distinct().orderBy(F.desc("seniority_level"))
+def distinct_levels(jobs: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """Q-12: the levels of the data, last name first, or by their place in ``order`` with
+    unlisted ones at the end."""
+    levels = jobs.select("seniority_level").distinct()
+    if order is None:
+        return levels.orderBy(F.desc("seniority_level"))
+    place = F.array_position(F.array(*[F.lit(x) for x in order]), F.col("seniority_level"))
+    return levels.orderBy(place == 0, place, "seniority_level")
 
 
 def distinct_locations(jobs: DataFrame) -> DataFrame:

@@ -391,13 +391,13 @@ def i18(spark, sf_dir):
     "i19_batch_slice",
     """
     SELECT url, html, CAST(batch AS BIGINT) AS batch FROM (
-      SELECT url, html, page_id, (row_number() OVER (ORDER BY url, page_id) - 1) // 30 AS batch FROM pages)
+      SELECT url, html, page_id, (row_number() OVER (ORDER BY url, page_id) - 1) // 10 AS batch FROM pages)
     WHERE batch >= 2 AND batch < 5
     """,
 )
 def i19(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    return i.batch_slice(pages, ["url", "page_id"], 30, 2, 3).select("url", "html", "batch")
+    return i.batch_slice(pages, ["url", "page_id"], 10, 2, 3).select("url", "html", "batch")
 
 
 @query("i19_batch_count", "SELECT CAST(ceil(count(*) / 30) AS BIGINT) AS batches FROM pages")

@@ -30,6 +30,10 @@ CARD_FIELDS = {
     "url": r'(?s)<a[^>]*class="[^"]*base-card__full-link[^"]*"[^>]*href="([^"]*)"',
 }
 
+# A section of a job page of the fourth source and its heading.
+SECTION_BLOCK = r'(?s)<div[^>]*class="imy-5 paragraph"[^>]*>(.*?)</div>'
+SECTION_HEADING = r"(?s)<h2[^>]*>(.*?)</h2>"
+
 # Marker, classes and labels on a job page of the fifth source.
 JOB_PAGE = {
     "title_marker": "làm việc tại",
@@ -166,6 +170,19 @@ def section_text(html: ColumnOrName, section: str, heading: str, label: str) ->
     return html_to_text(F.coalesce(F.get(hits, F.lit(0)), F.lit("")))
 
 
+def page_blocks(
+    html: ColumnOrName, block: str = SECTION_BLOCK, heading: str = SECTION_HEADING
+) -> Column:
+    """The (heading, text) blocks of a job page of the fourth source, as I-15 assembles them."""
+    return F.transform(
+        F.regexp_extract_all(col_of(html), F.lit(block), 1),
+        lambda b: F.struct(
+            inner_text(F.regexp_extract(b, heading, 1)).alias("heading"),
+            unescape(html_to_text(b)).alias("text"),
+        ),
+    )
+
+
 def from_job_html(df: DataFrame, html: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """I-13: fields of a job page of the fifth source."""
     page = JOB_PAGE

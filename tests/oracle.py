@@ -35,10 +35,12 @@ def _rows(columns: list[str], rows) -> tuple[list[str], Counter]:
     )
 
 
-def compare(spark, con, name: str, sf_dir: str) -> tuple[int, str | None]:
-    """Row count and the first difference, None when there is none."""
+def compare(spark, con, name: str, sf_dir: str, look=None) -> tuple[int, str | None]:
+    """Row count and the first difference, None when there is none. ``look`` sees the result."""
     entry = REGISTRY[name]
     df = entry.run(spark, sf_dir)
+    if look is not None:
+        look(df)
     ours_cols, ours = _rows(df.columns, df.collect())
     if entry.sql is None:
         return sum(ours.values()), None

@@ -130,5 +130,11 @@ def test_request_bounds(bad):
         q.Request("x", **bad)
 
 
+def test_levels_in_their_order(serving):
+    by_name = [r[0] for r in q.distinct_levels(serving.jobs).collect()]
+    listed = [r[0] for r in q.distinct_levels(serving.jobs, ["Junior", "Senior"]).collect()]
+    assert by_name == ["Senior", "Lead", "Junior"] and listed == ["Junior", "Senior", "Lead"]
+
+
 def test_seed_alias(spark):
     assert q.alias_frame(spark).count() == 25

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from skilltide.functions.postings import assemble_sections
 from skilltide.operators import checks
 from skilltide.operators import extract as e
 from skilltide.operators import ingest as i
@@ -107,6 +108,17 @@ def test_listing_cards_and_job_page(spark):
     ]
 
 
+def test_sections_of_a_job_page(spark):
+    html = ('<div class="imy-5 paragraph"><h2>Top 3 reasons</h2><p>no</p></div>'
+            '<div class="imy-5 paragraph"><h2> Job description</h2><ul><li>Build &lt;x&gt;</li><li>Test</li></ul></div>'
+            '<div class="imy-5 paragraph"><h2>Your skills</h2>Java</div>')
+    page = spark.createDataFrame([(html,), ("<p></p>",)], "html STRING")
+    got = [r[0] for r in page.select(assemble_sections(listings.page_blocks("html"))).collect()]
+    assert got == [
+        "Job description:\nJob description\nBuild <x>\nTest\n\nYour skills:\nYour skills\nJava", "",
+    ]
+
+
 def test_layer_replaces_only_its_month(spark, tmp_path):
     def month(day, x):
         return spark.createDataFrame([(x, dt.date.fromisoformat(day))], "x INT, month DATE")

@@ -1,9 +1,12 @@
-"""Every registered query against its SQL; queries without SQL must give rows."""
+"""Every registered query: its rows against its SQL, and its plan."""
 
 import pytest
 
 from skilltide.registry import REGISTRY
 from tests.oracle import compare, database
+from tests.test_plans import plan
+
+FUZZY = {"n4_match_fuzzy", "x18_token_set_ratio"}
 
 
 @pytest.fixture(scope="module")
@@ -13,10 +16,14 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query(spark, con, sf_dir, name):
-    rows, difference = compare(spark, con, name, sf_dir)
+    def no_pairwise_joins_and_no_python(df):
+        text = plan(df)
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+        assert ("Python" in text or "Arrow" in text) == (name in FUZZY)
+
+    rows, difference = compare(spark, con, name, sf_dir, no_pairwise_joins_and_no_python)
     assert difference is None, difference
-    if REGISTRY[name].sql is None:
-        assert rows > 0
+    assert rows > 0 and REGISTRY[name].sql is not None
 
 
 def test_comparison_sees_a_wrong_row(spark, con, sf_dir, monkeypatch):
