@@ -115,7 +115,7 @@ def cutoff_date(updated_after: ColumnOrName, as_of: dt.date | str) -> Column:
 
 def filter_jobs(jobs: DataFrame, request: Request, as_of: dt.date | str) -> DataFrame:
     """Q-3 with literal values, which reach the scan."""
-    out = jobs.filter(F.col("posted_date") >= cutoff_date(F.lit(request.updated_after), as_of))
+    out = _since(jobs, cutoff_date(F.lit(request.updated_after), as_of))
     if request.locations is not None:
         out = out.filter(F.col("location").isin(*request.locations))
     if request.levels is not None:
@@ -123,6 +123,14 @@ def filter_jobs(jobs: DataFrame, request: Request, as_of: dt.date | str) -> Data
     return out
 
 
+def _since(jobs: DataFrame, day: Column) -> DataFrame:
+    """Postings from a day on; a table kept by ``month`` is read from that month on."""
+    recent = jobs.filter(F.col("posted_date") >= day)
+    if "month" in jobs.columns:
+        recent = recent.filter(F.col("month") >= F.trunc(day, "month"))
+    return recent
+
+
 def _passes(date_column: str) -> Column:
     """Q-3 between a job and a request row."""
     place, level = F.col("location"), F.col("seniority_level")
@@ -244,10 +252,13 @@ def chosen_titles(
     date, since a posting passes the date filter exactly when the newest of its kind does. Title
     matching reads the same table, so the postings are scanned once here.
     """
-    kinds = jobs.groupBy("job_title", "location", "seniority_level").agg(
-        F.max("posted_date").alias("newest")
+    requests = saved(requests, "requests")
+    kinds = saved(
+        _since(jobs, _oldest_cutoff(requests, as_of))
+        .groupBy("job_title", "location", "seniority_level")
+        .agg(F.max("posted_date").alias("newest")),
+        "kinds",
     )
-    kinds, requests = saved(kinds, "kinds"), saved(requests, "requests")
     few = broadcaster(requests)
     filters = requests.select(
         "request_id", "locations", "levels", cutoff_date("updated_after", as_of).alias("cutoff")
@@ -263,6 +274,11 @@ def chosen_titles(
     return asked.join(few(reached), ["request_id", "tier"])
 
 
+def _oldest_cutoff(requests: DataFrame, as_of: dt.date | str) -> Column:
+    """The earliest date any request asks for, as a scalar subquery the scan can prune by."""
+    return requests.agg(F.min(cutoff_date("updated_after", as_of)).alias("day")).scalar()
+
+
 def _jobs_of(jobs: DataFrame, chosen: DataFrame, passes: Column) -> DataFrame:
     """Saved distinct (request_id, id, tier) of the postings with a chosen title.
 
@@ -284,7 +300,8 @@ def matched_jobs(
 ) -> DataFrame:
     """Q-7: distinct (request_id, id, tier) of the first tier that is reached."""
     chosen = saved(chosen_titles(jobs, requests, alias, as_of), "chosen")
-    return _jobs_of(jobs, chosen, _passes("posted_date"))
+    oldest = chosen.agg(F.min("cutoff").alias("day")).scalar()
+    return _jobs_of(_since(jobs, oldest), chosen, _passes("posted_date"))
 
 
 def matched_jobs_of(

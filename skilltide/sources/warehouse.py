@@ -82,13 +82,22 @@ def load_jdbc(
 
 
 def save_serving(tables: dict[str, DataFrame], schema: str, root: str, buckets: int) -> None:
-    """Keep the serving tables as catalog tables, jobs and pairs bucketed by the job, so the
-    joins between them need no shuffle."""
+    """Keep the serving tables as catalog tables.
+
+    Jobs and pairs are bucketed by the job, so the joins between them need no shuffle; each
+    bucket is gathered before it is written, so it is one file. Jobs are also kept by month,
+    which the date filter of the demand queries prunes by.
+    """
     spark = tables["jobs"].sparkSession
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
     bucketed = {"jobs": "id", "job_skills": "job_id"}
     for name, df in tables.items():
-        writer = df.write.mode("overwrite").option("path", f"{root.rstrip('/')}/{name}")
-        if name in bucketed:
-            writer = writer.bucketBy(buckets, bucketed[name]).sortBy(bucketed[name])
-        writer.saveAsTable(f"{schema}.{name}")
+        if name == "jobs":
+            df = df.withColumn("month", F.trunc("posted_date", "month"))
+        key = bucketed.get(name)
+        writer = (df.repartition(buckets, key) if key else df).write.mode("overwrite")
+        if key:
+            writer = writer.bucketBy(buckets, key).sortBy(key)
+        if name == "jobs":
+            writer = writer.partitionBy("month")
+        writer.option("path", f"{root.rstrip('/')}/{name}").saveAsTable(f"{schema}.{name}")

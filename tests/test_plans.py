@@ -65,6 +65,15 @@ def test_bucketed_serving_tables_join_without_a_shuffle(spark, sf_dir, tmp_path)
         jobs, pairs = spark.table("serving_test.jobs"), spark.table("serving_test.job_skills")
         assert "Exchange" not in plan(jobs.join(pairs, jobs["id"] == pairs["job_id"]))
         assert jobs.count() == s.jobs.count()
+        recent = plan(q.filter_jobs(jobs, q.Request("red widget"), AS_OF))
+        assert "(month#" in recent[recent.index("PartitionFilters") : recent.index("PushedFilters")]
+        kept = q.Serving(jobs, spark.table("serving_test.skills"), pairs, s.alias)
+        requests = q.requests_frame(spark, [q.Request("red widget"), q.Request("hot", request_id=2)])
+        expected = q.skill_demand_batch(s, requests, AS_OF).collect()
+        assert sorted(map(str, q.skill_demand_batch(kept, requests, AS_OF).collect())) == sorted(
+            map(str, expected)
+        )
+        assert len(expected) > 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         spark.sql("DROP SCHEMA serving_test CASCADE")
