@@ -85,3 +85,31 @@ def test_large_target_is_not_shuffled_for_a_small_batch(spark, sf_dir):
     text = plan(i.insert_if_absent(events, target, "event_id", ["ts"]))
     scan = text[text.index("LeftSemi") :]
     assert "LeftSemi" in text and "Exchange hashpartitioning" not in scan
+
+
+def test_hot_value_is_split_when_the_mapping_is_too_large_to_broadcast(spark):
+    value = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("v"), "id"))
+    df = spark.range(0, 60_000, 1, 8).select(F.col("id").alias("_id"), value.alias("location"))
+    mapping = saved(
+        df.select(F.lit("location").alias("category"), F.col("location").alias("raw")).distinct()
+        .withColumn("value", F.upper("raw")),
+        "mapping",
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, x in settings.items():
+        spark.conf.set(k, x)
+    try:
+        out = n.apply_mapping(df, mapping, ("location",), ())
+        assert out.filter("normalized_location = 'HOT'").count() == 20_000
+        execution = out._jdf.queryExecution()
+        execution.toRdd().count()
+        assert "skew=true" in execution.executedPlan().toString()
+    finally:
+        for k, x in before.items():
+            spark.conf.set(k, x)
