@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skilltide.llm import bottomk, histsort, mixing, quality, winnow
+from skilltide.llm import bottomk, histsort, hyperlang, layout, licenses, mixing, quality, tokencodes, warc, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -203,3 +204,72 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.element_at(F.lit(domains), best).alias("domain"),
         F.round(F.array_max("posterior"), 6).alias("membership"), F.round("rate", 6).alias("rate"), "copies",
     )
+
+
+# --- 8: WARC ------------------------------------------------------------------------------------
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_OP8_DIGEST = " || ".join(
+    f"substr('{_BASE32}', 1 + ((CAST('0x' || substr(h, {i}, 5) AS BIGINT) >> {shift}) & 31), 1)"
+    for i in range(1, 41, 5)
+    for shift in (15, 10, 5, 0)
+)
+
+OP8_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+d AS (SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, sha1(t) AS h, max(page_id) OVER (PARTITION BY t) AS top FROM p)
+SELECT page_id, payload_bytes, {_OP8_DIGEST} AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM d
+"""
+
+
+@query("op8_warc_round_trip", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return read.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# --- 2: token files -----------------------------------------------------------------------------
+
+
+@query("op2_token_codes")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = tokencodes.round_trip(
+        spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2
+    )
+    return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.col("crc32").alias("ids_crc32"))
+
+
+# --- 4: language --------------------------------------------------------------------------------
+
+
+@query("op4_hyperdimensional_language")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = docs.withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False)))
+    model = hyperlang.learn(fold.filter("NOT held_out"))
+    return hyperlang.predict(fold.select("doc_id", "text", "held_out"), model)
+
+
+# --- 10: page text ------------------------------------------------------------------------------
+
+
+@query("op10_layout_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = layout.extract_text(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return found.select("page_id", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+# --- 5: licences --------------------------------------------------------------------------------
+
+
+@query("op5_license_paragraphs")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_findings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    families = F.array_sort(F.array_distinct(F.transform("findings", lambda x: x["family"])))
+    return found.select(
+        "doc_id", "n_paragraphs", F.size(F.array_distinct(F.transform("findings", lambda x: x["paragraph"]))).cast("long").alias("n_license"),
+        F.array_join(families, ",").alias("families"), F.round(F.array_max(F.transform("findings", lambda x: x["score"])), 4).alias("score"),
+    )
