@@ -8,11 +8,14 @@
    at the limit itself, fewer with more similarity), so if each class is listed under its rarest
    ``k - m + 1`` values only, they still meet. Passages that many texts share
    are the frequent values, and rarely among those.
-3. Overlaps: in each list all classes are compared with the one whose values are shared most. The
+3. Overlaps: in each list all classes of a size are compared with the one whose values are shared most. The
    union of two sketches gives an estimate, pairs well below the limit go, and the rest is
-   confirmed on full sets. Found links make components; lists that are one component are done.
-   In the others every class outside the list's largest component is compared with all that are not in
-   its own. So a group of near copies costs a comparison per member, not one per pair, and no list is capped.
+   confirmed on full sets. Found links make components; lists that are one component are done. So a group of
+   near copies costs a comparison per member, not one per pair.
+4. Classes in the other lists are listed anew under values of their full sets, again the rarest, where the
+   bounds are exact: a set must share all but a known number of its values, values of no other set count as lost, and
+   of two alike sets the smaller has at most a few of those (``_exact_pairs``). Pairs that pass are
+   confirmed as before. No list is capped and no pair above the limit is left out.
 
 Nulls and texts without words have an empty set and are linked with nothing. A null id never is a
 component's id unless all of the component's ids are null. Repeated rows have equal sets, so they
@@ -37,7 +40,6 @@ from skilltide.session import saved
 SHINGLE = 5
 KEEP = 64
 DEVIATIONS = 5
-ROUNDS = 4
 
 
 def least_shared(num: int, den: int, keep: int) -> float:
@@ -88,8 +90,10 @@ def _sets(n: int):
     def run(batches):
         for batch in batches:
             data, texts = w.text_bytes(batch.column(1))
-            found = [x.tobytes() for x in shingle_sets(data, texts, n)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["cls", "full"])
+            found = list(shingle_sets(data, texts, n))
+            sizes = np.array([len(x) for x in found], np.int64)
+            full = w.list_array(np.concatenate([np.zeros(0, np.int64), *found]), sizes, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), full], ["cls", "full"])
 
     return run
 
@@ -97,10 +101,12 @@ def _sets(n: int):
 def _confirm(num: int, den: int):
     def run(batches):
         for batch in batches:
-            left, right = batch.column(2), batch.column(3)
+            (left, at), (right, to) = (
+                (c.values.to_numpy(), c.offsets.to_numpy().tolist()) for c in (batch.column(2), batch.column(3))
+            )
             good = []
-            for x, y in zip(left, right, strict=True):
-                a, b = (np.frombuffer(z.as_buffer(), np.int64) for z in (x, y))
+            for i in range(batch.num_rows):
+                a, b = left[at[i] : at[i + 1]], right[to[i] : to[i + 1]]
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 good.append(den * both >= num * (len(a) + len(b) - both))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -122,8 +128,9 @@ def scan(docs: DataFrame, id_col: str, text_col: str, shingle: int, keep: int) -
     return saved(found.withColumn("row", F.monotonically_increasing_id()), "sketches")
 
 
-def _inverted(reps: DataFrame, share: float) -> DataFrame:
-    """Saved lists (value, cls, n, band, spread): each class under its rarest retained values."""
+def _inverted(reps: DataFrame, share: float, ratio: float) -> DataFrame:
+    """Saved lists (value, band, cls, n, spread): each class under its rarest retained values. A band
+    holds the sizes that can be alike."""
     values = reps.select("cls", "n", F.size("sketch").alias("kept"), F.explode("sketch").alias("value"))
     often = saved(values.groupBy("value").agg(F.count("*").alias("often")).filter("often > 1"), "value-counts")
     of_class = Window.partitionBy("cls")
@@ -136,93 +143,100 @@ def _inverted(reps: DataFrame, share: float) -> DataFrame:
     alone = F.col("kept") - F.col("spread")
     listed = F.col("kept") - F.ceil(F.col("kept") * F.lit(share)) + 1
     return saved(
-        ranked.filter(F.col("place") + alone <= listed).select("value", "cls", "n", "spread"), "lists"
+        ranked.filter(F.col("place") + alone <= listed).select("value", _band("n", ratio).alias("band"), "cls", "n", "spread"), "lists"
     )
 
 
-def _alike(a: str, b: str, num: int, den: int):
-    return F.least(a, b) * den >= F.greatest(a, b) * num
-
-
-def _pairs(df: DataFrame) -> DataFrame:
-    return df.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def _band(n: str, ratio: float):
+    return F.floor(F.log(F.col(n).cast("double")) / F.lit(-math.log(ratio))).cast("int")
 
 
 def _compared(pairs: DataFrame, near: DataFrame, full: DataFrame, keep: int, num: int, den: int) -> DataFrame:
-    """Of saved pairs (a, b) those that are links: estimated on sketches, confirmed on full sets."""
+    """Of pairs (x, y) those that are links, as saved (a, b): estimated on sketches, confirmed on full sets."""
     sketch = lambda c: near.select(F.col("cls").alias(c), F.col("sketch").alias(f"s{c}"))
     whole = lambda c: full.select(F.col("cls").alias(c), F.col("full").alias(f"f{c}"))
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, keep)
     shared = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
-    likely = saved(
-        pairs.join(sketch("a"), "a").join(sketch("b"), "b").filter(shared >= F.size(union) * F.lit(least_shared(num, den, keep))).select("a", "b"),
-        "likely-pairs",
+    likely = (
+        pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        .join(sketch("a"), "a").join(sketch("b"), "b")
+        .filter(shared >= F.size(union) * F.lit(least_shared(num, den, keep))).select("a", "b")
     )
     both = likely.join(whole("a"), "a").join(whole("b"), "b").select("a", "b", "fa", "fb")
     return saved(both.mapInArrow(_confirm(num, den), "a long, b long"), "links")
 
 
-def _links(lists: DataFrame, near: DataFrame, full: DataFrame, keep: int, num: int, den: int) -> DataFrame | None:
-    """(node, root) of the classes that have links."""
-    lists = saved(
-        lists.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(num / den))).cast("int")), "banded"
+def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    return lists.join(roots, lists["cls"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cls")).drop("node")
+
+
+def _exact_pairs(classes: DataFrame, full: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (x, y) of ``classes(cls, n, root)`` that may be alike and are not in one component.
+
+    Sets of ``n`` and ``m`` values are alike if they share at least ``t / (1 + t) * (n + m)``. Let each be in
+    order from its rarest value, those of no other set first. Alike sets meet in the first
+    ``n - ceil(t * n) + 1`` values, and where they meet first, no more than what follows is shared. The smaller of the two
+    has at most ``(1 - t) / (1 + t)`` of its values to itself, so only such sets are looked up, by
+    sizes the other one allows.
+    """
+    t = num / den
+    share, slack = num / (num + den), 1e-9
+    values = saved(
+        classes.join(full, "cls").select("cls", "n", "root", F.explode("full").alias("value")), "full-values"
     )
-    size = lists.count()
-    if not size:
-        return None
+    often = saved(values.groupBy("value").agg(F.count("*").alias("often")).filter("often > 1"), "full-counts")
+    of_class = Window.partitionBy("cls")
+    ranked = values.join(often, "value").select(
+        "value", "cls", "n", "root", F.count("*").over(of_class).alias("common"),
+        F.row_number().over(of_class.orderBy("often", "value")).alias("place"),
+    ).withColumn("place", F.col("place") + F.col("n") - F.col("common"))
+    lists = saved(ranked.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * t - slack) + 1), "full-lists")
+    parts = lists.groupBy("value", "root").agg(F.count("*").alias("c"))
+    main = saved(
+        parts.groupBy("value").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("parts")).filter("parts > 1")
+        .select("value", F.col("m.root").alias("main")),
+        "full-main",
+    )
+    open_ = saved(lists.join(main, "value").withColumn("aside", F.col("root") != F.col("main")), "full-open")
+    fine = lambda c: F.floor(F.log(c.cast("double")) * 100).cast("int")
+    larger = open_.select(
+        "value", F.col("cls").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), F.col("place").alias("xp"), "aside",
+        F.expr(f"least(n, common / {share} - n + 1)").alias("most"), F.expr(f"greatest(1, floor(n * {t}) - 1)").alias("fewest"),
+    ).filter("most >= fewest").withColumn("size", F.explode(F.sequence(fine(F.col("fewest")), fine(F.col("most")))))
+    smaller = open_.filter(F.col("common") >= F.col("n") * (2 * share) - slack).select(
+        "value", F.col("cls").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("place").alias("yp"), F.col("aside").alias("y_aside"), fine(F.col("n")).alias("size"),
+    )
+    fits = (
+        (F.col("xr") != F.col("yr")) & (F.col("yn") <= F.col("xn"))
+        & (1 + F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp")) >= (F.col("xn") + F.col("yn")) * share - slack)
+    )
+    # one of the two is outside the main component of the list
+    met = lambda a, b: a.join(b, ["value", "size"]).filter(fits).select("x", "y")
+    return met(larger.filter("aside"), smaller).union(met(larger.filter("NOT aside"), smaller.filter("y_aside")))
+
+
+def _links(lists: DataFrame, near: DataFrame, full: DataFrame, keep: int, num: int, den: int) -> DataFrame:
+    """(node, root) of the classes that have links."""
     hubs = saved(
         lists.groupBy("value", "band")
         .agg(F.max(F.struct("spread", F.xxhash64("cls").alias("h"), "cls", "n")).alias("hub"), F.count("*").alias("c"))
         .filter("c > 1").select("value", "band", F.col("hub.cls").alias("y"), F.col("hub.n").alias("hub_n")),
         "hubs",
     )
-    met = lists.join(hubs, ["value", "band"]).filter((F.col("cls") != F.col("y")) & _alike("n", "hub_n", num, den))
-    tested = saved(_pairs(met.withColumnRenamed("cls", "x")), "pairs")
-    edges = _compared(tested, near, full, keep, num, den)
-    for turn in range(ROUNDS):
-        roots = connected(edges)
-        rooted = lists.join(roots, lists["cls"] == roots["node"], "left").withColumn(
-            "root", F.coalesce("root", "cls")
-        )
-        each = saved(rooted.groupBy("value", "root").agg(F.count("*").alias("c")), "list-parts")
-        unsettled = saved(
-            each.groupBy("value")
-            .agg(F.max(F.struct("c", "root")).alias("main"), F.count("*").alias("parts"), F.sum("c").alias("all"))
-            .filter("parts > 1").select("value", F.col("main.root").alias("main"), ((F.col("all") - F.col("main.c")) * F.col("all")).alias("work")),
-            "unsettled",
-        )
-        work = unsettled.agg(F.sum("work")).first()[0] or 0
-        if not work:
-            return roots
-        rest = saved(
-            rooted.join(unsettled, "value").select("value", "cls", "n", "band", "root", "main"), "rest"
-        )
-        aside = rest.filter("root != main").select("value", "band", F.col("cls").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"))
-        last = work <= 16 * size or turn == ROUNDS - 1
-        if last:
-            others = rest.select(
-                "value", F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)])).alias("band"),
-                F.col("cls").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), "main",
-            )
-        else:  # another comparison with one class of each list first, as most may join its component
-            others = saved(
-                aside.groupBy("value", "band").agg(F.max(F.struct(F.xxhash64("x", F.lit(turn)).alias("h"), "x", "xn", "xr")).alias("hub"))
-                .select("value", "band", F.col("hub.x").alias("y"), F.col("hub.xn").alias("yn"), F.col("hub.xr").alias("yr"), F.col("hub.xr").alias("main")),
-                "hubs",
-            )
-            aside = rest.select("value", "band", F.col("cls").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"))
-        # of two classes outside the main component, the pair counts once
-        once = (F.col("yr") == F.col("main")) | (F.col("x") < F.col("y"))
-        more = aside.join(others, ["value", "band"]).filter((F.col("xr") != F.col("yr")) & once & _alike("xn", "yn", num, den))
-        new = saved(_pairs(more).join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = _compared(new, near, full, keep, num, den)
-        if last and found.isEmpty():
-            return roots
-        edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found)
-        if last:
-            return connected(edges)
-        tested = saved(tested.union(new), "pairs")
-    return connected(edges)
+    alike = F.least("n", "hub_n") * den >= F.greatest("n", "hub_n") * num
+    met = lists.join(hubs, ["value", "band"]).filter((F.col("cls") != F.col("y")) & alike)
+    roots = connected(_compared(met.withColumnRenamed("cls", "x"), near, full, keep, num, den))
+    rooted = _rooted(lists.select("value", "cls", "n"), roots)
+    several = rooted.groupBy("value").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 < r2").select("value")
+    unsettled = saved(
+        lists.select("value", "cls", "n").join(saved(several, "open-lists"), "value", "left_semi").select("cls", "n").distinct(), "unsettled"
+    )
+    if unsettled.isEmpty():
+        return roots
+    found = _compared(_exact_pairs(_rooted(unsettled, roots), full, num, den), near, full, keep, num, den)
+    if found.isEmpty():
+        return roots
+    return connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
 
 
 def near_duplicate_labels(
@@ -240,25 +254,22 @@ def near_duplicate_labels(
         rows.join(classes.select("cls"), F.col("row") == F.col("cls")).select("cls", "doc_id", "mark", "n", "sketch"),
         "representatives",
     )
-    lists = _inverted(reps, least_shared(num, den, keep))
+    lists = _inverted(reps, least_shared(num, den, keep), num / den)
     near = saved(reps.join(lists.select("cls").distinct(), "cls", "left_semi"), "candidates")
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("m"), F.col(f"`{text_col}`").cast("string").alias("text"))
     found = texts.join(near, texts["id"].eqNullSafe(near["doc_id"]) & (texts["m"] == near["mark"])).select("cls", "text")
     # a repeated row is found as often as it is there
-    full = saved(found.mapInArrow(_sets(shingle), "cls long, full binary").groupBy("cls").agg(F.first("full").alias("full")), "sets")
+    full = saved(found.mapInArrow(_sets(shingle), "cls long, full array<long>").groupBy("cls").agg(F.first("full").alias("full")), "sets")
     roots = _links(lists, near, full, keep, num, den)
-    if roots is None:
-        named = classes.select("digest", F.col("first_id").alias("component_id"), F.col("cls").alias("root"))
-    else:
-        linked = saved(roots.join(classes, roots["node"] == classes["cls"]).select("cls", "root", "first_id"), "linked")
-        least = saved(linked.groupBy("root").agg(F.min("first_id").alias("component_id")), "least-ids")
-        of_class = linked.join(least, "root").select(F.col("cls").alias("node"), "root", "component_id")
-        alone = F.col("node").isNull()
-        named = classes.join(of_class, classes["cls"] == F.col("node"), "left").select(
-            "digest",
-            F.when(alone, F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"),
-            F.when(alone, F.col("cls")).otherwise(F.col("root")).alias("root"),
-        )
+    linked = saved(roots.join(classes, roots["node"] == classes["cls"]).select("cls", "root", "first_id"), "linked")
+    least = saved(linked.groupBy("root").agg(F.min("first_id").alias("component_id")), "least-ids")
+    of_class = linked.join(least, "root").select(F.col("cls").alias("node"), "root", "component_id")
+    alone = F.col("node").isNull()
+    named = classes.join(of_class, classes["cls"] == F.col("node"), "left").select(
+        "digest",
+        F.when(alone, F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(alone, F.col("cls")).otherwise(F.col("root")).alias("root"),
+    )
     named = saved(named, "class-components")
     of_row = rows.join(named.withColumnRenamed("digest", "key"), F.col("digest") == F.col("key"), "left")
     empty = F.col("n") == 0

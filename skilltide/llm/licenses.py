@@ -6,7 +6,8 @@ far as they occur in a notice. A multinomial logistic regression is fitted on th
 (``TEMPLATES`` in different wordings and cuts, and lines of the corpus that hold one), licence-like
 sentences of no known family (class ``unknown``), and at most ``LINES * MAX_DOCS`` different plain lines of about
 ``MAX_DOCS`` documents, both taken by their hash (class ``none``). A fifth of the examples is kept back to fit a temperature, so that
-probabilities can be compared with ``LEAST``: a prediction of a family below it is ``unknown``. A family also has to be
+probabilities can be compared with ``LEAST``: a prediction of a family below it is ``unknown``, or nothing if ``none``
+is nearly as likely. A family also has to be
 confirmed: at least ``COVER`` of the word pairs of one of its templates are in the window, else it is ``unknown``.
 
 Null or empty text: no paragraphs, no findings. Repeated rows: each by itself. Empty table: empty result; the classifier
@@ -197,12 +198,11 @@ def learn(docs: DataFrame, text_col: str = "text", max_docs: int = MAX_DOCS) ->
     lines = [r[0] for r in some.orderBy(F.xxhash64("line"), "line").limit(LINES * max_docs).collect()]
     examples = _examples(lines)
     active = np.zeros(FEATURES, bool)
-    for t, label in examples:
-        if label != NONE:
-            data = np.frombuffer(t.encode(), np.uint8)
-            h = w.hash_words(data, w.cut_words(data, np.array([0, len(data)]), True, w.ALPHANUMERIC), True)
-            for n in range(1, NGRAMS + 1):
-                active[_grams(h, n)] = True
+    for t in [t for texts in TEMPLATES.values() for t in texts] + [x for t in OTHER for x in t.split("{}")]:
+        data = np.frombuffer(t.encode(), np.uint8)
+        h = w.hash_words(data, w.cut_words(data, np.array([0, len(data)]), True, w.ALPHANUMERIC), True)
+        for n in range(1, NGRAMS + 1):
+            active[_grams(h, n)] = True
     classes = [NONE, UNKNOWN, *TEMPLATES]
     order = list(range(len(examples)))
     random.Random(11).shuffle(order)
@@ -210,7 +210,7 @@ def learn(docs: DataFrame, text_col: str = "text", max_docs: int = MAX_DOCS) ->
     labels = [classes.index(x[1]) for x in examples]
     vectors = _vectors([x[0] for x in examples], active)
     rows = [(float(labels[i]), vectors[i]) for i in range(len(examples)) if i not in kept_back]
-    fit = LogisticRegression(featuresCol="features", labelCol="label", family="multinomial", regParam=1e-3, maxIter=40)
+    fit = LogisticRegression(featuresCol="features", labelCol="label", family="multinomial", regParam=1e-4, maxIter=60)
     model = fit.fit(spark.createDataFrame(rows, ["label", "features"]).coalesce(4))
     weights, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
     scores = np.array([weights[:, vectors[i].indices].sum(axis=1) + bias for i in sorted(kept_back)])
@@ -253,9 +253,9 @@ def _scan(model):
                     family, score = classes[best[k]], float(e[best[k]] / e.sum())
                     words_here = part[words.start[begin[k]] : words.end[end[k] - 1]].tobytes().decode()
                     cover = coverage(words_here, family) if family != UNKNOWN else 0.0
-                    if family == UNKNOWN and score < LEAST:
-                        continue
-                    if score < LEAST or cover < COVER:
+                    if family == UNKNOWN or score < LEAST or cover < COVER:
+                        if e[0] / e.sum() >= 1 - LEAST:  # as likely no licence at all
+                            continue
                         family = UNKNOWN
                     first = words.first[text[k]]
                     here[text[k]].append({"paragraph": int(number[k]), "word": int(begin[k] - first), "family": family, "score": score, "coverage": cover})
