@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_WORDS = 250_000
+SLICE_WORDS = 100_000
 
 # ASCII upper case to lower case; every other byte stays.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -122,7 +122,7 @@ def chain(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out + _U(n))
 
 
-def slices(texts: np.ndarray, most: int = 4_000_000):
+def slices(texts: np.ndarray, most: int = 1_000_000):
     """Ranges of texts with about ``most`` bytes each; a longer text is a range of its own."""
     i, n = 0, len(texts) - 1
     while i < n:
