@@ -1,11 +1,34 @@
-"""Row keys and column names that cannot clash, and saved tables read back by path."""
+"""Column names that cannot clash, and the package's code for executors that lack it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import tempfile
+import zipfile
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skilltide.session import saved
+import skilltide
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package through Spark's own file server, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(skilltide.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="skilltide-code-"), "skilltide.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    whole = os.path.join(folder, name)
+                    out.write(whole, os.path.join("skilltide", os.path.relpath(whole, root)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -16,12 +39,6 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def with_row_key(df: DataFrame, name: str) -> DataFrame:
-    """Save ``df`` with a number per row. Ids may be null or repeat; the number does neither, and
-    as it is written it is the same for every reader, also after an executor is lost."""
-    return saved(df.withColumn(name, F.monotonically_increasing_id()), "rows")
-
-
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without its columns of these names, whatever their case."""
     gone = {n.lower() for n in names}
