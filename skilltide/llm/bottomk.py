@@ -14,8 +14,8 @@
    near copies costs a comparison per member, not one per pair.
 4. Classes in the other lists are listed anew under values of their full sets, again the rarest, where the
    bounds are exact: a set must share all but a known number of its values, values of no other set count as lost, and
-   of two alike sets the smaller has at most a few of those (``_exact_pairs``). Pairs that pass are
-   confirmed as before. No list is capped and no pair above the limit is left out.
+   of two alike sets the smaller has at most a few of those. Each list is again compared with one class first, the one
+   that has least to itself, and in what is still open all pairs within the bounds are confirmed (``_exact_pairs``). No list is capped and no pair above the limit is left out.
 
 Nulls and texts without words have an empty set and are linked with nothing. A null id never is a
 component's id unless all of the component's ids are null. Repeated rows have equal sets, so they
@@ -40,6 +40,7 @@ from skilltide.session import saved
 SHINGLE = 5
 KEEP = 64
 DEVIATIONS = 5
+SLACK = 1e-9  # for sizes computed as fractions
 
 
 def least_shared(num: int, den: int, keep: int) -> float:
@@ -170,27 +171,44 @@ def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return lists.join(roots, lists["cls"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cls")).drop("node")
 
 
-def _exact_pairs(classes: DataFrame, full: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (x, y) of ``classes(cls, n, root)`` that may be alike and are not in one component.
-
-    Sets of ``n`` and ``m`` values are alike if they share at least ``t / (1 + t) * (n + m)``. Let each be in
-    order from its rarest value, those of no other set first. Alike sets meet in the first
-    ``n - ceil(t * n) + 1`` values, and where they meet first, no more than what follows is shared. The smaller of the two
-    has at most ``(1 - t) / (1 + t)`` of its values to itself, so only such sets are looked up, by
-    sizes the other one allows.
-    """
-    t = num / den
-    share, slack = num / (num + den), 1e-9
-    values = saved(
-        classes.join(full, "cls").select("cls", "n", "root", F.explode("full").alias("value")), "full-values"
-    )
+def _full_lists(classes: DataFrame, full: DataFrame, t: float) -> DataFrame:
+    """Saved lists (value, cls, n, common, place) of ``classes(cls, n)`` by the rarest values of their full sets.
+    ``common`` values of the ``n`` are in another set as well, ``place`` is the value's place in the set's order: from the
+    rarest value, those of no other set first. Sets of similarity ``t`` meet in the first ``n - ceil(t * n) + 1``."""
+    values = saved(classes.join(full, "cls").select("cls", "n", F.explode("full").alias("value")), "full-values")
     often = saved(values.groupBy("value").agg(F.count("*").alias("often")).filter("often > 1"), "full-counts")
     of_class = Window.partitionBy("cls")
     ranked = values.join(often, "value").select(
-        "value", "cls", "n", "root", F.count("*").over(of_class).alias("common"),
+        "value", "cls", "n", F.count("*").over(of_class).alias("common"),
         F.row_number().over(of_class.orderBy("often", "value")).alias("place"),
     ).withColumn("place", F.col("place") + F.col("n") - F.col("common"))
-    lists = saved(ranked.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * t - slack) + 1), "full-lists")
+    return saved(ranked.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * t - SLACK) + 1), "full-lists")
+
+
+def _to_hubs(lists: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (x, y) of each class in ``lists`` with the class of its list that has least to itself."""
+    hubs = saved(
+        lists.groupBy("value")
+        .agg(
+            F.max(F.struct(F.expr("common / n").alias("shared"), F.xxhash64("cls").alias("h"), "cls", "n", "root", "common")).alias("hub"),
+            F.min("root").alias("r1"), F.max("root").alias("r2"),
+        )
+        .filter("r1 < r2").select("value", *[F.col(f"hub.{c}").alias(f"h{c}") for c in ("cls", "n", "root", "common")]),
+        "full-hubs",
+    )
+    enough = F.least("common", "hcommon") >= (F.col("n") + F.col("hn")) * (num / (num + den)) - SLACK
+    met = lists.join(hubs, "value").filter((F.col("root") != F.col("hroot")) & enough)
+    return met.select(F.col("cls").alias("x"), F.col("hcls").alias("y"))
+
+
+def _exact_pairs(lists: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (x, y) of ``lists(value, cls, n, common, place, root)`` that may be alike and are not in one component.
+
+    Sets of ``n`` and ``m`` values are alike if they share at least ``t / (1 + t) * (n + m)``. Where they meet first, no
+    more than what follows is shared. The smaller of the two has at most ``(1 - t) / (1 + t)`` of its values to itself, so
+    only such sets are looked up, by the sizes the other one allows.
+    """
+    t, share = num / den, num / (num + den)
     parts = lists.groupBy("value", "root").agg(F.count("*").alias("c"))
     main = saved(
         parts.groupBy("value").agg(F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("parts")).filter("parts > 1")
@@ -203,12 +221,12 @@ def _exact_pairs(classes: DataFrame, full: DataFrame, num: int, den: int) -> Dat
         "value", F.col("cls").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), F.col("place").alias("xp"), "aside",
         F.expr(f"least(n, common / {share} - n + 1)").alias("most"), F.expr(f"greatest(1, floor(n * {t}) - 1)").alias("fewest"),
     ).filter("most >= fewest").withColumn("size", F.explode(F.sequence(fine(F.col("fewest")), fine(F.col("most")))))
-    smaller = open_.filter(F.col("common") >= F.col("n") * (2 * share) - slack).select(
+    smaller = open_.filter(F.col("common") >= F.col("n") * (2 * share) - SLACK).select(
         "value", F.col("cls").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("place").alias("yp"), F.col("aside").alias("y_aside"), fine(F.col("n")).alias("size"),
     )
     fits = (
         (F.col("xr") != F.col("yr")) & (F.col("yn") <= F.col("xn"))
-        & (1 + F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp")) >= (F.col("xn") + F.col("yn")) * share - slack)
+        & (1 + F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp")) >= (F.col("xn") + F.col("yn")) * share - SLACK)
     )
     # one of the two is outside the main component of the list
     met = lambda a, b: a.join(b, ["value", "size"]).filter(fits).select("x", "y")
@@ -233,10 +251,16 @@ def _links(lists: DataFrame, near: DataFrame, full: DataFrame, keep: int, num: i
     )
     if unsettled.isEmpty():
         return roots
-    found = _compared(_exact_pairs(_rooted(unsettled, roots), full, num, den), near, full, keep, num, den)
-    if found.isEmpty():
-        return roots
-    return connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
+    whole = _full_lists(unsettled, full, num / den)
+
+    def joined(pairs: DataFrame) -> DataFrame:
+        found = _compared(pairs, near, full, keep, num, den)
+        if found.isEmpty():
+            return roots
+        return connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
+
+    roots = joined(_to_hubs(_rooted(whole, roots), num, den))
+    return joined(_exact_pairs(_rooted(whole, roots), num, den))
 
 
 def near_duplicate_labels(
