@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
@@ -96,36 +97,65 @@ def token_set_ratio(a: Column, b: Column) -> Column:
     return _token_set_ratio(a, b)
 
 
-_BEST = T.StructType(
-    [T.StructField("score", T.IntegerType()), T.StructField("idx", T.IntegerType())]
+_BEST = T.ArrayType(
+    T.StructType([T.StructField("score", T.IntegerType()), T.StructField("idx", T.IntegerType())])
 )
+_LETTERS = 64
+
+
+def _letter_counts(text: str) -> np.ndarray:
+    """How often each letter occurs, letters taken by their code point modulo 64."""
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32) % _LETTERS
+    return np.bincount(points, minlength=_LETTERS)
+
+
+class Chunk:
+    """Candidates prepared once: by token, and with what bounds their scores from above."""
+
+    def __init__(self, options: list[str]):
+        self.options = [Prepared(o) for o in options]
+        self.by_token: dict[str, list[int]] = {}
+        for i, option in enumerate(self.options):
+            for token in option.tokens:
+                self.by_token.setdefault(token, []).append(i)
+        self.letters = np.array([_letter_counts(o.text) for o in self.options]).reshape(-1, _LETTERS)
+        self.lengths = np.array([len(o.text) for o in self.options])
+
+    def best(self, value: Prepared, threshold: int) -> tuple[int, int]:
+        """Score and index of the first best candidate that reaches the threshold, else (-1, -1).
+
+        Without a common token the score is twice the common subsequence over both lengths, and that
+        is no longer than the letters both have. Candidates are compared from the highest bound
+        on, until the bound is below the best score.
+        """
+        if not value.tokens:
+            return -1, -1
+        both = np.minimum(self.letters, _letter_counts(value.text)).sum(axis=1)
+        total = self.lengths + len(value.text)
+        bounds = np.where(self.lengths > 0, np.ceil(200 * both / np.maximum(total, 1)), -1)
+        for token in value.tokens:
+            bounds[self.by_token.get(token, [])] = 100
+        score, index = -1, -1
+        for i in np.argsort(-bounds, kind="stable").tolist():
+            if bounds[i] < max(threshold, score):
+                break
+            got = token_set_score(value, self.options[i], max(threshold, score))
+            if got >= threshold and (got > score or (got == score and i < index)):
+                score, index = got, i
+        return score, index
 
 
 def best_in_chunk(threshold: int):
-    """UDF (key, chunk name, candidate keys) -> (score, index of the first best candidate).
-
-    Rows with the same chunk name must have the same candidates: they are prepared once.
-    """
+    """UDF (keys, candidate keys) -> [(score, index of the first best candidate)], -1 below the
+    threshold."""
 
     @F.pandas_udf(_BEST)
-    def scorer(keys: pd.Series, chunks: pd.Series, candidates: pd.Series) -> pd.DataFrame:
-        prepared: dict[str, list[Prepared]] = {}
-        scores, positions = [], []
-        for key, chunk, options in zip(keys, chunks, candidates):
-            if chunk not in prepared:
-                if len(prepared) == 16:
-                    prepared.clear()
-                prepared[chunk] = [Prepared(o) for o in options]
-            value = Prepared(key)
-            best, position = -1, -1
-            for i, option in enumerate(prepared[chunk]):
-                score = token_set_score(value, option, max(threshold, best + 1))
-                if score > best:
-                    best, position = score, i
-                    if best == 100:
-                        break
-            scores.append(best)
-            positions.append(position)
-        return pd.DataFrame({"score": scores, "idx": positions})
+    def scorer(keys: pd.Series, candidates: pd.Series) -> pd.Series:
+        out = []
+        for group, options in zip(keys, candidates):
+            chunk = Chunk(list(options))
+            found = [chunk.best(Prepared(key), threshold) for key in group]
+            out.append([{"score": s, "idx": i} for s, i in found])
+        return pd.Series(out)
 
     return scorer

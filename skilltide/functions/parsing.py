@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from skilltide.functions._cols import ColumnOrName, col_of
+from skilltide.functions.text import parse_list
 
 
 def extract_json(c: ColumnOrName) -> Column:
@@ -29,9 +30,9 @@ def flatten_dicts(c: ColumnOrName) -> Column:
 
 def json_list_items(c: ColumnOrName, path: str) -> Column:
     """A list field of the model output as strings. Inner objects become text by P-6, their
-    values being text or a list of text; an absent field is null."""
+    values being text or a list of text; an absent field is null, other text is one item (X-12)."""
     raw = F.get_json_object(col_of(c), path)
-    items = F.from_json(raw, "array<string>")
+    items = parse_list(raw)
 
     def item_text(item: Column) -> Column:
         return F.when(F.startswith(item, F.lit("{")), json_dict_text(item)).otherwise(item)

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skilltide.session import broadcast_if_small
 
 
 def _report(df: DataFrame, table: str, rule: str, violations: Column) -> DataFrame:
@@ -66,5 +65,5 @@ def check_constraints(
 
 def cascade_delete(child: DataFrame, deleted: DataFrame, on: str) -> DataFrame:
     """L-5: the child rows that stay once the parents in ``deleted`` (column ``id``) are gone."""
-    gone = broadcast_if_small(deleted.select(F.col("id").alias(on)))
+    gone = deleted.select(F.col("id").alias(on))
     return child.join(gone, on, "left_anti")

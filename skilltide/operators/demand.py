@@ -24,6 +24,7 @@ from skilltide.functions.text import (
     percent_text,
     set_similarity,
     space_tokens,
+    strip,
     tokens,
     trigrams,
 )
@@ -51,6 +52,7 @@ class Request:
     def __post_init__(self):
         if not 1 <= self.limit <= MAX_PAGE:
             raise ValueError(f"limit must be between 1 and {MAX_PAGE}")
+        object.__setattr__(self, "job_title", self.job_title.strip())
         if self.updated_after is not None:
             dt.date.fromisoformat(self.updated_after)
 
@@ -80,7 +82,7 @@ def alias_frame(spark: SparkSession) -> DataFrame:
 def _alias_hits(requests: DataFrame, alias: DataFrame) -> DataFrame:
     """(request_id, job_word) for each alias row whose folded keyword is the folded title or
     one of its tokens."""
-    title = fold("job_title")
+    title = fold(strip("job_title"))
     words = F.array_distinct(F.array_append(space_tokens(title), title))
     asked = requests.select("request_id", F.explode(words).alias("word"))
     return asked.join(alias.select("job_word", fold("keyword").alias("word")), "word").select(
@@ -215,7 +217,7 @@ def match_fuzzy_title(
         .withColumn("grams", trigrams("word"))
         .select("word", F.size("grams").alias("n_word"), F.explode_outer("grams").alias("gram"))
     )
-    asked = requests.withColumn("grams", trigrams("job_title")).select(
+    asked = requests.withColumn("grams", trigrams(strip("job_title"))).select(
         "request_id", F.size("grams").alias("n_asked"), F.explode("grams").alias("gram")
     )
     few = few or broadcaster(requests)
@@ -406,8 +408,7 @@ def skill_page(freq: DataFrame, request: Request) -> DataFrame:
 
 
 def skill_pages(freq: DataFrame, requests: DataFrame) -> DataFrame:
-    """Q-11 for many requests: the first rows per request. The constant bound lets each task
-    drop rows that cannot be on any page before the shuffle."""
+    """Q-11 for many requests: as many first rows as each request asks for."""
     page = requests.select(
         "request_id", "last_freq", "last_name", F.col("limit").alias("_limit")
     )
@@ -418,9 +419,9 @@ def skill_pages(freq: DataFrame, requests: DataFrame) -> DataFrame:
         freq.join(page, "request_id")
         .filter(_after_cursor(F.col("last_freq"), F.col("last_name")))
         .withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") <= MAX_PAGE)
+        .filter(F.col("_rank") <= F.col("_limit"))
     )
-    return _page_row(ranked.filter(F.col("_rank") <= F.col("_limit")))
+    return _page_row(ranked)
 
 
 def next_cursors(page: DataFrame, requests: DataFrame) -> DataFrame:

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skilltide.functions._cols import ColumnOrName, col_of
-from skilltide.functions.parsing import dedupe_list, json_list_items
+from skilltide.functions.parsing import dedupe_list, json_dict_text, json_list_items
 from skilltide.functions.text import fold
 from skilltide.schemas import SENIORITY_LEVELS
-from skilltide.session import BROADCAST_ROWS, is_small
+from skilltide.session import is_small
 
 # Fixed value: the text that stands for an oversized one.
 OVERSIZE_TEXT = "Document too large to process"
@@ -59,14 +60,18 @@ def model_input(title: ColumnOrName, body: ColumnOrName) -> Column:
     return F.when(F.coalesce(col_of(title), F.lit("")) != "", titled).otherwise(col_of(body))
 
 
-def render_prompt(df: DataFrame, vocab: DataFrame, output_format: str, text: str) -> DataFrame:
-    """P-4: one prompt per row with the vocabulary lists filled in.
+def render_prompt(
+    df: DataFrame,
+    vocab: DataFrame,
+    output_format: str,
+    text: str,
+    rules: Sequence[tuple[str, str]] = PROMPT_RULES,
+) -> DataFrame:
+    """P-4: one prompt per row with the vocabulary lists filled in, whatever their size.
 
-    The lists are a scalar subquery. A prompt has to hold them whole, so a vocabulary too
-    large for one is refused.
+    ``rules`` names the categories in order with what to say before each list. A prompt holds
+    the lists whole, so they are one scalar subquery.
     """
-    if not is_small(vocab):
-        raise ValueError(f"a prompt cannot hold more than {BROADCAST_ROWS} vocabulary terms")
 
     def terms(category: str) -> Column:
         rows = F.sort_array(
@@ -74,11 +79,10 @@ def render_prompt(df: DataFrame, vocab: DataFrame, output_format: str, text: str
         )
         return F.array_join(F.transform(rows, lambda r: r["value"]), ", ")
 
-    rules = [
-        F.concat(F.lit(f"- {rule}: "), terms(category), F.lit("\n"))
-        for category, rule in PROMPT_RULES
+    said = [
+        F.concat(F.lit(f"- {rule}: "), terms(category), F.lit("\n")) for category, rule in rules
     ]
-    guidelines = vocab.agg(F.concat(*rules).alias("g")).scalar()
+    guidelines = vocab.agg(F.concat(*said).alias("g")).scalar()
     prompt = F.concat(
         F.lit('"'),
         F.col(text),
@@ -95,13 +99,19 @@ def merge_parsed(
     """P-8: metadata and parsed fields in one row; a key the model gave wins, even as null.
 
     ``parsed`` holds ``_id`` and the model's JSON object as text; rows without one are dropped.
+    An object in a text field becomes text (P-6), a list field given as text a list (X-12). Keys
+    that are no column are kept in the variant ``rest``.
     """
     found = parsed.filter(F.col(body).isNotNull()).select("_id", body)
     joined = raw.select("_id", *METADATA).join(found, "_id")
     keys = F.json_object_keys(body)
 
-    def field(name: str) -> Column:
+    def given_text(name: str) -> Column:
         given = F.get_json_object(body, f"$.{name}")
+        return F.when(F.startswith(given, F.lit("{")), json_dict_text(given)).otherwise(given)
+
+    def field(name: str) -> Column:
+        given = given_text(name)
         return F.when(F.array_contains(keys, name), given).otherwise(
             F.coalesce(F.col(name), F.lit(""))
         )
@@ -110,11 +120,32 @@ def merge_parsed(
         "_id",
         *[field(name).alias(name) for name in METADATA],
         F.lit(str(at)).alias("update_date"),
-        *[F.get_json_object(body, f"$.{name}").alias(name) for name in TEXT_FIELDS],
+        *[given_text(name).alias(name) for name in TEXT_FIELDS],
         *[dedupe_list(json_list_items(body, f"$.{name}")).alias(name) for name in LIST_FIELDS],
+        _rest(body, keys).alias("rest"),
     )
 
 
+def _rest(body: str, keys: Column) -> Column:
+    """The keys of the model's object that have no column, as a variant; null without any."""
+    known = F.array(*[F.lit(k) for k in ("_id", *METADATA, *TEXT_FIELDS, *LIST_FIELDS)])
+    others = F.array_except(keys, known)
+    values = F.from_json(body, "map<string,string>")
+
+    def member(k: Column) -> Column:
+        value = F.element_at(values, k)
+        # a nested value is JSON already, a plain one is quoted as text
+        nested = F.startswith(value, F.lit("{")) | F.startswith(value, F.lit("["))
+        quoted = F.get_json_object(F.to_json(F.struct(F.array(value).alias("v"))), "$.v")
+        inner = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+        name = F.get_json_object(F.to_json(F.struct(F.array(k).alias("v"))), "$.v")
+        text = F.when(value.isNull(), F.lit("null")).when(nested & F.try_parse_json(value).isNotNull(), value).otherwise(inner)
+        return F.concat(F.substring(name, F.lit(2), F.length(name) - 2), F.lit(":"), text)
+
+    joined = F.concat(F.lit("{"), F.array_join(F.transform(others, member), ","), F.lit("}"))
+    return F.when(F.size(others) > 0, F.try_parse_json(joined))
+
+
 def parse_progress(raw: DataFrame, parsed: DataFrame, batch_size: int) -> DataFrame:
     """P-9: counts of raw, parsed and remaining postings and of the batches they need."""
     sides = raw.select("_id", F.lit(1).alias("r"), F.lit(0).alias("p")).unionByName(

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from skilltide.functions.postings import surrogate_key
 from skilltide.functions.text import tokens
-from skilltide.session import broadcast_if_small
 
 FACT_COLUMNS = (
     "job_title", "company_name", "posted_date", "url", "update_date", "salary", "location",
@@ -34,7 +33,7 @@ def with_position_id(
 ) -> DataFrame:
     """M-2: the id of each posting's position; no dimension gives null ids.
 
-    The dimension is broadcast when its count allows. ``job_table`` needs no join at all.
+    Adaptive execution broadcasts the dimension by its run-time size. ``job_table`` needs no join.
     """
     if dim is None:
         return fact.withColumn("position_id", F.lit(None).cast("string"))
@@ -42,7 +41,7 @@ def with_position_id(
     positions = (
         silver.filter(F.col("job_position").isNotNull())
         .select(F.col("_id").alias("id"), "job_position")
-        .join(broadcast_if_small(ids), "job_position", "left")
+        .join(ids, "job_position", "left")
         .select("id", "position_id")
     )
     return fact.join(positions, "id", "left")
@@ -108,7 +107,7 @@ def bridge(
         out = pairs.withColumn(member_id, surrogate_key("name"))
     else:
         ids = dim.select("name", F.col("id").alias(member_id))
-        out = pairs.join(broadcast_if_small(ids), "name")
+        out = pairs.join(ids, "name")
     out = out.select("job_id", *_months(silver), member_id)
     return out.distinct() if distinct else out
 

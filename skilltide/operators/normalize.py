@@ -7,18 +7,23 @@ is small and in a shuffle join beyond, where adaptive execution splits hot value
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skilltide.functions.fuzzy import best_in_chunk
-from skilltide.functions.text import clean_key, strip
+from skilltide.functions.text import clean_key, parse_list, strip
 from skilltide.operators.vocab import key_table
-from skilltide.session import is_small, saved
+from skilltide.session import BROADCAST_ROWS, is_small, saved
 
 THRESHOLD = 50
 CHUNK = 1_000  # vocabulary keys one comparison row carries
+KEYS = 500  # new keys about that a comparison row carries
+IN_ROW_BYTES = 8 << 20
+BUCKETS = 4_096
 
 SCALAR_FIELDS = ("location", "job_position")
 LIST_FIELDS = ("major", "soft_skills", "tech_stack")
@@ -48,36 +53,32 @@ def match_fuzzy(
 ) -> DataFrame:
     """N-4: (category, key, fuzzy, score) for the distinct keys that reach the threshold.
 
-    Each key is compared with whole chunks of the vocabulary and keeps one candidate per
-    chunk, so no pairs are emitted. Keys are spread by hash, as their number says nothing
-    about the work; a vocabulary too large to broadcast is joined on a salt.
+    A row holds a group of keys and a chunk of the vocabulary, so a chunk is sent once per group and
+    no pairs are emitted. In it a key is compared with the candidates that share a token, and
+    with others in the order of a bound on their score until none can reach the best.
     """
-    spark = values.sparkSession
-    tasks = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
     place = F.struct("first_ord", "key", "target")
     chunks = (
         key_table(vocab)
         .groupBy("category", F.floor(F.col("first_ord") / CHUNK).alias("chunk"))
         .agg(F.sort_array(F.collect_list(place)).alias("entries"))
     )
-    keys = values.select("category", "key").filter(F.col("key") != "").distinct()
-    if is_small(vocab) if small is None else small:
-        pairs = keys.repartition(tasks, "key").join(F.broadcast(chunks), "category")
-    else:
-        salted = chunks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
-        spread = keys.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(tasks)).cast("int"))
-        pairs = spread.join(salted, ["category", "salt"])
-    name = F.concat_ws("/", pairs["category"], pairs["chunk"].cast("string"))
-    best = best_in_chunk(threshold)(
-        pairs["key"], name, F.transform(pairs["entries"], lambda e: e["key"])
+    keys = saved(
+        values.select("category", "key").filter(F.col("key") != "").distinct(), "open-keys"
+    )
+    groups = max(1, -(-keys.count() // KEYS))
+    grouped = keys.groupBy("category", F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group")).agg(
+        F.collect_list("key").alias("keys")
     )
+    small = is_small(vocab) if small is None else small
+    pairs = grouped.join(F.broadcast(chunks) if small else chunks, "category")
+    best = best_in_chunk(threshold)(pairs["keys"], F.transform(pairs["entries"], lambda e: e["key"]))
     scored = (
         pairs.withColumn("best", best)
-        .filter(F.col("best.score") >= threshold)
-        .withColumn("entry", F.get("entries", F.col("best.idx")))
-        .select("category", "key", "best.score", "entry.first_ord", "entry.target")
+        .select("category", "entries", F.explode(F.arrays_zip("keys", "best")).alias("x"))
+        .filter(F.col("x.best.score") >= threshold)
+        .withColumn("entry", F.get("entries", F.col("x.best.idx")))
+        .select("category", F.col("x.keys").alias("key"), F.col("x.best.score").alias("score"), "entry.first_ord", "entry.target")
     )
     order = F.struct(F.col("score"), -F.col("first_ord"))
     return scored.groupBy("category", "key").agg(
@@ -113,9 +114,15 @@ def resolve_values(
     )
 
 
+def _as_list(df: DataFrame, column: str) -> Column:
+    """A list column; one that holds lists as text is read by X-12."""
+    is_text = isinstance(df.schema[column].dataType, T.StringType)
+    return parse_list(column) if is_text else F.col(column)
+
+
 def _items(df: DataFrame, scalars: tuple[str, ...], lists: tuple[str, ...], key: str) -> DataFrame:
     """(key, field, pos, raw) of all fields, trimmed, blanks dropped."""
-    columns = [(f, F.array(F.col(f))) for f in scalars] + [(f, F.col(f)) for f in lists]
+    columns = [(f, F.array(F.col(f))) for f in scalars] + [(f, _as_list(df, f)) for f in lists]
     fields = [F.struct(F.lit(f).alias("field"), c.alias("items")) for f, c in columns]
     return (
         df.select(key, F.inline(F.array(*fields)))
@@ -149,10 +156,13 @@ def apply_mapping(
 ) -> DataFrame:
     """Add ``normalized_<field>`` columns. A null list stays null, order and repeats stay.
 
-    Scalars are looked up in place. Items of all lists are exploded together, looked up and
-    regrouped by ``key`` once.
+    While the mapping is small, values are looked up in the row and nothing is shuffled. Beyond,
+    items of all lists are exploded together, looked up in a join and regrouped by row once.
     """
-    out = df
+    if _fits_a_task(mapping):
+        return _apply_in_row(df, mapping, scalars, lists)
+    row = "_row"
+    out = saved(df.withColumn(row, F.monotonically_increasing_id()), "rows") if lists else df
     for field in scalars:
         lookup = mapping.filter(F.col("category") == field).select(
             F.col("raw").alias("_raw"), F.col("value").alias(f"normalized_{field}")
@@ -164,13 +174,14 @@ def apply_mapping(
         )
     if not lists:
         return out
+    df, key = out, row
     lookup = mapping.select(F.col("category").alias("field"), "raw", "value")
     items = _items(df, (), lists, key).join(lookup, ["field", "raw"])
 
     def items_of(name: str) -> Column:
         return F.collect_list(F.when(F.col("field") == name, F.struct("pos", "value")))
 
-    grouped = items.groupBy(key).agg(*[F.sort_array(items_of(f)).alias(f"_{f}") for f in lists])
+    grouped = items.groupBy(row).agg(*[F.sort_array(items_of(f)).alias(f"_{f}") for f in lists])
     out = out.join(grouped, key, "left")
     for field in lists:
         kept = F.transform(F.col(f"_{field}"), lambda p: p["value"])
@@ -179,7 +190,50 @@ def apply_mapping(
             f"normalized_{field}",
             F.when(F.col(field).isNotNull(), F.coalesce(kept, empty)),
         ).drop(f"_{field}")
-    return out
+    return out.drop(row)
+
+
+def _fits_a_task(mapping: DataFrame) -> bool:
+    """Whether a saved mapping may be shipped with the plan: by its rows and its bytes."""
+    size = F.sum(F.octet_length("category") + F.octet_length("raw") + F.octet_length("value"))
+    rows, chars = mapping.agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    return rows <= BROADCAST_ROWS and chars <= IN_ROW_BYTES
+
+
+def _apply_in_row(
+    df: DataFrame, mapping: DataFrame, scalars: tuple[str, ...], lists: tuple[str, ...]
+) -> DataFrame:
+    """The mapping as a scalar subquery: small maps by the hash of their keys, so that a look-up
+    reads one of them."""
+    entry = F.struct(F.concat_ws("\x00", "category", "raw").alias("key"), "value")
+    keyed = mapping.select(entry.alias("e")).withColumn("at", _bucket(F.col("e.key")))
+    buckets = keyed.groupBy("at").agg(F.collect_list("e").alias("m"))
+    every = df.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("at"))
+    found = every.join(buckets, "at", "left").agg(
+        F.transform(
+            F.sort_array(F.collect_list(F.struct("at", "m"))), lambda b: F.map_from_entries(b["m"])
+        ).alias("a")
+    )
+    # as a column, since a subquery may not stand inside a lambda
+    out = df.withColumn("_lookup", found.scalar())
+
+    def value_of(field: str, raw: Column) -> Column:
+        key = F.concat(F.lit(f"{field}\x00"), raw)
+        return F.element_at(F.get("_lookup", _bucket(key)), key)
+
+    def of_field(field: str) -> Callable[[Column], Column]:
+        return lambda raw: value_of(field, raw)
+
+    for field in scalars:
+        out = out.withColumn(f"normalized_{field}", value_of(field, strip(field)))
+    for field in lists:
+        trimmed = F.filter(F.transform(_as_list(df, field), strip), lambda v: v != "")
+        out = out.withColumn(f"normalized_{field}", F.transform(trimmed, of_field(field)))
+    return out.drop("_lookup")
+
+
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
 def normalize_scalar(

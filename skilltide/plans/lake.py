@@ -17,6 +17,7 @@ from skilltide.operators.extract import (
     LIST_FIELDS,
     METADATA,
     extract_entities,
+    extract_levels,
     guard_size,
     model_input,
     unparsed,
@@ -27,7 +28,7 @@ from skilltide.operators.normalize import THRESHOLD, field_mapping, silver_posti
 from skilltide.operators.vocab import evolve_vocab, new_values
 from skilltide.schemas import PARSED_POSTING, WAREHOUSE
 from skilltide.session import saved
-from skilltide.sources.files import layer_path, read_layer, write_layer
+from skilltide.sources.files import layer_path, read_if_exists, write_layer
 from skilltide.sources.warehouse import load_table
 
 
@@ -37,19 +38,21 @@ def run_parse(
     vocab: DataFrame,
     at: dt.date | str,
     limit: int | None = None,
-    max_bytes: int = 16 * 1024 * 1024,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """J-3: parsed postings of the raw ones not parsed yet, by vocabulary extraction.
 
-    The position is the first vocabulary position named in the text. Texts end at the
-    extraction; only hits and metadata meet again.
+    The position is the first vocabulary position named in the text, the levels are P-11's. Texts
+    end at the extraction; only hits and metadata meet again. Texts are read whole; with
+    ``max_bytes`` larger ones are left out and named in the column ``error`` (P-2).
     """
     todo = unparsed(raw, parsed)
     if limit is not None:
         # A limit may pick other rows each time it is read, so the batch is kept.
         batch = saved(unparsed(raw.select("_id"), parsed, limit), "batch")
         todo = raw.join(batch, "_id", "left_semi")
-    todo = guard_size(todo, max_bytes)
+    if max_bytes is not None:
+        todo = guard_size(todo, max_bytes)
     texts = todo.select("_id", model_input("job_title", "full_text_jd").alias("text"))
     found = extract_entities(texts, vocab, "_id", "text")
 
@@ -57,14 +60,19 @@ def run_parse(
         return F.first(F.when(F.col("category") == category, F.col("terms")), ignorenulls=True)
 
     fields = found.groupBy("_id").agg(
-        *[terms_of(name).alias(name) for name in LIST_FIELDS],
+        *[terms_of(name).alias(name) for name in LIST_FIELDS if name != "seniority_level"],
         F.get(terms_of("job_position"), F.lit(0)).alias("job_position"),
     )
-    metadata = todo.select("_id", *[F.coalesce(c, F.lit("")).alias(c) for c in METADATA])
+    metadata = todo.select(
+        "_id",
+        *[F.coalesce(c, F.lit("")).alias(c) for c in METADATA],
+        extract_levels(model_input("job_title", "full_text_jd")).alias("seniority_level"),
+        *(["error"] if max_bytes is not None else []),
+    )
     stamped = metadata.join(fields, "_id", "left").withColumns(
         {"update_date": F.lit(str(at)), "salary": F.lit(None).cast("string")}
     )
-    return stamped.select(*PARSED_POSTING.names)
+    return stamped.select(*PARSED_POSTING.names, *(["error"] if max_bytes is not None else []))
 
 
 def bronze(parsed: DataFrame, first: dt.date | str, last: dt.date | str | None = None) -> DataFrame:
@@ -95,7 +103,7 @@ def _run(
 
     def keep(df: DataFrame, layer: str, table: str) -> DataFrame:
         observation = Observation(f"{layer}.{table}")
-        path = write_layer(df, root, layer, table, observation)
+        path = write_layer(df, root, layer, table, observation, (first, last or first))
         metrics[f"{layer}.{table}"] = metrics_of(df, observation, partition)
         # The folder has no schema of its own while nothing was ever written to it.
         stored = spark.read.schema(df.schema).parquet(path)
@@ -143,7 +151,11 @@ def run_warehouse(
     """J-2: load one month of the eight gold tables; says which had rows."""
 
     def load(table: str) -> bool:
-        rows = read_layer(spark, lake, "gold", table, month).drop("month")
+        # a layer that was never written has no month
+        stored = read_if_exists(spark, layer_path(lake, "gold", table))
+        if stored is None:
+            return False
+        rows = stored.filter(F.col("month") == F.lit(str(month)).cast("date")).drop("month")
         return load_table(rows, warehouse, table, month)
 
     return dict(zip(WAREHOUSE, _at_once([lambda t=t: load(t) for t in WAREHOUSE])))

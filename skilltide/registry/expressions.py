@@ -30,7 +30,7 @@ TRIGRAMS = (
 HEADLINES = r"""
 WITH headlines AS (
   SELECT page_id, trim(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)) AS title,
-         trim(regexp_extract(html, '(?s)<p[^>]*>(.*?)</p>', 1)) AS lead
+         regexp_replace(html, '<[^>]+>', ' ', 'g') AS body
   FROM pages)
 """
 
@@ -40,7 +40,7 @@ def _headlines(spark, sf_dir):
     return table(spark, sf_dir, "pages").select(
         "page_id",
         F.trim(F.regexp_extract(html, r"(?s)<title[^>]*>(.*?)</title>", 1)).alias("title"),
-        F.trim(F.regexp_extract(html, r"(?s)<p[^>]*>(.*?)</p>", 1)).alias("lead"),
+        F.regexp_replace(html, "<[^>]+>", " ").alias("body"),
     )
 
 
@@ -165,15 +165,14 @@ def x9(spark, sf_dir):
 @query(
     "x10_contains_either_way",
     HEADLINES
-    + """SELECT page_id, CAST(contains(strip_accents(lower(title)), strip_accents(lower(word)))
-             OR contains(strip_accents(lower(word)), strip_accents(lower(title))) AS INT) AS hit
-    FROM (SELECT page_id, title, split_part(lead, ' ', 2) AS word FROM headlines)
+    + r"""SELECT page_id, CAST(contains(a, b) OR contains(b, a) AS INT) AS hit FROM (
+      SELECT page_id, trim(regexp_replace(strip_accents(lower(title)), '\s+', ' ', 'g')) AS a,
+             trim(regexp_replace(strip_accents(lower(body)), '\s+', ' ', 'g')) AS b FROM headlines)
     """,
 )
 def x10(spark, sf_dir):
-    word = F.split_part("lead", F.lit(" "), F.lit(2))
     return _headlines(spark, sf_dir).select(
-        "page_id", t.contains_either_way("title", word).cast("int").alias("hit")
+        "page_id", t.contains_either_way("title", "body").cast("int").alias("hit")
     )
 
 
@@ -228,25 +227,23 @@ def x13(spark, sf_dir):
     HEADLINES
     + f"""
     SELECT page_id, CAST(len(q) > 0 AND list_has_all(d, q) AS INT) AS hit FROM (
-      SELECT page_id, {TOKENS.format(FOLD.format('title'))} AS d,
-             {TOKENS.format(FOLD.format("array_to_string(string_split(title, ' ')[2:3], ' ')"))} AS q
+      SELECT page_id, {TOKENS.format(FOLD.format('body'))} AS d, {TOKENS.format(FOLD.format('title'))} AS q
       FROM headlines)
     UNION ALL
     SELECT page_id, CAST(len(q) > 0 AND list_has_all(d, q) AS INT) AS hit FROM (
-      SELECT page_id, {TOKENS.format(FOLD.format('title'))} AS d, {TOKENS.format(FOLD.format('lead'))} AS q
+      SELECT page_id, {TOKENS.format(FOLD.format('title'))} AS d, {TOKENS.format(FOLD.format('body'))} AS q
       FROM headlines)
     """,
 )
 def x14(spark, sf_dir):
-    heads = _headlines(spark, sf_dir)
-    part = F.array_join(F.slice(F.split("title", " "), 2, 2), " ")
+    heads = _headlines(spark, sf_dir).select(
+        "page_id", t.tokens("title").alias("title"), t.tokens("body").alias("body")
+    )
 
-    def hits(asked):
-        return heads.select(
-            "page_id", t.all_terms_match(t.tokens("title"), t.tokens(asked)).cast("int").alias("hit")
-        )
+    def hits(held, asked):
+        return heads.select("page_id", t.all_terms_match(held, asked).cast("int").alias("hit"))
 
-    return hits(part).unionByName(hits(F.col("lead")))
+    return hits("body", "title").unionByName(hits("title", "body"))
 
 
 @query(
@@ -264,12 +261,12 @@ def x15(spark, sf_dir):
     HEADLINES
     + f"""SELECT page_id, CASE WHEN len(a) + len(b) = 0 THEN 0.0
              ELSE round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 9) END AS similarity
-    FROM (SELECT page_id, {TRIGRAMS.format('title')} AS a, {TRIGRAMS.format('lead')} AS b FROM headlines)
+    FROM (SELECT page_id, {TRIGRAMS.format('title')} AS a, {TRIGRAMS.format('body')} AS b FROM headlines)
     """,
 )
 def x16(spark, sf_dir):
     return _headlines(spark, sf_dir).select(
-        "page_id", F.round(t.trigram_similarity("title", "lead"), 9).alias("similarity")
+        "page_id", F.round(t.trigram_similarity("title", "body"), 9).alias("similarity")
     )
 
 

@@ -238,38 +238,104 @@ def i12(spark, sf_dir):
     return _cards(spark, sf_dir)
 
 
+# Landed pages of the other sources are built from the words of ``pages``: the plain text of a page, cut in
+# pieces, stands where such a page has its fields, in nested blocks and with attributes in several orders.
+_PIECES = "string_split(trim(regexp_replace(regexp_replace(html, '<[^>]*>|&[a-z]+;|[<>&]', ' ', 'g'), '\\s+', ' ', 'g')), ' ')"
+
+
+def _pieces(spark, sf_dir):
+    """page_id, url, first word, second word, all words as one text."""
+    plain = F.regexp_replace("html", "<[^>]*>|&[a-z]+;|[<>&]", " ")
+    words = F.split(F.trim(F.regexp_replace(plain, r"\s+", " ")), " ")
+    return table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.get(words, 0).alias("w1"), F.get(words, 1).alias("w2"), F.array_join(words, " ").alias("whole")
+    )
+
+
+def _said(*parts):
+    return F.concat(*[F.lit(p) if p[:1] == "<" or p[-1:] == ">" or " " in p else F.col(p) for p in parts])
+
+
 @query(
     "i13_job_html",
-    "SELECT page_id, "
-    + STRIP.format(
-        "string_split("
-        + STRIP.format(
-            "replace(replace(replace(replace(replace(replace("
-            "regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'),"
-            " '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')"
-        )
-        + ", ' of ')[1]"
-    )
-    + " AS title, "
-    + _text_sql("""regexp_extract(html, '(?s)<div[^>]*class="ad"[^>]*>(.*?)</div>', 1)""")
-    + " AS company_name, "
-    + STRIP.format(
-        r"""regexp_replace(regexp_replace(CASE WHEN contains(lower(
-            regexp_extract(html, '(?s)<article>.*?<h1[^>]*>(.*?)</h1>', 1)), 'e')
-            THEN regexp_extract(html, '(?s)<article>(.*?)</article>', 1) ELSE '' END,
-            '<[^>]+>', chr(10), 'g'), '\n+', chr(10), 'g')"""
-    )
-    + " AS requirements FROM pages",
+    f"""
+    WITH p AS (SELECT page_id, w[1] AS w1, w[2] AS w2, array_to_string(w, ' ') AS whole FROM (SELECT page_id, {_PIECES} AS w FROM pages))
+    SELECT page_id, w1 AS title, w2 AS company_name, CASE WHEN page_id % 2 = 0 THEN w1 ELSE '' END AS company_field,
+           '100 people' AS company_scope, concat(w2, ' years') AS experience,
+           concat('Yêu cầu ứng viên', chr(10), whole, chr(10), w1, chr(10), w2, chr(10), 'end') AS requirements
+    FROM p
+    """,
 )
 def i13(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
-        "page_id",
-        listings.page_title("html", " of ").alias("title"),
-        listings.block_text("html", "div", "ad").alias("company_name"),
-        listings.section_text(
-            "html", r"(?s)<article>(.*?)</article>", r"(?s)<h1[^>]*>(.*?)</h1>", "e"
-        ).alias("requirements"),
+    field = F.when(F.col("page_id") % 2 == 0, _said('<div id="v" class="x company-value">', "w1", "</div>")).otherwise(F.lit(""))
+    html = F.concat(
+        _said("<title> ", "w1", " làm việc tại here</title><div class='big company-name'>", "w2", "</div>"),
+        F.lit('<div class="job-detail__company--information-item company-field">'), field, F.lit("</div>"),
+        F.lit('<div data-x="1" class="company-scale job-detail__company--information-item"><div class="company-value">100 people</div></div>'),
+        F.lit('<div class="job-detail__info--section-content-title a">Kinh nghiệm</div><div class="job-detail__info--section-content-value">'),
+        _said("w2", " years</div>", '<div class="job-description__item"><h3>Mô tả</h3><div>no</div></div>'),
+        _said('<div id="r" class="a job-description__item b"><h3>Yêu cầu ứng viên</h3><div><p>', "whole", "</p><div>", "w1", "</div></div><div>", "w2", "</div>"),
+        F.lit('<p>end</p></div><div class="job-description__item"><h3>Quyền lợi</h3>no</div>'),
+    )
+    pages = _pieces(spark, sf_dir).select("page_id", html.alias("html"))
+    return listings.from_job_html(pages, keep=("page_id",))
+
+
+@query(
+    "i12_listing_cards",
+    f"""
+    WITH p AS (SELECT page_id, url, w[1] AS w1, w[2] AS w2 FROM (SELECT page_id, url, {_PIECES} AS w FROM pages))
+    SELECT page_id, w1 AS job_title, w2 AS company_name, 'Ha Noi' AS location, '2001-08-01' AS posted_date,
+           unnest([concat('https://jobs.example.com/', page_id), concat('https://jobs.example.com/second-', page_id)]) AS url
+    FROM p WHERE w1 <> '' AND w2 IS NOT NULL
+    """,
+)
+def i12_cards(spark, sf_dir):
+    def card(link):
+        return F.concat(
+            F.lit("<li>"), link, _said('<h3 id="t" class="base-search-card__title x">', "w1", "</h3><h4 class='a base-search-card__subtitle'><b>", "w2", "</b></h4>"),
+            F.lit('<span class="job-search-card__location">Ha Noi</span><time class="t" datetime="2001-08-01">now</time></li>'),
+        )
+
+    first = F.concat(F.lit('<a class="base-card__full-link z" href="https://jobs.example.com/'), "page_id", F.lit('">x</a>'))
+    second = F.concat(F.lit('<a href="https://jobs.example.com/second-'), "page_id", F.lit('" class="q base-card__full-link">x</a>'))
+    html = F.concat(F.lit("<ul>"), card(first), F.lit("<li>nothing</li>"), card(second), F.lit("</ul>"))
+    pages = _pieces(spark, sf_dir).filter("w1 <> '' AND w2 IS NOT NULL").select("page_id", html.alias("html"))
+    return listings.from_listing_html(pages, keep=("page_id",))
+
+
+@query(
+    "i13_detail_page",
+    f"""
+    WITH p AS (SELECT page_id, w[1] AS w1, w[2] AS w2, array_to_string(w, ' ') AS whole FROM (SELECT page_id, {_PIECES} AS w FROM pages))
+    SELECT page_id, concat('https://jobs.example.com/a-', page_id) AS url, CAST(page_id AS VARCHAR) AS source_id,
+           w1 AS job_title, w2 AS company_name, 'Ha Noi' AS location,
+           '2001-07-30' AS posted_date,
+           concat('Job description:', chr(10), 'Job description', chr(10), whole, chr(10), w1, chr(10), chr(10),
+                  'Your skills:', chr(10), 'Your skills', chr(10), w2) AS full_text_jd,
+           concat(whole, chr(10), w2) AS text_a, concat(w1, chr(10), chr(10), whole) AS text_b, concat(w1, chr(10), w2) AS text_c
+    FROM p WHERE w1 <> '' AND w2 IS NOT NULL
+    """,
+)
+def i13_detail(spark, sf_dir):
+    html = F.concat(
+        F.lit('<h3 class="c" data-url="https://jobs.example.com/a-'), "page_id", F.lit('?x=1"></h3>'),
+        _said('<div class="job-header-info w"><h1>', "w1", '</h1><div><a href="#" class="employer-name">', "w2", "</a></div></div>"),
+        F.lit('<div><svg><use href="x#map-pin"></use></svg><span> 1 Road, Ha Noi </span></div><span>Posted 2 days ago</span>'),
+        _said('<section><div class="imy-5 paragraph"><h2>Top reasons</h2>no</div><div class="paragraph imy-5"><h2>Job description</h2><div>', "whole", "</div><div><div>", "w1", "</div></div></div>"),
+        _said('<div id="k" class="imy-5 paragraph"><h2>Your skills</h2>', "w2", "</div></section>"),
+        _said('<div class="x" id="JobDescription"><div>', "whole", "<svg>no</svg></div><i>no</i><p>", "w2", "</p></div>"),
+        _said('<div class="vnwLayout__col">', "w1", '</div><div class="vnwLayout__col"><div>', "whole", "</div></div>"),
+        _said('<div class="show-more-less-html__markup a">', "w1", "<br><br>", "w2", "</div>"),
     )
+    pages = _pieces(spark, sf_dir).filter("w1 <> '' AND w2 IS NOT NULL").select("page_id", html.alias("html"), F.lit("2001-08-01 00:00:00").alias("update_date"))
+    details = listings.from_detail_html(pages, keep=("page_id",))
+    cards = listings.from_card_html(pages, keep=("page_id",))
+    texts = pages.select(
+        "page_id", listings.description_text("html", "a").alias("text_a"),
+        listings.blocks_text("html", "div", "vnwLayout__col").alias("text_b"), listings.description_text("html", "c").alias("text_c"),
+    )
+    return cards.join(details, "page_id").join(texts, "page_id")
 
 
 @query(
@@ -296,24 +362,21 @@ def i14(spark, sf_dir):
 
 @query(
     "i15_assemble_sections",
-    """
-    SELECT page_id, array_to_string(list_filter([
-      CASE WHEN length(url) > 0 THEN concat('Job description:', chr(10), html) END,
-      CASE WHEN contains(lower(url), 'skills') THEN concat(url, ':', chr(10), 'x') END,
-      concat('Your SKILLS:', chr(10), url)], lambda s: s IS NOT NULL), concat(chr(10), chr(10))) AS body
-    FROM pages
+    f"""
+    WITH p AS (SELECT page_id, w[1] AS w1, w[2] AS w2, array_to_string(w, ' ') AS whole FROM (SELECT page_id, {_PIECES} AS w FROM pages))
+    SELECT page_id, concat('Job description:', chr(10), 'Job description', chr(10), whole, chr(10), w1, chr(10), chr(10),
+           'Your SKILLS:', chr(10), 'Your SKILLS', chr(10), w2) AS body
+    FROM p WHERE w1 <> '' AND w2 IS NOT NULL
     """,
 )
 def i15(spark, sf_dir):
-    def block(heading, text):
-        return F.struct(heading.alias("heading"), text.alias("text"))
-
-    blocks = F.array(
-        block(F.lit(" Job description "), F.col("html")),
-        block(F.col("url"), F.lit("x")),
-        block(F.lit("Your SKILLS"), F.col("url")),
+    html = F.concat(
+        F.lit('<div class="imy-5 paragraph"><h2>Top 3 reasons</h2><div>no</div></div>'),
+        _said('<div id="j" class="a paragraph imy-5"><h2> Job description</h2><div><div>', "whole", "</div></div><p>", "w1", "</p></div> outside"),
+        _said('<div class="imy-5 paragraph"><h2>Your SKILLS</h2><div>', "w2", "</div></div>"),
     )
-    return table(spark, sf_dir, "pages").select("page_id", p.assemble_sections(blocks).alias("body"))
+    pages = _pieces(spark, sf_dir).filter("w1 <> '' AND w2 IS NOT NULL")
+    return pages.select("page_id", p.assemble_sections(listings.page_blocks(html)).alias("body"))
 
 
 @query(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skilltide.operators import model as m
+from skilltide.operators.normalize import LIST_FIELDS
 from skilltide.plans import lake
 from skilltide.registry import shapes
 from skilltide.registry.core import query, shape, with_shapes
@@ -100,41 +102,54 @@ def _register_loads() -> None:
 _register_loads()
 
 
-def _counts(frames: dict[str, DataFrame]) -> DataFrame:
-    return reduce(
-        DataFrame.unionByName,
-        [
-            df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
-            for name, df in frames.items()
-        ],
+def _digest(text: Column) -> Column:
+    """A sum over rows that both engines can take: it tells contents apart, whatever their order."""
+    return F.coalesce(F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")), F.lit(0))
+
+
+def _digest_sql(name: str, text: str, source: str) -> str:
+    return (
+        f"SELECT '{name}' AS name, count(*) AS n, CAST(coalesce(sum(CAST(concat('0x', substr(md5({text}), 1, 8))"
+        f" AS BIGINT)), 0) AS BIGINT) AS digest FROM {source}"
     )
 
 
-def _lake_counts_sql(where: str) -> str:
-    """Row counts of the layers, dimensions being distinct per month."""
+_SILVER_FIELDS = ("_id", "job_title", "posted_date", "location", "job_position", *LIST_FIELDS)
+
+
+def _lake_sql(where: str, with_silver: bool = True) -> str:
+    """Count and digest of the rows of each table, dimensions being distinct per month."""
 
     def pairs(column: str) -> str:
         return (
-            f"(SELECT substr(posted_date, 1, 7) AS month, unnest(string_split({column}, ';')) AS name"
+            f"(SELECT _id, substr(posted_date, 1, 7) AS month, unnest(string_split({column}, ';')) AS name"
             f" FROM silver WHERE {column} <> '')"
         )
 
-    parts = ["SELECT 'silver' AS name, count(*) AS n FROM silver"]
+    whole = "concat_ws('|', " + ", ".join(f"coalesce({c}, '-')" for c in _SILVER_FIELDS) + ")"
+    parts = [_digest_sql("silver", whole, "silver")] if with_silver else []
     for column, dim, bridge in (
         ("tech_stack", "tech_skill_table", "job_tech_skill_mapping"),
         ("soft_skills", "soft_skill_table", "job_soft_skill_mapping"),
         ("major", "major_table", "job_major_mapping"),
     ):
-        parts.append(f"SELECT '{dim}', count(*) FROM (SELECT DISTINCT month, name FROM {pairs(column)})")
-        parts.append(f"SELECT '{bridge}', count(*) FROM {pairs(column)}")
-    parts.append(
-        "SELECT 'job_position_table', count(*) FROM (SELECT DISTINCT substr(posted_date, 1, 7), job_position"
-        " FROM silver WHERE job_position IS NOT NULL)"
+        members = f"(SELECT DISTINCT month, name FROM {pairs(column)})"
+        parts.append(_digest_sql(dim, "concat(month, '|', md5(name), '|', name)", members))
+        parts.append(_digest_sql(bridge, "concat(month, '|', _id, '|', md5(name))", pairs(column)))
+    positions = (
+        "(SELECT DISTINCT substr(posted_date, 1, 7) AS month, job_position AS name FROM silver WHERE job_position IS NOT NULL)"
+    )
+    parts.append(_digest_sql("job_position_table", "concat(month, '|', md5(name), '|', name)", positions))
+    fact = (
+        "(SELECT s._id, substr(s.posted_date, 1, 7) AS month, s.job_position, s.location, c.company_name,"
+        " unnest(CASE WHEN coalesce(c.levels, '') = '' THEN [NULL] ELSE string_split(c.levels, ';') END) AS level"
+        " FROM silver s JOIN chosen c USING (_id))"
     )
-    parts.append(
-        "SELECT 'job_description_table', CAST(sum(CASE WHEN coalesce(levels, '') = '' THEN 1"
-        " ELSE len(string_split(levels, ';')) END) AS BIGINT) FROM chosen"
+    text = (
+        "concat(month, '|', _id, '|', coalesce(level, '-'), '|', coalesce(md5(job_position), '-'), '|',"
+        " coalesce(location, '-'), '|', company_name)"
     )
+    parts.append(_digest_sql("job_description_table", text, fact))
     silver = SILVER.strip().replace("posting_rows", "chosen")
     return with_shapes(
         "posting_rows vocab",
@@ -142,18 +157,65 @@ def _lake_counts_sql(where: str) -> str:
     )
 
 
-def _lake_counts(spark, root, month=None) -> DataFrame:
-    frames = {"silver": read_layer(spark, root, "silver", "job_descriptions", month)}
-    frames |= {t: read_layer(spark, root, "gold", t, month) for t in WAREHOUSE}
-    return _counts(frames)
+def _contents(frames: dict[str, DataFrame]) -> DataFrame:
+    month = F.substring(F.col("month").cast("string"), 1, 7)
+
+    def text_of(name: str, df: DataFrame) -> Column:
+        if name == "job_description_table":
+            fields = [month, "id", F.coalesce("seniority_level", F.lit("-")), F.coalesce("position_id", F.lit("-"))]
+            return F.concat_ws("|", *fields, F.coalesce("location", F.lit("-")), "company_name")
+        if name.endswith("_mapping"):
+            return F.concat_ws("|", month, "job_id", next(c for c in df.columns if c not in ("job_id", "month")))
+        return F.concat_ws("|", month, "id", "name")
+
+    def row(name: str, df: DataFrame) -> DataFrame:
+        if name == "silver":
+            df = silver_text(df)
+            text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in _SILVER_FIELDS])
+        else:
+            text = text_of(name, df)
+        return df.agg(F.count("*").alias("n"), _digest(text).alias("digest")).select(F.lit(name).alias("name"), "n", "digest")
+
+    return reduce(DataFrame.unionByName, [row(name, df) for name, df in frames.items()])
+
+
+def _lake_contents(spark, root, month=None) -> DataFrame:
+    texts = T.ArrayType(T.StringType())
+    silver = [T.StructField(c, texts if c in LIST_FIELDS else T.StringType()) for c in _SILVER_FIELDS]
+
+    def layer(name: str, table: str, fields: list[T.StructField]) -> DataFrame:
+        # a layer whose months are all gone has no file to take a schema from
+        schema = T.StructType([*fields, T.StructField("month", T.DateType())])
+        return read_layer(spark, root, name, table, month, schema)
 
+    frames = {"silver": layer("silver", "job_descriptions", silver)}
+    for t, contract in WAREHOUSE.items():
+        frames[t] = layer("gold", t, [T.StructField(c, T.StringType()) for c in contract.columns])
+    return _contents(frames)
 
-@query("j1_run_datalake", _lake_counts_sql(_IN_MONTH))
+
+@query("j1_run_datalake", _lake_sql(_IN_MONTH))
 def j1(spark, sf_dir):
+    root = scratch_dir(spark, "lake")
+    postings, vocab = shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir)
+    # twice, first with all postings of the month said twice over: the second run's rows are all that stay
+    again = postings.withColumn("_id", F.concat(F.lit("again-"), "_id"))
+    lake.run_datalake(postings.unionByName(again), vocab, root, MONTH, threshold=None)
+    lake.run_datalake(postings, vocab, root, MONTH, threshold=None)
+    return _lake_contents(spark, root, MONTH)
+
+
+@query(
+    "j1_run_datalake_emptied",
+    "SELECT name, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS digest FROM (VALUES "
+    + ", ".join(f"('{t}')" for t in ("silver", *WAREHOUSE)) + ") AS t(name)",
+)
+def j1_emptied(spark, sf_dir):
     root = scratch_dir(spark, "lake")
     postings, vocab = shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir)
     lake.run_datalake(postings, vocab, root, MONTH, threshold=None)
-    return _lake_counts(spark, root, MONTH)
+    lake.run_datalake(postings.filter(f"NOT ({_IN_MONTH})"), vocab, root, MONTH, threshold=None)
+    return _lake_contents(spark, root, MONTH)
 
 
 @query(
@@ -166,13 +228,14 @@ def j1_fuzzy(spark, sf_dir):
     return silver_text(read_layer(spark, root, "silver", "job_descriptions", MONTH))
 
 
-@query("j2_run_warehouse", _lake_counts_sql(_IN_MONTH) + " EXCEPT SELECT 'silver', count(*) FROM silver")
+@query("j2_run_warehouse", _lake_sql(_IN_MONTH, with_silver=False))
 def j2(spark, sf_dir):
     root = scratch_dir(spark, "lake")
     postings, vocab = shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir)
     lake.run_datalake(postings, vocab, f"{root}/lake", MONTH, threshold=None)
     lake.run_warehouse(spark, f"{root}/lake", f"{root}/warehouse", MONTH)
-    return _counts({t: read_table(spark, f"{root}/warehouse", t, MONTH) for t in WAREHOUSE})
+    lake.run_warehouse(spark, f"{root}/lake", f"{root}/warehouse", MONTH)  # a load can be repeated
+    return _contents({t: read_table(spark, f"{root}/warehouse", t, MONTH) for t in WAREHOUSE})
 
 
 @query(
@@ -191,15 +254,16 @@ def j2(spark, sf_dir):
         found AS (
           SELECT _id, string_agg(CASE category WHEN 'one' THEN value END, '|' ORDER BY value) AS tech_stack,
                  string_agg(CASE category WHEN 'two' THEN value END, '|' ORDER BY value) AS soft_skills,
-                 min(CASE category WHEN 'three' THEN value END) AS job_position
+                 min(CASE category WHEN 'three' THEN value END) AS job_position,
+                 string_agg(CASE category WHEN 'more' THEN value END, '|' ORDER BY value) AS major
           FROM hits GROUP BY _id)
         SELECT t._id, t.job_title, t.company_name, t.location, t.posted_date, t.url,
-               f.tech_stack, f.soft_skills, f.job_position
+               f.tech_stack, f.soft_skills, f.major, f.job_position
         FROM todo t LEFT JOIN found f USING (_id)""",
     ),
 )
 def j3(spark, sf_dir):
-    fields = {"one": "tech_stack", "two": "soft_skills", "three": "job_position"}
+    fields = {"one": "tech_stack", "two": "soft_skills", "three": "job_position", "more": "major"}
     names = F.create_map(*[F.lit(x) for pair in fields.items() for x in pair])
     category = F.element_at(names, F.col("category")).alias("category")
     terms = term_vocab(spark, sf_dir).select(category, "value", F.col("value").alias("ord"))
@@ -208,16 +272,13 @@ def j3(spark, sf_dir):
     )
     return done.select(
         "_id", "job_title", "company_name", "location", "posted_date", "url", "job_position",
-        *[F.array_join(c, "|").alias(c) for c in ("tech_stack", "soft_skills")],
+        *[F.array_join(c, "|").alias(c) for c in ("tech_stack", "soft_skills", "major")],
     )
 
 
-@query(
-    "j4_backfill",
-    _lake_counts_sql("posted_date >= '1999-05-01' AND posted_date < '2000-09-01'"),
-)
+@query("j4_backfill", _lake_sql("posted_date >= '1995-01-01' AND posted_date < '2001-09-01'"))
 def j4(spark, sf_dir):
     root = scratch_dir(spark, "lake")
     postings, vocab = shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir)
-    lake.backfill(postings, vocab, root, "1999-05-01", "2000-08-01", threshold=None)
-    return _lake_counts(spark, root)
+    lake.backfill(postings, vocab, root, "1995-01-01", "2001-08-01", threshold=None)
+    return _lake_contents(spark, root)

@@ -140,6 +140,7 @@ def p7(spark, sf_dir):
     )
 
 
+# The second half: an object at the top, a list given as text, plain and nested unknown keys.
 @query(
     "p8_merge_parsed",
     with_shapes(
@@ -147,14 +148,45 @@ def p7(spark, sf_dir):
         """
         SELECT _id, json_extract_string(body, '$.job_title') AS job_title, company_name,
                CAST(NULL AS VARCHAR) AS location, posted_date, url, '2001-08-01' AS update_date,
-               json_extract_string(body, '$.salary') AS salary, 'a|b: c; d. e: f' AS tech_stack
-        FROM raw JOIN parsed USING (_id) WHERE body IS NOT NULL""",
+               json_extract_string(body, '$.salary') AS salary, 'a|b: c; d. e: f' AS tech_stack,
+               CAST(NULL AS VARCHAR) AS major, CAST(NULL AS VARCHAR) AS benefits, CAST(NULL AS BIGINT) AS days
+        FROM raw JOIN parsed USING (_id) WHERE body IS NOT NULL
+        UNION ALL
+        SELECT _id, job_title, company_name, location, posted_date, url, '2001-08-01',
+               concat('min: ', quality, '. max: ', doc_id, '; x'), concat('Python ', doc_id), 'a|b',
+               concat('tea ', toxic), CAST(quality AS BIGINT)
+        FROM raw JOIN labels ON CAST(doc_id AS VARCHAR) = _id""",
     ),
 )
 def p8(spark, sf_dir):
-    merged = e.merge_parsed(shape(spark, sf_dir, "raw"), shape(spark, sf_dir, "parsed"), "2001-08-01")
-    columns = [c for c in merged.columns if c not in e.LIST_FIELDS and c != "job_position"]
-    return merged.select(*columns, F.array_join("tech_stack", "|").alias("tech_stack"))
+    raw = shape(spark, sf_dir, "raw")
+    second = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").cast("string").alias("_id"),
+        F.to_json(
+            F.struct(
+                F.struct(
+                    F.col("quality").cast("string").alias("min"),
+                    F.array(F.col("doc_id").cast("string"), F.lit("x")).alias("max"),
+                ).alias("salary"),
+                F.concat(F.lit("Python "), "doc_id").alias("tech_stack"),
+                F.lit('["a", "b"]').alias("major"),
+                F.concat(F.lit("tea "), "toxic").alias("benefits"),
+                F.struct(F.col("quality").alias("days")).alias("remote"),
+            )
+        ).alias("body"),
+    )
+
+    def merged(parsed):
+        out = e.merge_parsed(raw, parsed, "2001-08-01")
+        return out.select(
+            *[c for c in out.columns if c not in e.LIST_FIELDS and c not in ("job_position", "rest")],
+            F.array_join("tech_stack", "|").alias("tech_stack"),
+            F.array_join("major", "|").alias("major"),
+            F.try_variant_get("rest", "$.benefits", "string").alias("benefits"),
+            F.try_variant_get("rest", "$.remote.days", "bigint").alias("days"),
+        )
+
+    return merged(shape(spark, sf_dir, "parsed")).unionByName(merged(second))
 
 
 @query(
@@ -169,7 +201,7 @@ def p9(spark, sf_dir):
     return e.parse_progress(shape(spark, sf_dir, "raw"), shape(spark, sf_dir, "parsed"), 5)
 
 
-# Terms: the comma- or stop-separated phrases of the benchmark texts of up to three words.
+# Terms: the comma- or stop-separated phrases of the benchmark texts, by their number of words.
 PHRASES = f"""
   phrases AS (
     SELECT item_id, trim(unnest(string_split_regex(text, '[.,\\n]+'))) AS value FROM benchmark),
@@ -177,8 +209,9 @@ PHRASES = f"""
     SELECT item_id, value, list_filter(string_split_regex({FOLD.format('value')}, '[^\\p{{L}}\\p{{N}}_+#]+'),
            lambda w: length(w) > 0) AS w FROM phrases),
   terms AS (
-    SELECT ['one', 'two', 'three'][len(w)] AS category, array_to_string(w, ' ') AS term, max(value) AS value
-    FROM counted WHERE len(w) BETWEEN 1 AND 3 GROUP BY ALL)
+    SELECT coalesce(['one', 'two', 'three'][len(w)], 'more') AS category, array_to_string(w, ' ') AS term,
+           max(value) AS value
+    FROM counted WHERE len(w) >= 1 GROUP BY ALL)
 """
 DOC_WORDS = (
     "concat(' ', array_to_string(list_filter(string_split_regex("
@@ -193,9 +226,9 @@ def term_vocab(spark, sf_dir):
     )
     size = F.size(e.words("value"))
     names = F.array(F.lit("one"), F.lit("two"), F.lit("three"))
-    entries = phrases.select(F.trim("value").alias("value")).filter(size.between(1, 3)).distinct()
+    entries = phrases.select(F.trim("value").alias("value")).filter(size >= 1).distinct()
     # The order is only read to pick one spelling of a term.
-    return entries.select(F.get(names, size - 1).alias("category"), "value")
+    return entries.select(F.coalesce(F.get(names, size - 1), F.lit("more")).alias("category"), "value")
 
 
 @query(

@@ -52,32 +52,72 @@ def layer_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
+def drop_months(spark: SparkSession, path: str, months: list[str]) -> None:
+    """Remove the folders of months from a table kept by ``month``, on any Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    for month in months:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/month={month}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored_months(spark: SparkSession, path: str) -> list[str]:
+    """The months a table is kept by, from its folders' names."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    return sorted(n.removeprefix("month=") for n in names if n.startswith("month="))
+
+
 def write_layer(
-    df: DataFrame, root: str, layer: str, table: str, observation: Observation | None = None
+    df: DataFrame,
+    root: str,
+    layer: str,
+    table: str,
+    observation: Observation | None = None,
+    months: tuple[dt.date | str, dt.date | str] | None = None,
 ) -> str:
     """I-8: replace the months present in ``df`` (column ``month``), keep the others.
 
-    The rebalance hint sizes the files and splits a month that outgrows one task. Rows are
+    ``months`` is the first and last day the run is for: a month of that range that ``df`` has no
+    row of is removed, so a repeated run never leaves rows of an earlier one. The rebalance hint sizes the files and splits a month that outgrows one task. Rows are
     observed after it, where a stage found empty is still counted.
     """
     path = layer_path(root, layer, table)
     out = df.hint("rebalance", "month")
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("row_count"))
+    written = Observation()
     (
-        out.write.mode("overwrite")
+        out.observe(written, F.collect_set(F.col("month").cast("string")).alias("months"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("month")
         .parquet(path)
     )
+    if months is not None:
+        spark = df.sparkSession
+        first, last = str(months[0])[:7], str(months[1])[:7]
+        found = set(written.get.get("months") or ())
+        stale = [m for m in stored_months(spark, path) if first <= m[:7] <= last and m not in found]
+        drop_months(spark, path, stale)
     return path
 
 
 def read_layer(
-    spark: SparkSession, root: str, layer: str, table: str, month: dt.date | str | None = None
+    spark: SparkSession,
+    root: str,
+    layer: str,
+    table: str,
+    month: dt.date | str | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """I-8: read a layer; a month prunes to its folder."""
-    df = spark.read.parquet(layer_path(root, layer, table))
+    """I-8: read a layer; a month prunes to its folder. With a schema a layer that holds no month
+    any more is an empty frame."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(layer_path(root, layer, table))
     return df if month is None else df.filter(F.col("month") == F.lit(str(month)).cast("date"))
 
 

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skilltide.functions._cols import ColumnOrName, col_of
-from skilltide.functions.postings import last_address_part
-from skilltide.functions.text import html_to_text, strip, title_before
+from skilltide.functions.postings import (
+    assemble_sections,
+    last_address_part,
+    posted_date,
+    source_id_path,
+    url_without_query,
+)
+from skilltide.functions.text import collapse_double_newline, html_to_text, strip, title_before
 from skilltide.schemas import LISTING_A, LISTING_B
 
 # The entities that page text holds, the ampersand last.
@@ -20,25 +28,48 @@ ENTITIES = {
     "&amp;": "&",
 }
 
+
+
+def start_tag(tag: str, css_class: str | None = None, attribute: str | None = None) -> str:
+    """Pattern of a start tag that has a class, maybe among others, and an attribute; attributes may be
+    in any order. The group is the attribute's value."""
+    has = ""
+    if css_class is not None:
+        name = re.escape(css_class)
+        has = rf"""(?=[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["'])"""
+    value = "" if attribute is None else rf"""[^>]*?\s{attribute}\s*=\s*["']([^"']*)["']"""
+    return rf"(?is)<{tag}\b{has}{value}[^>]*>"
+
+
+def _element(tag: str, css_class: str) -> str:
+    return rf"{start_tag(tag, css_class)}(.*?)</{tag}\s*>"
+
+
 # Where a listing card of the third source holds its fields.
 CARD = r"(?s)<li[^>]*>(.*?)</li>"
 CARD_FIELDS = {
-    "job_title": r'(?s)<h3[^>]*class="[^"]*base-search-card__title[^"]*"[^>]*>(.*?)</h3>',
-    "company_name": r'(?s)<h4[^>]*class="[^"]*base-search-card__subtitle[^"]*"[^>]*>(.*?)</h4>',
-    "location": r'(?s)<span[^>]*class="[^"]*job-search-card__location[^"]*"[^>]*>(.*?)</span>',
-    "posted_date": r'(?s)<time[^>]*datetime="([^"]*)"',
-    "url": r'(?s)<a[^>]*class="[^"]*base-card__full-link[^"]*"[^>]*href="([^"]*)"',
+    "job_title": _element("h3", "base-search-card__title"),
+    "company_name": _element("h4", "base-search-card__subtitle"),
+    "location": _element("span", "job-search-card__location"),
+    "posted_date": start_tag("time", None, "datetime"),
+    "url": start_tag("a", "base-card__full-link", "href"),
 }
+# The attribute of a card of the fourth source that holds its link.
+DATA_URL = start_tag("h3", None, "data-url")
 
 # A section of a job page of the fourth source and its heading.
-SECTION_BLOCK = r'(?s)<div[^>]*class="imy-5 paragraph"[^>]*>(.*?)</div>'
-SECTION_HEADING = r"(?s)<h2[^>]*>(.*?)</h2>"
+SECTION = ("div", "paragraph")
+SECTION_HEADING = r"(?is)<h2[^>]*>(.*?)</h2>"
+
+# The elements that hold the text of a job on the pages of the first and third source.
+TEXT_ID = {"a": ("div", "JobDescription")}
+TEXT_CLASS = {"c": ("div", "show-more-less-html__markup")}
 
 # Marker, classes and labels on a job page of the fifth source.
 JOB_PAGE = {
     "title_marker": "làm việc tại",
     "company_class": "company-name",
-    "company_item_class": "job-detail__company--information-item company-",
+    "company_item_prefix": "company-",
     "company_value_class": "company-value",
     "label_class": "job-detail__info--section-content-title",
     "value_class": "job-detail__info--section-content-value",
@@ -133,20 +164,42 @@ def page_title(html: ColumnOrName, marker: str) -> Column:
     return title_before(strip(unescape(raw)), marker)
 
 
+def element_bodies(html: ColumnOrName, tag: str, css_class: str | None = None, start: str | None = None) -> Column:
+    """What is inside each element of a class, whole: its end is where as many ends as starts of the tag were
+    read. An element that is never closed ends with the page."""
+    begin = start or start_tag(tag, css_class)
+    parts = F.split(col_of(html), begin)
+    end = rf"(?i)</{tag}\s*>"
+
+    def inside(i: Column) -> Column:
+        # the page from this element on; the starts the split took away count as starts
+        rest = F.array_join(F.slice(parts, i, F.size(parts)), f"<{tag}>")
+        pieces = F.split(rest, end)
+        state = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
+
+        def step(a: Column, piece: Column) -> Column:
+            opened = F.regexp_count(piece, F.lit(rf"(?i)<{tag}\b"))
+            return F.when(a["depth"] <= 0, a).otherwise(
+                F.struct((a["depth"] + opened - 1).alias("depth"), (a["n"] + 1).alias("n"))
+            )
+
+        last = F.aggregate(pieces, state, step, lambda a: a["n"])
+        return F.array_join(F.slice(pieces, F.lit(1), last), f"</{tag}>")
+
+    places = F.when(F.size(parts) > 1, F.sequence(F.lit(2), F.size(parts)))
+    return F.coalesce(F.transform(places, inside), F.array().cast("array<string>"))
+
+
 def block_text(html: ColumnOrName, tag: str, css_class: str) -> Column:
     """Text of the first element of a class; '' when there is none."""
-    return inner_text(
-        F.regexp_extract(
-            col_of(html), rf'(?s)<{tag}[^>]*class="{css_class}"[^>]*>(.*?)</{tag}>', 1
-        )
-    )
+    return inner_text(F.coalesce(F.get(element_bodies(html, tag, css_class), F.lit(0)), F.lit("")))
 
 
 def labelled_value(html: ColumnOrName, label_class: str, value_class: str, label: str) -> Column:
     """Value beside the first label that contains ``label``; '' when there is none."""
     pair = (
-        rf'(?s)<div[^>]*class="{label_class}"[^>]*>(.*?)</div>\s*'
-        rf'<div[^>]*class="{value_class}"[^>]*>(.*?)</div>'
+        rf"{start_tag('div', label_class)}(.*?)</div>\s*"
+        rf"{start_tag('div', value_class)}(.*?)</div>"
     )
     labels = F.regexp_extract_all(col_of(html), F.lit(pair), 1)
     values = F.regexp_extract_all(col_of(html), F.lit(pair), 2)
@@ -170,12 +223,18 @@ def section_text(html: ColumnOrName, section: str, heading: str, label: str) ->
     return html_to_text(F.coalesce(F.get(hits, F.lit(0)), F.lit("")))
 
 
+def section_of(bodies: Column, heading: str, label: str) -> Column:
+    """Cleaned text (X-5) of the first body whose heading contains ``label``."""
+    hits = F.filter(bodies, lambda b: F.contains(F.lower(F.regexp_extract(b, heading, 1)), F.lit(label)))
+    return html_to_text(F.coalesce(F.get(hits, F.lit(0)), F.lit("")))
+
+
 def page_blocks(
-    html: ColumnOrName, block: str = SECTION_BLOCK, heading: str = SECTION_HEADING
+    html: ColumnOrName, tag: str = SECTION[0], css_class: str = SECTION[1], heading: str = SECTION_HEADING
 ) -> Column:
     """The (heading, text) blocks of a job page of the fourth source, as I-15 assembles them."""
     return F.transform(
-        F.regexp_extract_all(col_of(html), F.lit(block), 1),
+        element_bodies(html, tag, css_class),
         lambda b: F.struct(
             inner_text(F.regexp_extract(b, heading, 1)).alias("heading"),
             unescape(html_to_text(b)).alias("text"),
@@ -188,18 +247,15 @@ def from_job_html(df: DataFrame, html: str = "html", keep: tuple[str, ...] = ("u
     page = JOB_PAGE
 
     def company(item: str) -> Column:
-        block = rf'(?s)<div[^>]*class="{page["company_item_class"]}{item}"[^>]*>.*?'
-        value = rf'<div[^>]*class="{page["company_value_class"]}"[^>]*>(.*?)</div>'
-        return inner_text(F.regexp_extract(col_of(html), block + value, 1))
+        # the item first, then the value inside it
+        block = F.get(element_bodies(html, "div", f"{page['company_item_prefix']}{item}"), F.lit(0))
+        return block_text(F.coalesce(block, F.lit("")), "div", page["company_value_class"])
 
     experience = labelled_value(
         html, page["label_class"], page["value_class"], page["experience_label"]
     )
-    requirements = section_text(
-        html,
-        rf'(?s)<div[^>]*class="{page["section_class"]}"[^>]*>(.*?</div>)',
-        r"(?s)<h3[^>]*>(.*?)</h3>",
-        page["requirements_label"],
+    requirements = section_of(
+        element_bodies(html, "div", page["section_class"]), r"(?is)<h3[^>]*>(.*?)</h3>", page["requirements_label"]
     )
     return df.select(
         *keep,
@@ -210,3 +266,65 @@ def from_job_html(df: DataFrame, html: str = "html", keep: tuple[str, ...] = ("u
         experience.alias("experience"),
         requirements.alias("requirements"),
     )
+
+
+# Texts of landed job pages ---------------------------------------------------------------------
+
+
+_PICTURES = r"(?is)<(svg|picture|i)\b[^>]*>.*?</\1\s*>|<img\b[^>]*>"
+
+
+def _page_text(body: Column) -> Column:
+    return unescape(html_to_text(F.regexp_replace(body, _PICTURES, "")))
+
+
+def description_text(html: ColumnOrName, source: str) -> Column:
+    """The job text of a landed page, '' when the page has none.
+
+    ``a``: the element with a fixed id. ``b``: the blocks of ``css_class`` (see ``blocks_text``). ``c``: the first
+    element of a fixed class, double line breaks made single. ``d``: the sections about the job and its skills.
+    """
+    if source == "a":
+        tag, name = TEXT_ID["a"]
+        start = rf"""(?is)<{tag}\b(?=[^>]*\sid\s*=\s*["']{name}["'])[^>]*>"""
+        body = F.get(element_bodies(html, tag, start=start), F.lit(0))
+        return _page_text(F.coalesce(body, F.lit("")))
+    if source == "c":
+        tag, name = TEXT_CLASS["c"]
+        body = F.get(element_bodies(html, tag, name), F.lit(0))
+        return collapse_double_newline(_page_text(F.coalesce(body, F.lit(""))))
+    if source == "d":
+        return assemble_sections(page_blocks(html))
+    raise ValueError(f"no text rule for source {source!r}")
+
+
+def blocks_text(html: ColumnOrName, tag: str, css_class: str) -> Column:
+    """The texts of all elements of a class with a blank line between them (second source)."""
+    return F.array_join(F.transform(element_bodies(html, tag, css_class), _page_text), "\n\n")
+
+
+def from_card_html(df: DataFrame, html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Links of the cards of the fourth source: the ``data-url`` of a heading without its query, and the id in it."""
+    urls = F.explode_outer(F.regexp_extract_all(html, F.lit(DATA_URL), 1)).alias("_url")
+    found = df.select(*keep, urls).filter(F.col("_url").isNotNull())
+    return found.select(
+        *keep, url_without_query("_url").alias("url"), source_id_path("_url").alias("source_id")
+    )
+
+
+def from_detail_html(
+    df: DataFrame, html: str = "html", as_of: ColumnOrName = "update_date", keep: tuple[str, ...] = ("url",)
+) -> DataFrame:
+    """A job page of the fourth source: title, company, place, day and text; pages without text are dropped."""
+    header = F.coalesce(F.get(element_bodies(html, "div", "job-header-info"), F.lit(0)), F.lit(""))
+    company = F.regexp_extract(header, start_tag(r"(\w+)", "employer-name") + r"(.*?)</\1\s*>", 2)
+    place = F.regexp_extract(col_of(html), r"(?is)<use\b[^>]*map-pin[^>]*>(?:\s*</use>)?\s*</svg>(.*?)</div>", 1)
+    posted = F.regexp_extract(col_of(html), r"(?is)<span\b[^>]*>([^<]*Posted[^<]*)</span>", 1)
+    return df.select(
+        *keep,
+        inner_text(F.regexp_extract(header, r"(?is)<h1[^>]*>(.*?)</h1>", 1)).alias("job_title"),
+        inner_text(company).alias("company_name"),
+        last_address_part(inner_text(place)).alias("location"),
+        posted_date(posted, as_of).cast("string").alias("posted_date"),
+        description_text(html, "d").alias("full_text_jd"),
+    ).filter(strip("full_text_jd") != "")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skilltide.schemas import WAREHOUSE
-from skilltide.sources.files import read_if_exists
+from skilltide.sources.files import drop_months, read_if_exists
 
 
 def _with_month(df: DataFrame, month: dt.date | str) -> DataFrame:
@@ -21,17 +21,23 @@ def load_table(
 ) -> bool:
     """L-1: write one month of a table, or the whole table when it has no months.
 
-    A month is replaced, not appended, so a load can be repeated. Empty input is skipped.
+    A month is replaced, not appended, so a load can be repeated; an empty one is removed.
+    Returns whether there were rows.
     """
     out = WAREHOUSE[table].conform(df)
+    path = f"{root.rstrip('/')}/{table}"
     if month is not None:
         out = _with_month(out, month)
     if out.isEmpty():
+        if month is not None:
+            drop_months(df.sparkSession, path, [str(month)])
+        elif read_if_exists(df.sparkSession, path) is not None:
+            out.write.mode("overwrite").parquet(path)
         return False
     writer = out.write.mode("overwrite")
     if "month" in out.columns:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("month")
-    writer.parquet(f"{root.rstrip('/')}/{table}")
+    writer.parquet(path)
     return True
 
 
@@ -70,8 +76,13 @@ def load_jdbc(
     month: dt.date | str | None = None,
     properties: dict[str, str] | None = None,
 ) -> bool:
-    """L-1 against a database: append a month, replace a table without months."""
+    """L-1 against a database: replace a month, or a table without months.
+
+    The month's rows are deleted first, so a repeated load does not double them.
+    """
     out = WAREHOUSE[table.split(".")[-1]].conform(df)
+    if month is not None:
+        _delete_month(df.sparkSession, url, table, month, properties or {})
     if out.isEmpty():
         return False
     out = out if month is None else _with_month(out, month)
@@ -81,6 +92,35 @@ def load_jdbc(
     return True
 
 
+def _delete_month(
+    spark: SparkSession, url: str, table: str, month: dt.date | str, properties: dict[str, str]
+) -> None:
+    jvm = spark.sparkContext._jvm
+    given = jvm.java.util.Properties()
+    for key, value in properties.items():
+        given.setProperty(key, value)
+    connection = jvm.java.sql.DriverManager.getConnection(url, given)
+    try:
+        if connection.getMetaData().getTables(None, None, table.split(".")[-1], None).next():
+            statement = connection.prepareStatement(f"DELETE FROM {table} WHERE month = ?")
+            statement.setDate(1, jvm.java.sql.Date.valueOf(str(month)))
+            statement.executeUpdate()
+    finally:
+        connection.close()
+
+
+def read_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    month: dt.date | str | None = None,
+    properties: dict[str, str] | None = None,
+) -> DataFrame:
+    """L-2 against a database: a table, or one month of it; the filter is the database's."""
+    df = spark.read.jdbc(url, table, properties=properties or {})
+    return df if month is None else df.filter(F.col("month") == F.lit(str(month)).cast("date"))
+
+
 def save_serving(tables: dict[str, DataFrame], schema: str, root: str, buckets: int) -> None:
     """Keep the serving tables as catalog tables.
 
