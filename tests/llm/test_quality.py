@@ -41,7 +41,7 @@ def test_fences_follow_the_group(spark):
 
 def test_sketches_merge_and_are_close(spark):
     values = [(i * i) % 5003 for i in range(3000)]
-    rows = spark.createDataFrame([(v,) for v in values], "v LONG").selectExpr(f"v, {quality.middle('v')} AS m").collect()
+    rows = spark.createDataFrame([(v,) for v in values], "v LONG").selectExpr("v", f"{quality.middle('v')} AS m").collect()
     assert all(abs(r["m"] - r["v"]) <= max(0, r["v"] / 32) for r in rows)
 
 

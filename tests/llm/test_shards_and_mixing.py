@@ -65,13 +65,14 @@ def test_rates_meet_the_targets_and_the_least_squares_solution(spark):
     assert np.abs(r - rates).max() < 0.1
 
 
-def test_classifier_on_rows_kept_back(spark, sf_dir, documents):
-    labels = table(spark, sf_dir, "labels")
+def test_classifier_on_rows_kept_back(spark):
+    larger = "/root/testdata/sf0.01"  # the smallest table has labels for a few dozen rows only
+    documents, labels = table(spark, larger, "documents"), table(spark, larger, "labels")
     train, test = (labels.filter(F.pmod(F.xxhash64("doc_id"), F.lit(4)).isin(x)) for x in ([1, 2, 3], [0]))
     domains, model = mixing.learn(documents, train, "doc_id", "text", "doc_id", 20_000)
     found = mixing.classified(documents.join(test, "doc_id"), model, "text").select("quality", "toxic", "__p").collect()
     good = sum(domains[int(np.argmax(r["__p"]))] == f"quality={r['quality']},toxic={r['toxic']}" for r in found)
-    assert good >= 0.8 * len(found)
+    assert good >= 0.85 * len(found)
 
 
 def test_mixing_odd_rows(spark, odd, none):
