@@ -14,6 +14,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import Window  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
 from skilltide.operators import demand as q  # noqa: E402
 from skilltide.operators import normalize as n  # noqa: E402
 from skilltide.operators.ingest import insert_if_absent  # noqa: E402
@@ -22,6 +25,8 @@ from skilltide.registry import REGISTRY, shapes  # noqa: E402
 from skilltide.registry.core import AS_OF, shape, table  # noqa: E402
 from skilltide.session import local_session, scratch_dir  # noqa: E402
 
+FUZZY_VALUES = 8_000
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -52,6 +57,20 @@ def main() -> None:
         for i, title in enumerate((names * 2)[:100])
     ]
     events = table(spark, sf_dir, "events")
+    # fuzzy matching of as many new values as the vocabulary has: distinct words, half and half
+    words = (
+        table(spark, sf_dir, "documents")
+        .select(F.lit("tech_stack").alias("category"), F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("value"))
+        .filter(F.length("value") > 3).distinct()
+    )
+    halves = saved(words.orderBy(F.xxhash64("value")).limit(2 * FUZZY_VALUES).withColumn("half", F.pmod(F.hash("value"), F.lit(2))), "halves")
+    new_keys = saved(halves.filter("half = 0").select("category", F.col("value").alias("key")), "new_keys")
+    large_vocab = saved(
+        halves.filter("half = 1").select(
+            "category", "value", F.col("value").alias("key"), F.row_number().over(Window.orderBy("value")).alias("ord")
+        ),
+        "large_vocab",
+    )
 
     def noop(df):
         df.write.format("noop").mode("overwrite").save()
@@ -66,6 +85,7 @@ def main() -> None:
         ),
         "q18_skill_frequency_stats": lambda: noop(q.skill_frequency_stats(jobs, pairs, skills)),
         "n11_tech_stack_fuzzy": lambda: noop(n.silver_tech_stack(postings, vocab)),
+        "n4_fuzzy_8000_x_8000": lambda: noop(n.match_fuzzy(new_keys, large_vocab)),
         "n16_silver_five_fields": lambda: noop(
             n.silver_postings(postings, n.field_mapping(postings, vocab))
         ),

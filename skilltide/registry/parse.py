@@ -153,7 +153,7 @@ def p7(spark, sf_dir):
         FROM raw JOIN parsed USING (_id) WHERE body IS NOT NULL
         UNION ALL
         SELECT _id, job_title, company_name, location, posted_date, url, '2001-08-01',
-               concat('min: ', quality, '. max: ', doc_id, '; x'), concat('Python ', doc_id), 'a|b',
+               concat('min: ', quality, '. max: ', doc_id, '; x'), concat('Scala ', doc_id), 'a|b',
                concat('tea ', toxic), CAST(quality AS BIGINT)
         FROM raw JOIN labels ON CAST(doc_id AS VARCHAR) = _id""",
     ),
@@ -168,7 +168,7 @@ def p8(spark, sf_dir):
                     F.col("quality").cast("string").alias("min"),
                     F.array(F.col("doc_id").cast("string"), F.lit("x")).alias("max"),
                 ).alias("salary"),
-                F.concat(F.lit("Python "), "doc_id").alias("tech_stack"),
+                F.concat(F.lit("Scala "), "doc_id").alias("tech_stack"),
                 F.lit('["a", "b"]').alias("major"),
                 F.concat(F.lit("tea "), "toxic").alias("benefits"),
                 F.struct(F.col("quality").alias("days")).alias("remote"),
