@@ -66,6 +66,7 @@ IMPLIED = {
     "optgroup": ({"option", "optgroup"}, {"select"}),
     "body": ({"head"}, set()),
 }
+PARTS = frozenset("td th tr thead tbody tfoot caption colgroup".split())
 SCOPE = frozenset("table td th caption html template".split())
 
 
@@ -204,6 +205,8 @@ class Page:
             self.close()
 
     def start(self, tag: str, attributes: str) -> None:
+        if tag in PARTS and not self.open["table"]:
+            return  # parts of a table count in a table only; what is in them stays
         if tag in ENDS_P and self.within("p"):
             self.close_to({"p"}, SCOPE)
         if tag in IMPLIED:
