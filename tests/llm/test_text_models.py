@@ -46,7 +46,7 @@ def test_language_of_odd_rows(odd, none):
 
 NOTICES = {
     "MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "GPL": "This work is licensed under the GNU General Public License, version 3.", "CC-BY-NC": "Licensed under CC BY-NC 4.0.",
+    "GPL": "This work is licensed under the GNU General Public License, version 3.", "CC-BY-NC": "Licensed under CC BY-NC 4.0.", "Proprietary": "All rights reserved.",
 }
 
 
