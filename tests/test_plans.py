@@ -39,11 +39,11 @@ def test_insert_keeps_one_row_per_key_before_the_shuffle(spark, sf_dir):
     assert text.index("partial_min_by") > text.index("Exchange")  # printed bottom up
 
 
-def test_small_mapping_is_broadcast(spark, sf_dir):
+def test_small_mapping_needs_no_join(spark, sf_dir):
     postings = saved(shapes.postings(spark, sf_dir), "postings")
     mapping = n.field_mapping(postings, shapes.vocab(spark, sf_dir), threshold=None)
-    text = plan(n.apply_mapping(postings, mapping, n.SCALAR_FIELDS, ()))
-    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
+    text = plan(n.apply_mapping(postings, mapping)).split("Subquery")[0]
+    assert "Join" not in text and "Exchange" not in text
 
 
 def test_pairs_are_not_shuffled_for_few_matched_jobs(spark, sf_dir):
@@ -87,7 +87,8 @@ def test_large_target_is_not_shuffled_for_a_small_batch(spark, sf_dir):
     assert "LeftSemi" in text and "Exchange hashpartitioning" not in scan
 
 
-def test_hot_value_is_split_when_the_mapping_is_too_large_to_broadcast(spark):
+def test_hot_value_is_split_when_the_mapping_is_too_large_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(n, "_fits_a_task", lambda mapping: False)
     value = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("v"), "id"))
     df = spark.range(0, 60_000, 1, 8).select(F.col("id").alias("_id"), value.alias("location"))
     mapping = saved(
