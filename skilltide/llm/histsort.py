@@ -32,7 +32,7 @@ from skilltide.session import saved
 SHARDS = 40
 OVERHEAD = 16
 TOLERANCE = 0.0005  # of a shard's bytes
-CELL_BYTES = 256 << 20
+CELL_BYTES = 64 << 20
 PROBES = 31
 LOW, HIGH = -(2**63), 2**63 - 1
 
