@@ -25,7 +25,7 @@ from skilltide.registry import REGISTRY, shapes  # noqa: E402
 from skilltide.registry.core import AS_OF, shape, table  # noqa: E402
 from skilltide.session import local_session, scratch_dir  # noqa: E402
 
-FUZZY_VALUES = 8_000
+FUZZY_VALUES = 2_000
 
 
 def main() -> None:
@@ -85,7 +85,7 @@ def main() -> None:
         ),
         "q18_skill_frequency_stats": lambda: noop(q.skill_frequency_stats(jobs, pairs, skills)),
         "n11_tech_stack_fuzzy": lambda: noop(n.silver_tech_stack(postings, vocab)),
-        "n4_fuzzy_8000_x_8000": lambda: noop(n.match_fuzzy(new_keys, large_vocab)),
+        "n4_fuzzy_2000_x_2000": lambda: noop(n.match_fuzzy(new_keys, large_vocab)),
         "n16_silver_five_fields": lambda: noop(
             n.silver_postings(postings, n.field_mapping(postings, vocab))
         ),

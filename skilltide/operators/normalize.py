@@ -21,7 +21,7 @@ from skilltide.session import BROADCAST_ROWS, is_small, saved
 
 THRESHOLD = 50
 CHUNK = 1_000  # vocabulary keys one comparison row carries
-KEYS = 500  # new keys about that a comparison row carries
+KEYS = 100  # new keys about that a comparison row carries
 IN_ROW_BYTES = 8 << 20
 BUCKETS = 4_096
 
@@ -70,8 +70,15 @@ def match_fuzzy(
     grouped = keys.groupBy("category", F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group")).agg(
         F.collect_list("key").alias("keys")
     )
-    small = is_small(vocab) if small is None else small
-    pairs = grouped.join(F.broadcast(chunks) if small else chunks, "category")
+    # a row is much work but few bytes: spread rows by number, or they are gathered in a few tasks
+    spark = values.sparkSession
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
+    if is_small(vocab) if small is None else small:
+        pairs = grouped.repartition(tasks, "category", "group").join(F.broadcast(chunks), "category")
+    else:
+        pairs = grouped.join(chunks, "category").repartition(tasks, "category", "group", "chunk")
     best = best_in_chunk(threshold)(pairs["keys"], F.transform(pairs["entries"], lambda e: e["key"]))
     scored = (
         pairs.withColumn("best", best)
