@@ -1,7 +1,8 @@
 """Text of pages as laid out (operator 10).
 
 One pass over a page's tags keeps the stack of open elements, with the ends and starts that HTML lets
-out (a block ends an open paragraph, an item its predecessor, a cell or row what it follows), and writes
+out (a block ends an open paragraph, an item its predecessor, a cell or row what it follows, what is no
+head content the head; a cell opens its row), and writes
 visible text to the innermost open box: the page, or a table cell. Blocks start lines,
 paragraphs, headings, lists and tables stand apart by a blank line, items carry bullets or
 numbers and indent, cells of a table are padded to the width of their column.
@@ -66,7 +67,15 @@ IMPLIED = {
     "optgroup": ({"option", "optgroup"}, {"select"}),
     "body": ({"head"}, set()),
 }
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noframes noscript script style template".split())
 PARTS = frozenset("td th tr thead tbody tfoot caption colgroup".split())
+BETWEEN = frozenset("table thead tbody tfoot tr colgroup".split())  # text in these stands before the table
+# The innermost open element when a part of a table starts.
+PLACE = {
+    **dict.fromkeys(("td", "th"), frozenset({"tr", "thead", "tbody", "tfoot", "table"})),
+    "tr": frozenset({"thead", "tbody", "tfoot", "table"}),
+    **dict.fromkeys(("thead", "tbody", "tfoot", "caption", "colgroup"), frozenset({"table"})),
+}
 SCOPE = frozenset("table td th caption html template".split())
 
 
@@ -176,10 +185,31 @@ class Page:
             if not e.hidden:
                 for t in reversed(self.stack):
                     if t.rows is not None:
-                        t.rows[-1:] = [[*t.rows[-1], " ".join(x.strip() for x in e.box.done() if x.strip())]] if t.rows else [[]]
+                        cell = " ".join(x.strip() for x in e.box.done() if x.strip())
+                        t.rows[-1:] = [[*t.rows[-1], cell]] if t.rows else [[cell]]
                         break
         elif not e.hidden and e.tag in BLOCK:
-            up.box.gap(2 if e.tag in APART and not (e.tag in ("ul", "ol") and self.within("li")) else 1)
+            e.box.gap(2 if e.tag in APART and not (e.tag in ("ul", "ol") and self.within("li")) else 1)
+
+    def around(self) -> Element:
+        """The innermost open element that holds text: outside a table, or in one of its cells."""
+        return next(e for e in reversed(self.stack) if e.tag not in BETWEEN)
+
+    def holder(self) -> Element | None:
+        """The table whose parts may start here; none in a template, which has parts of its own."""
+        for e in reversed(self.stack) if self.open["table"] else ():
+            if e.tag in ("table", "template"):
+                return e if e.tag == "table" else None
+        return None
+
+    def between(self) -> bool:
+        """Whether a table is open here and none of its cells."""
+        for e in reversed(self.stack) if self.open["table"] else ():
+            if e.tag in ("td", "th", "caption", "template"):
+                return False
+            if e.tag in BETWEEN:
+                return True
+        return False
 
     def within(self, tag: str) -> bool:
         if not self.open[tag]:
@@ -205,15 +235,27 @@ class Page:
             self.close()
 
     def start(self, tag: str, attributes: str) -> None:
-        if tag in PARTS and not self.open["table"]:
+        if self.stack[-1].tag == "head":
+            if tag == "head":
+                return
+            if tag not in IN_HEAD:
+                self.close()
+        if tag in PARTS and self.holder() is None:
             return  # parts of a table count in a table only; what is in them stays
+        if tag == "table" and self.between():
+            while self.stack[-1].tag != "table":
+                self.close()
+            self.close()
         if tag in ENDS_P and self.within("p"):
             self.close_to({"p"}, SCOPE)
         if tag in IMPLIED:
             self.close_to(*IMPLIED[tag])
-        if tag in ("td", "th") and self.stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
+        if tag in PLACE:
+            while self.stack[-1].tag not in PLACE[tag]:
+                self.close()
+        if tag in ("td", "th") and self.stack[-1].tag != "tr":
             self.start("tr", "")
-        up = self.stack[-1]
+        up = self.stack[-1] if tag in PARTS else self.around()
         hidden = up.hidden or tag in NEVER
         a = {}
         if attributes.strip(" /\t\r\n"):
@@ -291,18 +333,18 @@ class Page:
                 return
 
     def text(self, data: str) -> None:
+        if self.stack[-1].tag == "head" and data.strip(" \t\n\r\f"):
+            self.close()
         e = self.stack[-1]
+        if e.tag in BETWEEN:
+            if not data.strip():
+                return
+            e = self.around()
         if e.hidden or (e.tag == "details" and e.number == 0):
             return
         if "&" in data:
             data = html.unescape(data)
-        box = e.box
-        if e.rows is not None or e.tag in ("tr", "thead", "tbody", "tfoot"):
-            if not data.strip():
-                return
-            # text between cells stands before the table
-            box = next((x.box for x in reversed(self.stack) if x.rows is None and x.tag not in ("tr", "thead", "tbody", "tfoot")), self.box)
-        (box.kept if e.pre else box.text)(data, e.indent)
+        (e.box.kept if e.pre else e.box.text)(data, e.indent)
 
 
 def rendered(source: str) -> str:

@@ -127,3 +127,29 @@ def test_layout_of_broken_pages(spark):
     assert got[1] is None and got[2] == "" and got[4] == "a < b & c" and got[5] == "x" and got[7] == "z" and got[None] == "n"
     assert html.unescape(got[6]).split() == ["x", "-", "y"]
     assert layout.extract_text(spark.createDataFrame([], "page_id INT, html STRING, text INT")).columns == ["page_id", "text"]
+
+
+def test_implied_head_ends_and_rows():
+    """Every way to let out the tags of a head or row gives the text of the page with all its tags."""
+    whole = layout.rendered("<!doctype html><html><head><title>t</title></head><body><p>Hello</p></body></html>")
+    for ends in ("", "</head>", "<body>", "</head><body>"):
+        for start in ("<html><head>", "<head>", "<head><meta charset=utf-8><style>p{margin:0}</style>"):
+            for text in ("<p>Hello", "Hello", "\n <div>Hello</div>"):
+                assert layout.rendered(f"<!doctype html>{start}<title>t</title>{ends}{text}") == whole == "Hello"
+    full = "a | b\nc | d"
+    assert layout.rendered("<table><tbody><tr><td>a</td><td>b</td></tr><tr><td>c</td><td>d</td></tr></tbody></table>") == full
+    for body in ("", "<tbody>", "<thead>"):
+        for around in ("", "<form>", "<div>", "<b>"):
+            for row in ("<tr>", f"<tr>{around}", f"{around}<tr>"):
+                for first in ("", around, row):
+                    for end in ("", "</form>"):
+                        page = f"<table>{body}{first}<td>a<td>b{end}{row}<td>c{end}<td>d</table>"
+                        assert layout.rendered(page) == full, page
+
+
+def test_text_between_cells_is_kept():
+    assert layout.rendered("<table><form><td>x") == "x"
+    assert layout.rendered("x<table><div>one</div><tr>two<td>a<td>b</table>y").split() == ["x", "one", "two", "a", "|", "b", "y"]
+    assert layout.rendered("<table><tr><td>a<table><td>in</table><td>b</table>") == "a in | b"
+    assert layout.rendered("<table><tr><td>a</table><table><tr><table><td>c</table>").split() == ["a", "c"]
+    assert layout.rendered("<table><tr><td>a<template><td>no</template><td>b</table>") == "a | b"
