@@ -9,7 +9,11 @@ numbers and indent, cells of a table are padded to the width of their column.
 
 Hidden: comments, scripts, styles, templates and other elements that are never shown, ``hidden``,
 inputs, ``display: none`` and ``visibility: hidden`` in style attributes and for plain element, class and
-id selectors of the page's style sheets, closed dialogs, and closed details but for the summary.
+id selectors of the page's style sheets, closed dialogs, and closed details but for the summary. Of several
+declarations for an element the one counts that a browser takes: important ones first, then the style attribute,
+ids, classes, element names, then the last. Rules in at-rules and sheets for other media than all or screen count
+for nothing, and so do those under a condition (the width of a window, say), as the text shows without it.
+Of a drawing (svg) the text elements are shown, each in a line, and html in foreign objects.
 
 Null html: null text. Empty html or a page with nothing visible: empty text. Unclosed and stray tags never
 fail; nesting of any depth is a stack, not a recursion. Repeated rows and ids: each row by itself. Empty
@@ -35,22 +39,26 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
-RULE = re.compile(r"([^{}]++)\{([^{}]*+)\}")
-UNSEEN = re.compile(r"(?i)\bdisplay\s*:\s*none\b|\bvisibility\s*:\s*(?:hidden|collapse)\b")
+SHEET = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|[{};]|(?:[^{};\"'/\\]++|\\.|/(?!\*))++|\\", re.S)
+SELECTOR = re.compile(r"[.#]?[\w-]+")
+SHOWN = re.compile(r"(?i)(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]++(?:\s++[a-z-]++)*+)\s*+(!\s*important\s*)?(?=;|$)")
+AT_RULE = re.compile(r"@([\w-]+)(.*)", re.S)
+MEDIA = re.compile(r"(?i)(?:only\s+)?(?:all|screen)|not\s+(?:print|speech)|")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VERBATIM = frozenset({"xmp", "plaintext"})
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext".split())
-NEVER = frozenset("script style title template head noembed noframes noscript iframe datalist object audio video canvas svg rp param area source track base link meta".split())
-APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu table blockquote pre figure fieldset hr listing".split())
+NEVER = frozenset("script style title template head noembed noframes noscript iframe datalist object audio video canvas rp param area source track base link meta".split())
+APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu table blockquote pre figure fieldset hr listing xmp plaintext".split())
 BLOCK = APART | frozenset(
     "html body address article aside center dd details dialog dir div dt figcaption footer form header hgroup legend li main nav "
     "optgroup option search section summary tr caption thead tbody tfoot".split()
 )
 ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "header hgroup hr listing main menu nav ol p pre search section summary table ul".split()
+    "header hgroup hr listing main menu nav ol p plaintext pre search section summary table ul xmp".split()
 )
 # A start tag ends open elements of the first kind, up to the nearest element of the second.
 IMPLIED = {
@@ -76,6 +84,12 @@ PLACE = {
     "tr": frozenset({"thead", "tbody", "tfoot", "table"}),
     **dict.fromkeys(("thead", "tbody", "tfoot", "caption", "colgroup"), frozenset({"table"})),
 }
+# In a drawing: elements that are not drawn themselves, and html start tags that end it.
+UNDRAWN = frozenset("title desc metadata defs symbol clippath mask pattern marker style script lineargradient radialgradient filter".split())
+NOT_IN_SVG = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre "
+    "ruby s small span strong strike sub sup table tt u ul var".split()
+)
 SCOPE = frozenset("table td th caption html template".split())
 
 
@@ -140,13 +154,27 @@ class Box:
 
 
 class Element:
-    __slots__ = ("tag", "hidden", "box", "rows", "number", "indent", "pre")
+    __slots__ = ("tag", "hidden", "box", "rows", "number", "indent", "pre", "svg", "drawn")
 
-    def __init__(self, tag, hidden, box, indent, pre):
+    def __init__(self, tag, hidden, box, indent, pre, svg=False, drawn=True):
         self.tag, self.hidden, self.box, self.indent, self.pre = tag, hidden, box, indent, pre
+        self.svg, self.drawn = svg, drawn
         self.rows, self.number = None, None
 
 
+def _attributes(source: str) -> dict[str, str]:
+    a: dict[str, str] = {}
+    if source.strip(" /\t\r\n"):
+        for m in ATTRIBUTE.finditer(source):
+            a.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+    return a
+
+
+def _empty(attributes: str) -> bool:
+    """Whether a tag ends in a slash that is not part of a bare value."""
+    return attributes.endswith("/") and not re.search(r"=\s*[^\s\"']+\Z", attributes)
+
+
 def _aligned(rows: list[list[str]]) -> list[str]:
     wide: list[int] = []
     for row in rows:
@@ -156,19 +184,89 @@ def _aligned(rows: list[list[str]]) -> list[str]:
     return [" | ".join(c.ljust(n) for c, n in zip(row, wide, strict=False)).rstrip() for row in rows if row]
 
 
-def _unseen_selectors(sheet: str) -> set[str]:
-    found = set()
-    for selectors, body in RULE.findall(re.sub(r"(?s)/\*.*?(?:\*/|\Z)", "", sheet)):
-        if UNSEEN.search(body):
-            found.update(s.strip().lower() for s in selectors.split(",") if re.fullmatch(r"\s*[.#]?[\w-]+\s*", s))
-    return found
+def _declared(body: str):
+    """(property, hides, important) of the declarations that show or hide."""
+    if "display" in (low := body.lower()) or "visibility" in low:
+        for m in SHOWN.finditer(body):
+            yield m[1].lower(), m[2].lower() in ("none", "hidden", "collapse"), bool(m[3])
+
+
+def _for_screen(media: str) -> bool:
+    return any(MEDIA.fullmatch(x.strip()) for x in media.split(","))
+
+
+def _rules(sheet: str):
+    """(selectors, declarations, whether in no layer) of the rules that hold on a screen whatever its size."""
+    said: list[str] = []
+    open_rules: list[tuple[str, int]] = []  # group or rule, and 0 if it does not count, 1 if it is in a layer, 2 if not
+    body: list[str] = []
+    selectors = ""
+    for m in SHEET.finditer(sheet):
+        token = m[0]
+        if token.startswith("/*"):
+            said.append(" ")
+        elif token == "{":
+            head, said = re.sub("<!--|-->", " ", "".join(said)).strip(), []
+            kind, counts = open_rules[-1] if open_rules else ("group", 2)
+            if kind == "group" and head.startswith("@"):
+                name, rest = m.groups() if (m := AT_RULE.match(head)) else ("", "")
+                holds = {"layer": 1, "media": 2 * _for_screen(rest)}.get(name.lower(), 0)
+                open_rules.append(("group", min(counts, holds)))
+            else:
+                if kind == "group":
+                    selectors, body = head, []
+                open_rules.append(("rule", counts if kind == "group" else 0))
+        elif token == "}":
+            if open_rules:
+                kind, counts = open_rules.pop()
+                if kind == "rule" and counts:
+                    yield selectors, "".join([*body, *said]), counts == 2
+            said = []
+        elif token == ";":
+            if open_rules and open_rules[-1][0] == "rule" and open_rules[-1][1]:
+                body += [*said, ";"]
+            said = []
+        else:
+            said.append('""' if token[0] in "\"'" else token)
+    if open_rules and open_rules[-1][0] == "rule" and open_rules[-1][1]:
+        yield selectors, "".join([*body, *said]), open_rules[-1][1] == 2
+
+
+class Sheets:
+    """For each plain selector and property the declaration that counts: its rank, and whether it hides. A rank is (important, in
+    the style attribute, in no layer or else important, kind of selector, place)."""
+
+    def __init__(self):
+        self.found: dict[str, dict[str, tuple[tuple, bool]]] = {}
+        self.place = 0
+
+    def add(self, sheet: str) -> None:
+        for selectors, body, plain in _rules(sheet):
+            declared = list(_declared(body))
+            for name in [x.lower() for x in map(str.strip, selectors.split(",")) if SELECTOR.fullmatch(x)] if declared else []:
+                kind, held = {"#": 2, ".": 1}.get(name[0], 0), self.found.setdefault(name, {})
+                for what, hides, important in declared:
+                    self.place += 1
+                    new = ((important, False, plain != important, kind, self.place), hides)
+                    held[what] = max(held.get(what, new), new)
+
+    def hide(self, tag: str, a: dict[str, str]) -> bool:
+        best: dict[str, tuple[tuple, bool]] = {}
+        for i, (what, hides, important) in enumerate(_declared(a["style"]) if "style" in a else ()):
+            new = ((important, True, False, 0, i), hides)
+            best[what] = max(best.get(what, new), new)
+        if self.found:
+            for name in (tag, f"#{a.get('id', '').lower()}", *(f".{c}" for c in a.get("class", "").lower().split())):
+                for what, new in self.found.get(name, {}).items():
+                    best[what] = max(best.get(what, new), new)
+        return any(hides for _, hides in best.values())
 
 
 class Page:
     def __init__(self):
         self.box = Box()
         self.root = Element("", False, self.box, "", False)
-        self.stack, self.unseen, self.open = [self.root], set(), Counter()
+        self.stack, self.sheets, self.open = [self.root], Sheets(), Counter()
 
     def push(self, e: Element) -> None:
         self.stack.append(e)
@@ -188,6 +286,9 @@ class Page:
                         cell = " ".join(x.strip() for x in e.box.done() if x.strip())
                         t.rows[-1:] = [[*t.rows[-1], cell]] if t.rows else [[cell]]
                         break
+        elif e.svg:
+            if not e.hidden and e.tag in ("text", "foreignobject"):
+                e.box.gap(1)
         elif not e.hidden and e.tag in BLOCK:
             e.box.gap(2 if e.tag in APART and not (e.tag in ("ul", "ol") and self.within("li")) else 1)
 
@@ -234,7 +335,27 @@ class Page:
         while at and len(self.stack) > at:
             self.close()
 
+    def hides(self, tag: str, a: dict[str, str], up: Element) -> bool:
+        return up.hidden or "hidden" in a or self.sheets.hide(tag, a)
+
+    def draw(self, tag: str, attributes: str) -> None:
+        """A start tag in a drawing; those that end in a slash hold nothing."""
+        up, a = self.stack[-1], _attributes(attributes)
+        if _empty(attributes) or tag in PARTS:
+            return
+        hidden = tag in UNDRAWN or a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse") or self.hides(tag, a, up)
+        e = Element(tag, hidden, up.box, up.indent, False, True, tag in ("text", "foreignobject") or (up.drawn and up.svg))
+        if not hidden and (tag in ("text", "foreignobject") or (tag == "tspan" and not a.keys().isdisjoint(("x", "y")))):
+            e.box.gap(1)
+        self.push(e)
+
     def start(self, tag: str, attributes: str) -> None:
+        if self.stack[-1].svg and self.stack[-1].tag != "foreignobject":
+            if tag not in NOT_IN_SVG:
+                self.draw(tag, attributes)
+                return
+            while self.stack[-1].svg and self.stack[-1].tag != "foreignobject":
+                self.close()
         if self.stack[-1].tag == "head":
             if tag == "head":
                 return
@@ -256,15 +377,8 @@ class Page:
         if tag in ("td", "th") and self.stack[-1].tag != "tr":
             self.start("tr", "")
         up = self.stack[-1] if tag in PARTS else self.around()
-        hidden = up.hidden or tag in NEVER
-        a = {}
-        if attributes.strip(" /\t\r\n"):
-            for m in ATTRIBUTE.finditer(attributes):
-                a.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
-            hidden = hidden or "hidden" in a or bool(UNSEEN.search(a.get("style", "")))
-        if self.unseen and not hidden:
-            names = {tag, f"#{a.get('id', '').lower()}", *(f".{c}" for c in a.get("class", "").lower().split())}
-            hidden = not names.isdisjoint(self.unseen)
+        a = _attributes(attributes)
+        hidden = tag in NEVER or self.hides(tag, a, up)
         if tag == "dialog" and "open" not in a:
             hidden = True
         if not hidden and up.tag == "details" and up.number == 0 and tag != "summary":
@@ -275,9 +389,9 @@ class Page:
             return
         if tag == "hr" and not hidden:
             up.box.gap(2)
-        if tag in VOID:
+        if tag in VOID or (tag == "svg" and _empty(attributes)):
             return
-        e = Element(tag, hidden, up.box, up.indent, up.pre or tag in ("pre", "textarea", "listing"))
+        e = Element(tag, hidden, up.box, up.indent, up.pre or tag in ("pre", "textarea", "listing", *VERBATIM), tag == "svg", tag != "svg")
         if hidden:
             self.push(e)
             return
@@ -332,7 +446,7 @@ class Page:
             if self.stack[i].tag in ("td", "th", "table", "caption") and tag not in ("tr", "table", "thead", "tbody", "tfoot", "body", "html"):
                 return
 
-    def text(self, data: str) -> None:
+    def text(self, data: str, verbatim: bool = False) -> None:
         if self.stack[-1].tag == "head" and data.strip(" \t\n\r\f"):
             self.close()
         e = self.stack[-1]
@@ -340,9 +454,9 @@ class Page:
             if not data.strip():
                 return
             e = self.around()
-        if e.hidden or (e.tag == "details" and e.number == 0):
+        if e.hidden or not e.drawn or (e.tag == "details" and e.number == 0):
             return
-        if "&" in data:
+        if "&" in data and not verbatim:
             data = html.unescape(data)
         (e.box.kept if e.pre else e.box.text)(data, e.indent)
 
@@ -363,14 +477,16 @@ def rendered(source: str) -> str:
         if m[1] or m[4]:
             page.end(tag)
             continue
-        page.start(tag, (m[3] if m[2] else m[6]) or "")
-        if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\b", re.I).search(source, at)
+        attributes = (m[3] if m[2] else m[6]) or ""
+        page.start(tag, attributes)
+        if tag in RAW and page.stack[-1].tag == tag:
+            close = tag != "plaintext" and re.compile(rf"</{re.escape(tag)}\b", re.I).search(source, at)
             stop = close.start() if close else n
             if tag == "style":
-                page.unseen |= _unseen_selectors(source[at:stop])
-            elif tag == "textarea":
-                page.text(source[at:stop])
+                if _for_screen(_attributes(attributes).get("media", "")):
+                    page.sheets.add(source[at:stop])
+            elif tag == "textarea" or tag in VERBATIM:
+                page.text(source[at:stop], tag in VERBATIM)
             at = stop
     while len(page.stack) > 1:
         page.close()

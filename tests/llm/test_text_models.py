@@ -153,3 +153,35 @@ def test_text_between_cells_is_kept():
     assert layout.rendered("<table><tr><td>a<table><td>in</table><td>b</table>") == "a in | b"
     assert layout.rendered("<table><tr><td>a</table><table><tr><table><td>c</table>").split() == ["a", "c"]
     assert layout.rendered("<table><tr><td>a<template><td>no</template><td>b</table>") == "a | b"
+
+
+def test_the_rule_that_counts_decides():
+    def shown(sheet, tag="<p class=x id=y>", style="<style>"):
+        return layout.rendered(f"{style}{sheet}</style>{tag}text</p>") == "text"
+
+    hide = ".x{display:none}"
+    assert not shown(hide)
+    # what holds elsewhere, or under a condition only
+    for at in ("@media print", "@media print, (max-width: 600px)", "@media screen and (max-width:600px)", "@media(max-width:9px)", "@supports not (a:b)", "@page :first"):
+        assert shown(f"{at}{{a{{color:red}}{hide}}}p{{margin:0}}") and not shown(f"{at}{{b{{display:block}}}}{hide}"), at
+    for at in ("@media screen", "@media all", "@media\nonly screen", "@media print, screen", "@media not print", "@media", "@layer a"):
+        assert not shown(f'@import "a;b{{";{at}{{{hide}}}p{{margin:0}}'), at
+    assert shown(hide, style="<style media=print>") and not shown(hide, style="<style media='screen, print'>")
+    # of several declarations one counts
+    assert shown(f"{hide}.x{{display:block}}") and not shown(f".x{{display:block}}{hide}")
+    assert shown(".x{display:none;color:red;display:flex}") and not shown(".x{display:none!important}.x{display:block}")
+    assert shown("#y{display:block}.x{display:none}") and not shown("p{display:block}.x{display:none}") and not shown(f"{hide}.x{{visibility:visible}}")
+    assert shown(hide, "<p class=x style='display:block'>") and not shown(".x{display:block}", "<p class=x style='display:none'>")
+    assert not shown(f"@layer a{{.x{{display:block}}}}{hide}") and not shown(f"{hide}@layer a{{.x{{display:block}}}}")
+    assert not shown("<!-- .x{display:none} -->") and not shown("a{b{c:d}}/* } */.x{content:'}';display:none") and shown("a{.x{display:none}}")
+
+
+def test_text_of_drawings_and_verbatim_elements():
+    drawing = (
+        "<svg viewBox='0 0 9 9'><title>no</title><desc>no</desc><defs><text>no</text></defs><g>no<path d=M0 /><text x=1>One <tspan>two</tspan>"
+        "<tspan x=1 dy=1>three</tspan></text><title/><text display=none>no</text></g><foreignObject><p>in html</p></foreignObject></svg>"
+    )
+    assert layout.rendered(f"before{drawing}after").split() == ["before", "One", "two", "three", "in", "html", "after"]
+    assert layout.rendered("a<svg/>b<svg><g>no<p>c") == "ab\n\nc"
+    assert layout.rendered("<p>a<xmp>  <b>&amp;\n x</xmp>b") == "a\n\n  <b>&amp;\n x\n\nb"
+    assert layout.rendered("<p>a<plaintext><i>b</plaintext>") == "a\n\n<i>b</plaintext>"
