@@ -33,6 +33,7 @@ from skilltide.session import saved, scratch_dir
 RANGE_BYTES = 8 << 20
 FILE_BYTES = 1 << 30
 MAGIC = b"\x1f\x8b\x08"
+MARK = b"WARC/1."
 HEAD = 1 << 16
 READ = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -107,7 +108,7 @@ def write_archives(
 
 def _header(text: bytes) -> dict[str, str] | None:
     """The named fields of a WARC header, or None if it is none."""
-    if not text.startswith(b"WARC/1.") or (end := text.find(b"\r\n\r\n")) < 0:
+    if not text.startswith(MARK) or (end := text.find(b"\r\n\r\n")) < 0:
         return None
     fields = dict(line.split(": ", 1) for line in text[:end].decode("utf-8", "replace").split("\r\n")[1:] if ": " in line)
     if not fields.get("Content-Length", "").isdigit() or "WARC-Type" not in fields or "WARC-Record-ID" not in fields:
@@ -120,11 +121,23 @@ def _member(file, at: int, first: bytes) -> tuple[dict[str, str], bytes, int] |
     record begins there. ``first`` are the bytes from there that were read already."""
     packed = zlib.decompressobj(31)
     try:
-        text = packed.decompress(first, HEAD)
+        text, given = bytearray(packed.decompress(first, HEAD)), len(first)
+        # a header is as long as its url: go on to the blank line as long as this can be one
+        seen = 0
+        while text.startswith(MARK[: len(text)]) and text.find(b"\r\n\r\n", max(0, seen - 3)) < 0 and not packed.eof:
+            seen, more = len(text), packed.unconsumed_tail
+            if not more:
+                more = file.read_at(READ, at + given)
+                if not more:
+                    return None
+                given += len(more)
+            text += packed.decompress(more, READ)
+        text = bytes(text)
         if (fields := _header(text)) is None:
             return None
-        parts, given = [text], len(first)
-        parts.append(packed.decompress(packed.unconsumed_tail))
+        parts = [text]
+        if not packed.eof:  # after the end the tail is what follows the member
+            parts.append(packed.decompress(packed.unconsumed_tail))
         while not packed.eof:
             more = file.read_at(READ, at + given)
             if not more:
@@ -194,13 +207,26 @@ def _reader():
     return run
 
 
+def _count(batches):
+    for batch in batches:
+        paths, starts, ends = (c.to_pylist() for c in batch.columns)
+        found = [sum(1 for _ in records(*x)) for x in zip(paths, starts, ends, strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(found, pa.int64())], ["path", "found"])
+
+
 def read_archives(archives: DataFrame, id_type: str = "bigint", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """One row per record of the archives (path, size): id, url, record_type, payload (null in a revisit),
-    payload_bytes, payload_digest, refers_to."""
+    payload_bytes, payload_digest, refers_to. Where the list also has ``records``, those found are counted
+    first, in a pass that decodes the archives and moves counts only; a difference is an error."""
     ranges = archives.filter("size > 0").select(
         "path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long"))).alias("start")
-    ).select("path", "start", F.least("size", F.col("start") + range_bytes).alias("end"))
-    read = ranges.repartition("path", "start").mapInArrow(
+    ).select("path", "start", F.least("size", F.col("start") + range_bytes).alias("end")).repartition("path", "start")
+    if "records" in archives.columns:
+        found = ranges.mapInArrow(_count, "path string, found long").groupBy("path").agg(F.sum("found").alias("found"))
+        named = archives.filter("size > 0").select(F.col("path").alias("of"), "records")
+        if wrong := named.join(found, F.col("of") == F.col("path"), "left").filter("NOT records <=> found").first():
+            raise ValueError(f"{wrong['of']}: {wrong['records']} records were written, {wrong['found']} are found")
+    read = ranges.mapInArrow(
         _reader(), "id string, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to string"
     )
     return read.withColumns({"id": F.col("id").cast(id_type), "refers_to": F.col("refers_to").cast(id_type)})

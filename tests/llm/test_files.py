@@ -99,3 +99,21 @@ def test_false_magic_is_no_record(tmp_path):
     size = 2 * len(noise + record)
     assert len(list(warc.records(uri, 0, size))) == 2
     assert sum(len(list(warc.records(uri, i, i + 1))) for i in range(size)) == 2
+
+
+def test_archive_urls_of_any_length(spark):
+    noise = np.random.default_rng(3).bytes(1_500_000).hex()
+    urls = ["data:," + "x" * 200_000, "data:," + noise[:200_000], "data:," + noise, "u"]
+    pages = spark.createDataFrame([(i, u, f"<p>{i}") for i, u in enumerate(urls)], "page_id LONG, url STRING, html STRING")
+    archives = warc.write_archives(pages.coalesce(1), scratch_dir(spark, "warc"))
+    for range_bytes in (warc.RANGE_BYTES, 100_000):
+        got = {r["id"]: (r["url"], bytes(r["payload"]).decode()) for r in warc.read_archives(archives, range_bytes=range_bytes).collect()}
+        assert got == {i: (u, f"<p>{i}") for i, u in enumerate(urls)}
+
+
+def test_missing_records_are_an_error(spark):
+    pages = spark.createDataFrame([(1, "u", "a"), (2, "u", "b")], "page_id LONG, url STRING, html STRING")
+    archives = warc.write_archives(pages.coalesce(1), scratch_dir(spark, "warc"))
+    assert warc.read_archives(archives).count() == 2
+    with pytest.raises(ValueError, match="3 records were written, 2 are found"):
+        warc.read_archives(archives.withColumn("records", archives["records"] + 1))
