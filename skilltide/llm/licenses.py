@@ -1,7 +1,10 @@
 """Licence families of paragraphs by a trained classifier and templates (operator 5).
 
 A paragraph is a line; a line of more than ``SPAN`` words is read in windows of so many that overlap by
-half, so a notice inside a long line is found as well. Features are hashed runs of one to three words, as
+half, so a notice inside a long line is found as well. Lines with words that follow each other are also read as
+one text in such windows, so a notice wrapped over lines is found, with or without signs of a comment (no words):
+it belongs to the line its first words are in, and takes the place of what its lines alone were taken for if
+that is no family. Features are hashed runs of one to three words, as
 far as they occur in a notice. A multinomial logistic regression is fitted on three kinds of examples: notices
 (``TEMPLATES`` in different wordings and cuts, and lines of the corpus that hold one), licence-like
 sentences of no known family (class ``unknown``), and at most ``LINES * MAX_DOCS`` different plain lines of about
@@ -112,25 +115,36 @@ def _grams(h: np.ndarray, n: int) -> np.ndarray:
 
 
 def _windows(data: np.ndarray, texts: np.ndarray):
-    """Words and their hashes; first word, last word, text and paragraph of each window."""
+    """Words and their hashes; first word, last word, text and paragraph of each window, and how many of the windows
+    are of single lines (they come first); the paragraph of each word."""
     words = w.cut_words(data, texts, True, w.ALPHANUMERIC)
     h = w.hash_words(data, words, True)
     text = np.repeat(np.arange(len(texts) - 1), np.diff(words.first))
     line = np.searchsorted(np.flatnonzero(data == 10), words.start)
     if not len(h):
-        return words, h, *(np.zeros(0, np.int64) for _ in range(4))
-    new = np.ones(len(h), bool)
+        return words, h, *(np.zeros(0, np.int64) for _ in range(4)), 0, np.zeros(0, np.int64)
+    new, apart = np.ones(len(h), bool), np.ones(len(h), bool)
     new[1:] = (line[1:] != line[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(new)
-    size = np.diff(np.append(first, len(h)))
+    apart[1:] = (line[1:] > line[:-1] + 1) | (text[1:] != text[:-1])
+    first, block = np.flatnonzero(new), np.flatnonzero(apart)
     before = np.searchsorted(text[first], np.arange(len(texts)))
-    number = np.arange(len(first)) - before[text[first]]
-    half = SPAN // 2
+    of_word = (np.cumsum(new) - 1) - before[text]
+    begin, end = _cut(first, len(h))
+    # blocks of several lines, read over the ends of lines; a window inside a line was read already
+    over, stop = _cut(block, len(h))
+    several = np.searchsorted(first, over, side="right") < np.searchsorted(first, stop)
+    alone = len(begin)
+    begin, end = np.append(begin, over[several]), np.append(end, stop[several])
+    return words, h, begin, end, text[begin], of_word[begin], alone, of_word
+
+
+def _cut(first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and last of each window of the stretches of words that begin at ``first``."""
+    size, half = np.diff(np.append(first, n)), SPAN // 2
     parts = np.where(size <= SPAN, 1, -(-(size - SPAN) // half) + 1)
     which = np.repeat(np.arange(len(first)), parts)
     begin = first[which] + (np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)) * half
-    end = np.minimum(begin + SPAN, (first + size)[which])
-    return words, h, begin, end, text[first][which], number[which]
+    return begin, np.minimum(begin + SPAN, (first + size)[which])
 
 
 def _features(h: np.ndarray, begin: np.ndarray, end: np.ndarray, active: np.ndarray):
@@ -155,6 +169,23 @@ def coverage(text: str, family: str) -> float:
     return max(len(t & have) / len(t) for t in _TEMPLATE_PAIRS[family])
 
 
+def _extent(said: list[str], family: str) -> tuple[int, int]:
+    """The places of the first and last word of ``said`` that belong to the family's best template: the shortest stretch with
+    as many of its word pairs as there are in all."""
+    pairs = list(zip(said, said[1:], strict=False))
+    best = max(_TEMPLATE_PAIRS[family], key=lambda t: len(t & set(pairs)) / len(t))
+    places = [i for i, p in enumerate(pairs) if p in best]
+    wanted, found = len({pairs[i] for i in places}), (0, len(said) - 1)
+    for i, low in enumerate(places):
+        seen: set = set()
+        for high in places[i:]:
+            seen.add(pairs[high])
+            if len(seen) == wanted:
+                found = min(found, (low, high + 1), key=lambda x: x[1] - x[0])
+                break
+    return found
+
+
 def _examples(lines: list[str], seed: int = 7) -> list[tuple[str, str]]:
     draw, out = random.Random(seed), []
     plain = [x for x in lines if x.strip()] or ["nothing to see here"]
@@ -235,7 +266,7 @@ def _scan(model):
             paragraphs = []
             for i, j in w.slices(texts):
                 part, at = data[texts[i] : texts[j]], texts[i : j + 1] - texts[i]
-                words, h, begin, end, text, number = _windows(part, at)
+                words, h, begin, end, text, number, alone, of_word = _windows(part, at)
                 here: list[list] = [[] for _ in range(j - i)]
                 count = np.zeros(j - i, np.int64)
                 np.maximum.at(count, text, number + 1)
@@ -248,6 +279,7 @@ def _scan(model):
                         np.cumsum(table[grams], axis=0, out=sums[1:])
                         z += sums[np.maximum(high, low)] - sums[low]
                 best = z.argmax(axis=1) if len(z) else np.zeros(0, np.int64)
+                lines: dict[tuple[int, int], dict[str, list]] = {}  # findings of single lines, by text and line
                 for k in np.flatnonzero(best != 0).tolist():
                     e = np.exp(z[k] - z[k].max())
                     family, score = classes[best[k]], float(e[best[k]] / e.sum())
@@ -258,7 +290,26 @@ def _scan(model):
                             continue
                         family = UNKNOWN
                     first = words.first[text[k]]
-                    here[text[k]].append({"paragraph": int(number[k]), "word": int(begin[k] - first), "family": family, "score": score, "coverage": cover})
+                    found_here = {"paragraph": int(number[k]), "word": int(begin[k] - first), "family": family, "score": score, "coverage": cover}
+                    if k < alone:
+                        lines.setdefault((int(text[k]), int(number[k])), {}).setdefault(family, []).append(found_here)
+                        here[text[k]].append(found_here)
+                        continue
+                    low, high = begin[k], end[k] - 1
+                    if family != UNKNOWN:
+                        said = [part[a:b].tobytes().decode().lower() for a, b in zip(words.start[begin[k] : end[k]], words.end[begin[k] : end[k]], strict=True)]
+                        low, high = (int(begin[k]) + x for x in _extent(said, family))
+                    held = [lines.get((int(text[k]), n), {}) for n in range(int(of_word[low]), int(of_word[high]) + 1)]
+                    if len(held) < 2 or any(family in x for x in held) or (family == UNKNOWN and any(held)):
+                        continue  # within a line, or found there
+                    found_here["paragraph"], found_here["word"] = int(of_word[low]), int(low - first)
+                    if any(found_here["word"] == x["word"] and family == x["family"] for x in here[text[k]]):
+                        continue  # two windows hold it
+                    if family != UNKNOWN:
+                        for x in held:
+                            for old in x.pop(UNKNOWN, []):
+                                here[text[k]].remove(old)
+                    here[text[k]].append(found_here)
                 found += here
             kind = pa.list_(pa.struct([("paragraph", pa.int32()), ("word", pa.int32()), ("family", pa.string()), ("score", pa.float64()), ("coverage", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
@@ -271,7 +322,7 @@ def _scan(model):
 
 def license_findings(docs: DataFrame, text_col: str = "text", model=None) -> DataFrame:
     """``docs`` without the text, with ``n_paragraphs`` (lines that have words) and ``findings``: paragraph, first word,
-    family, probability and template coverage of every window that is not ``none``."""
+    family, probability and template coverage of every window that is not ``none``, over line ends where its lines alone do not say it."""
     model = model or learn(docs, text_col)
     kept = without(docs, ["n_paragraphs", "findings", text_col])
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("__text"), *[F.col(f"`{c}`") for c in kept.columns])

@@ -185,3 +185,29 @@ def test_text_of_drawings_and_verbatim_elements():
     assert layout.rendered("a<svg/>b<svg><g>no<p>c") == "ab\n\nc"
     assert layout.rendered("<p>a<xmp>  <b>&amp;\n x</xmp>b") == "a\n\n  <b>&amp;\n x\n\nb"
     assert layout.rendered("<p>a<plaintext><i>b</plaintext>") == "a\n\n<i>b</plaintext>"
+
+
+def test_notices_wrapped_over_lines(spark, documents):
+    model = licenses.learn(documents)
+    texts = {
+        "BSD": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+        "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+        "copyright notice and this permission notice appear in all copies.",
+        "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\n"
+        "in the Software without restriction, including without limitation the rights",
+    }
+    rows = []
+    for family, text in texts.items():
+        for sign in ("", "# ", " * ", "// ", "; "):
+            notice = "\n".join(sign + x for x in text.split("\n"))
+            plain = "\n".join(f"we had a walk in the town on day {i} of may" for i in range(9))
+            rows += [(family, sign, x) for x in (notice, f"{sign}Copyright (c) 2020 Jo\n{sign}\n{notice}\n\nint main", f"{plain}\n{notice}\n{plain}", notice.replace("\n", "\r\n"))]
+    df = spark.createDataFrame(rows, "family STRING, sign STRING, body STRING").selectExpr("*", "body AS text")
+    for r in licenses.license_findings(df, model=model).collect():
+        found = [x for x in r["findings"] if x["family"] != "unknown"]
+        assert {x["family"] for x in found} == {r["family"]}, (r["body"], r["findings"])
+        lines = [x for x in r["body"].split("\n") if re.search("[0-9A-Za-z]", x)]
+        assert {lines[x["paragraph"]].strip("#*/; \r").split()[0] for x in found} <= {"Redistribution", "Permission"}
+    blank = texts["BSD"].replace("\n", "\n\n")
+    apart = licenses.license_findings(spark.createDataFrame([(blank,)], "text STRING"), model=model).first()
+    assert not {x["family"] for x in apart["findings"]} - {"unknown"}  # a blank line ends a notice
