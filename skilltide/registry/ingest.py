@@ -272,8 +272,11 @@ def i13(spark, sf_dir):
         _said("<title> ", "w1", " làm việc tại here</title><div class='big company-name'>", "w2", "</div>"),
         F.lit('<div class="job-detail__company--information-item company-field">'), field, F.lit("</div>"),
         F.lit('<div data-x="1" class="company-scale job-detail__company--information-item"><div class="company-value">100 people</div></div>'),
-        F.lit('<div class="job-detail__info--section-content-title a">Kinh nghiệm</div><div class="job-detail__info--section-content-value">'),
-        _said("w2", " years</div>", '<div class="job-description__item"><h3>Mô tả</h3><div>no</div></div>'),
+        F.lit('<div class="job-detail__info--section-content"><div class="job-detail__info--section-content-title">Mức lương</div>'),
+        F.lit('<div class="job-detail__info--section-content-value">no</div></div><div class="b job-detail__info--section-content">'),
+        F.lit('<div><div class="job-detail__info--section-content-title a">Kinh nghiệm</div></div><p></p>'),
+        F.lit('<div><div class="job-detail__info--section-content-value"><div>'),
+        _said("w2", "</div><div> years</div></div></div></div>", '<div class="job-description__item"><h3>Mô tả</h3><div>no</div></div>'),
         _said('<div id="r" class="a job-description__item b"><h3>Yêu cầu ứng viên</h3><div><p>', "whole", "</p><div>", "w1", "</div></div><div>", "w2", "</div>"),
         F.lit('<p>end</p></div><div class="job-description__item"><h3>Quyền lợi</h3>no</div>'),
     )

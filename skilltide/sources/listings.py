@@ -71,6 +71,7 @@ JOB_PAGE = {
     "company_class": "company-name",
     "company_item_prefix": "company-",
     "company_value_class": "company-value",
+    "info_class": "job-detail__info--section-content",
     "label_class": "job-detail__info--section-content-title",
     "value_class": "job-detail__info--section-content-value",
     "experience_label": "kinh nghiệm",
@@ -195,19 +196,19 @@ def block_text(html: ColumnOrName, tag: str, css_class: str) -> Column:
     return inner_text(F.coalesce(F.get(element_bodies(html, tag, css_class), F.lit(0)), F.lit("")))
 
 
-def labelled_value(html: ColumnOrName, label_class: str, value_class: str, label: str) -> Column:
-    """Value beside the first label that contains ``label``; '' when there is none."""
-    pair = (
-        rf"{start_tag('div', label_class)}(.*?)</div>\s*"
-        rf"{start_tag('div', value_class)}(.*?)</div>"
-    )
-    labels = F.regexp_extract_all(col_of(html), F.lit(pair), 1)
-    values = F.regexp_extract_all(col_of(html), F.lit(pair), 2)
-    hits = F.filter(
-        F.arrays_zip(labels.alias("label"), values.alias("value")),
-        lambda p: F.contains(F.lower(p["label"]), F.lit(label)),
-    )
-    return inner_text(F.coalesce(F.get(hits, F.lit(0))["value"], F.lit("")))
+def labelled_value(html: ColumnOrName, section_class: str, label_class: str, value_class: str, label: str) -> Column:
+    """Whole text of the value in the first section whose label contains ``label``; '' when there is none.
+    On a page without sections a label's section goes on to the next label."""
+    bodies = element_bodies(html, "div", section_class)
+    parts = F.split(col_of(html), start_tag("div", label_class))
+    loose = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda x: F.concat(F.lit(f'<div class="{label_class}">'), x))
+    sections = F.when(F.size(bodies) > 0, bodies).otherwise(F.coalesce(loose, F.array().cast("array<string>")))
+
+    def named(section: Column) -> Column:
+        return F.contains(F.lower(block_text(section, "div", label_class)), F.lit(label))
+
+    hits = F.filter(sections, named)
+    return block_text(F.coalesce(F.get(hits, F.lit(0)), F.lit("")), "div", value_class)
 
 
 def section_text(html: ColumnOrName, section: str, heading: str, label: str) -> Column:
@@ -252,7 +253,7 @@ def from_job_html(df: DataFrame, html: str = "html", keep: tuple[str, ...] = ("u
         return block_text(F.coalesce(block, F.lit("")), "div", page["company_value_class"])
 
     experience = labelled_value(
-        html, page["label_class"], page["value_class"], page["experience_label"]
+        html, page["info_class"], page["label_class"], page["value_class"], page["experience_label"]
     )
     requirements = section_of(
         element_bodies(html, "div", page["section_class"]), r"(?is)<h3[^>]*>(.*?)</h3>", page["requirements_label"]

@@ -41,6 +41,25 @@ def test_job_page_fields_stay_in_their_item(spark):
     assert row["requirements"] == "Yêu cầu ứng viên\nfirst\nsecond\nthird"
 
 
+def test_labelled_values_are_whole(spark):
+    def section(label, value):
+        return f'<div class="x job-detail__info--section-content"><div class="job-detail__info--section-content-title">{label}</div>{value}</div>'
+
+    value = '<div class="job-detail__info--section-content-value">{}</div>'
+    nested = value.format("<div>3 years</div><div>, senior</div>")
+    pages = [
+        section("Mức lương", value.format("no")) + section("Kinh nghiệm", nested),
+        section("<b>Kinh</b> nghiệm", f"<p></p><div><div>{nested}</div></div>"),
+        section("Kinh nghiệm", "") + section("Địa điểm", value.format("no")),
+        '<div class="job-detail__info--section-content-title">Mức lương</div>' + value.format("no")
+        + f'<div class="job-detail__info--section-content-title">Kinh nghiệm</div><div>{nested}</div>',
+        "", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "url INT, html STRING")
+    got = {r["url"]: r["experience"] for r in listings.from_job_html(df).collect()}
+    assert got == {0: "3 years, senior", 1: "3 years, senior", 2: "", 3: "3 years, senior", 4: "", 5: ""}
+
+
 def test_cards_take_attributes_in_any_order(spark):
     card = (
         '<li><a href="https://l/1" class="q base-card__full-link">x</a><h3 id="t" class="base-search-card__title">T</h3>'
