@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skilltide.llm import bottomk, histsort, hyperlang, layout, licenses, mixing, quality, tokencodes, warc, winnow
+from skilltide.llm import (
+    bottomk, hardneg, histsort, hyperlang, layout, licenses, mixing, phrases, prefixcounts, quality, tokencodes, warc, winnow,
+)
 from skilltide.llm._rows import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -275,3 +277,87 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_paragraphs", F.size(F.array_distinct(F.transform("findings", lambda x: x["paragraph"]))).cast("long").alias("n_license"),
         F.array_join(families, ",").alias("families"), F.round(F.array_max(F.transform("findings", lambda x: x["score"])), 4).alias("score"),
     )
+
+
+# --- 11: token counts ---------------------------------------------------------------------------
+
+
+@query("op11_prefix_token_counts")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = prefixcounts.prefix_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+# --- 12: hard negatives -------------------------------------------------------------------------
+
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+),
+pos AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+neg AS (
+  SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM pos p JOIN pairs n ON n.anchor_id = p.anchor_id AND label <> anchor_label
+  WHERE 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3
+"""
+
+
+@query("op12_coordinate_pruned_negatives", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hardneg.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+# --- 13: phrases --------------------------------------------------------------------------------
+
+OP13_SQL = f"""
+WITH p AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, {_LOWER} AS t FROM documents)
+),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+f AS (
+  SELECT lang, phrase, any_value(m) AS words, count(*) AS a
+  FROM (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM w, range(1, 4) AS r(m))
+  GROUP BY lang, phrase
+),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE words = 1 GROUP BY lang),
+cand AS (SELECT lang, phrase, words, a, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND a >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.words, c.a, k, x.a AS l, y.a AS r, CAST(1000000 * CAST(c.a AS HUGEINT) * c.a // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM cand) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+parts AS (
+  SELECT lang, part, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM cand WHERE words = 3)
+  GROUP BY lang, part
+),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN parts p ON p.lang = b.lang AND p.part = b.phrase
+  WHERE p.longer IS NULL OR 100 * p.longer < 50 * b.a
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op13_hat_trie_phrases", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
