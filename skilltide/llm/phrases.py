@@ -40,11 +40,11 @@ KNOWN_WORDS = 1_000_000
 SLICE_CHARS = 1 << 20
 SLICE_WORDS = 1 << 18
 RUN_ROWS = 50_000
-BITMAP_BITS = 26
+BITMAP_BITS = 25
 
-_LOWER = {i: i + 32 for i in range(65, 91)}
+_LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
+_SIGNS = frozenset(".,;:!?\n\x0b\x0c\r")
 _TOKENS = re.compile(r"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]+")
-_ENDS = re.compile(r"[.,;:!?\n-\r]")
 _BETWEEN = re.compile(r"[ \t.,;:!?\n-\r]")
 _U = np.uint64
 
@@ -57,7 +57,7 @@ class Words(dict):
         self.names: list[str] = []
 
     def __missing__(self, token: str) -> int:
-        if _ENDS.match(token):
+        if token[0] in _SIGNS:
             found = -1
         else:
             found = len(self.names)
@@ -134,18 +134,24 @@ class Trie:
         """Removes whole subtrees, the largest first, until at most ``most`` phrases are held: their ids (a row
         per phrase) and counts."""
         order = sorted(((self._weight(x), head) for head, x in self.root.items()), reverse=True)
-        ids, counts = [], []
+        heads, sizes, rest, counts = [], [], [], []
         for weight, head in order:
             if self.held <= most:
                 break
-            rest, n = zip(*self._entries(self.root.pop(head), self.size - 1), strict=True)
-            counts.extend(n)
-            columns = [np.full(weight, head, np.int64)]
-            for k in range(self.size - 2, -1, -1):
-                columns.append(np.array([(x >> (32 * k)) & 0xFFFFFFFF for x in rest] if self.size > 2 else rest, np.int64))
-            ids.append(np.stack(columns, axis=1))
+            under = self.root.pop(head)
+            entries = under if type(under) is dict else dict(self._entries(under, self.size - 1))
+            rest.extend(entries.keys())
+            counts.extend(entries.values())
+            heads.append(head)
+            sizes.append(weight)
             self.held -= weight
-        return (np.concatenate(ids) if ids else np.zeros((0, self.size), np.int64)), np.array(counts, np.int64)
+        ids = np.empty((len(counts), self.size), np.int64)
+        ids[:, 0] = np.repeat(np.array(heads, np.int64), np.array(sizes, np.int64))
+        # two ids fit a word
+        tails = np.array(rest, np.int64 if self.size <= 3 else object)
+        for k in range(1, self.size):
+            ids[:, k] = (tails >> (32 * (self.size - 1 - k))) & 0xFFFFFFFF
+        return ids, np.array(counts, np.int64)
 
 
 def _rows(lang: str, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
@@ -276,7 +282,7 @@ def _scan(sizes: list[int], bits: np.ndarray | None):
                 if lang not in tries:
                     tries[lang] = Counted(lang, sizes, bits)
                 for together in _together(some):
-                    yield from tries[lang].add(together.translate(_LOWER))
+                    yield from tries[lang].add(together.encode().translate(_LOWER).decode())
             while sum(t.held for c in tries.values() for t in c.tries.values()) > HELD:
                 most = max(tries, key=lambda x: sum(t.held for t in tries[x].tries.values()))
                 yield from tries.pop(most).rest()
