@@ -21,17 +21,21 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
+from array import array
 from urllib.parse import quote, unquote
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skilltide.llm._files import new_file, opened
+from skilltide.llm._rows import ship_package
 from skilltide.session import saved, scratch_dir
 
 RANGE_BYTES = 8 << 20
 FILE_BYTES = 1 << 30
+TASKS = 20_000
 MAGIC = b"\x1f\x8b\x08"
 MARK = b"WARC/1."
 HEAD = 1 << 16
@@ -65,24 +69,26 @@ def _record(name, url, payload: bytes, digest: bytes, refers, revisit: bool, dat
 
 def _writer(folder: str, file_bytes: int, date: str):
     def run(batches):
-        done, out, size, count, uri = [], None, 0, 0, ""
+        done, out, size, starts, uri = [], None, 0, array("q"), ""
         for batch in batches:
             for name, url, payload, digest, refers, revisit in zip(*(c for c in batch.columns), strict=True):
                 if out is None:
-                    (out, uri), size, count = new_file(folder, ".warc.gz"), 0, 0
+                    (out, uri), size, starts = new_file(folder, ".warc.gz"), 0, array("q")
                 record = _record(name.as_py(), url.as_py(), payload.as_py(), digest.as_py(), refers.as_py(), revisit.as_py(), date)
                 out.write(record)
-                size, count = size + len(record), count + 1
+                starts.append(size)
+                size += len(record)
                 if size >= file_bytes:
                     out.close()
-                    done, out = [*done, (uri, size, count)], None
+                    done, out = [*done, (uri, size, starts)], None
         if out is not None:
             out.close()
-            done.append((uri, size, count))
-        yield pa.RecordBatch.from_pylist(
-            [{"path": p, "size": s, "records": n} for p, s, n in done],
-            schema=pa.schema([("path", pa.string()), ("size", pa.int64()), ("records", pa.int64())]),
-        )
+            done.append((uri, size, starts))
+        for path, size, starts in done:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([path]), pa.array([size], pa.int64()), pa.array([len(starts)], pa.int64()), pa.array([np.array(starts, np.int64)], pa.list_(pa.int64()))],
+                ["path", "size", "records", "starts"],
+            )
 
     return run
 
@@ -91,7 +97,9 @@ def write_archives(
     pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", *, least: int = 0,
     file_bytes: int = FILE_BYTES, date: str = "2001-08-01T00:00:00Z",
 ) -> DataFrame:
-    """Write a record per row to archives in ``folder``; returns the saved list (path, size, records) of them."""
+    """Write a record per row to archives in ``folder``; returns the saved list (path, size, records, starts: where they
+    begin) of them."""
+    ship_package(pages.sparkSession)
     payload = F.coalesce(F.col(f"`{payload_col}`").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{url_col}`").cast("string"), F.lit("")).alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.unhex(F.sha1("payload")))
@@ -103,7 +111,7 @@ def write_archives(
     chosen = joined.select(
         F.col("id").cast("string"), "url", "payload", "digest", F.col("greatest").cast("string").alias("refers"), revisit.alias("revisit")
     )
-    return saved(chosen.mapInArrow(_writer(folder, file_bytes, date), "path string, size long, records long"), "archives")
+    return saved(chosen.mapInArrow(_writer(folder, file_bytes, date), "path string, size long, records long, starts array<long>"), "archives")
 
 
 def _header(text: bytes) -> dict[str, str] | None:
@@ -183,8 +191,8 @@ def _reader():
 
     def run(batches):
         for batch in batches:
-            for uri, start, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows, held = [], 0
+            for uri, start, end, written in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "end", "written")), strict=True):
+                rows, held, found = [], 0, 0
                 for fields, block in records(uri, start, end):
                     head, _, payload = block.partition(b"\r\n\r\n")
                     said = fields["WARC-Payload-Digest"].removeprefix("sha1:")
@@ -197,36 +205,60 @@ def _reader():
                             raise ValueError(f"{uri}: payload of {fields['WARC-Record-ID']} does not have its digest")
                     refers = _name(fields["WARC-Refers-To"]) if "WARC-Refers-To" in fields else None
                     rows.append((_name(fields["WARC-Record-ID"]), fields.get("WARC-Target-URI", ""), fields["WARC-Type"], payload, size, said, refers))
-                    held += len(block)
+                    held, found = held + len(block), found + 1
                     if held > READ * 8:
                         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
                         rows, held = [], 0
+                if written is not None and found != written:
+                    raise ValueError(f"{uri}, bytes {start} to {end}: {written} records were written, {found} are found")
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     return run
 
 
-def _count(batches):
-    for batch in batches:
-        paths, starts, ends = (c.to_pylist() for c in batch.columns)
-        found = [sum(1 for _ in records(*x)) for x in zip(paths, starts, ends, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(found, pa.int64())], ["path", "found"])
+def _ranges(range_bytes: int):
+    """Archives in ranges, with the number of records that begin in each where the list says it."""
+
+    def run(batches):
+        for batch in batches:
+            known = "starts" in batch.schema.names
+            for i, (path, size, first) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("path", "size", "first")), strict=True)):
+                start = np.arange(0, size, range_bytes, dtype=np.int64)
+                end = np.minimum(start + range_bytes, size)
+                if known and batch.column("starts")[i].is_valid:
+                    at = np.sort(batch.column("starts")[i].values.to_numpy())
+                    written = pa.array(np.searchsorted(at, end) - np.searchsorted(at, start))
+                else:
+                    written = pa.nulls(len(start), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path] * len(start)), pa.array(start), pa.array(end), pa.array(first + np.arange(len(start))), written],
+                    ["path", "start", "end", "number", "written"],
+                )
+
+    return run
 
 
 def read_archives(archives: DataFrame, id_type: str = "bigint", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """One row per record of the archives (path, size): id, url, record_type, payload (null in a revisit),
-    payload_bytes, payload_digest, refers_to. Where the list also has ``records``, those found are counted
-    first, in a pass that decodes the archives and moves counts only; a difference is an error."""
-    ranges = archives.filter("size > 0").select(
-        "path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long"))).alias("start")
-    ).select("path", "start", F.least("size", F.col("start") + range_bytes).alias("end")).repartition("path", "start")
-    if "records" in archives.columns:
-        found = ranges.mapInArrow(_count, "path string, found long").groupBy("path").agg(F.sum("found").alias("found"))
-        named = archives.filter("size > 0").select(F.col("path").alias("of"), "records")
-        if wrong := named.join(found, F.col("of") == F.col("path"), "left").filter("NOT records <=> found").first():
-            raise ValueError(f"{wrong['of']}: {wrong['records']} records were written, {wrong['found']} are found")
-    read = ranges.mapInArrow(
+    payload_bytes, payload_digest, refers_to. A task reads a range; with more than ``TASKS`` ranges, each several.
+    Where the list also has ``starts``, the task compares the number of records it finds: a difference is an
+    error, as is a list whose ``records`` are not as many as its ``starts``."""
+    ship_package(archives.sparkSession)
+    files, n = archives.filter("size > 0"), F.ceil(F.col("size") / range_bytes).cast("long")
+    if "records" in archives.columns and "starts" in archives.columns:
+        if wrong := files.filter("records <> size(starts)").select("path", "records", F.size("starts").alias("found")).first():
+            raise ValueError(f"{wrong['path']}: {wrong['records']} records were written, {wrong['found']} are found")
+    ranges = files.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    # a row per archive of a gigabyte: paths and sizes
+    before = files.select(F.col("path").alias("of"), (F.sum(n).over(Window.orderBy("path")) - n).alias("first"))
+    named = files.join(before, F.col("path") == F.col("of"))
+    cut = named.select("path", "size", "first", *(["starts"] if "starts" in archives.columns else [])).mapInArrow(
+        _ranges(range_bytes), "path string, start long, end long, number long, written long"
+    )
+    # dealt by number: adaptive execution does not merge these, though a range is a row of a hundred bytes
+    dealt = cut.repartitionById(max(1, min(ranges, TASKS)), F.pmod("number", F.lit(max(1, min(ranges, TASKS)))).cast("int"))
+    read = dealt.mapInArrow(
         _reader(), "id string, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to string"
     )
     return read.withColumns({"id": F.col("id").cast(id_type), "refers_to": F.col("refers_to").cast(id_type)})
