@@ -9,9 +9,9 @@ A file holds segments of at most ``SEGMENT`` tokens, each with its levels, and e
 dealt by ranges of ids and sorted in their partition, so files are in ascending order, and a saved index has a
 row per document. A task holds one segment and one batch of texts.
 
-Texts are cut before white space that follows a letter or sign. The tokenizer itself cuts there before it merges
-anything, so pieces can be encoded one by one, and each different piece of a batch is encoded once. ``by_piece=False``
-encodes whole texts, for tokenizers that do not cut so.
+Texts are cut before white space that follows a letter or sign, and before a sign that follows a letter or digit. A
+byte-level tokenizer cuts there itself before it merges anything, so pieces can be encoded one by one, and each different piece is encoded once while it is remembered.
+Whether a tokenizer does so is read from its file; where it does not, whole texts are encoded.
 
 Null text: no tokens but the end. Null ids come first. Rows of one id are ordered by the hash of their text;
 repeated rows are encoded each. Empty table: no files, empty result.
@@ -19,6 +19,7 @@ repeated rows are encoded each. Empty table: no files, empty result.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -36,8 +37,9 @@ from skilltide.session import saved, scratch_dir
 SEGMENT = 1 << 21
 BLOCK = 512
 MAGIC = b"DACTOK01"
-CACHE = 400_000
+CACHE = 600_000
 TOGETHER = 2_000
+SLICE_BYTES = 4 << 20
 
 # --- codes --------------------------------------------------------------------------------------
 
@@ -157,17 +159,22 @@ class TokenFileWriter:
 
 _SPACE = w.byte_class(lambda b: b == 32 or 9 <= b <= 13)
 _SOLID = w.byte_class(lambda b: 33 <= b <= 126)
+_LETTER = w.byte_class(lambda b: chr(b).isalnum() and b < 128)
+_SIGN = w.byte_class(lambda b: 33 <= b <= 126 and not chr(b).isalnum())
 
 
 def piece_starts(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
-    """Where pieces begin: at the texts, and at white space after a visible ASCII sign or a character of two
-    bytes from U+00C0 on (none of which is white space)."""
+    """Where pieces begin: at the texts; at white space after a visible ASCII sign or a character of two
+    bytes from U+00C0 on (none of which is white space); and at an ASCII sign after a letter or digit, which are
+    looked for in ASCII and from U+00C0 to U+00FF."""
     n = len(data)
     cut = np.zeros(n + 1, bool)
     if n > 1:
-        solid = _SOLID[data[:-1]]
-        solid[1:] |= (data[1:-1] >= 128) & (data[:-2] >= 0xC3) & (data[:-2] <= 0xDF)
-        cut[1:n] = _SPACE[data[1:]] & solid
+        solid, letter = _SOLID[data[:-1]], _LETTER[data[:-1]]
+        last, lead = data[1:-1], data[:-2]
+        solid[1:] |= (last >= 128) & (lead >= 0xC3) & (lead <= 0xDF)
+        letter[1:] |= (lead == 0xC3) & (last != 0x97) & (last != 0xB7)  # all but the signs of times and division
+        cut[1:n] = (_SPACE[data[1:]] & solid) | (_SIGN[data[1:]] & letter)
     cut[texts] = True
     return np.flatnonzero(cut[:n])
 
@@ -179,14 +186,16 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.by_piece, self.seen = Tokenizer.from_file(path), by_piece, {}
+        self.tokenizer, self.by_piece, self.seen, self.before = Tokenizer.from_file(path), by_piece, {}, {}
         # a byte-level token has a character per byte; an added token is its own text
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes = np.zeros(max(vocab.values(), default=0) + 1, np.int64)
         for token, i in vocab.items():
             self.bytes[i] = len(token)
+        self.added = []
         for i, added in self.tokenizer.get_added_tokens_decoder().items():
-            self.bytes[i] = len(added.content.encode())
+            self.added.append(added.content.encode())
+            self.bytes[i] = len(self.added[-1])
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -210,38 +219,63 @@ class Encoder:
         found.update(zip(single, (x.tobytes() for x in self._plain([x.decode() for x in single])), strict=True))
         return found
 
+    def _starts(self, data: np.ndarray, texts: np.ndarray, whole: bytes) -> np.ndarray:
+        """Where pieces begin, but not inside of added tokens, which the tokenizer looks for first."""
+        start = piece_starts(data, texts)
+        for token in self.added:
+            at = whole.find(token)
+            while at >= 0:
+                inside = slice(np.searchsorted(start, at, "right"), np.searchsorted(start, at + len(token)))
+                start = np.concatenate([start[: inside.start], np.intersect1d(start[inside], texts), start[inside.stop :]])
+                at = whole.find(token, at + len(token))
+        return start
+
     def batch(self, data: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts and how many each has."""
         if not self.by_piece:
             found = self._plain([data[a:b].tobytes().decode() for a, b in zip(texts, texts[1:], strict=False)])
             return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(x) for x in found], np.int64)
-        start = piece_starts(data, texts)
-        words = w.Words(start, np.append(start[1:], len(data)).astype(np.int64), np.searchsorted(start, texts))
-        _, at, which = np.unique(w.hash_words(data, words, False), return_index=True, return_inverse=True)
-        whole = data.tobytes()
-        pieces = [whole[a:b] for a, b in zip(start[at].tolist(), words.end[at].tolist(), strict=True)]
+        start = self._starts(data, texts, data.tobytes() if self.added else b"")
+        ends = np.append(start[1:], len(data)) if len(start) else start
+        at = np.append(start, ends[-1:]).astype(np.int32)
+        # equal pieces are found by their bytes
+        cut = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        which, pieces = cut.indices.to_numpy(), cut.dictionary.to_pylist()
         if len(self.seen) > CACHE:
-            self.seen.clear()
-        new = [x for x in pieces if x not in self.seen]
-        ids = self._pieces(new)
-        known = [ids[x] if x in ids else self.seen[x] for x in pieces]
-        self.seen.update(ids)
-        flat, sizes = np.frombuffer(b"".join(known), np.uint32), np.array([len(x) // 4 for x in known], np.int64)
-        first = np.cumsum(sizes) - sizes
-        each = sizes[which]
-        ends = np.cumsum(each)
-        place = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - each, each) + np.repeat(first[which], each)
-        sums = np.concatenate([[0], ends])
-        return flat[place], np.diff(sums[words.first])
+            # what was met since the last time is kept for once more
+            self.seen, self.before = {}, self.seen
+        known = self.seen
+        found = list(map(known.get, pieces))
+        if missing := [i for i, x in enumerate(found) if x is None]:
+            new, old = [pieces[i] for i in missing], self.before
+            known.update((x, old[x]) for x in new if x in old)
+            known.update(self._pieces([x for x in new if x not in old]))
+            for i in missing:
+                found[i] = known[pieces[i]]
+        flat, sizes = np.frombuffer(b"".join(found), np.uint32), np.array([len(x) // 4 for x in found], np.int64)
+        first, each = np.cumsum(sizes) - sizes, sizes[which]
+        sums = np.concatenate([[0], np.cumsum(each)])
+        place = np.arange(sums[-1]) + np.repeat(first[which] - sums[:-1], each)
+        return flat[place], np.diff(sums[np.searchsorted(start, texts)])
+
+
+def cuts_at_spaces(path: str) -> bool:
+    """Whether the file's tokenizer cuts texts before white space that follows a visible sign and between letters or
+    digits and signs, and merges bytes only after that: a byte-level pre-tokenizer with its pattern, nothing changed before it."""
+    with open(path, encoding="utf-8") as file:
+        said = json.load(file)
+    cut = said.get("pre_tokenizer") or {}
+    plain = not any(x.get("lstrip") or x.get("rstrip") or x.get("single_word") for x in said.get("added_tokens") or ())
+    return plain and not said.get("normalizer") and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str, by_piece: bool) -> Encoder:
+def _encoder(path: str, by_piece: bool | None) -> Encoder:
     """One per worker process, with its cache."""
-    return Encoder(path, by_piece)
+    return Encoder(path, cuts_at_spaces(path) if by_piece is None else by_piece)
 
 
-def _writer(folder: str, path: str, end_id: int, by_piece: bool, segment: int):
+def _writer(folder: str, path: str, end_id: int, by_piece: bool | None, segment: int):
     def run(batches):
         from pyspark import TaskContext
 
@@ -249,7 +283,7 @@ def _writer(folder: str, path: str, end_id: int, by_piece: bool, segment: int):
         for batch in batches:
             data, texts = w.text_bytes(batch.column(1))
             sizes = []
-            for i, j in w.slices(texts):
+            for i, j in w.slices(texts, SLICE_BYTES):
                 ids, counts = encoder.batch(data[texts[i] : texts[j]], texts[i : j + 1] - texts[i])
                 ids = np.insert(ids, np.cumsum(counts), end_id)
                 if out is None:
@@ -272,7 +306,7 @@ def _writer(folder: str, path: str, end_id: int, by_piece: bool, segment: int):
 
 
 def write_tokens(
-    docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", *, by_piece: bool = True,
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", *, by_piece: bool | None = None,
     segment: int = SEGMENT,
 ) -> DataFrame:
     """Write the ids of all texts, each with ``end_id`` after it, in ascending order of ids. Returns the saved index: id,
@@ -287,7 +321,7 @@ def write_tokens(
     )
 
 
-def _reader():
+def _reader(with_ids: bool):
     def run(batches):
         file, path = None, None
         for batch in batches:
@@ -299,34 +333,38 @@ def _reader():
                     file, path = TokenFile(uri), uri
                 found = file.read(place, n).astype("<u4")
                 sums.append(zlib.crc32(found.tobytes()))
-                ids.append(found)
+                if with_ids:
+                    ids.append(found)
             names = [c for c in batch.schema.names if c != "path" and c != "place"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), w.list_array(np.concatenate([np.zeros(0, np.uint32), *ids]), np.array([len(x) for x in ids], np.int64), pa.int32()), pa.array(sums, pa.int64())],
-                [*names, "ids", "crc32"],
-            )
+            columns = [*(batch.column(c) for c in names), pa.array(sums, pa.int64())]
+            if with_ids:
+                counts = np.array([len(x) for x in ids], np.int64)
+                columns.append(w.list_array(np.concatenate([np.zeros(0, np.uint32), *ids]), counts, pa.int32()))
+            yield pa.RecordBatch.from_arrays(columns, [*names, "crc32", *(["ids"] if with_ids else [])])
         if file:
             file.close()
 
     return run
 
 
-def read_tokens(index: DataFrame) -> DataFrame:
+def read_tokens(index: DataFrame, with_ids: bool = True) -> DataFrame:
     """The documents of an index, read from the files: id, start (ids of all documents before), n_tokens, ids, crc32 of
-    the ids as little-endian 32-bit integers."""
+    the ids as little-endian 32-bit integers. ``with_ids=False`` leaves the ids in the task that read them."""
     # one row per file
     totals = sorted(index.groupBy("part").agg(F.sum("n_tokens")).collect())
     before = dict(zip([r[0] for r in totals], np.cumsum([0, *(r[1] for r in totals)]).tolist(), strict=False))
     starts = index.sparkSession.createDataFrame(list(before.items()), "file_no int, tokens_before long")
     kind = index.schema["id"].dataType.simpleString()
     read = index.select("id", "path", "part", "place", "n_tokens", F.col("place").alias("in_file")).mapInArrow(
-        _reader(), f"id {kind}, part int, n_tokens long, in_file long, ids array<int>, crc32 long"
+        _reader(with_ids), f"id {kind}, part int, n_tokens long, in_file long, crc32 long" + (", ids array<int>" if with_ids else "")
     )
     return read.join(F.broadcast(starts), F.col("part") == F.col("file_no")).select(
-        "id", (F.col("tokens_before") + F.col("in_file")).alias("start"), "n_tokens", "ids", "crc32"
+        "id", (F.col("tokens_before") + F.col("in_file")).alias("start"), "n_tokens", *(["ids"] if with_ids else []), "crc32"
     )
 
 
-def round_trip(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def round_trip(
+    spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", *, with_ids: bool = True, **options
+) -> DataFrame:
     """Write the texts of ``docs`` to new files in the shared folder and read them."""
-    return read_tokens(write_tokens(docs, scratch_dir(spark, "tokens"), tokenizer, end_id, id_col, text_col, **options))
+    return read_tokens(write_tokens(docs, scratch_dir(spark, "tokens"), tokenizer, end_id, id_col, text_col, **options), with_ids)

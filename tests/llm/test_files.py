@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from skilltide.llm import _files, tokencodes, warc
@@ -117,3 +118,33 @@ def test_missing_records_are_an_error(spark):
     assert warc.read_archives(archives).count() == 2
     with pytest.raises(ValueError, match="3 records were written, 2 are found"):
         warc.read_archives(archives.withColumn("records", archives["records"] + 1))
+
+
+def test_a_task_reads_each_range(spark):
+    noise = np.random.default_rng(5)
+    pages = spark.createDataFrame([(i, "u", noise.bytes(2_000).hex()) for i in range(300)], "page_id LONG, url STRING, html STRING")
+    archives = warc.write_archives(pages.repartition(2), scratch_dir(spark, "warc"))
+    read = warc.read_archives(archives, range_bytes=20_000)
+    ranges = archives.selectExpr("sum(ceil(size / 20000))").first()[0]
+    tasks = read.groupBy(F.spark_partition_id()).count().collect()
+    assert ranges > 20 and read.rdd.getNumPartitions() == ranges and len(tasks) > 0.9 * ranges
+    assert read.count() == 300
+
+
+def test_a_record_lost_in_a_range_is_an_error(spark):
+    pages = spark.createDataFrame([(i, "u", "x" * i) for i in range(40)], "page_id LONG, url STRING, html STRING")
+    archives = warc.write_archives(pages.coalesce(1), scratch_dir(spark, "warc"))
+    more = archives.withColumn("starts", F.array_append("starts", F.lit(5).cast("long"))).withColumn("records", F.col("records") + 1)
+    with pytest.raises(Exception, match="41 records were written, 40 are found"):
+        warc.read_archives(more).collect()
+    assert warc.read_archives(archives.select("path", "size")).count() == 40  # a list from elsewhere
+
+
+def test_tokenizers_that_cut_otherwise_encode_whole_texts(spark, tmp_path):
+    assert tokencodes.cuts_at_spaces(PATH)
+    assert not tokencodes.cuts_at_spaces(public_tokenizers.path("word_bpe_49k.json"))
+    other = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.createDataFrame([(1, "Some  Words, and more"), (2, None)], "doc_id LONG, text STRING")
+    rows = {r["id"]: r["ids"] for r in tokencodes.round_trip(spark, docs, other, 7).collect()}
+    assert rows == {1: [*Tokenizer.from_file(other).encode("Some  Words, and more", add_special_tokens=False).ids, 7], 2: [7]}
+    assert "ids" not in tokencodes.round_trip(spark, docs, other, 7, with_ids=False).columns
