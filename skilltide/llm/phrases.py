@@ -37,6 +37,7 @@ from skilltide.session import saved
 BURST = 4096
 HELD = 800_000
 KNOWN_WORDS = 1_000_000
+WORD_BITS = 21  # for the ids of the words known and those of one slice more
 SLICE_CHARS = 1 << 20
 SLICE_WORDS = 1 << 18
 RUN_ROWS = 50_000
@@ -218,21 +219,27 @@ class Counted:
 
     def _phrases(self, ids: np.ndarray, n: int) -> tuple[list[int], list[int], list[int]]:
         last = len(ids) - n + 1
-        inside = ids[:last] >= 0
-        for k in range(1, n):
-            inside &= ids[k : last + k] >= 0
-        at = np.flatnonzero(inside)
+        known = ids >= 0
+        parts = known[: last + 1]  # where n - 1 words begin
+        for k in range(1, n - 1):
+            parts = parts & known[k : last + 1 + k]
         if self.bits is not None:
-            # the parts of n - 1 words begin at the phrase and at its second word
-            place = np.union1d(at, at + 1)
+            place = np.flatnonzero(parts)
             marks = _marks(self.lang, [self.hashes[ids[place + k]] for k in range(n - 1)])
             bit = (marks & _U(len(self.bits) * 8 - 1)).astype(np.int64)
-            maybe = np.zeros(last + 1, bool)
-            maybe[place] = (self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-            at = at[maybe[at] & maybe[at + 1]]
-        if n == 2:
-            keys, counts = np.unique(ids[at] << 32 | ids[at + 1], return_counts=True)
-            return (keys >> 32).tolist(), (keys & 0xFFFFFFFF).tolist(), counts.tolist()
+            parts = np.zeros(last + 1, bool)
+            parts[place] = (self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+        at = np.flatnonzero(parts[:-1] & parts[1:])
+        if n <= 3:
+            key = ids[at]
+            for k in range(1, n):
+                key = key << WORD_BITS | ids[at + k]
+            keys, counts = np.unique(key, return_counts=True)
+            one = (1 << WORD_BITS) - 1
+            rest = keys & one
+            if n == 3:
+                rest |= (keys >> WORD_BITS & one) << 32
+            return (keys >> (WORD_BITS * (n - 1))).tolist(), rest.tolist(), counts.tolist()
         rows, counts = np.unique(np.stack([ids[at + k] for k in range(n)], axis=1), axis=0, return_counts=True)
         rest = rows[:, 1].astype(object)
         for k in range(2, n):
