@@ -24,8 +24,10 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -40,7 +42,9 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
 SHEET = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|[{};]|(?:[^{};\"'/\\]++|\\.|/(?!\*))++|\\", re.S)
-SELECTOR = re.compile(r"[.#]?[\w-]+")
+SELECTOR = re.compile(r"(?:[\w-]+|\*)?(?:[.#][\w-]+)*+")
+PART = re.compile(r"[.#]?[\w-]+")
+CUT_OFF = re.compile(r"<[!?/]")
 SHOWN = re.compile(r"(?i)(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]++(?:\s++[a-z-]++)*+)\s*+(!\s*important\s*)?(?=;|$)")
 AT_RULE = re.compile(r"@([\w-]+)(.*)", re.S)
 MEDIA = re.compile(r"(?i)(?:only\s+)?(?:all|screen)|not\s+(?:print|speech)|")
@@ -91,6 +95,13 @@ NOT_IN_SVG = frozenset(
     "ruby s small span strong strike sub sup table tt u ul var".split()
 )
 SCOPE = frozenset("table td th caption html template".split())
+OUTER = frozenset("tr table thead tbody tfoot body html".split())  # ends that reach out of a cell or table
+LISTS = frozenset("ul ol menu dir".split())
+
+# Bounds of the layout; no text is lost by them.
+INDENT = 64  # characters that nested lists indent at most
+COLUMNS = 100  # of a table that is aligned
+PADDED = 120  # characters that a column is padded to
 
 
 class Box:
@@ -154,12 +165,12 @@ class Box:
 
 
 class Element:
-    __slots__ = ("tag", "hidden", "box", "rows", "number", "indent", "pre", "svg", "drawn")
+    __slots__ = ("tag", "hidden", "box", "rows", "number", "indent", "pre", "svg", "drawn", "unseen", "spans")
 
-    def __init__(self, tag, hidden, box, indent, pre, svg=False, drawn=True):
+    def __init__(self, tag, hidden, box, indent, pre, svg=False, drawn=True, unseen=False):
         self.tag, self.hidden, self.box, self.indent, self.pre = tag, hidden, box, indent, pre
-        self.svg, self.drawn = svg, drawn
-        self.rows, self.number = None, None
+        self.svg, self.drawn, self.unseen = svg, drawn, unseen
+        self.rows, self.number, self.spans = None, None, (1, 1)
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -175,13 +186,67 @@ def _empty(attributes: str) -> bool:
     return attributes.endswith("/") and not re.search(r"=\s*[^\s\"']+\Z", attributes)
 
 
-def _aligned(rows: list[list[str]]) -> list[str]:
-    wide: list[int] = []
-    for row in rows:
-        for i, cell in enumerate(row):
-            wide[i:] = wide[i:] or [0]
-            wide[i] = max(wide[i], len(cell))
-    return [" | ".join(c.ljust(n) for c, n in zip(row, wide, strict=False)).rstrip() for row in rows if row]
+def _span(value: str, most: int) -> int:
+    return min(int(value), most) if re.fullmatch(r"[0-9]{1,9}", value) and int(value) else 1
+
+
+class Cell:
+    __slots__ = ("lines", "across", "down", "left", "row", "at", "end")
+
+    def __init__(self, lines: list[str], across: int = 1, down: int = 1):
+        self.lines, self.across, self.down = lines, across, down
+
+
+def _placed(rows: list[list[Cell]]) -> list[list[Cell]] | None:
+    """For each row the cells that are in it, from left to right: its own, each in the first free columns, and those that
+    reach down from rows above. None if they are too many."""
+    out, above = [], []
+    for r, row in enumerate(rows):
+        here, at, k = [], 0, 0
+        above = [c for c in above if c.row + c.down > r]
+        if len(above) + len(row) > COLUMNS:
+            return None
+        for cell in row:
+            while k < len(above) and above[k].left < at + cell.across:
+                at = max(at, above[k].left + above[k].across)
+                here.append(above[k])
+                k += 1
+            cell.left, cell.row = at, r
+            at += cell.across
+            here.append(cell)
+        above = [*here, *above[k:]]
+        out.append(above)
+    return out
+
+
+def _aligned(rows: list[list[Cell]]) -> list[str]:
+    """The lines of a table. Columns in which no cell begins are not drawn, nor are rows without text. A table of too many
+    columns is written row by row."""
+    placed = _placed(rows)
+    columns = sorted({c.left for row in rows for c in row}) if placed is not None else []
+    if placed is None or len(columns) > COLUMNS:
+        lines = [[" ".join(x.strip() for x in c.lines if x.strip()) for c in row] for row in rows]
+        return [" | ".join(x).rstrip() for x in lines if any(x)]
+    number = {c: i for i, c in enumerate(columns)}
+    wide, high = [0] * len(columns), [0] * len(rows)
+    cells = [c for row in rows for c in row]
+    for c in cells:
+        c.at, c.end = number[c.left], bisect_left(columns, c.left + c.across)
+    for c in sorted(cells, key=lambda c: c.end - c.at):
+        need = min(max(map(len, c.lines), default=0), PADDED)
+        wide[c.end - 1] += max(0, need - sum(wide[c.at : c.end]) - 3 * (c.end - c.at - 1))
+    for c in sorted(cells, key=lambda c: c.down):
+        last = min(c.row + c.down, len(rows))
+        high[last - 1] += max(0, len(c.lines) - sum(high[c.row : last]))
+    tops, out = [0, *accumulate(high)], []
+    for r, row in enumerate(placed):
+        for k in range(tops[r], tops[r + 1]):
+            parts = []
+            for c in row:
+                text = c.lines[k - tops[c.row]] if k - tops[c.row] < len(c.lines) else ""
+                parts.append(text.ljust(sum(wide[c.at : c.end]) + 3 * (c.end - c.at - 1)))
+            out.append(" | ".join(parts).rstrip())
+    return out
 
 
 def _declared(body: str):
@@ -233,63 +298,83 @@ def _rules(sheet: str):
 
 
 class Sheets:
-    """For each plain selector and property the declaration that counts: its rank, and whether it hides. A rank is (important, in
-    the style attribute, in no layer or else important, kind of selector, place)."""
+    """For each selector of one element (its name, classes and ids) and property the declaration that counts: its rank, and whether
+    it hides. A rank is (important, in the style attribute, in no layer or else important, ids, classes, names, place)."""
 
     def __init__(self):
-        self.found: dict[str, dict[str, tuple[tuple, bool]]] = {}
+        self.found: dict[str, dict[frozenset, dict[str, tuple[tuple, bool]]]] = {}
         self.place = 0
 
     def add(self, sheet: str) -> None:
         for selectors, body, plain in _rules(sheet):
             declared = list(_declared(body))
-            for name in [x.lower() for x in map(str.strip, selectors.split(",")) if SELECTOR.fullmatch(x)] if declared else []:
-                kind, held = {"#": 2, ".": 1}.get(name[0], 0), self.found.setdefault(name, {})
+            for name in [x.lower() for x in map(str.strip, selectors.split(",")) if x and SELECTOR.fullmatch(x)] if declared else []:
+                parts = PART.findall(name)
+                if not parts:
+                    continue
+                ids, classes = (sum(x[0] == sign for x in parts) for sign in "#.")
+                # looked up by its last part
+                held = self.found.setdefault(parts[-1], {}).setdefault(frozenset(parts), {})
                 for what, hides, important in declared:
                     self.place += 1
-                    new = ((important, False, plain != important, kind, self.place), hides)
+                    new = ((important, False, plain != important, ids, classes, len(parts) - ids - classes, self.place), hides)
                     held[what] = max(held.get(what, new), new)
 
-    def hide(self, tag: str, a: dict[str, str]) -> bool:
+    def hide(self, tag: str, a: dict[str, str]) -> dict[str, bool]:
+        """Whether ``display`` and ``visibility`` are declared for an element, and hide it."""
         best: dict[str, tuple[tuple, bool]] = {}
         for i, (what, hides, important) in enumerate(_declared(a["style"]) if "style" in a else ()):
-            new = ((important, True, False, 0, i), hides)
+            new = ((important, True, False, 0, 0, 0, i), hides)
             best[what] = max(best.get(what, new), new)
         if self.found:
-            for name in (tag, f"#{a.get('id', '').lower()}", *(f".{c}" for c in a.get("class", "").lower().split())):
-                for what, new in self.found.get(name, {}).items():
-                    best[what] = max(best.get(what, new), new)
-        return any(hides for _, hides in best.values())
+            names = {tag, *(f".{c}" for c in a.get("class", "").lower().split()), *([f"#{a['id'].lower()}"] if "id" in a else [])}
+            for name in names & self.found.keys():
+                for parts, declared in self.found[name].items():
+                    if parts <= names:
+                        for what, new in declared.items():
+                            best[what] = max(best.get(what, new), new)
+        return {what: hides for what, (_, hides) in best.items()}
 
 
 class Page:
+    """The stack of open elements; ``at`` has the places in it of those of each tag, ``tables`` of tables that are laid out."""
+
     def __init__(self):
         self.box = Box()
         self.root = Element("", False, self.box, "", False)
-        self.stack, self.sheets, self.open = [self.root], Sheets(), Counter()
+        self.stack, self.sheets, self.at, self.tables = [self.root], Sheets(), defaultdict(list), []
 
     def push(self, e: Element) -> None:
+        self.at[e.tag].append(len(self.stack))
+        if e.rows is not None:
+            self.tables.append(len(self.stack))
         self.stack.append(e)
-        self.open[e.tag] += 1
+
+    def last(self, tags) -> int:
+        """The place of the innermost open element of some tags; 0 if there is none."""
+        return max((self.at[t][-1] for t in tags if self.at[t]), default=0)
 
     def close(self) -> None:
         e = self.stack.pop()
-        self.open[e.tag] -= 1
+        self.at[e.tag].pop()
         up = self.stack[-1]
+        if e.rows is not None:
+            self.tables.pop()
         if e.tag == "table":
             if not e.hidden:
                 up.box.block(_aligned(e.rows), up.indent)
         elif e.tag in ("td", "th") and e.box is not up.box:
-            if not e.hidden:
-                for t in reversed(self.stack):
-                    if t.rows is not None:
-                        cell = " ".join(x.strip() for x in e.box.done() if x.strip())
-                        t.rows[-1:] = [[*t.rows[-1], cell]] if t.rows else [[cell]]
-                        break
+            if not e.hidden and self.tables:
+                rows = self.stack[self.tables[-1]].rows
+                if not rows:
+                    rows.append([])
+                rows[-1].append(Cell(e.box.done(), *e.spans))
         elif e.svg:
             if not e.hidden and e.tag in ("text", "foreignobject"):
                 e.box.gap(1)
         elif not e.hidden and e.tag in BLOCK:
+            if e.tag == "li":
+                e.box.bullet = ""  # nothing came to stand behind it
             e.box.gap(2 if e.tag in APART and not (e.tag in ("ul", "ol") and self.within("li")) else 1)
 
     def around(self) -> Element:
@@ -298,53 +383,42 @@ class Page:
 
     def holder(self) -> Element | None:
         """The table whose parts may start here; none in a template, which has parts of its own."""
-        for e in reversed(self.stack) if self.open["table"] else ():
-            if e.tag in ("table", "template"):
-                return e if e.tag == "table" else None
-        return None
+        at = self.last(("table", "template"))
+        return self.stack[at] if self.stack[at].tag == "table" else None
 
     def between(self) -> bool:
         """Whether a table is open here and none of its cells."""
-        for e in reversed(self.stack) if self.open["table"] else ():
-            if e.tag in ("td", "th", "caption", "template"):
-                return False
-            if e.tag in BETWEEN:
-                return True
-        return False
+        return bool(self.at["table"]) and self.last(BETWEEN) > self.last(("td", "th", "caption", "template"))
 
     def within(self, tag: str) -> bool:
-        if not self.open[tag]:
-            return False
-        for e in reversed(self.stack):
-            if e.tag == tag:
-                return True
-            if e.tag in SCOPE:
-                return False
-        return False
+        return bool(self.at[tag]) and self.at[tag][-1] >= self.last(SCOPE)
 
     def close_to(self, tags, stop) -> None:
         """End the outermost open element of ``tags`` this side of ``stop``, and all in it."""
-        at = 0
-        if not any(self.open[t] for t in tags):
-            return
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag in stop:
-                break
-            if self.stack[i].tag in tags:
-                at = i
-        while at and len(self.stack) > at:
+        low, first = self.last(stop), 0
+        for t in tags:
+            places = self.at[t]
+            if places and places[-1] > low:
+                at = places[bisect_right(places, low)]
+                first = min(first or at, at)
+        while first and len(self.stack) > first:
             self.close()
 
-    def hides(self, tag: str, a: dict[str, str], up: Element) -> bool:
-        return up.hidden or "hidden" in a or self.sheets.hide(tag, a)
+    def hides(self, tag: str, a: dict[str, str], up: Element) -> tuple[bool, bool]:
+        """Whether an element is left out with all that is in it, and whether it is not seen, though what is in it may be."""
+        said = self.sheets.hide(tag, a)
+        return up.hidden or said.get("display", "hidden" in a), said.get("visibility", up.unseen)
 
     def draw(self, tag: str, attributes: str) -> None:
         """A start tag in a drawing; those that end in a slash hold nothing."""
         up, a = self.stack[-1], _attributes(attributes)
         if _empty(attributes) or tag in PARTS:
             return
-        hidden = tag in UNDRAWN or a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse") or self.hides(tag, a, up)
-        e = Element(tag, hidden, up.box, up.indent, False, True, tag in ("text", "foreignobject") or (up.drawn and up.svg))
+        gone, unseen = self.hides(tag, a, up)
+        if a.get("visibility"):
+            unseen = a["visibility"] in ("hidden", "collapse")
+        hidden = tag in UNDRAWN or a.get("display") == "none" or gone
+        e = Element(tag, hidden, up.box, up.indent, False, True, tag in ("text", "foreignobject") or (up.drawn and up.svg), unseen)
         if not hidden and (tag in ("text", "foreignobject") or (tag == "tspan" and not a.keys().isdisjoint(("x", "y")))):
             e.box.gap(1)
         self.push(e)
@@ -378,7 +452,8 @@ class Page:
             self.start("tr", "")
         up = self.stack[-1] if tag in PARTS else self.around()
         a = _attributes(attributes)
-        hidden = tag in NEVER or self.hides(tag, a, up)
+        gone, unseen = self.hides(tag, a, up)
+        hidden = tag in NEVER or gone
         if tag == "dialog" and "open" not in a:
             hidden = True
         if not hidden and up.tag == "details" and up.number == 0 and tag != "summary":
@@ -391,7 +466,7 @@ class Page:
             up.box.gap(2)
         if tag in VOID or (tag == "svg" and _empty(attributes)):
             return
-        e = Element(tag, hidden, up.box, up.indent, up.pre or tag in ("pre", "textarea", "listing", *VERBATIM), tag == "svg", tag != "svg")
+        e = Element(tag, hidden, up.box, up.indent, up.pre or tag in ("pre", "textarea", "listing", *VERBATIM), tag == "svg", tag != "svg", unseen)
         if hidden:
             self.push(e)
             return
@@ -401,34 +476,30 @@ class Page:
             start = a.get("start", "1")
             e.number = int(start) if tag == "ol" and re.fullmatch(r"-?[0-9]{1,9}", start) else 1 if tag == "ol" else None
         elif tag == "li":
-            owner = next((x for x in reversed(self.stack) if x.tag in ("ul", "ol", "menu", "dir")), None)
+            owner = self.stack[self.last(LISTS)]
             mark = "- "
-            if owner is not None and owner.number is not None:
+            if owner.tag in LISTS and owner.number is not None:
                 value = a.get("value", "")
                 owner.number = int(value) if re.fullmatch(r"-?[0-9]{1,9}", value) else owner.number
                 mark = f"{owner.number}. "
                 owner.number += 1
-            e.indent = up.indent + " " * len(mark)
-            e.box.bullet = mark
+            e.indent = (up.indent + " " * len(mark))[: max(INDENT, len(mark))]
+            e.box.bullet = "" if unseen else mark
         elif tag in ("dd", "blockquote"):
-            e.indent = up.indent + "  "
+            e.indent = (up.indent + "  ")[:INDENT]
         elif tag == "details":
             e.number = 1 if "open" in a else 0
         elif tag == "table":
             e.rows, e.box = [], Box()
         elif tag == "tr":
-            for t in reversed(self.stack):
-                if t.rows is not None:
-                    t.rows.append([])
-                    break
+            if self.tables:
+                self.stack[self.tables[-1]].rows.append([])
         elif tag in ("td", "th"):
-            e.box, e.indent = Box(), ""
-        elif tag == "caption":
-            for t in reversed(self.stack):
-                if t.tag == "table":
-                    e.box, e.indent = self.stack[self.stack.index(t) - 1].box, self.stack[self.stack.index(t) - 1].indent
-                    e.box.gap(2)
-                    break
+            e.box, e.indent, e.spans = Box(), "", (_span(a.get("colspan", ""), 1000), _span(a.get("rowspan", ""), 65534))
+        elif tag == "caption" and self.at["table"]:
+            outside = self.stack[self.at["table"][-1] - 1]
+            e.box, e.indent = outside.box, outside.indent
+            e.box.gap(2)
         self.push(e)
 
     def end(self, tag: str) -> None:
@@ -436,15 +507,11 @@ class Page:
             self.start("br", "")
         if tag == "p" and not self.within("p"):
             self.start("p", "")
-        if not self.open[tag]:
+        closed = self.last((tag,))
+        if not closed or tag not in OUTER and closed < self.last(("td", "th", "table", "caption")):
             return
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                while len(self.stack) > i:
-                    self.close()
-                return
-            if self.stack[i].tag in ("td", "th", "table", "caption") and tag not in ("tr", "table", "thead", "tbody", "tfoot", "body", "html"):
-                return
+        while len(self.stack) > closed:
+            self.close()
 
     def text(self, data: str, verbatim: bool = False) -> None:
         if self.stack[-1].tag == "head" and data.strip(" \t\n\r\f"):
@@ -454,7 +521,7 @@ class Page:
             if not data.strip():
                 return
             e = self.around()
-        if e.hidden or not e.drawn or (e.tag == "details" and e.number == 0):
+        if e.hidden or e.unseen or not e.drawn or (e.tag == "details" and e.number == 0):
             return
         if "&" in data and not verbatim:
             data = html.unescape(data)
@@ -464,7 +531,13 @@ class Page:
 def rendered(source: str) -> str:
     """The visible text of a page."""
     page, at, n = Page(), 0, len(source)
+    last = source.rfind(">")
     while at < n:
+        if at > last:
+            # nothing closes here any more: text up to what would open a comment or an end tag
+            cut = CUT_OFF.search(source, at)
+            page.text(source[at : cut.start() if cut else n])
+            break
         m = TOKEN.match(source, at)
         at = m.end()
         tag = m[2] or m[5]
