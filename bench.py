@@ -72,6 +72,18 @@ def main() -> None:
         "large_vocab",
     )
 
+    # 8,000 by 8,000 keys of three words, two of which all share
+    pairs_of = (
+        spark.range(16_000).select(
+            F.lit("tech_stack").alias("category"), F.expr("id % 2").alias("half"),
+            F.concat(F.lit("senior developer "), F.expr(
+                "translate(substring(sha2(CAST(id AS STRING), 256), 1, 4 + id % 7), '0123456789', 'ghijklmnop')"
+            )).alias("key"), F.col("id").alias("ord"),
+        )
+    )
+    title_keys = saved(pairs_of.filter("half = 0").select("category", "key").distinct(), "title_keys")
+    title_vocab = saved(pairs_of.filter("half = 1").select("category", F.col("key").alias("value"), "key", "ord"), "title_vocab")
+
     def noop(df):
         df.write.format("noop").mode("overwrite").save()
 
@@ -86,6 +98,7 @@ def main() -> None:
         "q18_skill_frequency_stats": lambda: noop(q.skill_frequency_stats(jobs, pairs, skills)),
         "n11_tech_stack_fuzzy": lambda: noop(n.silver_tech_stack(postings, vocab)),
         "n4_fuzzy_2000_x_2000": lambda: noop(n.match_fuzzy(new_keys, large_vocab)),
+        "n4_fuzzy_8000_x_8000_two_shared_words": lambda: noop(n.match_fuzzy(title_keys, title_vocab)),
         "n16_silver_five_fields": lambda: noop(
             n.silver_postings(postings, n.field_mapping(postings, vocab))
         ),

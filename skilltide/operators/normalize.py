@@ -1,8 +1,9 @@
 """N-2..N-12, N-15, N-16: field values onto the vocabulary, by distinct value.
 
 Every distinct raw value is resolved once (exact, cleaned key, fuzzy, else new). The resolved
-mapping is saved, so its size is known: the posting rows meet it in a broadcast join while it
-is small and in a shuffle join beyond, where adaptive execution splits hot values.
+mapping is saved, so its size is known: while it is small, values are looked up in the posting rows; beyond,
+the items meet it in a shuffle join, where adaptive execution splits hot values, and go back to
+rows that do not move.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pyspark.sql import types as T
 from skilltide.functions.fuzzy import best_in_chunk
 from skilltide.functions.text import clean_key, parse_list, strip
 from skilltide.operators.vocab import key_table
-from skilltide.session import BROADCAST_ROWS, is_small, saved
+from skilltide.session import BROADCAST_ROWS, is_small, saved, scratch_dir
 
 THRESHOLD = 50
-CHUNK = 1_000  # vocabulary keys one comparison row carries
+CHUNK = 8_000  # vocabulary keys one comparison row carries
 KEYS = 100  # new keys about that a comparison row carries
 IN_ROW_BYTES = 8 << 20
 BUCKETS = 4_096
@@ -54,8 +55,9 @@ def match_fuzzy(
     """N-4: (category, key, fuzzy, score) for the distinct keys that reach the threshold.
 
     A row holds a group of keys and a chunk of the vocabulary, so a chunk is sent once per group and
-    no pairs are emitted. In it a key is compared with the candidates that share a token, and
-    with others in the order of a bound on their score until none can reach the best.
+    no pairs are emitted. In it an inverted index and letter counts bound the scores of a key's candidates,
+    a few vector operations for all of them; those are compared from the highest bound on, many at once,
+    until none can reach the best.
     """
     place = F.struct("first_ord", "key", "target")
     chunks = (
@@ -164,40 +166,51 @@ def apply_mapping(
     """Add ``normalized_<field>`` columns. A null list stays null, order and repeats stay.
 
     While the mapping is small, values are looked up in the row and nothing is shuffled. Beyond,
-    items of all lists are exploded together, looked up in a join and regrouped by row once.
+    items of all fields are exploded together, looked up in a join and regrouped by row once.
     """
     if _fits_a_task(mapping):
         return _apply_in_row(df, mapping, scalars, lists)
+    return _apply_by_items(df, mapping, scalars, lists)
+
+
+def _apply_by_items(
+    df: DataFrame, mapping: DataFrame, scalars: tuple[str, ...], lists: tuple[str, ...]
+) -> DataFrame:
+    """Only the items of the fields move: to the mapping by their value, and back to their rows, which were saved in
+    buckets of the row number and stay where they are. The hash tables of that join are built of the items."""
     row = "_row"
-    out = saved(df.withColumn(row, F.monotonically_increasing_id()), "rows") if lists else df
-    for field in scalars:
-        lookup = mapping.filter(F.col("category") == field).select(
-            F.col("raw").alias("_raw"), F.col("value").alias(f"normalized_{field}")
-        )
-        out = (
-            out.withColumn("_raw", strip(field))
-            .join(lookup, "_raw", "left")
-            .drop("_raw")
-        )
-    if not lists:
-        return out
-    df, key = out, row
+    rows = _in_buckets(df.withColumn(row, F.monotonically_increasing_id()), row)
     lookup = mapping.select(F.col("category").alias("field"), "raw", "value")
-    items = _items(df, (), lists, key).join(lookup, ["field", "raw"])
+    items = _items(rows, scalars, lists, row).join(lookup, ["field", "raw"])
 
-    def items_of(name: str) -> Column:
-        return F.collect_list(F.when(F.col("field") == name, F.struct("pos", "value")))
+    def of_field(name: str, value: Column) -> Column:
+        return F.when(F.col("field") == name, value)
 
-    grouped = items.groupBy(row).agg(*[F.sort_array(items_of(f)).alias(f"_{f}") for f in lists])
-    out = out.join(grouped, key, "left")
-    for field in lists:
-        kept = F.transform(F.col(f"_{field}"), lambda p: p["value"])
-        empty = F.array().cast("array<string>")
-        out = out.withColumn(
-            f"normalized_{field}",
-            F.when(F.col(field).isNotNull(), F.coalesce(kept, empty)),
-        ).drop(f"_{field}")
-    return out.drop(row)
+    found = items.groupBy(row).agg(
+        *[F.first(of_field(f, F.col("value")), ignorenulls=True).alias(f"_{f}") for f in scalars],
+        *[F.sort_array(F.collect_list(of_field(f, F.struct("pos", "value")))).alias(f"_{f}") for f in lists],
+    )
+    out = rows.join(found.hint("shuffle_hash"), row, "left")
+    empty = F.array().cast("array<string>")
+    names = {f"normalized_{f}": F.col(f"_{f}") for f in scalars}
+    for f in lists:
+        kept = F.transform(F.col(f"_{f}"), lambda p: p["value"])
+        names[f"normalized_{f}"] = F.when(F.col(f).isNotNull(), F.coalesce(kept, empty))
+    return out.withColumns(names).drop(row, *[f"_{f}" for f in (*scalars, *lists)])
+
+
+def _in_buckets(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written in buckets of a key, without a shuffle. The catalog knows the table while it is read
+    for the first time only; its files stay in the shared folder."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, "buckets")
+    name = f"buckets_{path.rsplit('-', 1)[1]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # noqa: B018  resolved here, so that the name may go
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def _fits_a_task(mapping: DataFrame) -> bool:
