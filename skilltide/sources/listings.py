@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -165,30 +166,66 @@ def page_title(html: ColumnOrName, marker: str) -> Column:
     return title_before(strip(unescape(raw)), marker)
 
 
+_MARK = "\x01\x02\x01"  # in the start tags of the elements looked for
+_RUN = 64
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once, also where it is used in lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running_sums(steps: Column) -> Column:
+    """The sums of an array before each of its members, in runs, as an array that grows is copied by each step."""
+    none = F.array(F.lit(0))
+
+    def sums(values: Column) -> Column:
+        return F.aggregate(values, none, lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+
+    runs = F.transform(
+        F.sequence(F.lit(0), (F.size(steps) / _RUN).cast("int")), lambda b: sums(F.slice(steps, b * _RUN + 1, F.lit(_RUN)))
+    )
+    return _let(runs, lambda r: _let(sums(F.transform(r, lambda x: F.element_at(x, -1))), lambda before: F.flatten(
+        F.transform(r, lambda x, b: F.transform(F.slice(x, F.lit(1), F.size(x) - 1), lambda y: y + F.get(before, b)))
+    )))
+
+
 def element_bodies(html: ColumnOrName, tag: str, css_class: str | None = None, start: str | None = None) -> Column:
     """What is inside each element of a class, whole: its end is where as many ends as starts of the tag were
-    read. An element that is never closed ends with the page."""
+    read. An element that is never closed ends with the page. The element's own tags, and those of elements of the class
+    in it, come without attributes.
+
+    The page is cut once at the tag's starts and ends, and the depth is carried over the pieces. In the order of
+    depth and place each start is followed by its end.
+    """
     begin = start or start_tag(tag, css_class)
-    parts = F.split(col_of(html), begin)
-    end = rf"(?i)</{tag}\s*>"
-
-    def inside(i: Column) -> Column:
-        # the page from this element on; the starts the split took away count as starts
-        rest = F.array_join(F.slice(parts, i, F.size(parts)), f"<{tag}>")
-        pieces = F.split(rest, end)
-        state = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
-
-        def step(a: Column, piece: Column) -> Column:
-            opened = F.regexp_count(piece, F.lit(rf"(?i)<{tag}\b"))
-            return F.when(a["depth"] <= 0, a).otherwise(
-                F.struct((a["depth"] + opened - 1).alias("depth"), (a["n"] + 1).alias("n"))
-            )
-
-        last = F.aggregate(pieces, state, step, lambda a: a["n"])
-        return F.array_join(F.slice(pieces, F.lit(1), last), f"</{tag}>")
-
-    places = F.when(F.size(parts) > 1, F.sequence(F.lit(2), F.size(parts)))
-    return F.coalesce(F.transform(places, inside), F.array().cast("array<string>"))
+    marked = F.regexp_replace(F.regexp_replace(col_of(html), begin, f"<{tag}{_MARK}>"), rf"(?i)</{tag}\s*>", f"</{tag}>")
+    # a page without the element is not cut
+    cut = F.when(F.contains(marked, F.lit(_MARK)), F.split(marked, rf"(?i)(?=<{tag}\b|</{tag}>)"))
+
+    def bodies(pieces: Column) -> Column:
+        steps = F.transform(pieces, lambda x: F.when(F.startswith(x, F.lit(f"</{tag}>")), -1).when(F.rlike(x, F.lit(rf"(?i)\A<{tag}\b")), 1).otherwise(0))
+        return _let(steps, lambda k: _let(_running_sums(k), lambda depth: matched(pieces, k, depth)))
+
+    def matched(pieces: Column, steps: Column, depth: Column) -> Column:
+        def event(step: Column, i: Column) -> Column:
+            level = F.get(depth, i) + F.greatest(step, F.lit(0))
+            sought = F.startswith(F.get(pieces, i), F.lit(f"<{tag}{_MARK}>"))
+            return F.struct(level.alias("level"), i.alias("at"), step.alias("step"), sought.alias("sought"))
+
+        events = F.array_sort(F.filter(F.transform(steps, event), lambda e: e["step"] != 0))
+        return _let(events, lambda order: F.transform(F.array_sort(F.filter(F.transform(order, lambda e, n: F.when(
+            e["sought"], F.struct(e["at"].alias("at"), end_of(pieces, e, F.get(order, n + 1)).alias("end"))
+        )), lambda x: x.isNotNull())), lambda x: body(pieces, x)))
+
+    def end_of(pieces: Column, e: Column, follows: Column) -> Column:
+        return F.when((follows["level"] == e["level"]) & (follows["step"] == -1), follows["at"]).otherwise(F.size(pieces))
+
+    def body(pieces: Column, x: Column) -> Column:
+        text = F.array_join(F.slice(pieces, x["at"] + 1, x["end"] - x["at"]), "")
+        return F.replace(F.substring(text, F.lit(len(tag) + len(_MARK) + 3), F.lit(2**31 - 1)), F.lit(_MARK), F.lit(""))
+
+    return F.coalesce(_let(cut, bodies), F.array().cast("array<string>"))
 
 
 def block_text(html: ColumnOrName, tag: str, css_class: str) -> Column:

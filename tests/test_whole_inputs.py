@@ -1,6 +1,8 @@
 """Whole sections, texts, lists and pages; months that can be rerun; rows that repeat an id."""
 
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -180,3 +182,77 @@ def test_bounds_never_lose_the_best_candidate(threshold):
         scores = [fuzzy.token_set_score(key, o) for o in chunk.options]
         best = max(scores)
         assert chunk.best(key, threshold) == ((best, scores.index(best)) if best >= threshold else (-1, -1))
+
+
+def test_large_chunks_and_long_texts_give_the_first_best_candidate():
+    """Batches of candidates with shared words, beyond a machine word, of many letters and with gaps in rounding."""
+    draw = random.Random(9)
+    letters = "abcdefghij đà日"
+
+    def word(most):
+        return "".join(draw.choice(letters[:10]) for _ in range(draw.randint(1, most)))
+
+    shared = [f"senior developer {word(9)}" for _ in range(400)]
+    plain = [word(12) for _ in range(300)]
+    long = [" ".join(word(9) for _ in range(draw.randint(20, 120))) for _ in range(25)]
+    almost = [f"{long[0]} {word(1)}", long[0], f"{'x' * 300}", f"{'x' * 299}y", "", "đà 日 đà"]
+    chunk = fuzzy.Chunk([*shared, *plain, *long, *almost, *shared[:30]])
+    for text in [*shared[:20], *plain[:20], *long[:4], *almost, "senior developer", "developer zz", "x" * 301, "senior " + long[1]]:
+        key = fuzzy.Prepared(text)
+        for threshold in (50, 95):
+            scores = [fuzzy.token_set_score(key, o) for o in chunk.options]
+            best = max(scores)
+            assert chunk.best(key, threshold) == ((best, scores.index(best)) if best >= threshold else (-1, -1)), text
+
+
+def test_work_follows_the_candidates(monkeypatch):
+    """Of candidates that all share two words only those within the bound are compared."""
+    draw = random.Random(3)
+    options = [f"senior developer {''.join(draw.choice('abcdefghijklmnopqrstuvwxyz') for _ in range(8))}" for _ in range(3000)]
+    chunk, compared = fuzzy.Chunk(options), []
+    real = fuzzy._lcs_many
+    monkeypatch.setattr(fuzzy, "_lcs_many", lambda text, others: compared.append(len(others)) or real(text, others))
+    for text in options[:50]:
+        assert chunk.best(fuzzy.Prepared(text[:-1] + "0"), 50)[0] >= 90
+    assert sum(compared) < 50 * len(options) / 20
+
+
+def plain_bodies(html, tag, css_class):
+    """Element bodies by a scan with a counter per element."""
+    begin = re.compile(listings.start_tag(tag, css_class))
+    marks = re.compile(rf"(?i)<{tag}\b|</{tag}\s*>")
+    out = []
+    for m in begin.finditer(html or ""):
+        depth, end = 1, len(html)
+        for x in marks.finditer(html, m.end()):
+            depth += -1 if x.group().startswith("</") else 1
+            if depth == 0:
+                end = x.start()
+                break
+        body = begin.sub(f"<{tag}>", html[m.end() : end])
+        out.append(re.sub(rf"(?i)</{tag}\s*>", f"</{tag}>", body))
+    return out
+
+
+def test_elements_equal_a_plain_scan(spark):
+    draw = random.Random(8)
+    parts = ["<div>", "<div class='x'>", '<DIV CLASS="a x b">', "</div>", "</div >", "</DIV>", "text ", "<p>", "<divx>", "</divx>", "<div class=xx>", "\n", "é"]
+    pages = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 250))) for _ in range(300)]
+    df = spark.createDataFrame([(p,) for p in pages], "html STRING").coalesce(1)
+    got = df.select("html", listings.element_bodies("html", "div", "x").alias("found")).collect()
+    assert all(r["found"] == plain_bodies(r["html"], "div", "x") for r in got)
+
+
+def test_elements_take_time_in_proportion_to_the_page(spark):
+    def seconds(n):
+        page = "".join(f"<div class='x'><h2>head {i}</h2><div>in {i}</div> tail</div>" for i in range(n))
+        df = spark.createDataFrame([(page,)], "html STRING").select(F.size(listings.element_bodies("html", "div", "x")).alias("n"))
+        took = []
+        for _ in range(2):
+            start = time.perf_counter()
+            assert df.first()["n"] == n
+            took.append(time.perf_counter() - start)
+        return min(took)
+
+    assert seconds(20_000) < 20  # 1.3 MB; twice the square of a second's page would be minutes
+    assert seconds(40_000) < 5 * seconds(10_000) + 2
