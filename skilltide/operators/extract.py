@@ -24,6 +24,8 @@ LIST_FIELDS = ("seniority_level", "tech_stack", "soft_skills", "major")
 # ``+`` and ``#`` belong to a token, so C, C++ and C# stay three terms.
 _TOKEN_BREAK = r"[^\p{L}\p{N}_+#]+"
 
+BITS = 24  # of a table of bits, by exponent: 2 MB
+
 PROMPT_RULES = [
     ("soft_skills", "Soft skills, preferably worded as"),
     ("seniority_level", "Seniority levels, one or more of"),
@@ -166,43 +168,75 @@ def words(c: ColumnOrName) -> Column:
     return F.array_remove(F.split(fold(c), _TOKEN_BREAK), "")
 
 
-def _ngrams(tokens: Column, n: int) -> Column:
-    if n == 1:
-        return tokens
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-    return F.coalesce(grams, F.array().cast("array<string>"))
+def _prefix(term: str = "term") -> Column:
+    """The first two words of a term, or its only one."""
+    return F.substring_index(term, " ", 2)
+
+
+def _prefixes(tokens: str) -> Column:
+    """All words of a text, then all pairs of neighbours; a null stands after the last pair."""
+    after = F.slice(tokens, F.lit(2), F.size(tokens))
+    return F.concat(tokens, F.zip_with(tokens, after, lambda a, b: F.concat(a, F.lit(" "), b)))
+
 
+def _gram(at: Column, n: Column) -> Column:
+    return F.array_join(F.slice("_words", at, n), " ")
 
-def _grams_at_first_words(texts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
-    """(key, term) candidates of a broadcast vocabulary: at each word that starts a term, the
-    n-grams of the lengths such terms have. Nothing else leaves the scan's stage.
+
+def _grams_at_prefixes(texts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """(key, term) candidates of a broadcast vocabulary, which is a tree of two levels: where the first two words
+    of terms stand (or the only one of a term), the n-grams of the lengths that such terms have. Nothing
+    else leaves the scan's stage, and a frequent word costs as much as a rare one.
 
     The outer explode keeps Catalyst from filtering texts by the size of their word list first,
     which would split every text twice; the join drops the null word of an empty text.
     """
-    first = F.substring_index("term", " ", 1)
-    starts = terms.select(first.alias("first"), "n").distinct()
-    gram = F.array_join(F.slice("_words", F.col("_at") + 1, F.col("n")), " ")
+    starts = terms.select(_prefix().alias("prefix"), "n").distinct()
+    place = F.col("_at") % F.size("_words") + 1
+    gram = F.when(F.col("n") <= 2, F.col("prefix")).otherwise(_gram(place, F.col("n")))
     return (
-        texts.select(key, "_words", F.posexplode_outer("_words").alias("_at", "first"))
-        .join(F.broadcast(starts), "first")
+        texts.select(key, "_words", F.posexplode_outer(_prefixes("_words")).alias("_at", "prefix"))
+        .join(F.broadcast(starts), "prefix")
         .select(key, gram.alias("term"))
     )
 
 
-def _all_grams(texts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
-    """(key, term) candidates of any vocabulary: the distinct n-grams of all its lengths."""
-    lengths = [row["n"] for row in terms.select("n").distinct().collect()]  # a few small numbers
-    grams = F.concat(*[_ngrams(F.col("_words"), n) for n in sorted(lengths) or [1]])
-    return texts.select(key, F.explode_outer(F.array_distinct(grams)).alias("term"))
+def _bit_table(values: DataFrame) -> Column:
+    """A bit for each hash of the one column, as a scalar array of ``2 ** BITS / 64`` longs: its size is fixed."""
+    place = F.pmod(F.xxhash64(F.col(values.columns[0])), F.lit(1 << BITS))
+    words = values.select(F.shiftright(place, 6).cast("int").alias("at"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+    set_bits = words.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("word"))
+    every = values.sparkSession.range(1 << (BITS - 6)).select(F.col("id").cast("int").alias("at"))
+    whole = every.join(set_bits, "at", "left").select("at", F.coalesce("word", F.lit(0).cast("long")).alias("word"))
+    return whole.agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]).alias("bits")).scalar()
+
+
+def _has_bit(bits: Column, value: Column) -> Column:
+    place = F.pmod(F.xxhash64(value), F.lit(1 << BITS))
+    word = F.get(bits, F.shiftright(place, 6).cast("int"))
+    return value.isNotNull() & (F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1)
+
+
+def _grams_with_bits(texts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """(key, term) candidates of any vocabulary: where the bits say that terms begin, the n-grams whose bits say
+    that they are terms. A miss leaves the scan's stage only where bits meet by chance."""
+    long = sorted(row["n"] for row in terms.filter("n > 2").select("n").distinct().collect())  # a few small numbers
+    starts, whole = _bit_table(terms.select(_prefix().alias("prefix")).distinct()), _bit_table(terms.select("term").distinct())
+    begun = texts.select(key, "_words", F.posexplode_outer(_prefixes("_words")).alias("_at", "prefix")).filter(_has_bit(starts, F.col("prefix")))
+    pair = F.col("_at") >= F.size("_words")
+    place = F.col("_at") % F.size("_words") + 1
+    lengths = F.when(pair, F.array(F.lit(2), *[F.lit(n) for n in long])).otherwise(F.array(F.lit(1)))
+    gram = F.when(F.col("n") <= 2, F.col("prefix")).when(place + F.col("n") - 1 <= F.size("_words"), _gram(place, F.col("n")))
+    return (
+        begun.withColumn("n", F.explode(lengths)).select(key, gram.alias("term")).filter(_has_bit(whole, F.col("term")))
+    )
 
 
 def extract_entities(df: DataFrame, vocab: DataFrame, key: str, text: str) -> DataFrame:
     """P-10: the vocabulary terms in each text, per category, on whole-token boundaries.
 
-    N-grams of a text meet the terms in an equi-join. A vocabulary whose size was checked is
-    broadcast, so only hits are shuffled; a larger one is joined by a shuffle of short strings.
+    A text's words and pairs are looked up where terms begin, and n-grams are built only there. A vocabulary
+    whose size was checked is broadcast; of a larger one bits are, so that hits alone are shuffled in the join.
     """
     terms = (
         vocab.withColumn("_tokens", words("value"))
@@ -213,9 +247,9 @@ def extract_entities(df: DataFrame, vocab: DataFrame, key: str, text: str) -> Da
     texts = df.select(key, words(text).alias("_words"))
     if is_small(vocab):
         terms = F.broadcast(terms)
-        grams = _grams_at_first_words(texts, terms, key)
+        grams = _grams_at_prefixes(texts, terms, key)
     else:
-        grams = _all_grams(texts, terms, key)
+        grams = _grams_with_bits(texts, terms, key)
     hits = grams.join(terms.drop("n"), "term")
     return hits.groupBy(key, "category").agg(F.sort_array(F.collect_set("value")).alias("terms"))
 
