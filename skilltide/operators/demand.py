@@ -28,6 +28,7 @@ from skilltide.functions.text import (
     tokens,
     trigrams,
 )
+from skilltide.operators.titles import TitleIndex, index_of_titles, title_index
 from skilltide.schemas import KEYWORD_ALIAS, REQUEST
 from skilltide.session import broadcaster, saved
 
@@ -59,12 +60,13 @@ class Request:
 
 @dataclass(frozen=True)
 class Serving:
-    """The tables the demand queries read."""
+    """The tables the demand queries read. With a stored index no title is cut at request time."""
 
     jobs: DataFrame
     skills: DataFrame
     job_skills: DataFrame
     alias: DataFrame
+    index: TitleIndex | None = None
 
 
 def requests_frame(spark: SparkSession, requests: Sequence[Request]) -> DataFrame:
@@ -149,21 +151,29 @@ def _passes(date_column: str) -> Column:
 Hint = Callable[[DataFrame], DataFrame]
 
 
+def _index(titles: DataFrame | TitleIndex) -> TitleIndex:
+    """An index as it is, or one of distinct titles."""
+    if isinstance(titles, TitleIndex):
+        return titles
+    dated = titles.select(F.lit(None).cast("date").alias("month"), "job_title")
+    return index_of_titles(dated, dated)
+
+
 def match_alias_title(
-    titles: DataFrame, requests: DataFrame, alias: DataFrame, few: Hint | None = None
+    titles: DataFrame | TitleIndex, requests: DataFrame, alias: DataFrame, few: Hint | None = None
 ) -> DataFrame:
     """Q-4: (job_title, request_id) where the title has all tokens of the alias word.
 
     ``few`` is the hint for request-sized sides; by default the requests are counted for it.
     """
     asked = _alias_terms(requests, alias)
-    return _match_terms(titles, asked, few or broadcaster(requests)).drop("tier")
+    return _match_terms(_index(titles), asked, few or broadcaster(requests)).drop("tier")
 
 
-def match_direct(titles: DataFrame, requests: DataFrame, few: Hint | None = None) -> DataFrame:
+def match_direct(titles: DataFrame | TitleIndex, requests: DataFrame, few: Hint | None = None) -> DataFrame:
     """Q-5: (job_title, request_id) where the title has all tokens of the raw input."""
     asked = _direct_terms(requests)
-    return _match_terms(titles, asked, few or broadcaster(requests)).drop("tier")
+    return _match_terms(_index(titles), asked, few or broadcaster(requests)).drop("tier")
 
 
 def _alias_terms(requests: DataFrame, alias: DataFrame) -> DataFrame:
@@ -176,18 +186,14 @@ def _direct_terms(requests: DataFrame) -> DataFrame:
     return requests.select("request_id", F.lit(2).alias("tier"), tokens("job_title").alias("terms"))
 
 
-def _match_terms(titles: DataFrame, asked: DataFrame, few: Hint) -> DataFrame:
+def _match_terms(index: TitleIndex, asked: DataFrame, few: Hint) -> DataFrame:
     """(job_title, request_id, tier) of the titles that hold all terms. Each row of ``asked`` is
     joined on its rarest term only, then the others are checked on the title's own token list."""
-    index = titles.select("job_title", tokens("job_title").alias("title_tokens")).withColumn(
-        "term", F.explode_outer("title_tokens")
-    )
     terms = asked.withColumn("term", F.explode("terms"))
     weight = (
-        index.select("term")
-        .join(few(terms.select("term")), "term", "left_semi")
+        index.counts.join(few(terms.select("term")), "term", "left_semi")
         .groupBy("term")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     anchors = (
         weight.join(few(terms), "term")
@@ -198,82 +204,67 @@ def _match_terms(titles: DataFrame, asked: DataFrame, few: Hint) -> DataFrame:
         )
     )
     return (
-        index.join(few(anchors), "term")
+        index.terms.join(few(anchors), "term")
         .filter(all_terms_match("title_tokens", "terms"))
         .select("job_title", "request_id", "tier")
+        .distinct()
     )
 
 
 def match_fuzzy_title(
-    titles: DataFrame, requests: DataFrame, few: Hint | None = None
+    titles: DataFrame | TitleIndex, requests: DataFrame, few: Hint | None = None
 ) -> DataFrame:
     """Q-6: (job_title, request_id) where some blank-separated title token is similar to the
     raw input. Shared trigrams are counted per distinct token, not per title."""
-    split = F.array_distinct(space_tokens(fold("job_title")))
-    words = titles.select("job_title", F.explode_outer(split).alias("word"))
-    grams = (
-        words.select("word")
-        .distinct()
-        .withColumn("grams", trigrams("word"))
-        .select("word", F.size("grams").alias("n_word"), F.explode_outer("grams").alias("gram"))
-    )
+    index = _index(titles)
     asked = requests.withColumn("grams", trigrams(strip("job_title"))).select(
         "request_id", F.size("grams").alias("n_asked"), F.explode("grams").alias("gram")
     )
     few = few or broadcaster(requests)
     shared = F.col("shared")
     similar_words = (
-        grams.join(few(asked), "gram")
+        index.grams.join(few(asked), "gram")
+        .select("request_id", "word", "n_word", "n_asked", "gram")
+        .distinct()
         .groupBy("request_id", "word", "n_word", "n_asked")
         .agg(F.count("*").alias("shared"))
         .filter(shared / (F.col("n_word") + F.col("n_asked") - shared) > MIN_SIMILARITY)
         .select("request_id", "word")
     )
-    return words.join(similar_words, "word").select("job_title", "request_id").distinct()
-
-
-def title_tiers(
-    titles: DataFrame, requests: DataFrame, alias: DataFrame, few: Hint | None = None
-) -> DataFrame:
-    """(job_title, request_id, tier): the first tier that holds for each distinct title."""
-    few = few or broadcaster(requests)
-    asked = _alias_terms(requests, alias).unionByName(_direct_terms(requests))
-    exact = _match_terms(titles, asked, few)
-    fuzzy = match_fuzzy_title(titles, requests, few).withColumn("tier", F.lit(3))
-    union = exact.unionByName(fuzzy)
-    return union.groupBy("job_title", "request_id").agg(F.min("tier").alias("tier"))
+    return index.words.join(similar_words, "word").select("job_title", "request_id").distinct()
 
 
 def chosen_titles(
-    jobs: DataFrame, requests: DataFrame, alias: DataFrame, as_of: dt.date | str
+    jobs: DataFrame, requests: DataFrame, alias: DataFrame, as_of: dt.date | str, index: TitleIndex | None = None
 ) -> DataFrame:
     """The titles of each request's first tier that any filtered posting reaches, with the
     request's filters.
 
     Whether a tier is reached is asked of the distinct (title, place, level) with their newest
-    date, since a posting passes the date filter exactly when the newest of its kind does. Title
-    matching reads the same table, so the postings are scanned once here.
+    date, since a posting passes the date filter exactly when the newest of its kind does. Without a
+    stored index one is made of the postings in the window, which are scanned once for it. The
+    third tier is run for the requests that the first two leave empty.
     """
     requests = saved(requests, "requests")
-    kinds = saved(
-        _since(jobs, _oldest_cutoff(requests, as_of))
-        .groupBy("job_title", "location", "seniority_level")
-        .agg(F.max("posted_date").alias("newest")),
-        "kinds",
-    )
+    oldest = _oldest_cutoff(requests, as_of)
+    index = title_index(_since(jobs, oldest)) if index is None else index.since(oldest)
     few = broadcaster(requests)
-    filters = requests.select(
+    filters = few(requests.select(
         "request_id", "locations", "levels", cutoff_date("updated_after", as_of).alias("cutoff")
-    )
-    tiers = title_tiers(kinds.select("job_title").distinct(), requests, alias, few)
-    asked = tiers.join(few(filters), "request_id")
-    reached = (
-        kinds.join(asked, "job_title")
-        .filter(_passes("newest"))
-        .groupBy("request_id")
-        .agg(F.min("tier").alias("tier"))
-    )
-    return asked.join(few(reached), ["request_id", "tier"])
+    ))
+    exact = _match_terms(index, _alias_terms(requests, alias).unionByName(_direct_terms(requests)), few)
+    reached = saved(
+        index.kinds.join(exact, "job_title").join(filters, "request_id").filter(_passes("newest"))
+        .groupBy("request_id", "job_title").agg(F.min("tier").alias("tier")),
+        "reached",
+    )
+    best = reached.groupBy("request_id").agg(F.min("tier").alias("tier"))
+    chosen = reached.join(few(best), ["request_id", "tier"])
+    empty = requests.join(best, "request_id", "left_anti")
+    if not empty.isEmpty():
+        fuzzy = match_fuzzy_title(index, empty, few).withColumn("tier", F.lit(3))
+        chosen = chosen.unionByName(fuzzy)
+    return chosen.join(filters, "request_id")
 
 
 def _oldest_cutoff(requests: DataFrame, as_of: dt.date | str) -> Column:
@@ -298,20 +289,25 @@ def _jobs_of(jobs: DataFrame, chosen: DataFrame, passes: Column) -> DataFrame:
 
 
 def matched_jobs(
-    jobs: DataFrame, requests: DataFrame, alias: DataFrame, as_of: dt.date | str
+    jobs: DataFrame, requests: DataFrame, alias: DataFrame, as_of: dt.date | str, index: TitleIndex | None = None
 ) -> DataFrame:
     """Q-7: distinct (request_id, id, tier) of the first tier that is reached."""
-    chosen = saved(chosen_titles(jobs, requests, alias, as_of), "chosen")
+    chosen = saved(chosen_titles(jobs, requests, alias, as_of, index), "chosen")
     oldest = chosen.agg(F.min("cutoff").alias("day")).scalar()
     return _jobs_of(_since(jobs, oldest), chosen, _passes("posted_date"))
 
 
 def matched_jobs_of(
-    jobs: DataFrame, request: Request, alias: DataFrame, as_of: dt.date | str
+    jobs: DataFrame, request: Request, alias: DataFrame, as_of: dt.date | str, index: TitleIndex | None = None
 ) -> DataFrame:
-    """Q-7 for one request: its values are literals, so the filters reach the scan and a
-    distinct title is tested in place. Trigrams are compared for titles that miss tiers 1, 2."""
+    """Q-7 for one request: its values are literals, so the filters reach the scan. Titles are looked up in
+    the stored index; without one a distinct title is tested in place, and trigrams are compared for titles
+    that miss tiers 1, 2."""
     filtered = filter_jobs(jobs, request, as_of)
+    if index is not None:
+        asked = requests_frame(jobs.sparkSession, [request])
+        chosen = saved(chosen_titles(jobs, asked, alias, as_of, index), "chosen")
+        return _jobs_of(filtered, chosen.select("request_id", "job_title", "tier"), F.lit(True))
     typed = F.lit(request.job_title)
     asked_words = F.array_append(space_tokens(fold(typed)), fold(typed))
     hits = alias.filter(F.array_contains(asked_words, fold("keyword")))
@@ -463,12 +459,12 @@ def _freq(serving: Serving, matched: DataFrame) -> DataFrame:
 
 def demand(serving: Serving, requests: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Q-2..Q-10: all skills with their percentages, per request."""
-    return _freq(serving, matched_jobs(serving.jobs, requests, serving.alias, as_of))
+    return _freq(serving, matched_jobs(serving.jobs, requests, serving.alias, as_of, serving.index))
 
 
 def skill_demand(serving: Serving, request: Request, as_of: dt.date | str) -> DataFrame:
     """Q-16: one request."""
-    matched = matched_jobs_of(serving.jobs, request, serving.alias, as_of)
+    matched = matched_jobs_of(serving.jobs, request, serving.alias, as_of, serving.index)
     return skill_page(_freq(serving, matched), request)
 
 

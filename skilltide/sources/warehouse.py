@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skilltide.operators.titles import KEYS, TitleIndex, title_index
 from skilltide.schemas import WAREHOUSE
 from skilltide.sources.files import drop_months, read_if_exists
 
@@ -122,7 +123,7 @@ def read_jdbc(
 
 
 def save_serving(tables: dict[str, DataFrame], schema: str, root: str, buckets: int) -> None:
-    """Keep the serving tables as catalog tables.
+    """Keep the serving tables as catalog tables, with the index of the titles.
 
     Jobs and pairs are bucketed by the job, so the joins between them need no shuffle; each
     bucket is gathered before it is written, so it is one file. Jobs are also kept by month,
@@ -141,3 +142,26 @@ def save_serving(tables: dict[str, DataFrame], schema: str, root: str, buckets:
         if name == "jobs":
             writer = writer.partitionBy("month")
         writer.option("path", f"{root.rstrip('/')}/{name}").saveAsTable(f"{schema}.{name}")
+    save_title_index(tables["jobs"], schema, root, buckets)
+
+
+def save_title_index(jobs: DataFrame, schema: str, root: str, buckets: int) -> None:
+    """Keep the index of the titles by month, each part bucketed by what it is looked up by. The months of
+    ``jobs`` replace theirs; the others stay. Only postings with a date are in it."""
+    spark, mode = jobs.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    index, before = title_index(jobs), spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")  # of an insert into a catalog table it is the session's
+    try:
+        for part, key in KEYS.items():
+            name, df = f"{schema}.title_{part}", getattr(index, part).repartition(buckets, key)
+            if spark.catalog.tableExists(name):
+                df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+            else:
+                writer = df.write.partitionBy("month").bucketBy(buckets, key).sortBy(key)
+                writer.option("path", f"{root.rstrip('/')}/title_{part}").saveAsTable(name)
+    finally:
+        spark.conf.set(mode, before)
+
+
+def read_title_index(spark: SparkSession, schema: str) -> TitleIndex:
+    return TitleIndex(**{part: spark.table(f"{schema}.title_{part}") for part in KEYS})

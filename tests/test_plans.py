@@ -1,14 +1,19 @@
 """What the physical plans must and must not hold."""
 
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from skilltide.operators import demand as q
 from skilltide.operators import ingest as i
 from skilltide.operators import normalize as n
+from skilltide.operators import titles
 from skilltide.registry import shapes
 from skilltide.registry.core import AS_OF, table
 from skilltide.session import saved
-from skilltide.sources.warehouse import save_serving
+from skilltide.sources.warehouse import read_title_index, save_serving, save_title_index
+
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -114,3 +119,99 @@ def test_hot_value_is_split_when_the_mapping_is_too_large_to_broadcast(spark, mo
     finally:
         for k, x in before.items():
             spark.conf.set(k, x)
+
+
+@pytest.fixture()
+def stored(spark, sf_dir, tmp_path):
+    s = shapes.serving(spark, sf_dir)
+    save_serving({"jobs": s.jobs, "skills": s.skills, "job_skills": s.job_skills}, "index_test", str(tmp_path), 2)
+    tables = [spark.table(f"index_test.{t}") for t in ("jobs", "skills", "job_skills")]
+    yield s, q.Serving(*tables, s.alias, read_title_index(spark, "index_test"))
+    spark.sql("DROP SCHEMA index_test CASCADE")
+
+
+ASKED = [
+    q.Request("red widget"), q.Request("hot", request_id=2), q.Request("Gizmoo", request_id=3),
+    q.Request("Gizmoo", locations=["NATION_1", "NATION_2"], request_id=4), q.Request("zzz", request_id=5),
+    q.Request("red", updated_after="1995-01-01", levels=["1-URGENT"], request_id=6), q.Request("", request_id=7),
+]
+
+
+def test_stored_index_answers_like_the_postings_and_cuts_no_title(spark, stored, monkeypatch):
+    plain, kept = stored
+    asked = q.requests_frame(spark, ASKED)
+    expected = sorted(map(str, q.skill_demand_batch(plain, asked, AS_OF).collect()))
+    one_by_one = [sorted(map(str, q.skill_demand(plain, r, AS_OF).collect())) for r in ASKED]
+    assert len(expected) > 20
+
+    def never(*args, **kwargs):
+        raise AssertionError("titles are cut")
+
+    for name in ("tokens", "space_tokens", "trigrams", "title_index", "index_of_titles"):
+        monkeypatch.setattr(titles, name, never)
+    monkeypatch.setattr(q, "title_index", never)
+    monkeypatch.setattr(q, "index_of_titles", never)
+    plans = []
+    real = q.saved
+
+    def spy(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, name)
+
+    monkeypatch.setattr(q, "saved", spy)
+    assert sorted(map(str, q.skill_demand_batch(kept, asked, AS_OF).collect())) == expected
+    assert [sorted(map(str, q.skill_demand(kept, r, AS_OF).collect())) for r in ASKED] == one_by_one
+    # the index is read from the window's months on, and postings only once titles are chosen
+    reached = [p for name, p in plans if name == "reached"]
+    assert all("title_terms" in p and "month#" in p[p.index("PartitionFilters") :] for p in reached)
+    assert not any("index_test.jobs" in p for name, p in plans if name != "matched")
+
+
+def test_trigrams_are_read_for_requests_left_empty_only(spark, stored, monkeypatch):
+    _, kept = stored
+    seen = []
+    real = q.match_fuzzy_title
+    monkeypatch.setattr(q, "match_fuzzy_title", lambda i, r, *few: seen.append({x["request_id"] for x in r.collect()}) or real(i, r, *few))
+    q.skill_demand_batch(kept, q.requests_frame(spark, ASKED[:1]), AS_OF).collect()
+    assert seen == []
+    q.skill_demand_batch(kept, q.requests_frame(spark, ASKED), AS_OF).collect()
+    assert len(seen) == 1 and 1 not in seen[0] and 5 in seen[0]
+
+
+def test_a_month_of_the_index_is_replaced_alone(spark, sf_dir, tmp_path):
+    s = shapes.serving(spark, sf_dir)
+    jobs = s.jobs.filter("posted_date >= '1998-01-01'")
+    spark.sql("CREATE SCHEMA month_test")
+    try:
+        save_title_index(jobs, "month_test", str(tmp_path), 2)
+        month = jobs.filter("posted_date >= '1998-03-01' AND posted_date < '1998-04-01'")
+        other = month.withColumn("job_title", F.lit("Only title"))
+        save_title_index(other, "month_test", str(tmp_path), 2)
+        index = read_title_index(spark, "month_test")
+        whole = jobs.filter("NOT (posted_date >= '1998-03-01' AND posted_date < '1998-04-01')").unionByName(other)
+        fresh = titles.title_index(whole)
+        for part in titles.KEYS:
+            got, expected = getattr(index, part), getattr(fresh, part)
+            assert sorted(map(str, got.select(*expected.columns).collect())) == sorted(map(str, expected.collect())), part
+    finally:
+        spark.sql("DROP SCHEMA month_test CASCADE")
+
+
+def test_beyond_a_small_mapping_only_items_move(spark, sf_dir, monkeypatch):
+    posted = shapes.postings(spark, sf_dir).withColumn("payload", F.repeat(F.lit("x"), 500))
+    postings = saved(posted, "postings")
+    vocab = shapes.vocab(spark, sf_dir)
+    mapping = n.field_mapping(postings, vocab, threshold=None)
+    expected = sorted(map(str, n.apply_mapping(postings, mapping).collect()))
+    monkeypatch.setattr(n, "_fits_a_task", lambda mapping: False)
+    out = n.apply_mapping(postings, mapping)
+    text = plan(out)
+    for exchange in re.findall(r"Exchange [^\n]*(?:\n[^\n]*)", text):
+        assert "payload" not in exchange
+    assert "Bucketed: true" in text and "ShuffledHashJoin" in text
+    above = text[: text.index("ShuffledHashJoin")]
+    assert "Exchange" not in above and "Sort" not in above
+    left = text[text.index("ShuffledHashJoin") :]
+    left = left[: left.index("Exchange")]
+    assert "payload" in left  # the postings' side: scan and join, nothing between
+    assert sorted(map(str, out.collect())) == expected
