@@ -1,7 +1,7 @@
 """J-1..J-4: parse, lake and warehouse runs.
 
 Layers are written tables: a run reads what the layer before wrote, so a lost executor never
-costs more than the layer at hand.
+costs more than the layer at hand. All layers of a run are shown to readers in one step, at its end.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from skilltide.operators.normalize import THRESHOLD, field_mapping, silver_posti
 from skilltide.operators.vocab import evolve_vocab, new_values
 from skilltide.schemas import PARSED_POSTING, WAREHOUSE
 from skilltide.session import saved
-from skilltide.sources.files import layer_path, read_if_exists, write_layer
+from skilltide.sources.files import Staged, commit, layer_exists, layer_path, read_layer, read_staged, stage_layer
 from skilltide.sources.warehouse import load_table
 
 
@@ -100,16 +100,13 @@ def _run(
     spark = parsed.sparkSession
     partition = str(first) if last is None else f"{first}..{last}"
     metrics: dict[str, dict[str, object]] = {}
+    staged: list[Staged] = []
 
     def keep(df: DataFrame, layer: str, table: str) -> DataFrame:
         observation = Observation(f"{layer}.{table}")
-        path = write_layer(df, root, layer, table, observation, (first, last or first))
+        staged.append(here := stage_layer(df, root, layer, table, observation, (first, last or first)))
         metrics[f"{layer}.{table}"] = metrics_of(df, observation, partition)
-        # The folder has no schema of its own while nothing was ever written to it.
-        stored = spark.read.schema(df.schema).parquet(path)
-        lo = F.lit(str(first)).cast("date")
-        hi = F.lit(str(last or first)).cast("date")
-        return stored.filter(F.col("month").between(F.trunc(lo, "month"), hi))
+        return read_staged(spark, root, here)
 
     bronze_rows = keep(bronze(parsed, first, last), "bronze", "job_descriptions")
     mapping = field_mapping(bronze_rows, vocab, threshold=threshold)
@@ -119,6 +116,7 @@ def _run(
     added = new_values(mapping)
     following = layer_path(root, "vocab", partition)
     evolve_vocab(vocab, added).write.mode("overwrite").parquet(following)
+    commit(spark, root, staged)
     return metrics
 
 
@@ -152,10 +150,8 @@ def run_warehouse(
 
     def load(table: str) -> bool:
         # a layer that was never written has no month
-        stored = read_if_exists(spark, layer_path(lake, "gold", table))
-        if stored is None:
+        if not layer_exists(spark, lake, "gold", table):
             return False
-        rows = stored.filter(F.col("month") == F.lit(str(month)).cast("date")).drop("month")
-        return load_table(rows, warehouse, table, month)
+        return load_table(read_layer(spark, lake, "gold", table, month).drop("month"), warehouse, table, month)
 
     return dict(zip(WAREHOUSE, _at_once([lambda t=t: load(t) for t in WAREHOUSE])))
