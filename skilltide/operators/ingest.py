@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from skilltide.functions.postings import as_date, posting_hash, source_id_path
 from skilltide.functions.text import strip
 from skilltide.operators.positions import global_position
 from skilltide.schemas import RAW_POSTING
-from skilltide.session import is_small
+from skilltide.session import is_small, saved
 
 
 def count_where(df: DataFrame, condition: Column | str) -> DataFrame:
@@ -27,21 +28,47 @@ def first_per_key(df: DataFrame, key: list[str], order_by: list[str]) -> DataFra
     return df.groupBy(*key).agg(winner).select(*key, "_w.*").select(*df.columns)
 
 
+_FILE, _ROW = "__file", "__row"
+
+
+def located(df: DataFrame) -> DataFrame:
+    """``df`` with the file and row that each row is read from; saved first if it is not read from Parquet files."""
+    try:
+        return df.withColumns({_FILE: F.col("_metadata.file_path"), _ROW: F.col("_metadata.row_index")})
+    except AnalysisException:
+        return saved(df, "rows").withColumns({_FILE: F.col("_metadata.file_path"), _ROW: F.col("_metadata.row_index")})
+
+
+def _fetched(rows: DataFrame, winners: DataFrame) -> DataFrame:
+    """The rows at the places of ``winners``. Places are saved, so their number is known: few are broadcast, for many
+    rows are dealt by place, which is even whatever the keys, into hash tables of places. Rows are never sorted."""
+    places = saved(winners.select(_FILE, _ROW), "places")
+    places = F.broadcast(places) if is_small(places) else places.hint("shuffle_hash")
+    return rows.join(places, [_FILE, _ROW], "left_semi").drop(_FILE, _ROW)
+
+
 def insert_if_absent(
-    new: DataFrame, target: DataFrame | None, key: str, order_by: list[str]
+    new: DataFrame, target: DataFrame | None, key: str, order_by: list[str], *, fetch_payload: bool = False
 ) -> DataFrame:
     """I-3: the rows of ``new`` to append, first write wins in the batch and over the target.
 
     For a small batch the target's keys are first reduced to the ones in question, by a
-    broadcast while they are read, so a large target is not shuffled.
+    broadcast while they are read, so a large target is not shuffled. With ``fetch_payload`` the winners are found
+    by key, order and place alone, and the other columns, which may be wide, are read for them only;
+    rows that tie in order are then taken by their place.
     """
-    winners = first_per_key(new, [key], order_by)
-    if target is None:
-        return winners
-    stored = target.select(key)
-    if is_small(new):
-        stored = stored.join(F.broadcast(new.select(key)), key, "left_semi")
-    return winners.join(stored, key, "left_anti")
+    if fetch_payload:
+        rows = located(new)
+        first = F.min(F.struct(*order_by, _FILE, _ROW)).alias("_w")
+        winners = rows.groupBy(key).agg(first).select(key, f"_w.{_FILE}", f"_w.{_ROW}")
+    else:
+        winners = first_per_key(new, [key], order_by)
+    if target is not None:
+        stored = target.select(key)
+        if is_small(new):
+            stored = stored.join(F.broadcast(new.select(key)), key, "left_semi")
+        winners = winners.join(stored, key, "left_anti")
+    return _fetched(rows, winners) if fetch_payload else winners
 
 
 def months(spark: SparkSession, start: dt.date | str, as_of: dt.date | str) -> DataFrame:

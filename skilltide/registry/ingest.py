@@ -11,7 +11,7 @@ from skilltide.registry.core import query, shape, table, with_shapes
 from skilltide.registry.expressions import STRIP
 from skilltide.session import scratch_dir
 from skilltide.sources import files, listings
-from skilltide.streaming.ingest import dedupe_stream, ingest_stream
+from skilltide.streaming.ingest import dedupe_stream, ingest_stream, read_ingested
 
 _ITEMS_SQL = r"""
 WITH links AS (
@@ -87,6 +87,14 @@ def i3(spark, sf_dir):
     return i.insert_if_absent(new, stored, "hash", ["ts", "event_id"]).drop("ts")
 
 
+@query("i3_insert_if_absent_fetched", _HASHED_SQL + _WINNERS_SQL)
+def i3_fetched(spark, sf_dir):
+    events = _hashed(spark, sf_dir)
+    new = events.filter("event_type <> 'signup'")
+    stored = events.filter("event_type = 'signup'")
+    return i.insert_if_absent(new, stored, "hash", ["ts", "event_id"], fetch_payload=True).drop("ts")
+
+
 @query(
     "i4_posting_hash",
     with_shapes(
@@ -531,7 +539,7 @@ def i22(spark, sf_dir):
     stream = _event_stream(spark, sf_dir)
     run = ingest_stream(stream, f"{root}/postings", "hash", ["ts", "event_id"], f"{root}/checkpoint")
     run.awaitTermination()
-    return spark.read.parquet(f"{root}/postings").drop("ts")
+    return read_ingested(spark, f"{root}/postings").drop("ts")
 
 
 @query("i22_dedupe_stream", _HASHED_SQL + "SELECT DISTINCT hash FROM hashed")
