@@ -3,19 +3,24 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from skilltide.functions.postings import assemble_sections
 from skilltide.operators import checks
+from skilltide.operators import demand as q
 from skilltide.operators import extract as e
 from skilltide.operators import ingest as i
 from skilltide.operators import model as m
 from skilltide.operators import vocab as v
 from skilltide.operators.positions import global_position
+from skilltide.operators.vocab import load_vocab
 from skilltide.plans import lake
+from skilltide.plans.stats import read_stats, refresh_stats
 from skilltide.schemas import PARSED_POSTING, RAW_POSTING, RAW_POSTING_ALT, WAREHOUSE
 from skilltide.sources import files, listings
 from skilltide.sources.warehouse import load_table, read_table
-from skilltide.streaming.ingest import ingest_stream
+from skilltide.streaming import ingest as streams
+from skilltide.streaming.ingest import ingest_stream, read_ingested
 
 
 def rows(df):
@@ -149,7 +154,7 @@ def test_stream_equals_batch_and_repeats_nothing(spark, tmp_path):
     def run():
         stream = spark.readStream.schema(schema).parquet(source)
         ingest_stream(stream, target, "hash", ["n"], str(tmp_path / "cp")).awaitTermination()
-        return rows(spark.read.parquet(target))
+        return rows(read_ingested(spark, target))
 
     assert run() == rows(i.insert_if_absent(first, None, "hash", ["n"]))
     spark.createDataFrame([("b", 0), ("c", 4)], schema).write.mode("append").parquet(source)
@@ -289,3 +294,172 @@ def test_run_parse(spark):
     assert got["1"]["seniority_level"] == ["Senior"] and got["2"]["tech_stack"] is None
     one = lake.run_parse(raw, raw.filter("_id = '3'"), vocab, "2025-02-02", limit=1).collect()
     assert len(one) == 1 and str(one[0]) == str(got[one[0]["_id"]])
+
+
+def test_micro_batch_reads_its_prefixes_only(spark, tmp_path, monkeypatch):
+    schema = "hash STRING, n INT"
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    many = spark.createDataFrame([(f"k{x}", x) for x in range(500)], schema)
+    many.coalesce(1).write.parquet(source)
+    seen = []
+    real = streams.stored_part
+
+    def spy(batch, stored):
+        part = real(batch, stored)
+        seen.append((part.inputFiles(), part._jdf.queryExecution().executedPlan().toString(), stored.inputFiles()))
+        return part
+
+    monkeypatch.setattr(streams, "stored_part", spy)
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(source)
+        ingest_stream(stream, target, "hash", ["n"], str(tmp_path / "cp")).awaitTermination()
+
+    run()
+    spark.createDataFrame([("k7", -1), ("new", 1)], schema).coalesce(1).write.mode("append").parquet(source)
+    run()
+    (read, text, every) = seen[-1]
+    assert "key_prefix" in text[text.index("PartitionFilters") : text.index("PushedFilters")]
+    assert "ReadSchema: struct<hash:string" in text
+    assert len(every) > 50
+    prefixes = spark.createDataFrame([("k7",), ("new",)], "hash STRING").select(F.pmod(F.xxhash64("hash"), F.lit(64)))
+    kept = spark.read.parquet(target)
+    assert kept.filter(F.col("key_prefix").isin([r[0] for r in prefixes.collect()])).count() < 40
+    assert read_ingested(spark, target).count() == 501
+
+
+def test_fetched_payload_equals_carried(spark, tmp_path):
+    wide = spark.range(0, 3000, 1, 4).select(
+        (F.col("id") % 700).cast("string").alias("hash"), ((F.col("id") * 7919) % 1009).alias("n"), F.col("id"),
+        F.repeat(F.md5(F.col("id").cast("string")), 20).alias("payload"), F.array("id").alias("more"),
+    ).unionByName(spark.createDataFrame([(None, 1, -1, "x", [1]), (None, None, -2, "y", None)], "hash STRING, n LONG, id LONG, payload STRING, more ARRAY<LONG>"))
+    path = str(tmp_path / "wide")
+    wide.write.parquet(path)
+    stored = spark.createDataFrame([(str(x),) for x in range(0, 700, 3)], "hash STRING")
+    for new in (wide, spark.read.parquet(path)):
+        for target in (None, stored):
+            fetched = i.insert_if_absent(new, target, "hash", ["n", "id"], fetch_payload=True)
+            assert fetched.columns == new.columns
+            assert sorted(map(str, fetched.collect())) == sorted(map(str, i.insert_if_absent(new, target, "hash", ["n", "id"]).collect()))
+    tied = wide.withColumn("n", F.lit(1))
+    assert i.insert_if_absent(tied, None, "hash", ["n"], fetch_payload=True).count() == 701
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_payload_is_never_sorted(spark, tmp_path, monkeypatch, small):
+    path = str(tmp_path / "wide")
+    spark.range(2000).select((F.col("id") % 300).alias("k"), "id", F.repeat(F.lit("x"), 300).alias("payload")).write.parquet(path)
+    plans = []
+    real = i.saved
+    monkeypatch.setattr(i, "saved", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, name))
+    monkeypatch.setattr(i, "is_small", lambda df: small)
+    fetched = i.insert_if_absent(spark.read.parquet(path), None, "k", ["id"], fetch_payload=True)
+    plan = fetched._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and ("BroadcastHashJoin" if small else "ShuffledHashJoin") in plan
+    assert len(plans) == 1 and "payload#" not in plans[0] and "payload:" not in plans[0]
+    assert fetched.count() == 300
+
+
+# Months in one step -----------------------------------------------------------------------------
+
+
+def _parsed(spark, titles, day):
+    rows = [(f"{t}-{k}", t, "Acme", "Ha Noi", day, "u", ["Senior"], ["Java"], ["teamwork"], ["x"], "Data Engineer", "1", "2025-01-09") for k, t in enumerate(titles)]
+    names = "_id job_title company_name location posted_date url seniority_level tech_stack soft_skills major job_position salary update_date".split()
+    df = spark.createDataFrame(rows, names)
+    return df.select(*PARSED_POSTING.names)
+
+
+def _seen(spark, root):
+    tables = files.snapshot(spark, root)
+    return {t: sorted(map(str, files.read_layer(spark, root, *t.split("/")).collect())) for t in tables}
+
+
+def test_a_run_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
+    root, vocab = str(tmp_path), load_vocab(spark, str(tmp_path / "none.json"))
+    lake.run_datalake(_parsed(spark, ["a", "b"], "2025-01-05"), vocab, root, "2025-01-01", None)
+    lake.run_datalake(_parsed(spark, ["c"], "2025-02-05"), vocab, root, "2025-02-01", None)
+    before = _seen(spark, root)
+    assert len(before) > 8
+
+    real = lake.stage_layer
+
+    def failing(at):
+        def stage(df, root, layer, table, *rest):
+            if (layer, table) == at:
+                raise RuntimeError("lost")
+            return real(df, root, layer, table, *rest)
+
+        return stage
+
+    again = _parsed(spark, ["x", "y", "z"], "2025-01-07")
+    for at in (("silver", "job_descriptions"), ("gold", sorted(t.split("/")[1] for t in before if t.startswith("gold"))[0])):
+        monkeypatch.setattr(lake, "stage_layer", failing(at))
+        with pytest.raises(RuntimeError, match="lost"):
+            lake.run_datalake(again, vocab, root, "2025-01-01", None)
+        assert _seen(spark, root) == before
+    monkeypatch.setattr(lake, "stage_layer", real)
+
+    # a reader that began before a run ends with what it saw
+    old = files.read_layer(spark, root, "bronze", "job_descriptions")
+    lake.run_datalake(again, vocab, root, "2025-01-01", None)
+    assert {r["job_title"] for r in old.collect()} == {"a", "b", "c"}
+    assert {r["job_title"] for r in files.read_layer(spark, root, "bronze", "job_descriptions").collect()} == {"x", "y", "z", "c"}
+    assert files.vacuum(spark, root) > 0
+    after = _seen(spark, root)
+    assert files.vacuum(spark, root) == 0 and _seen(spark, root) == after
+    lake.run_datalake(again.limit(0), vocab, root, "2025-01-01", None)
+    assert {r["job_title"] for r in files.read_layer(spark, root, "bronze", "job_descriptions").collect()} == {"c"}
+
+
+def test_two_runs_at_once_lose_no_month(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+
+    def staged(day, x):
+        df = spark.createDataFrame([(x, dt.date.fromisoformat(day))], "x INT, month DATE")
+        return files.stage_layer(df, root, "bronze", "t")
+
+    one, two = staged("2025-01-01", 1), staged("2025-02-01", 2)
+    real, calls = files._manifests, []
+
+    def slow(spark, root):
+        found = real(spark, root)
+        calls.append(1)
+        if len(calls) == 1:  # another run is first
+            files.commit(spark, root, [two])
+        return found
+
+    monkeypatch.setattr(files, "_manifests", slow)
+    files.commit(spark, root, [one])
+    assert sorted(r["x"] for r in files.read_layer(spark, root, "bronze", "t").collect()) == [1, 2]
+
+
+# Statistics kept by month -----------------------------------------------------------------------
+
+
+def test_kept_statistics_follow_months(spark, tmp_path):
+    jobs = spark.createDataFrame(
+        [(k % 37, f"t{k % 3}" if k % 11 else None, "p", f"l{k % 2}", dt.date(2025, 1 + k % 4, 3) if k % 13 else None) for k in range(200)]
+        + [(None, "t1", "p", "l0", dt.date(2025, 1, 1))],
+        "id LONG, job_title STRING, location STRING, seniority_level STRING, posted_date DATE",
+    )
+    pairs = spark.createDataFrame([(k % 37, f"s{k % 5}") for k in range(90)], "job_id LONG, skill_id STRING")
+    skills = spark.createDataFrame([(f"s{k}", f"Skill {k}", "tech") for k in range(5)], "id STRING, name STRING, type STRING")
+
+    def check(expected):
+        whole = q.skill_frequency_stats(expected, pairs, skills)
+        got = read_stats(spark, root, skills)
+        assert got.columns == whole.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+
+    root = str(tmp_path)
+    month = lambda n: F.month("posted_date") == n
+    refresh_stats(jobs, pairs, root, "0001-01-01", "2025-02-28")
+    check(jobs.filter(month(1) | month(2) | F.col("posted_date").isNull()))
+    refresh_stats(jobs, pairs, root, "2025-03-01", "2025-04-30")
+    check(jobs)
+    moved = jobs.filter(month(2)).filter("id < 20")  # a month with fewer postings
+    refresh_stats(moved, pairs, root, "2025-02-01", "2025-02-28")
+    check(jobs.filter(~month(2) | month(2).isNull()).unionByName(moved))
+    refresh_stats(jobs.limit(0), pairs, root, "2025-01-01", "2025-01-31")  # a month is removed
+    check(jobs.filter(~(month(1) | month(2)) | F.col("posted_date").isNull()).unionByName(moved))
