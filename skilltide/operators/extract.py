@@ -12,7 +12,7 @@ from skilltide.functions._cols import ColumnOrName, col_of
 from skilltide.functions.parsing import dedupe_list, json_dict_text, json_list_items
 from skilltide.functions.text import fold
 from skilltide.schemas import SENIORITY_LEVELS
-from skilltide.session import is_small
+from skilltide.session import is_small, saved
 
 # Fixed value: the text that stands for an oversized one.
 OVERSIZE_TEXT = "Document too large to process"
@@ -25,6 +25,7 @@ LIST_FIELDS = ("seniority_level", "tech_stack", "soft_skills", "major")
 _TOKEN_BREAK = r"[^\p{L}\p{N}_+#]+"
 
 BITS = 24  # of a table of bits, by exponent: 2 MB
+TERM_BYTES = 8 << 20  # of a vocabulary that is broadcast
 
 PROMPT_RULES = [
     ("soft_skills", "Soft skills, preferably worded as"),
@@ -183,22 +184,27 @@ def _gram(at: Column, n: Column) -> Column:
     return F.array_join(F.slice("_words", at, n), " ")
 
 
-def _grams_at_prefixes(texts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
-    """(key, term) candidates of a broadcast vocabulary, which is a tree of two levels: where the first two words
-    of terms stand (or the only one of a term), the n-grams of the lengths that such terms have. Nothing
-    else leaves the scan's stage, and a frequent word costs as much as a rare one.
+def _hits_in_tree(texts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """(key, category, value) of a broadcast vocabulary, which is a tree of three levels: the first word of terms, the
+    first two and the first four. A text goes on to the next level only where it meets one, so a word that
+    starts many terms costs little more than another, and long n-grams are built where four words fit.
+    Nothing but hits leaves the scan's stage.
 
     The outer explode keeps Catalyst from filtering texts by the size of their word list first,
     which would split every text twice; the join drops the null word of an empty text.
     """
-    starts = terms.select(_prefix().alias("prefix"), "n").distinct()
-    place = F.col("_at") % F.size("_words") + 1
-    gram = F.when(F.col("n") <= 2, F.col("prefix")).otherwise(_gram(place, F.col("n")))
-    return (
-        texts.select(key, "_words", F.posexplode_outer(_prefixes("_words")).alias("_at", "prefix"))
-        .join(F.broadcast(starts), "prefix")
-        .select(key, gram.alias("term"))
-    )
+    first = terms.groupBy(F.substring_index("term", " ", 1).alias("first")).agg(F.collect_set(F.least("n", F.lit(2))).alias("steps"))
+    second = terms.select(_prefix().alias("prefix"), F.least("n", F.lit(4)).alias("m")).distinct()
+    node = terms.select(F.substring_index("term", " ", 4).alias("node"), "term", "n", "category", "value")
+    place, size = F.col("_at") + 1, F.size("_words")
+    begun = texts.select(key, "_words", F.posexplode_outer("_words").alias("_at", "first")).join(F.broadcast(first), "first")
+    pair = F.concat("first", F.lit(" "), F.get("_words", place))
+    met = begun.withColumn("step", F.explode("steps")).withColumn("prefix", F.when(F.col("step") == 1, F.col("first")).otherwise(pair))
+    met = met.join(F.broadcast(second), "prefix")
+    four = F.when(F.col("m") <= 2, F.col("prefix")).when(F.col("_at") + F.col("m") <= size, _gram(place, F.col("m")))
+    found = met.withColumn("node", four).join(F.broadcast(node), "node")
+    whole = (F.col("n") <= 4) | ((F.col("_at") + F.col("n") <= size) & (_gram(place, F.col("n")) == F.col("term")))
+    return found.filter(whole).select(key, "category", "value")
 
 
 def _bit_table(values: DataFrame) -> Column:
@@ -232,11 +238,15 @@ def _grams_with_bits(texts: DataFrame, terms: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _bytes_of(terms: DataFrame) -> int:
+    return terms.agg(F.coalesce(F.sum(F.octet_length("term") + F.octet_length("value")), F.lit(0))).first()[0]
+
+
 def extract_entities(df: DataFrame, vocab: DataFrame, key: str, text: str) -> DataFrame:
     """P-10: the vocabulary terms in each text, per category, on whole-token boundaries.
 
-    A text's words and pairs are looked up where terms begin, and n-grams are built only there. A vocabulary
-    whose size was checked is broadcast; of a larger one bits are, so that hits alone are shuffled in the join.
+    A text's words and pairs are looked up among the beginnings of terms, and n-grams are built only there. A
+    vocabulary whose size was checked is broadcast; of a larger one bits are, so that hits alone are shuffled in the join.
     """
     terms = (
         vocab.withColumn("_tokens", words("value"))
@@ -245,12 +255,11 @@ def extract_entities(df: DataFrame, vocab: DataFrame, key: str, text: str) -> Da
         .agg(F.max_by("value", "ord").alias("value"), F.max(F.size("_tokens")).alias("n"))
     )
     texts = df.select(key, words(text).alias("_words"))
-    if is_small(vocab):
-        terms = F.broadcast(terms)
-        grams = _grams_at_prefixes(texts, terms, key)
+    terms = saved(terms, "terms")
+    if is_small(vocab) and _bytes_of(terms) <= TERM_BYTES:
+        hits = _hits_in_tree(texts, terms, key)
     else:
-        grams = _grams_with_bits(texts, terms, key)
-    hits = grams.join(terms.drop("n"), "term")
+        hits = _grams_with_bits(texts, terms, key).join(terms.drop("n"), "term")
     return hits.groupBy(key, "category").agg(F.sort_array(F.collect_set("value")).alias("terms"))
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skilltide.operators import demand as q
+from skilltide.operators import extract as e
 from skilltide.operators import ingest as i
 from skilltide.operators import normalize as n
 from skilltide.operators import titles
@@ -215,3 +216,27 @@ def test_beyond_a_small_mapping_only_items_move(spark, sf_dir, monkeypatch):
     left = left[: left.index("Exchange")]
     assert "payload" in left  # the postings' side: scan and join, nothing between
     assert sorted(map(str, out.collect())) == expected
+
+
+@pytest.mark.parametrize("limit", ["none", "rows", "bytes"])
+def test_entities_move_as_hits_only(spark, monkeypatch, limit):
+    terms = ["the", "of the", "the cat sat", "the cat sat on the mat", "mat the", "cat", "on", "on the mat and more words here", "x y z w v"]
+    texts = ["the cat sat on the mat", "of the the cat", "", None, "x y z w v x y z w", "on the mat and more words", "on the mat and more words here", "The CAT!"]
+    vocab = spark.createDataFrame([("c%d" % (k % 2), t, k) for k, t in enumerate(terms)], "category STRING, value STRING, ord INT")
+    docs = saved(spark.createDataFrame(list(enumerate(texts)), "id INT, text STRING"), "texts")
+    if limit == "rows":
+        monkeypatch.setattr(e, "is_small", lambda df: False)
+    if limit == "bytes":
+        monkeypatch.setattr(e, "TERM_BYTES", 10)
+    found = e.extract_entities(docs, vocab, "id", "text")
+    expected = set()
+    for n, text in enumerate(texts):
+        words = re.findall("[a-z]+", (text or "").lower())
+        for k, t in enumerate(terms):
+            if any(words[i : i + len(t.split())] == t.split() for i in range(len(words))):
+                expected.add((n, "c%d" % (k % 2), t))
+    assert {(r["id"], r["category"], t) for r in found.collect() for t in r["terms"]} == expected
+    text = plan(found)
+    for exchange in re.findall(r"Exchange hashpartitioning[^\n]*\n[^\n]*", text):
+        assert "_words" not in exchange
+    assert ("getbit" in text) == (limit != "none") and "Python" not in text
