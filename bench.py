@@ -24,6 +24,7 @@ from skilltide.plans import lake  # noqa: E402
 from skilltide.registry import REGISTRY, shapes  # noqa: E402
 from skilltide.registry.core import AS_OF, shape, table  # noqa: E402
 from skilltide.session import local_session, scratch_dir  # noqa: E402
+from skilltide.sources.warehouse import read_title_index, save_title_index  # noqa: E402
 
 FUZZY_VALUES = 2_000
 
@@ -44,7 +45,9 @@ def main() -> None:
     jobs, skills, pairs, alias = (
         saved(shape(spark, sf_dir, s), s) for s in ("jobs", "skills", "job_skills", "alias")
     )
-    serving = q.Serving(jobs, skills, pairs, alias)
+    spark.sql("CREATE SCHEMA IF NOT EXISTS bench")
+    save_title_index(jobs, "bench", f"{root}/index", 2)
+    serving = q.Serving(jobs, skills, pairs, alias, read_title_index(spark, "bench"))
     postings = saved(shapes.postings(spark, sf_dir), "postings")
     vocab = saved(shapes.vocab(spark, sf_dir), "vocab")
     names = [r["name"] for r in skills.select("name").orderBy("name").collect()]

@@ -304,14 +304,12 @@ def matched_jobs_of(
     the stored index; without one a distinct title is tested in place, and trigrams are compared for titles
     that miss tiers 1, 2."""
     filtered = filter_jobs(jobs, request, as_of)
-    if index is not None:
-        asked = requests_frame(jobs.sparkSession, [request])
-        chosen = saved(chosen_titles(jobs, asked, alias, as_of, index), "chosen")
-        return _jobs_of(filtered, chosen.select("request_id", "job_title", "tier"), F.lit(True))
     typed = F.lit(request.job_title)
     asked_words = F.array_append(space_tokens(fold(typed)), fold(typed))
     hits = alias.filter(F.array_contains(asked_words, fold("keyword")))
     alias_word = hits.agg(F.min("job_word").alias("job_word")).scalar()
+    if index is not None:
+        return _jobs_of(filtered, _looked_up(index, request, alias_word, as_of), F.lit(True))
     own, words = tokens("job_title"), space_tokens(fold("job_title"))
     tier = (
         F.when(all_terms_match(own, tokens(alias_word)), F.lit(1))
@@ -329,6 +327,22 @@ def matched_jobs_of(
     return _jobs_of(filtered, chosen, F.lit(True))
 
 
+def _looked_up(index: TitleIndex, request: Request, alias_word: Column, as_of: dt.date | str) -> DataFrame:
+    """(job_title, tier, request_id) of the first tier that a posting of the window reaches, by the stored index."""
+    day = cutoff_date(F.lit(request.updated_after), as_of)
+    index = index.since(day)
+    kinds = filter_jobs(index.kinds.withColumnRenamed("newest", "posted_date"), request, as_of)
+    tier = F.when(all_terms_match("title_tokens", tokens(alias_word)), F.lit(1)).when(
+        all_terms_match("title_tokens", tokens(F.lit(request.job_title))), F.lit(2)
+    )
+    reached = saved(kinds.select("job_title", tier.alias("tier")).filter(F.col("tier").isNotNull()).distinct(), "titles")
+    best = reached.agg(F.min("tier")).first()[0]
+    if best is None:
+        asked = requests_frame(kinds.sparkSession, [request])
+        return match_fuzzy_title(index, asked, F.broadcast).withColumn("tier", F.lit(3))
+    return reached.filter(F.col("tier") == best).withColumn("request_id", F.lit(request.request_id).cast("bigint"))
+
+
 # Counts and percentages ----------------------------------------------------------------------
 
 
@@ -411,11 +425,13 @@ def skill_pages(freq: DataFrame, requests: DataFrame) -> DataFrame:
     order = Window.partitionBy("request_id").orderBy(
         F.desc("frequency_percent"), F.asc("skill_name")
     )
+    # a constant, by which tasks drop rows before they are shuffled
+    most = requests.agg(F.max("limit")).first()[0] or 0
     ranked = (
         freq.join(page, "request_id")
         .filter(_after_cursor(F.col("last_freq"), F.col("last_name")))
         .withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") <= F.col("_limit"))
+        .filter((F.col("_rank") <= most) & (F.col("_rank") <= F.col("_limit")))
     )
     return _page_row(ranked)
 

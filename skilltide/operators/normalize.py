@@ -72,22 +72,25 @@ def match_fuzzy(
     grouped = keys.groupBy("category", F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group")).agg(
         F.collect_list("key").alias("keys")
     )
-    # a row is much work but few bytes: spread rows by number, or they are gathered in a few tasks
+    # a row is much work but few bytes: dealt by number, or adaptive execution gathers rows in one task
     spark = values.sparkSession
     tasks = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
     if is_small(vocab) if small is None else small:
-        pairs = grouped.repartition(tasks, "category", "group").join(F.broadcast(chunks), "category")
+        pairs = grouped.repartitionById(tasks, F.col("group").cast("int")).join(F.broadcast(chunks), "category")
     else:
-        pairs = grouped.join(chunks, "category").repartition(tasks, "category", "group", "chunk")
+        pairs = grouped.join(chunks, "category")
+        pairs = pairs.repartitionById(tasks, F.pmod(F.xxhash64("category", "group", "chunk"), F.lit(tasks)).cast("int"))
     best = best_in_chunk(threshold)(pairs["keys"], F.transform(pairs["entries"], lambda e: e["key"]))
+    # candidates are looked up before the explode, whose rows would each carry the chunk
     scored = (
         pairs.withColumn("best", best)
-        .select("category", "entries", F.explode(F.arrays_zip("keys", "best")).alias("x"))
-        .filter(F.col("x.best.score") >= threshold)
-        .withColumn("entry", F.get("entries", F.col("x.best.idx")))
-        .select("category", F.col("x.keys").alias("key"), F.col("x.best.score").alias("score"), "entry.first_ord", "entry.target")
+        .select("category", F.transform(F.arrays_zip("keys", "best"), lambda x: F.struct(
+            x["keys"].alias("key"), x["best"]["score"].alias("score"), F.get("entries", x["best"]["idx"]).alias("entry")
+        )).alias("found"))
+        .select("category", F.inline(F.filter("found", lambda x: x["score"] >= threshold)))
+        .select("category", "key", "score", "entry.first_ord", "entry.target")
     )
     order = F.struct(F.col("score"), -F.col("first_ord"))
     return scored.groupBy("category", "key").agg(

@@ -17,7 +17,7 @@ from skilltide.session import saved
 
 @dataclass(frozen=True)
 class TitleIndex:
-    """``kinds``: the distinct (title, place, level) with their newest date. ``terms``: token to title, with the title's
+    """``kinds``: the distinct (title, place, level) with their newest date and the title's tokens. ``terms``: token to title, with the title's
     tokens. ``counts``: titles per token. ``words``: blank-separated folded word to title. ``grams``: trigram
     to word, with the word's number of trigrams. Each has the ``month``."""
 
@@ -45,7 +45,7 @@ def kinds_of(jobs: DataFrame) -> DataFrame:
 def title_index(jobs: DataFrame) -> TitleIndex:
     """The index of the titles of postings. The distinct kinds are saved, so postings are read once."""
     kinds = saved(kinds_of(jobs), "kinds")
-    return index_of_titles(kinds.select("month", "job_title").distinct(), kinds)
+    return index_of_titles(kinds.select("month", "job_title").distinct(), kinds.withColumn("title_tokens", tokens("job_title")))
 
 
 def index_of_titles(titles: DataFrame, kinds: DataFrame) -> TitleIndex:
