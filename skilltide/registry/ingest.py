@@ -11,6 +11,7 @@ from skilltide.registry.core import query, shape, table, with_shapes
 from skilltide.registry.expressions import STRIP
 from skilltide.session import scratch_dir
 from skilltide.sources import files, listings
+from skilltide.sources.dumps import scan_dump
 from skilltide.streaming.ingest import dedupe_stream, ingest_stream, read_ingested
 
 _ITEMS_SQL = r"""
@@ -79,6 +80,34 @@ def _hashed(spark, sf_dir):
     )
 
 
+_DUMP = (
+    T.StructType().add("_id", "string").add("key", "long").add("status", "string").add("price", "double").add("day", "timestamp")
+    .add("tags", T.ArrayType(T.StringType())).add("priority", "string")
+)
+
+
+@query(
+    "i1_scan_dump",
+    """
+    SELECT 'k' || CAST(o_orderkey AS VARCHAR) AS _id, o_orderkey AS key, o_orderpriority AS priority, o_totalprice AS price,
+           CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day
+    FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '5-LOW')""",
+)
+def i1_dump(spark, sf_dir):
+    """Orders as documents of a store, written a JSON object a line, and read back with a pushed condition."""
+    wrapped = lambda name, c: F.struct(c.alias(name))
+    documents = table(spark, sf_dir, "orders").select(
+        wrapped("$oid", F.concat(F.lit("k"), "o_orderkey")).alias("_id"), wrapped("$numberLong", F.col("o_orderkey").cast("string")).alias("key"),
+        F.col("o_orderstatus").alias("status"), wrapped("$numberDouble", F.col("o_totalprice").cast("string")).alias("price"),
+        wrapped("$date", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("day"), F.array("o_orderpriority").alias("tags"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+    path = scratch_dir(spark, "dump")
+    documents.select(F.to_json(F.struct(*documents.columns))).write.text(path)
+    read = scan_dump(spark, path, _DUMP, "status = 'F' AND priority IN ('1-URGENT', '5-LOW')")
+    return read.select("_id", "key", "priority", "price", F.col("day").cast("date").cast("string").alias("day"))
+
+
 @query("i3_insert_if_absent", _HASHED_SQL + _WINNERS_SQL)
 def i3(spark, sf_dir):
     events = _hashed(spark, sf_dir)
