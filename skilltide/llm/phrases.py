@@ -35,8 +35,8 @@ from skilltide.llm._rows import ship_package
 from skilltide.session import saved
 
 BURST = 4096
-HELD = 800_000
-KNOWN_WORDS = 1_000_000
+HELD = 500_000
+KNOWN_WORDS = 600_000
 WORD_BITS = 21  # for the ids of the words known and those of one slice more
 SLICE_CHARS = 1 << 20
 SLICE_WORDS = 1 << 18
