@@ -132,12 +132,16 @@ def _as_list(df: DataFrame, column: str) -> Column:
     return parse_list(column) if is_text else F.col(column)
 
 
+def _fields(df: DataFrame, scalars: tuple[str, ...], lists: tuple[str, ...]) -> Column:
+    """An array of (field, items), for all fields."""
+    columns = [(f, F.array(F.col(f))) for f in scalars] + [(f, _as_list(df, f)) for f in lists]
+    return F.array(*[F.struct(F.lit(f).alias("field"), c.alias("items")) for f, c in columns])
+
+
 def _items(df: DataFrame, scalars: tuple[str, ...], lists: tuple[str, ...], key: str) -> DataFrame:
     """(key, field, pos, raw) of all fields, trimmed, blanks dropped."""
-    columns = [(f, F.array(F.col(f))) for f in scalars] + [(f, _as_list(df, f)) for f in lists]
-    fields = [F.struct(F.lit(f).alias("field"), c.alias("items")) for f, c in columns]
     return (
-        df.select(key, F.inline(F.array(*fields)))
+        df.select(key, F.inline(_fields(df, scalars, lists)))
         .select(key, "field", F.posexplode("items").alias("pos", "raw"))
         .withColumn("raw", strip("raw"))
         .filter(F.col("raw") != "")
@@ -152,9 +156,10 @@ def field_mapping(
     threshold: int | None = THRESHOLD,
     key: str = "_id",
 ) -> DataFrame:
-    """The saved mapping of every distinct value of the named columns."""
-    items = _items(df, scalars, lists, key)
-    values = items.select(F.col("field").alias("category"), "raw")
+    """The saved mapping of every distinct value of the named columns. Values are made distinct as they stand, so that
+    an item costs a look in a hash table and only what differs is trimmed."""
+    values = df.select(F.inline(_fields(df, scalars, lists))).select(F.col("field").alias("category"), F.explode("items").alias("raw"))
+    values = values.distinct()
     wanted = vocab.filter(F.col("category").isin(*scalars, *lists))
     return saved(resolve_values(values, wanted, threshold), "mapping")
 

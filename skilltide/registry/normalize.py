@@ -160,37 +160,37 @@ def n5_fuzzy(spark, sf_dir):
 
 @query("n6_normalize_scalar", _field_sql("location", "location", "NULL"))
 def n6(spark, sf_dir):
-    done = n.normalize_scalar(shapes.postings(spark, sf_dir), "location", shapes.vocab(spark, sf_dir), None)
+    done = n.normalize_scalar(shapes.saved_postings(spark, sf_dir, "_id", "location"), "location", shapes.vocab(spark, sf_dir), None)
     return done.select("_id", F.col("normalized_location").alias("value"))
 
 
 @query("n7_normalize_list", _field_sql("tech_stack", "tech", "''"))
 def n7(spark, sf_dir):
-    done = n.normalize_list(shapes.postings(spark, sf_dir), "tech_stack", shapes.vocab(spark, sf_dir), None)
+    done = n.normalize_list(shapes.saved_postings(spark, sf_dir, "_id", "tech_stack"), "tech_stack", shapes.vocab(spark, sf_dir), None)
     return done.select("_id", _text("normalized_tech_stack"))
 
 
 @query("n8_silver_location", _field_sql("location", "location", "NULL"))
 def n8(spark, sf_dir):
-    done = n.silver_location(shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir), None)
+    done = n.silver_location(shapes.saved_postings(spark, sf_dir, "_id", "location"), shapes.vocab(spark, sf_dir), None)
     return done.select("_id", F.col("normalized_location").alias("value"))
 
 
 @query("n9_silver_major", _field_sql("major", "majors", "''"))
 def n9(spark, sf_dir):
-    done = n.silver_major(shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir), None)
+    done = n.silver_major(shapes.saved_postings(spark, sf_dir, "_id", "major"), shapes.vocab(spark, sf_dir), None)
     return done.select("_id", _text("normalized_major"))
 
 
 @query("n10_silver_soft_skills", _field_sql("soft_skills", "soft", "''"))
 def n10(spark, sf_dir):
-    done = n.silver_soft_skills(shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir), None)
+    done = n.silver_soft_skills(shapes.saved_postings(spark, sf_dir, "_id", "soft_skills"), shapes.vocab(spark, sf_dir), None)
     return done.select("_id", _text("normalized_soft_skills"))
 
 
 @query("n11_silver_tech_stack", _field_sql("tech_stack", "tech", "''"))
 def n11(spark, sf_dir):
-    done = n.silver_tech_stack(shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir), None)
+    done = n.silver_tech_stack(shapes.saved_postings(spark, sf_dir, "_id", "tech_stack"), shapes.vocab(spark, sf_dir), None)
     return done.select("_id", _text("normalized_tech_stack"))
 
 
@@ -199,13 +199,13 @@ def n11(spark, sf_dir):
     recursive(_field_sql("tech_stack", "tech", "''", FUZZY_FIELDS)),
 )
 def n11_fuzzy(spark, sf_dir):
-    done = n.silver_tech_stack(shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir))
+    done = n.silver_tech_stack(shapes.saved_postings(spark, sf_dir, "_id", "tech_stack"), shapes.vocab(spark, sf_dir))
     return done.select("_id", _text("normalized_tech_stack"))
 
 
 @query("n12_silver_job_position", _field_sql("job_position", "job_position", "NULL"))
 def n12(spark, sf_dir):
-    done = n.silver_job_position(shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir), None)
+    done = n.silver_job_position(shapes.saved_postings(spark, sf_dir, "_id", "job_position"), shapes.vocab(spark, sf_dir), None)
     return done.select("_id", F.col("normalized_job_position").alias("value"))
 
 
@@ -280,7 +280,7 @@ def silver_text(df):
 
 @query("n15_silver_combine", _SILVER_SQL)
 def n15(spark, sf_dir):
-    bronze, known = shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir)
+    bronze, known = shapes.saved_postings(spark, sf_dir), shapes.vocab(spark, sf_dir)
     mapping = n.field_mapping(bronze, known, threshold=None)
     sides = [n.apply_mapping(bronze, mapping, (f,), ()) for f in n.SCALAR_FIELDS]
     sides += [n.apply_mapping(bronze, mapping, (), (f,)) for f in n.LIST_FIELDS]
@@ -289,6 +289,6 @@ def n15(spark, sf_dir):
 
 @query("n16_promote_normalized", _SILVER_SQL)
 def n16(spark, sf_dir):
-    bronze = shapes.postings(spark, sf_dir)
+    bronze = shapes.saved_postings(spark, sf_dir)
     mapping = n.field_mapping(bronze, shapes.vocab(spark, sf_dir), threshold=None)
     return silver_text(n.silver_postings(bronze, mapping))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skilltide.operators.demand import Serving
 from skilltide.operators.vocab import with_keys
 from skilltide.registry.core import shape
+from skilltide.session import saved
 
 
 def _list(column: str) -> Column:
@@ -25,6 +26,11 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def saved_postings(spark: SparkSession, sf_dir: str, *columns: str, where: str = "true") -> DataFrame:
+    """The postings, or columns and rows of them, made once: for queries that read them more than once."""
+    return saved(postings(spark, sf_dir).filter(where).select(*(columns or "*")), "postings")
+
+
 def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_keys(shape(spark, sf_dir, "vocab"))
 
