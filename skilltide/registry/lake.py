@@ -37,7 +37,7 @@ def _month_sql(body: str, names: str = "posting_rows") -> str:
 def _loaded(spark, sf_dir, table: str) -> DataFrame:
     """The month of one gold table after two loads of it and one of another month."""
     root = scratch_dir(spark, "warehouse")
-    postings = shapes.postings(spark, sf_dir)
+    postings = shapes.saved_postings(spark, sf_dir, where=f"posted_date >= '{MONTH}' AND posted_date < '2000-05-01'")
     for month, following in ((MONTH, "2000-04-01"), ("2000-04-01", "2000-05-01"), (MONTH, "2000-04-01")):
         silver = postings.filter((F.col("posted_date") >= month) & (F.col("posted_date") < following))
         load_table(m.gold_tables(silver)[table], root, table, month)
@@ -197,7 +197,7 @@ def _lake_contents(spark, root, month=None) -> DataFrame:
 @query("j1_run_datalake", _lake_sql(_IN_MONTH))
 def j1(spark, sf_dir):
     root = scratch_dir(spark, "lake")
-    postings, vocab = shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir)
+    postings, vocab = shapes.saved_postings(spark, sf_dir), shapes.vocab(spark, sf_dir)
     # twice, first with all postings of the month said twice over: the second run's rows are all that stay
     again = postings.withColumn("_id", F.concat(F.lit("again-"), "_id"))
     lake.run_datalake(postings.unionByName(again), vocab, root, MONTH, threshold=None)
@@ -212,7 +212,7 @@ def j1(spark, sf_dir):
 )
 def j1_emptied(spark, sf_dir):
     root = scratch_dir(spark, "lake")
-    postings, vocab = shapes.postings(spark, sf_dir), shapes.vocab(spark, sf_dir)
+    postings, vocab = shapes.saved_postings(spark, sf_dir), shapes.vocab(spark, sf_dir)
     lake.run_datalake(postings, vocab, root, MONTH, threshold=None)
     lake.run_datalake(postings.filter(f"NOT ({_IN_MONTH})"), vocab, root, MONTH, threshold=None)
     return _lake_contents(spark, root, MONTH)

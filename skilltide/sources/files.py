@@ -64,8 +64,12 @@ def _hadoop(spark: SparkSession, path: str):
 def drop_months(spark: SparkSession, path: str, months: list[str]) -> None:
     """Remove the folders of months from a table kept by ``month``, on any Hadoop file system."""
     for month in months:
-        system, folder = _hadoop(spark, f"{path}/month={month}")
-        system.delete(folder, True)
+        drop_folder(spark, f"{path}/month={month}")
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    system, folder = _hadoop(spark, path)
+    system.delete(folder, True)
 
 
 # Layers ----------------------------------------------------------------------------------------

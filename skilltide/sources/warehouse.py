@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skilltide.operators.titles import KEYS, TitleIndex, title_index
 from skilltide.schemas import WAREHOUSE
-from skilltide.sources.files import drop_months, read_if_exists
+from skilltide.sources.files import drop_folder, drop_months, read_if_exists
 
 
 def _with_month(df: DataFrame, month: dt.date | str) -> DataFrame:
@@ -23,23 +23,27 @@ def load_table(
     """L-1: write one month of a table, or the whole table when it has no months.
 
     A month is replaced, not appended, so a load can be repeated; an empty one is removed.
-    Returns whether there were rows.
+    Returns whether there were rows: they are counted as they are written, so ``df`` is computed once.
     """
     out = WAREHOUSE[table].conform(df)
     path = f"{root.rstrip('/')}/{table}"
     if month is not None:
         out = _with_month(out, month)
-    if out.isEmpty():
-        if month is not None:
-            drop_months(df.sparkSession, path, [str(month)])
-        elif read_if_exists(df.sparkSession, path) is not None:
-            out.write.mode("overwrite").parquet(path)
-        return False
-    writer = out.write.mode("overwrite")
+    spark, seen = df.sparkSession, Observation(f"load {table}")
+    kept = month is None and read_if_exists(spark, path) is not None
+    writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if "month" in out.columns:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("month")
     writer.parquet(path)
-    return True
+    if seen.get.get("rows"):
+        return True
+    if month is not None:
+        drop_months(spark, path, [str(month)])
+    elif not kept:
+        drop_folder(spark, path)
+    elif "month" in out.columns:
+        out.write.mode("overwrite").parquet(path)  # no month was overwritten
+    return False
 
 
 def read_table(
