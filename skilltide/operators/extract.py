@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -269,13 +270,10 @@ def extract_levels(text: ColumnOrName, levels: list[str] | None = None) -> Colum
     def padded(c: Column) -> Column:
         return F.concat(F.lit(" "), F.array_join(words(c), " "), F.lit(" "))
 
+    # plain expressions over one body, which generated code computes once; in a lambda each level would split the text anew
     body = padded(col_of(text))
-    found = F.array_compact(
-        F.array(
-            *[
-                F.when(F.contains(body, padded(F.lit(level))), F.lit(level))
-                for level in (levels or SENIORITY_LEVELS)
-            ]
-        )
-    )
-    return F.when(F.size(found) == 0, F.array(F.lit("Else"))).otherwise(found)
+    none = F.array().cast("array<string>")
+    given = [(level, F.coalesce(F.contains(body, padded(F.lit(level))), F.lit(False))) for level in levels or SENIORITY_LEVELS]
+    found = [F.when(named, F.array(F.lit(level))).otherwise(none) for level, named in given]
+    missing = reduce(Column.__and__, [~named for _, named in given], F.lit(True))
+    return F.concat(*found, F.when(missing, F.array(F.lit("Else"))).otherwise(none))
