@@ -9,7 +9,7 @@ from skilltide.functions import postings as p
 from skilltide.operators import ingest as i
 from skilltide.registry.core import query, shape, table, with_shapes
 from skilltide.registry.expressions import STRIP
-from skilltide.session import scratch_dir
+from skilltide.session import saved, scratch_dir
 from skilltide.sources import files, listings
 from skilltide.sources.dumps import scan_dump
 from skilltide.streaming.ingest import dedupe_stream, ingest_stream, read_ingested
@@ -369,6 +369,7 @@ def i13_detail(spark, sf_dir):
         _said('<div class="show-more-less-html__markup a">', "w1", "<br><br>", "w2", "</div>"),
     )
     pages = _pieces(spark, sf_dir).filter("w1 <> '' AND w2 IS NOT NULL").select("page_id", html.alias("html"), F.lit("2001-08-01 00:00:00").alias("update_date"))
+    pages = saved(pages, "pages")  # read three times
     details = listings.from_detail_html(pages, keep=("page_id",))
     cards = listings.from_card_html(pages, keep=("page_id",))
     texts = pages.select(

@@ -199,9 +199,11 @@ def element_bodies(html: ColumnOrName, tag: str, css_class: str | None = None, s
     depth and place each start is followed by its end.
     """
     begin = start or start_tag(tag, css_class)
-    marked = F.regexp_replace(F.regexp_replace(col_of(html), begin, f"<{tag}{_MARK}>"), rf"(?i)</{tag}\s*>", f"</{tag}>")
-    # a page without the element is not cut
-    cut = F.when(F.contains(marked, F.lit(_MARK)), F.split(marked, rf"(?i)(?=<{tag}\b|</{tag}>)"))
+
+    def cut(marked: Column) -> Column:
+        # a page without the element is not cut
+        ends = F.regexp_replace(marked, rf"(?i)</{tag}\s*>", f"</{tag}>")
+        return F.when(F.contains(marked, F.lit(_MARK)), F.split(ends, rf"(?i)(?=<{tag}\b|</{tag}>)"))
 
     def bodies(pieces: Column) -> Column:
         steps = F.transform(pieces, lambda x: F.when(F.startswith(x, F.lit(f"</{tag}>")), -1).when(F.rlike(x, F.lit(rf"(?i)\A<{tag}\b")), 1).otherwise(0))
@@ -225,7 +227,8 @@ def element_bodies(html: ColumnOrName, tag: str, css_class: str | None = None, s
         text = F.array_join(F.slice(pieces, x["at"] + 1, x["end"] - x["at"]), "")
         return F.replace(F.substring(text, F.lit(len(tag) + len(_MARK) + 3), F.lit(2**31 - 1)), F.lit(_MARK), F.lit(""))
 
-    return F.coalesce(_let(cut, bodies), F.array().cast("array<string>"))
+    pieces = _let(F.regexp_replace(col_of(html), begin, f"<{tag}{_MARK}>"), cut)
+    return F.coalesce(_let(pieces, bodies), F.array().cast("array<string>"))
 
 
 def block_text(html: ColumnOrName, tag: str, css_class: str) -> Column:
@@ -236,10 +239,10 @@ def block_text(html: ColumnOrName, tag: str, css_class: str) -> Column:
 def labelled_value(html: ColumnOrName, section_class: str, label_class: str, value_class: str, label: str) -> Column:
     """Whole text of the value in the first section whose label contains ``label``; '' when there is none.
     On a page without sections a label's section goes on to the next label."""
-    bodies = element_bodies(html, "div", section_class)
     parts = F.split(col_of(html), start_tag("div", label_class))
-    loose = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda x: F.concat(F.lit(f'<div class="{label_class}">'), x))
-    sections = F.when(F.size(bodies) > 0, bodies).otherwise(F.coalesce(loose, F.array().cast("array<string>")))
+    after = _let(parts, lambda p: F.slice(p, F.lit(2), F.size(p)))
+    loose = F.coalesce(F.transform(after, lambda x: F.concat(F.lit(f'<div class="{label_class}">'), x)), F.array().cast("array<string>"))
+    sections = _let(element_bodies(html, "div", section_class), lambda bodies: F.when(F.size(bodies) > 0, bodies).otherwise(loose))
 
     def named(section: Column) -> Column:
         return F.contains(F.lower(block_text(section, "div", label_class)), F.lit(label))
@@ -354,15 +357,21 @@ def from_detail_html(
     df: DataFrame, html: str = "html", as_of: ColumnOrName = "update_date", keep: tuple[str, ...] = ("url",)
 ) -> DataFrame:
     """A job page of the fourth source: title, company, place, day and text; pages without text are dropped."""
-    header = F.coalesce(F.get(element_bodies(html, "div", "job-header-info"), F.lit(0)), F.lit(""))
-    company = F.regexp_extract(header, start_tag(r"(\w+)", "employer-name") + r"(.*?)</\1\s*>", 2)
     place = F.regexp_extract(col_of(html), r"(?is)<use\b[^>]*map-pin[^>]*>(?:\s*</use>)?\s*</svg>(.*?)</div>", 1)
     posted = F.regexp_extract(col_of(html), r"(?is)<span\b[^>]*>([^<]*Posted[^<]*)</span>", 1)
-    return df.select(
-        *keep,
-        inner_text(F.regexp_extract(header, r"(?is)<h1[^>]*>(.*?)</h1>", 1)).alias("job_title"),
-        inner_text(company).alias("company_name"),
-        last_address_part(inner_text(place)).alias("location"),
-        posted_date(posted, as_of).cast("string").alias("posted_date"),
+
+    def titles(header: Column) -> Column:
+        company = F.regexp_extract(header, start_tag(r"(\w+)", "employer-name") + r"(.*?)</\1\s*>", 2)
+        title = F.regexp_extract(header, r"(?is)<h1[^>]*>(.*?)</h1>", 1)
+        return F.struct(inner_text(title).alias("job_title"), inner_text(company).alias("company_name"))
+
+    header = F.coalesce(F.get(element_bodies(html, "div", "job-header-info"), F.lit(0)), F.lit(""))
+    page = F.struct(
+        _let(header, titles).alias("titles"),
+        _let(inner_text(place), last_address_part).alias("location"),
+        _let(posted, lambda p: posted_date(p, as_of)).cast("string").alias("posted_date"),
         description_text(html, "d").alias("full_text_jd"),
-    ).filter(strip("full_text_jd") != "")
+    )
+    # of a plain select Catalyst would move the filter below it, and read the page twice
+    read = df.select(*keep, F.inline_outer(F.array(page)))
+    return read.select(*keep, "titles.*", "location", "posted_date", "full_text_jd").filter(strip("full_text_jd") != "")
