@@ -166,11 +166,15 @@ def mixture(
     wanted = MULTIPLES if multiples is None else multiples
     docs = without(docs, ["n_tokens", "posterior", "rate", "copies"])
     domains, model = learn(docs, labels, id_col, text_col, label_id, max_labelled)
-    slim = saved(classified(docs.select(F.col(f"`{text_col}`")), model, text_col).select("__n", "__p"), "posteriors")
-    steps, *_ = fit_rates(slim, np.array([wanted.get(d, 1.0) for d in domains]))
     keep = [F.col(f"`{c}`") for c in (carry if carry is not None else docs.columns)]
     draw = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rated = classified(docs, model, text_col).withColumn("__draw", draw).withColumn("__rate", _rate_column(steps, len(domains), F.col("__p")))
+    drawn = docs.withColumn("__draw", draw)
+    # rows without their text are kept with the posteriors; others are classified a second time, as texts cost more to store
+    short = carry is not None and text_col not in carry
+    first = [*[F.col(f"`{c}`") for c in dict.fromkeys(carry)], "__draw"] if short else []
+    slim = saved(classified(drawn if short else docs.select(F.col(f"`{text_col}`")), model, text_col).select(*first, "__n", "__p"), "posteriors")
+    steps, *_ = fit_rates(slim.select("__n", "__p"), np.array([wanted.get(d, 1.0) for d in domains]))
+    rated = (slim if short else classified(drawn, model, text_col)).withColumn("__rate", _rate_column(steps, len(domains), F.col("__p")))
     whole = F.floor("__rate")
     return rated.select(
         *keep, F.col("__n").alias("n_tokens"), F.col("__p").alias("posterior"), F.col("__rate").alias("rate"),
