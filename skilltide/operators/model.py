@@ -124,6 +124,10 @@ def bridge_major(silver: DataFrame, dim: DataFrame | None = None) -> DataFrame:
     return bridge(silver, "major", "major_id", dim)
 
 
+#: Gold tables whose rows come each from one posting.
+ROW_BY_ROW = ("job_description_table", "job_tech_skill_mapping", "job_soft_skill_mapping", "job_major_mapping")
+
+
 def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
     """The eight gold tables by warehouse name."""
     return {

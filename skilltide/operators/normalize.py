@@ -8,7 +8,6 @@ rows that do not move.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -170,13 +169,15 @@ def apply_mapping(
     scalars: tuple[str, ...] = SCALAR_FIELDS,
     lists: tuple[str, ...] = LIST_FIELDS,
     key: str = "_id",
+    in_row: bool | None = None,
 ) -> DataFrame:
     """Add ``normalized_<field>`` columns. A null list stays null, order and repeats stay.
 
     While the mapping is small, values are looked up in the row and nothing is shuffled. Beyond,
     items of all fields are exploded together, looked up in a join and regrouped by row once.
+    ``in_row`` says which; by default the mapping is measured.
     """
-    if _fits_a_task(mapping):
+    if moves_no_row(mapping) if in_row is None else in_row:
         return _apply_in_row(df, mapping, scalars, lists)
     return _apply_by_items(df, mapping, scalars, lists)
 
@@ -221,6 +222,11 @@ def _in_buckets(df: DataFrame, key: str) -> DataFrame:
     return table
 
 
+def moves_no_row(mapping: DataFrame) -> bool:
+    """Whether ``apply_mapping`` looks values up in the rows, which then stay where they are."""
+    return _fits_a_task(mapping)
+
+
 def _fits_a_task(mapping: DataFrame) -> bool:
     """Whether a saved mapping may be shipped with the plan: by its rows and its bytes."""
     size = F.sum(F.octet_length("category") + F.octet_length("raw") + F.octet_length("value"))
@@ -242,22 +248,24 @@ def _apply_in_row(
             F.sort_array(F.collect_list(F.struct("at", "m"))), lambda b: F.map_from_entries(b["m"])
         ).alias("a")
     )
-    # as a column, since a subquery may not stand inside a lambda
-    out = df.withColumn("_lookup", found.scalar())
+    names = (*scalars, *lists)
+
+    def looked_up(lookup: Column) -> Column:
+        def value_of(key: Column) -> Column:
+            return F.element_at(F.get(lookup, _bucket(key)), key)
 
-    def value_of(field: str, raw: Column) -> Column:
-        key = F.concat(F.lit(f"{field}\x00"), raw)
-        return F.element_at(F.get("_lookup", _bucket(key)), key)
+        def keys_of(field: str) -> Column:
+            trimmed = F.filter(F.transform(_as_list(df, field), strip), lambda v: v != "")
+            return F.transform(trimmed, lambda v: F.concat(F.lit(f"{field}\x00"), v))
 
-    def of_field(field: str) -> Callable[[Column], Column]:
-        return lambda raw: value_of(field, raw)
+        single = [value_of(F.concat(F.lit(f"{f}\x00"), strip(f))).alias(f) for f in scalars]
+        return F.struct(*single, *[F.transform(keys_of(f), value_of).alias(f) for f in lists])
 
-    for field in scalars:
-        out = out.withColumn(f"normalized_{field}", value_of(field, strip(field)))
-    for field in lists:
-        trimmed = F.filter(F.transform(_as_list(df, field), strip), lambda v: v != "")
-        out = out.withColumn(f"normalized_{field}", F.transform(trimmed, of_field(field)))
-    return out.drop("_lookup")
+    # A subquery may not stand inside a lambda, and a column with it would be copied into every row. It is read once, as
+    # the one item of an array that a lambda goes over: so Catalyst puts it where it is read and rows do not carry it.
+    lookup = F.transform(F.array("_lookup"), looked_up)
+    out = df.withColumn("_lookup", found.scalar()).withColumn("_found", F.get(lookup, F.lit(0))).drop("_lookup")
+    return out.withColumns({f"normalized_{f}": F.col(f"_found.{f}") for f in names}).drop("_found")
 
 
 def _bucket(key: Column) -> Column:
@@ -340,6 +348,6 @@ def promote_normalized(df: DataFrame) -> DataFrame:
     return df.drop(*names).withColumnsRenamed({prefix + n: n for n in names})
 
 
-def silver_postings(df: DataFrame, mapping: DataFrame) -> DataFrame:
+def silver_postings(df: DataFrame, mapping: DataFrame, in_row: bool | None = None) -> DataFrame:
     """All five fields in one pass, no combining joins between them."""
-    return promote_normalized(apply_mapping(df, mapping))
+    return promote_normalized(apply_mapping(df, mapping, in_row=in_row))

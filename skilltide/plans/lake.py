@@ -23,8 +23,8 @@ from skilltide.operators.extract import (
     unparsed,
 )
 from skilltide.operators.ingest import bronze_slice
-from skilltide.operators.model import gold_tables, metrics_of
-from skilltide.operators.normalize import THRESHOLD, field_mapping, silver_postings
+from skilltide.operators.model import ROW_BY_ROW, gold_tables, metrics_of
+from skilltide.operators.normalize import THRESHOLD, field_mapping, moves_no_row, silver_postings
 from skilltide.operators.vocab import evolve_vocab, new_values
 from skilltide.schemas import PARSED_POSTING, WAREHOUSE
 from skilltide.session import saved
@@ -102,17 +102,18 @@ def _run(
     metrics: dict[str, dict[str, object]] = {}
     staged: list[Staged] = []
 
-    def keep(df: DataFrame, layer: str, table: str) -> DataFrame:
+    def keep(df: DataFrame, layer: str, table: str, by_month: bool = False) -> DataFrame:
         observation = Observation(f"{layer}.{table}")
-        staged.append(here := stage_layer(df, root, layer, table, observation, (first, last or first)))
+        staged.append(here := stage_layer(df, root, layer, table, observation, (first, last or first), by_month))
         metrics[f"{layer}.{table}"] = metrics_of(df, observation, partition)
         return read_staged(spark, root, here)
 
     bronze_rows = keep(bronze(parsed, first, last), "bronze", "job_descriptions")
     mapping = field_mapping(bronze_rows, vocab, threshold=threshold)
-    silver = keep(silver_postings(bronze_rows, mapping), "silver", "job_descriptions")
+    in_row = moves_no_row(mapping)
+    silver = keep(silver_postings(bronze_rows, mapping, in_row), "silver", "job_descriptions", in_row)
     gold = gold_tables(silver)
-    _at_once([lambda t=t, df=df: keep(df, "gold", t) for t, df in gold.items()])
+    _at_once([lambda t=t, df=df: keep(df, "gold", t, t in ROW_BY_ROW) for t, df in gold.items()])
     added = new_values(mapping)
     following = layer_path(root, "vocab", partition)
     evolve_vocab(vocab, added).write.mode("overwrite").parquet(following)

@@ -191,9 +191,9 @@ def _shape_ctes(names: list[str], dialect: str) -> list[tuple[str, str]]:
     return [(n, _LISTED.sub(_LIST_SQL[dialect], SHAPES[n])) for n in _ordered(names, [])]
 
 
-def shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A shape as a DataFrame over the files."""
-    ctes = _shape_ctes([name], "spark")
+def shape(spark: SparkSession, sf_dir: str, name: str, **made: DataFrame) -> DataFrame:
+    """A shape as a DataFrame over the files; ``made`` are shapes it uses that are DataFrames already."""
+    ctes = [(n, f"SELECT * FROM {{{n}}}" if n in made else text) for n, text in _shape_ctes([name], "spark")]
     words = set(re.findall(r"[a-z_]+", " ".join(text for _, text in ctes)))
     files = [
         (t, f"SELECT * FROM parquet.`{sf_dir.rstrip('/')}/{t}.parquet`")
@@ -201,7 +201,7 @@ def shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if t in words
     ]
     body = ", ".join(f"{n} AS ({text})" for n, text in files + ctes)
-    return spark.sql(f"WITH {body} SELECT * FROM {name}")
+    return spark.sql(f"WITH {body} SELECT * FROM {name}", **made)
 
 
 def with_shapes(names: str, body: str) -> str:

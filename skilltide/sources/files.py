@@ -143,23 +143,30 @@ def stage_layer(
     table: str,
     observation: Observation | None = None,
     months: tuple[dt.date | str, dt.date | str] | None = None,
+    by_month: bool = False,
 ) -> Staged:
     """Write the months of ``df`` (column ``month``) where no reader sees them before ``commit``.
 
     The rebalance hint sizes the files and splits a month that outgrows one task. Rows are
-    observed after it, where a stage found empty is still counted.
+    observed after it, where a stage found empty is still counted. With ``by_month`` the rows are those of a
+    layer, read and changed one by one: they lie by month already and are written where they are, in no more files
+    than the pieces that were read.
     """
     run = uuid.uuid4().hex
-    out = df.hint("rebalance", "month")
+    out = df if by_month else df.hint("rebalance", "month")
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("row_count"))
-    written = Observation()
-    month = F.coalesce(F.col("month").cast("string"), F.lit(NO_MONTH))
-    out.observe(written, F.collect_set(month).alias("months")).write.partitionBy("month").parquet(
-        f"{layer_path(root, layer, table)}/run={run}"
-    )
+    path = f"{layer_path(root, layer, table)}/run={run}"
+    out.write.partitionBy("month").parquet(path)
     span = None if months is None else (str(months[0])[:7], str(months[1])[:7])
-    return Staged(f"{layer}/{table}", run, df.schema.json(), tuple(sorted(written.get.get("months") or ())), span)
+    return Staged(f"{layer}/{table}", run, df.schema.json(), _months_in(df.sparkSession, path), span)
+
+
+def _months_in(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The months that a written folder has."""
+    system, folder = _hadoop(spark, path)
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    return tuple(sorted(n.removeprefix("month=") for n in names if n.startswith("month=")))
 
 
 def write_layer(

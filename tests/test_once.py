@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from skilltide.operators import normalize as n
 from skilltide.operators.extract import extract_levels
 from skilltide.operators.vocab import with_keys
+from skilltide.plans import lake as plans
 from skilltide.registry import lake, shapes
 from skilltide.registry import normalize as queries
+from skilltide.registry.core import TABLES, shape
 from skilltide.sources import listings
+from skilltide.sources.files import read_layer
 from skilltide.sources.warehouse import load_table, read_table
 
 
@@ -94,3 +97,53 @@ def test_a_page_is_read_once(spark):
     assert calls.value == 1
     said = str(listings.element_bodies(F.upper("html"), "div", "a")._jc)
     assert len(re.findall("upper", said, re.I)) == 1
+
+
+def _write_tables(spark, folder, sf_dir):
+    rows = {
+        "part": ("p_partkey long, p_name string, p_type string", [(1, "red bolt", "TIN"), (2, "hot anvil", None), (3, None, "BRASS"), (4, "a;b", "Zinc")]),
+        "lineitem": (
+            "l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string, l_linestatus string",
+            [(1, p, n, f, s) for p, n, f, s in ((1, 10, "N", "O"), (1, 2, "A", "O"), (2, 1, "R", "O"), (4, 3, "N", "F"), (1, 2, "A", "O"))]
+            + [(2, 3, 1, "N", "O"), (2, 9, 2, "N", "O"), (3, 2, None, None, None), (None, 1, 1, "A", "F")],
+        ),
+    }
+    for name, (schema, values) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{folder}/{name}.parquet")
+    for name in set(TABLES) - set(rows):
+        (folder / f"{name}.parquet").symlink_to(f"{sf_dir}/{name}.parquet")
+
+
+def test_items_are_listed_where_all_of_a_job_are(spark, sf_dir, tmp_path):
+    _write_tables(spark, tmp_path, sf_dir)
+    made, said = shapes.item_lists(spark, str(tmp_path)), shape(spark, str(tmp_path), "item_lists")
+    plan = _plan(made)  # lists are no rows of a shuffle
+    assert made.columns == said.columns
+    assert sorted(map(str, made.collect())) == sorted(map(str, said.collect()))
+    assert plan.rindex("ObjectHashAggregate") < plan.index("Exchange")
+    plan = _plan(shapes.postings(spark, sf_dir))
+    assert "listagg" not in plan
+
+
+def test_rows_do_not_carry_the_mapping(spark):
+    vocab = with_keys(spark.createDataFrame([("major", "Art", 1)], "category string, value string, ord int"))
+    df = spark.createDataFrame([("1", ["art ", "", "x", None]), ("2", None), ("3", [])], "_id string, major array<string>")
+    out = n.normalize_list(df, "major", vocab, None)
+    assert "AS _lookup" not in _plan(out)
+    assert {r["_id"]: r["normalized_major"] for r in out.collect()} == {"1": ["Art", "x"], "2": None, "3": []}
+
+
+def test_rows_that_lie_by_month_are_not_dealt_anew(spark, tmp_path, monkeypatch):
+    fields = "_id job_title company_name location posted_date url update_date salary job_position"
+    rows = [(str(i), "t", "c", "l", f"2025-0{i % 3 + 1}-05", "u", "d", "s", "p", ["a"], [f"x{i}"], ["b"], ["M"]) for i in range(9)]
+    lists = "seniority_level tech_stack soft_skills major"
+    df = spark.createDataFrame(rows, ", ".join([*(f"{c} string" for c in fields.split()), *(f"{c} array<string>" for c in lists.split())]))
+    vocab = with_keys(spark.createDataFrame([("major", "M", 1)], "category string, value string, ord int"))
+    dealt, real = [], type(df).hint
+    monkeypatch.setattr(type(df), "hint", lambda self, name, *a: dealt.append(name) or real(self, name, *a))
+    metrics = plans.backfill(df, vocab, str(tmp_path), "2025-01-01", "2025-03-01", threshold=None)
+    assert dealt.count("rebalance") == 5  # bronze, and the four tables of distinct names
+    assert metrics["silver.job_descriptions"]["row_count"] == 9
+    for layer, table in (("silver", "job_descriptions"), ("gold", "job_tech_skill_mapping")):
+        held = read_layer(spark, str(tmp_path), layer, table)
+        assert sorted(str(r["month"]) for r in held.collect()) == sorted(3 * ["2025-01-01", "2025-02-01", "2025-03-01"])
