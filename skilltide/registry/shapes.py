@@ -16,25 +16,10 @@ def _list(column: str) -> Column:
     return F.when(F.col(column) == "", empty).otherwise(F.split(column, ";"))
 
 
-def item_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shape of that name. The items of a job are brought together before they are listed, as lists made where the
-    items lie would hold one item each and be sorted, sent and sorted again."""
-    items = shape(spark, sf_dir, "items").repartition("job_id")
-    tech, by, major = F.col("category") == "tech_stack", F.concat("pos", "raw").alias("by"), F.concat("pos", "major").alias("by")
-    entries = {
-        "tech": F.when(tech & F.col("raw").isNotNull(), F.struct(by, F.col("raw").alias("item"))),
-        "soft": F.when(~tech & F.col("raw").isNotNull(), F.struct(by, F.col("raw").alias("item"))),
-        "majors": F.when(F.col("major").isNotNull(), F.struct(major, F.lower("major").alias("item"))),
-    }
-    listed = items.select("job_id", *[e.alias(n) for n, e in entries.items()]).groupBy("job_id").agg(
-        *[F.sort_array(F.collect_list(n)).alias(n) for n in entries]
-    )
-    # no item is null, not an empty text
-    return listed.select("job_id", *[F.when(F.size(n) > 0, F.array_join(F.col(f"{n}.item"), ";")).alias(n) for n in entries])
-
-
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = shape(spark, sf_dir, "posting_rows", item_lists=item_lists(spark, sf_dir))
+    # the items of a job are brought together before they are listed: lists made where the items lie would hold one item
+    # each and be sorted, sent and sorted again
+    rows = shape(spark, sf_dir, "posting_rows", items=shape(spark, sf_dir, "items").repartition("job_id"))
     return rows.select(
         "_id", "job_title", "company_name", "location", "posted_date", "url", "update_date",
         "salary", _list("levels").alias("seniority_level"), "job_position",
